@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from sieveline.llm import words as W
 from sieveline.llm.batches import long, map_text, nested, slices, utf8
@@ -153,7 +154,7 @@ def scan(
     blocks = _blocks(item_windows(benchmark, item_id, item_text, size), block_bytes)
     index = Index(next(blocks))
     more = next(blocks, None)
-    arrow = pa.int64() if isinstance(kind, T.LongType) else pa.int32() if isinstance(kind, T.IntegerType) else pa.string()
+    arrow = to_arrow_type(kind)
 
     def judge(shared):
         def fn(column: pa.Array) -> dict[str, pa.Array]:
