@@ -28,8 +28,8 @@ def dead_letters(failed: DataFrame, stage: str, item: str, error: str, attempts:
     )
 
 
-def markdown_note(df: DataFrame) -> DataFrame:
-    """Rows (file_name, note) from title, url, source, tags, rating, summary, created_time."""
+def markdown_note(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Rows (*keep, file_name, note) from title, url, source, tags, rating, summary, created_time."""
     name = F.concat(F.date_format("created_time", "yyyy-MM-dd"), F.lit(" "), F.substring(F.regexp_replace("title", r'[\\/:*?"<>|#^\[\]]+', " "), 1, 80), F.lit(".md"))
     quoted = F.transform("tags", lambda t: F.concat(F.lit('"'), F.replace(t, F.lit('"'), F.lit("'")), F.lit('"')))
     head = F.format_string(
@@ -37,12 +37,12 @@ def markdown_note(df: DataFrame) -> DataFrame:
         F.to_json(F.struct("title")).substr(F.lit(10), F.length(F.to_json(F.struct("title"))) - 10), F.col("source"), F.col("url"),
         F.date_format("created_time", "yyyy-MM-dd"), F.coalesce(F.col("rating").cast("string"), F.lit("")), F.array_join(quoted, ", "),
     )
-    return df.select(name.alias("file_name"), F.concat(head, F.lit("\n# "), "title", F.lit("\n\n"), F.coalesce("summary", F.lit("")), F.lit("\n")).alias("note"))
+    return df.select(*(keep or []), name.alias("file_name"), F.concat(head, F.lit("\n# "), "title", F.lit("\n\n"), F.coalesce("summary", F.lit("")), F.lit("\n")).alias("note"))
 
 
 def write_notes(df: DataFrame, path: str, category: str, known: DataFrame | None = None) -> None:
     """Notes as text files, a folder for each category; names that are known already are left out."""
-    notes = markdown_note(df).withColumn("category", df[category]) if category in df.columns else markdown_note(df).withColumn("category", F.lit("all"))
+    notes = markdown_note(df.withColumn("category", F.col(category)), ["category"])
     if known is not None:
         notes = notes.join(known.select("file_name"), "file_name", "left_anti")
     notes.select("category", F.col("note").alias("value")).write.mode("append").partitionBy("category").option("maxRecordsPerFile", 1).text(path)

@@ -22,6 +22,26 @@ LISTING = (
 SITE = "https://www.reddit.com"
 
 
+_RSS = "struct<channel:struct<item:array<struct<title:string,link:string,description:string,pubDate:string,category:array<string>>>>>"
+_ATOM = "struct<entry:array<struct<title:string,link:struct<_href:string>,summary:string,content:string,updated:string,category:array<struct<_term:string>>>>>"
+
+
+def feed_entries(files: DataFrame, list_name: str = "list_name", text: str = "text") -> DataFrame:
+    """Entries of RSS and Atom documents (whole files as text), in their order; what is no XML gives none."""
+    rss = F.coalesce(F.from_xml(F.col(text), _RSS)["channel"]["item"], F.array().cast("array<struct<title:string,link:string,description:string,pubDate:string,category:array<string>>>"))
+    atom = F.coalesce(F.from_xml(F.col(text), _ATOM)["entry"], F.array().cast("array<struct<title:string,link:struct<_href:string>,summary:string,content:string,updated:string,category:array<struct<_term:string>>>>"))
+    terms = lambda names: F.transform(F.coalesce(names, F.array().cast("array<string>")), lambda t: F.struct(t.alias("term")))
+    bare = lambda t: F.regexp_replace(F.regexp_replace(t, "^[A-Za-z]+, *", ""), "(GMT|UTC|Z)$", "+0000")
+    iso = lambda t: F.coalesce(F.date_format(F.try_to_timestamp(bare(t), F.lit("d MMM yyyy HH:mm:ss Z")), "yyyy-MM-dd'T'HH:mm:ssXXX"), t)
+    a = files.select(F.col(list_name).alias("list_name"), F.posexplode(rss).alias("pos", "e")).select(
+        "list_name", "pos", "e.title", "e.link", F.col("e.description").alias("summary"), F.lit(None).cast("string").alias("content"), terms(F.col("e.category")).alias("tags"), iso(F.col("e.pubDate")).alias("published")
+    )
+    b = files.select(F.col(list_name).alias("list_name"), F.posexplode(atom).alias("pos", "e")).select(
+        "list_name", "pos", "e.title", F.col("e.link._href").alias("link"), "e.summary", "e.content", terms(F.col("e.category._term")).alias("tags"), F.col("e.updated").alias("published")
+    )
+    return a.unionByName(b)
+
+
 def rss_items(entries: DataFrame, run_date: str, count: int = 3) -> DataFrame:
     """The first ``count`` entries of each list as items. The id is made of list, title and date, not of the URL."""
     first = entries.withColumn("_n", F.row_number().over(Window.partitionBy("list_name").orderBy("pos"))).where(F.col("_n") <= count)
@@ -69,7 +89,7 @@ def listing_posts(answers: DataFrame, answer: str = "answer") -> DataFrame:
         pacific(utc.cast("timestamp_ntz")).alias("datetime_pdt"), F.lit("Reddit").alias("source"), "title", F.col("selftext").alias("text"),
         absolute(F.col("url"), SITE).alias("url"), F.concat(F.lit(SITE), "permalink").alias("permalink"), "subreddit", "author", "ups", "downs", "num_comments", "visited",
         F.coalesce("is_video", F.lit(False)).alias("is_video"), link["is_image"].alias("is_image"), (F.coalesce("is_gallery", F.lit(False)) | link["is_gallery"]).alias("is_gallery"),
-        ~F.col("url").contains("reddit.com").alias("is_external_link"), video(F.col("media"), F.col("url")).alias("video"), gallery(F.col("media_metadata")).alias("gallery_medias"), "ordinal",
+        (~absolute(F.col("url"), SITE).contains("reddit.com")).alias("is_external_link"), video(F.col("media"), F.col("url")).alias("video"), gallery(F.col("media_metadata")).alias("gallery_medias"), "ordinal",
     )
 
 

@@ -37,7 +37,7 @@ def trailing_days(items: DataFrame, day: str, run_day: str, n: int = 30) -> Data
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """Whole files as rows (path, text)."""
-    return spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+    return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
 
 
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:

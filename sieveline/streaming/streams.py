@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def unseen(stream: DataFrame, keys: list[str], ts: str | None = None, horizon: str = "30 days") -> DataFrame:
@@ -24,34 +25,24 @@ def windowed_counts(stream: DataFrame, ts: str, by: list[str], length: str = "1
     return out.select(F.col("w.start").alias("window_start"), *by, "n", "total")
 
 
-class Latest(StatefulProcessor):
-    """Keeps the newest version of each key and emits it when it changes."""
-
-    def __init__(self, key: str, version: str, kind: str):
-        self.key, self.version, self.kind = key, version, kind
+def latest(stream: DataFrame, key: str, version: str) -> DataFrame:
+    """Each key's row of newest version, whenever it changes (update mode); of equal versions the first stays.
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", f"version {self.kind}")
+    The state of a key is one value, its newest version.
+    """
+    kind = stream.schema[version].dataType.simpleString()
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-        best = None
-        for part in rows:
-            top = part.loc[[part[self.version].idxmax()]]
-            if best is None or top[self.version].iloc[0] > best[self.version].iloc[0]:
+    def newest(_key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        best, known = None, state.get[0] if state.exists else None
+        for part in parts:
+            top = part.loc[[part[version].idxmax()]]
+            if best is None or top[version].iloc[0] > best[version].iloc[0]:
                 best = top
-        known = self.last.get()[0] if self.last.exists() else None
-        if best is not None and (known is None or best[self.version].iloc[0] > known):
-            self.last.update((best[self.version].iloc[0],))
+        if best is not None and (known is None or best[version].iloc[0] > known):
+            state.update((best[version].iloc[0].item() if hasattr(best[version].iloc[0], "item") else best[version].iloc[0],))
             yield best
 
-    def close(self) -> None:
-        pass
-
-
-def latest(stream: DataFrame, key: str, version: str) -> DataFrame:
-    """Updates of each key's newest version; needs the RocksDB state store."""
-    kind = stream.schema[version].dataType.simpleString()
-    return stream.groupBy(key).transformWithStateInPandas(Latest(key, version, kind), stream.schema, "Update", "None")
+    return stream.groupBy(key).applyInPandasWithState(newest, stream.schema, f"version {kind}", "update", GroupStateTimeout.NoTimeout)
 
 
 def each_batch(stream: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:

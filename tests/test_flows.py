@@ -42,6 +42,17 @@ def test_feed_items(spark):
     assert got[1].id == hashlib.md5(b"l_t1_2024-01-02").hexdigest()
 
 
+def test_feed_files(spark):
+    rss = "<rss><channel><title>c</title>" + "".join(f"<item><title>t{i}</title><link>u{i}</link><description>d</description><category>x</category><category>y</category><pubDate>Tue, 02 Jan 2024 03:04:05 +0000</pubDate></item>" for i in range(4)) + "</channel></rss>"
+    atom = '<feed><entry><title>a</title><link href="h"/><updated>2024-01-03T00:00:00Z</updated><category term="z"/></entry></feed>'
+    df = spark.createDataFrame([("l", rss), ("m", atom), ("n", "no xml")], "list_name string, text string")
+    got = {(r.list_name, r.pos): r for r in feeds.feed_entries(df).collect()}
+    assert set(got) == {("l", i) for i in range(4)} | {("m", 0)}
+    assert [t.term for t in got["l", 0].tags] == ["x", "y"] and got["l", 2].link == "u2" and got["l", 0].published.startswith("2024-01-02T03:04:05")
+    assert got["m", 0].link == "h" and [t.term for t in got["m", 0].tags] == ["z"]
+    assert {r.published_key for r in feeds.rss_items(feeds.feed_entries(df), "2024-02-01").collect()} == {"2024-01-02", "2024-01-03"}
+
+
 def test_listing(spark):
     post = lambda **k: {"data": {"id": "1", "name": "t3_1", "title": "T", "selftext": "", "url": "/r/x/1", "permalink": "/r/x/1", "subreddit": "x", "author": "a", "created_utc": 1699.0} | k}
     media = {"type": "v", "reddit_video": {"fallback_url": "f", "dash_url": "d"}}
@@ -183,3 +194,20 @@ def test_streams(spark, tmp_path):
     q = counts.writeStream.outputMode("complete").format("memory").queryName("w").trigger(availableNow=True).start()
     q.awaitTermination()
     assert {(str(r.window_start.date()), r.k, r.total) for r in spark.table("w").collect()} == {("2024-01-01", "a", 1.0), ("2024-01-02", "a", 2.0), ("2024-01-01", "b", 4.0)}
+
+
+def test_latest_version_stream(spark, tmp_path):
+    src = tmp_path / "src"
+    rows = [(1, 5, "a"), (1, 7, "b"), (2, 1, "c")]
+    spark.createDataFrame(rows, "k long, version long, v string").coalesce(1).write.parquet(str(src))
+    stream = spark.readStream.schema("k long, version long, v string").parquet(str(src))
+    out = []
+
+    def run():
+        q = streams.latest(stream, "k", "version").writeStream.outputMode("update").foreachBatch(lambda b, n: out.append({tuple(r) for r in b.collect()}))
+        q.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+
+    run()
+    spark.createDataFrame([(1, 6, "old"), (2, 2, "new"), (3, 1, "x")], "k long, version long, v string").coalesce(1).write.mode("append").parquet(str(src))
+    run()
+    assert out == [{(1, 7, "b"), (2, 1, "c")}, {(2, 2, "new"), (3, 1, "x")}]
