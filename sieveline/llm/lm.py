@@ -30,6 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from sieveline.llm import words as W
 from sieveline.llm.batches import bound_batches, utf8
@@ -38,8 +39,9 @@ from sieveline.session import materialize
 ORDER = 3
 ALPHA = 0.4
 MIN_COUNT = 2
-#: Groups of documents for each shuffle partition.
-GROUPS = 4
+#: Bytes of text in a group of documents and behind a range of hashes: what one task holds at a time.
+GROUP_BYTES = 4 << 20
+RANGE_BYTES = 16 << 20
 _SALT = 0xD6E8FEB86659FD93
 
 
@@ -156,17 +158,17 @@ def score(
 
     ``log_score`` is the sum of the logarithms of S over its words, ``n_backed_off`` counts those that
     fell back to single words. ``buckets`` ranges of hashes and ``groups`` of documents follow the
-    session's shuffle partitions unless given.
+    size of the texts unless given.
     """
-    spark = docs.sparkSession
-    buckets = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    groups = groups or GROUPS * buckets
+    if not (buckets and groups):
+        size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
+        buckets, groups = buckets or max(12, -(-size // RANGE_BYTES)), groups or max(12, -(-size // GROUP_BYTES))
     kind = docs.schema[doc_id].dataType
     rows = bound_batches(docs).select(F.col(f"`{doc_id}`").alias("doc"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("doc", "text"), F.lit(groups)))
     entries = rows.groupBy("part").applyInArrow(_list(buckets, order), _ENTRIES)
     answers = entries.groupBy("bucket").applyInArrow(_count, "part long, bucket long, totals binary")
-    arrow = pa.int64() if isinstance(kind, T.LongType) else pa.int32() if isinstance(kind, T.IntegerType) else pa.string()
+    arrow = to_arrow_type(kind)
     inner = T.StructType([T.StructField("doc", kind), T.StructField("n_words", T.LongType()), T.StructField("n_single", T.LongType()), T.StructField("part_score", T.DoubleType())])
     found = rows.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_score(buckets, order, alpha, min_count, arrow), inner)
     found = materialize(found, "lm-scores")
