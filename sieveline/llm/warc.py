@@ -160,7 +160,7 @@ def plan(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload:
     rows = rows.withColumn("size", F.octet_length("payload").cast("long")).withColumn("digest", F.sha1("payload")).withColumn("same", F.sha2("payload", 256))
     large = rows.where(F.col("size") >= min_revisit)
     shared = large.groupBy("same").agg(F.max("id").alias("response"), F.count("*").alias("n")).where("n > 1").select(F.col("same").alias("_same"), "response")
-    joined = rows.join(shared, (F.col("same") == F.col("_same")) & (F.col("size") >= min_revisit), "left")
+    joined = rows.join(shared.hint("shuffle_hash"), (F.col("same") == F.col("_same")) & (F.col("size") >= min_revisit), "left")
     joined = joined.withColumn("revisit", F.col("response").isNotNull() & ~F.col("id").eqNullSafe(F.col("response")))
     return joined.select("id", "url", F.when(~F.col("revisit"), F.col("payload")).alias("payload"), "size", "digest", F.when(F.col("revisit"), F.col("response")).alias("response"), "revisit")
 
