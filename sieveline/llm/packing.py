@@ -18,7 +18,9 @@ their order of rows.
 
 from __future__ import annotations
 
+import itertools
 import os
+import string
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,11 +33,14 @@ from sieveline.llm.batches import bound_batches, slices
 
 MAX_TOKENS = 2048
 END = 1
-#: Chunks that a worker remembers (some 200 bytes each).
-MEMORY_CHUNKS = 500_000
+#: Chunks that a worker remembers (some 150 bytes each).
+MEMORY_CHUNKS = 1_500_000
 #: New chunks that are given to the tokenizer as one text.
 _GROUP = 256
 _MARK = "|"
+#: Stops that end a word: pre-tokenisers that tell letters from signs cut between an ASCII letter or digit and these.
+_STOPS = b".,;:!?"
+_ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 
 #: Tokenizers and remembered chunks of this worker, by path.
 _LOADED: dict[str, Callable[[list[str | None]], list[bytes]]] = {}
@@ -66,11 +71,13 @@ def _chunked(model) -> Callable[[list[str | None]], list[bytes]]:
     #: Texts of added tokens are found before white space matters, so texts that hold one are encoded whole.
     added = [t.content.encode() for t in model.get_added_tokens_decoder().values()]
     plain = len(mark) == 1
+    lowers = plain and all(model.encode(c, add_special_tokens=False).ids == model.encode(c.lower(), add_special_tokens=False).ids for c in string.ascii_uppercase)
 
-    def learn(chunks: list[bytes]) -> None:
+    def ids_of(chunks: list[bytes]) -> dict[bytes, bytes]:
+        into: dict[bytes, bytes] = {}
         alone = [c for c in chunks if not plain or _MARK.encode() in c]
         for c, e in zip(alone, model.encode_batch_fast([c.decode() for c in alone], add_special_tokens=False), strict=True):
-            known[c] = _packed(e.ids)
+            into[c] = _packed(e.ids)
         joined = [c for c in chunks if plain and _MARK.encode() not in c]
         groups = [joined[i : i + _GROUP] for i in range(0, len(joined), _GROUP)]
         texts = [f" {_MARK} ".join(c.decode() for c in g) for g in groups]
@@ -78,26 +85,45 @@ def _chunked(model) -> Callable[[list[str | None]], list[bytes]]:
             ids = np.asarray(e.ids, "<u4")
             cuts = np.concatenate([[-1], np.flatnonzero(ids == mark[0]), [len(ids)]])
             assert len(cuts) == len(g) + 1
-            for c, a, b in zip(g, (cuts[:-1] + 1).tolist(), cuts[1:].tolist(), strict=True):
-                known[c] = ids[a:b].tobytes()
+            raw = ids.tobytes()
+            for c, a, b in zip(g, (4 * (cuts[:-1] + 1)).tolist(), (4 * cuts[1:]).tolist(), strict=True):
+                into[c] = raw[a:b]
+        return into
+
+    def learn(fresh: dict[bytes, bytes]) -> None:
+        """Fill in the ids of new chunks. A word and the stops after it are looked up one by one."""
+        parts = {c: (w, c[len(w) :]) for c in fresh if lowers and c[-1] in _STOPS and (w := c.rstrip(_STOPS)) and w[-1] in _ALNUM}
+        need = dict.fromkeys(c for c in fresh if c not in parts)
+        need.update(dict.fromkeys(p for two in parts.values() for p in two if p not in known))
+        new = ids_of(list(need))
+        for c in fresh:
+            if c in parts:
+                w, tail = parts[c]
+                fresh[c] = (new.get(w) or known[w]) + (new.get(tail) or known[tail])
+            else:
+                fresh[c] = new[c]
 
     def encode(texts: list[str | None]) -> list[bytes]:
-        out: list[bytes] = []
-        for text in texts:
+        out: list[bytes] = [b""] * len(texts)
+        chunked: list[tuple[int, list[bytes], list[bytes | None]]] = []
+        fresh: dict[bytes, bytes] = {}
+        for k, text in enumerate(texts):
             raw = (text or "").encode()
             if any(a in raw for a in added):
-                out.append(_packed(model.encode(text, add_special_tokens=False).ids))
+                out[k] = _packed(model.encode(text, add_special_tokens=False).ids)
                 continue
-            chunks = raw.split()
+            chunks = (raw.lower() if lowers else raw).split()
             got = list(map(known.get, chunks))
             if None in got:
-                fresh = list(dict.fromkeys(c for c, g in zip(chunks, got, strict=True) if g is None))
-                if len(known) + len(fresh) > MEMORY_CHUNKS:
-                    known.clear()
-                    fresh = list(dict.fromkeys(chunks))
-                learn(fresh)
-                got = [known[c] for c in chunks]
-            out.append(b"".join(got))
+                fresh.update((c, b"") for c, g in zip(chunks, got, strict=True) if g is None)
+                chunked.append((k, chunks, got))
+            else:
+                out[k] = b"".join(got)
+        if fresh:
+            learn(fresh)
+            for k, chunks, got in chunked:
+                out[k] = b"".join([fresh[c] if g is None else g for c, g in zip(chunks, got, strict=True)])
+            known.update(itertools.islice(fresh.items(), max(MEMORY_CHUNKS - len(known), 0)))
         return out
 
     return encode
