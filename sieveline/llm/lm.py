@@ -14,8 +14,8 @@ each block with the corpus counts of its entries in the same order. The answers
 again, whose documents look their n-grams up and add up. The exchange that groups the documents is
 the same in both passes, so Spark writes it once. Nothing is collected or broadcast.
 
-Words are `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased; n-grams are told apart by 64-bit hashes, so of 10^10
-distinct n-grams a handful share a count.
+Words are `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased; n-grams are told apart by 56-bit hashes, so among 10^10
+distinct n-grams one in seven million shares another's count.
 
 Defined results: null and wordless texts have no words and a score of 0 (and no mean). Rows that
 share an id are documents of their own, repeated text counts as often as it occurs. Empty tables
@@ -40,8 +40,10 @@ ORDER = 3
 ALPHA = 0.4
 MIN_COUNT = 2
 #: Bytes of text in a group of documents and behind a range of hashes: what one task holds at a time.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 8 << 20
 RANGE_BYTES = 16 << 20
+#: Bits of a hash that tell n-grams apart.
+BITS = 56
 _SALT = 0xD6E8FEB86659FD93
 
 
@@ -55,7 +57,7 @@ def _grams(column: pa.ChunkedArray, order: int) -> tuple[np.ndarray, list[tuple[
     out = []
     for k in range(1, order + 1):
         g, at = W.windows(h, first, k)
-        out.append((W.mix(g + np.uint64(k * _SALT % (1 << 64))), at))
+        out.append((W.mix(g + np.uint64(k * _SALT % (1 << 64))) >> np.uint64(64 - BITS), at))
     return first, out
 
 
@@ -73,7 +75,7 @@ def _expand(data: bytes, kind: str) -> np.ndarray:
 
 def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Where sorted keys pass from one of ``buckets`` ranges to the next."""
-    width = np.uint64((1 << 64) // buckets + 1)
+    width = np.uint64((1 << BITS) // buckets + 1)
     return np.searchsorted(keys, np.arange(buckets + 1, dtype=np.uint64)[:-1] * width).tolist() + [len(keys)]
 
 
