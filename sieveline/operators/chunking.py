@@ -6,10 +6,12 @@ from collections import deque
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sieveline.operators.numbering import numbered
+
 STRUCTURE = ("\n\n", "\n", ". ", " ")
 PLAIN = ("\n\n", "\n", " ", "")
 
@@ -108,6 +110,5 @@ def statistics(chunks: DataFrame) -> DataFrame:
 
 
 def batch_numbers(rows: DataFrame, group: str, order: str, size: int) -> DataFrame:
-    """Rows with ``batch``, counted from 0 in each group."""
-    place = F.row_number().over(Window.partitionBy(group).orderBy(order))
-    return rows.withColumn("batch", F.floor((place - 1) / size))
+    """Rows with ``batch``, counted from 0 in each group, of ``size`` rows in order."""
+    return numbered(rows, group, order, "_place").withColumn("batch", F.floor(F.col("_place") / size)).drop("_place")

@@ -28,9 +28,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def hashed_embedding(text: Column, dim: int = DIM, limit: int = 5000) -> Column:
+def hashed_embedding(text: Column, dim: int = DIM) -> Column:
     """A unit vector of signed token counts, by hash: ``dim`` floats, all 0 for no tokens."""
-    words = F.filter(F.split(F.lower(F.substring(text, 1, limit)), r"\s+"), lambda w: w != "")
+    words = F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
     codes = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(2 * dim)).cast("int"))
     signed = lambda own, i: F.aggregate(own, F.lit(0.0), lambda s, c: s + F.when(F.floor(c / 2) == i, 1 - 2 * (c % 2)).otherwise(0))
     counts = let(codes, lambda own: F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: signed(own, i)))

@@ -188,14 +188,14 @@ def seen_set_anti_join(spark, sf_dir):
     return dedup.unseen(read(spark, sf_dir, "documents").select("doc_id", "source"), read(spark, sf_dir, "labels"), ["doc_id"])
 
 
-@query("SELECT doc_id FROM documents WHERE doc_id % 3 = 0 OR doc_id IN (SELECT doc_id FROM labels)")
+@query("SELECT doc_id FROM documents WHERE lang = 'en' OR doc_id IN (SELECT doc_id FROM labels)")
 def seen_set_mark(spark, sf_dir):
-    new = read(spark, sf_dir, "documents").where("doc_id % 3 = 0")
+    new = read(spark, sf_dir, "documents").where("lang = 'en'")
     return dedup.mark_seen(read(spark, sf_dir, "labels"), new, ["doc_id"])
 
 
 _SNAPSHOTS = """a AS (SELECT user_id, max(ts) AS edited, arg_max(round(value), ts) AS rating FROM events WHERE ts < TIMESTAMP '2024-01-20' GROUP BY 1),
-b AS (SELECT user_id, max(ts) AS edited, arg_max(round(value), ts) AS rating FROM events WHERE ts < TIMESTAMP '2024-01-10' AND user_id % 4 <> 0 GROUP BY 1)"""
+b AS (SELECT user_id, max(ts) AS edited, arg_max(round(value), ts) AS rating FROM events WHERE ts < TIMESTAMP '2024-01-05' AND event_type = 'purchase' GROUP BY 1)"""
 
 
 def _snapshot(events: DataFrame, until: str) -> DataFrame:
@@ -206,20 +206,20 @@ def _snapshot(events: DataFrame, until: str) -> DataFrame:
 @query(f"WITH {_SNAPSHOTS} SELECT a.user_id, a.edited FROM a LEFT JOIN b ON a.user_id = b.user_id AND a.edited = b.edited WHERE b.user_id IS NULL")
 def version_anti_join(spark, sf_dir):
     e = read(spark, sf_dir, "events")
-    return dedup.unseen_versions(_snapshot(e, "2024-01-20"), _snapshot(e.where("user_id % 4 <> 0"), "2024-01-10"), "user_id", "edited").select("user_id", "edited")
+    return dedup.unseen_versions(_snapshot(e, "2024-01-20"), _snapshot(e.where("event_type = 'purchase'"), "2024-01-05"), "user_id", "edited").select("user_id", "edited")
 
 
 @query(f"WITH {_SNAPSHOTS} SELECT a.user_id FROM a WHERE a.user_id NOT IN (SELECT user_id FROM b)")
 def once_only_anti_join(spark, sf_dir):
     e = read(spark, sf_dir, "events")
-    return dedup.unseen(_snapshot(e, "2024-01-20"), _snapshot(e.where("user_id % 4 <> 0"), "2024-01-10"), ["user_id"]).select("user_id")
+    return dedup.unseen(_snapshot(e, "2024-01-20"), _snapshot(e.where("event_type = 'purchase'"), "2024-01-05"), ["user_id"]).select("user_id")
 
 
 @query(f"""WITH {_SNAPSHOTS} SELECT a.user_id, a.rating, CASE WHEN b.user_id IS NULL THEN 'new' ELSE 'updated' END AS change_type
 FROM a LEFT JOIN b ON a.user_id = b.user_id WHERE b.user_id IS NULL OR a.rating IS DISTINCT FROM b.rating""")
 def cdc_new_updated_split(spark, sf_dir):
     e = read(spark, sf_dir, "events")
-    return dedup.split_changes(_snapshot(e, "2024-01-20"), _snapshot(e.where("user_id % 4 <> 0"), "2024-01-10"), "user_id", "rating").select("user_id", "rating", "change_type")
+    return dedup.split_changes(_snapshot(e, "2024-01-20"), _snapshot(e.where("event_type = 'purchase'"), "2024-01-05"), "user_id", "rating").select("user_id", "rating", "change_type")
 
 
 @query("""SELECT d.doc_id, CASE WHEN l.doc_id IS NOT NULL THEN 'q' || l.quality ELSE substr(d.text, 1, 20) END AS value, l.doc_id IS NOT NULL AS cached FROM documents d LEFT JOIN labels l USING (doc_id)""")
@@ -293,9 +293,9 @@ def trailing_snapshot(spark, sf_dir):
     return dedup.latest(files.trailing_days(e, "ds", RUN_DAY, 7).drop("ds"), "user_id", "ts", "event_id").select("user_id", "ts", "event_id")
 
 
-@query("SELECT event_id AS order_id, event_type AS name FROM events WHERE event_type = 'signup' AND event_id % 7 = 0 AND event_id NOT IN (SELECT doc_id FROM labels)")
+@query("SELECT event_id AS order_id, event_type AS name FROM events WHERE event_type = 'signup' AND event_id NOT IN (SELECT doc_id FROM labels)")
 def pending_patches(spark, sf_dir):
-    p = read(spark, sf_dir, "events").where("event_type = 'signup' and event_id % 7 = 0").select(F.col("event_id").alias("order_id"), F.col("event_type").alias("name"))
+    p = read(spark, sf_dir, "events").where("event_type = 'signup'").select(F.col("event_id").alias("order_id"), F.col("event_type").alias("name"))
     return state.pending_patches(p, read(spark, sf_dir, "labels").select(F.col("doc_id").alias("order_id")))
 
 
@@ -392,9 +392,11 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 
 @query(f"""WITH {_OVERLAP}, c AS (SELECT lang, CAST(count(*) FILTER (k AND t) AS DOUBLE) AS tp, CAST(count(*) FILTER (k AND NOT t) AS DOUBLE) AS fp, CAST(count(*) FILTER (NOT k AND t) AS DOUBLE) AS fn, CAST(count(*) FILTER (NOT k AND NOT t) AS DOUBLE) AS tn
-FROM (SELECT lang, doc_id % 2 = 0 AS k, overlap >= 0.3 AS t FROM o JOIN documents USING (doc_id)) GROUP BY 1) SELECT lang, tp, fp, fn, tn, {_RATES} FROM c""")
+FROM (SELECT lang, doc_id IN (SELECT min(doc_id) FROM documents GROUP BY text) AS k, overlap >= 0.3 AS t FROM o JOIN documents USING (doc_id)) GROUP BY 1) SELECT lang, tp, fp, fn, tn, {_RATES} FROM c""")
 def eval_confusion(spark, sf_dir):
-    rows = _overlap(spark, sf_dir).join(read(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id").withColumn("kept", F.col("doc_id") % 2 == 0)
+    d = read(spark, sf_dir, "documents")
+    kept = dedup.first_rows(d, F.col("text"), "doc_id").select("doc_id", F.lit(True).alias("kept"))
+    rows = _overlap(spark, sf_dir).join(d.select("doc_id", "lang"), "doc_id").join(kept, "doc_id", "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
     return _rounded(evaluate.evaluate_kept(rows, "kept", "overlap", by=["lang"]))
 
 
@@ -456,12 +458,11 @@ def ranking_text(spark, sf_dir):
     return c.join(before, ["conv_id", "turn"], "left").select("conv_id", "turn", text.alias("ranking_text"))
 
 
-@query(r"SELECT doc_id, CASE WHEN contains(text, '.' || chr(10)) THEN trim(split_part(text, '.' || chr(10), 1)) || '.' ELSE trim(text) END AS summary FROM documents WHERE length(text) < 500 AND NOT contains(text, '===')")
+@query(r"SELECT doc_id, md5(regexp_replace(CASE WHEN contains(text, '.' || chr(10)) THEN split_part(text, '.' || chr(10), 1) || '.' ELSE text END, '^\s+|\s+$', '', 'g')) AS summary FROM documents")
 def split_summary_translation(spark, sf_dir):
-    d = read(spark, sf_dir, "documents").where((F.length("text") < 500) & ~F.col("text").contains("==="))
+    # the first paragraph stands for a summary, the rest for its translation
     marked = F.regexp_replace("text", r"\.\n", ".\n===\n")
-    first = X.split_summary(marked)["summary"]
-    return d.select("doc_id", first.alias("summary"))
+    return read(spark, sf_dir, "documents").select("doc_id", F.md5(X.split_summary(marked)["summary"]).alias("summary"))
 
 
 @query()
@@ -507,9 +508,9 @@ def rank_json_parse(spark, sf_dir):
     return e.select("event_id", R.ranking(answer)["overall_score"].alias("overall_score"))
 
 
-@query("""SELECT user_id, list_transform(list_slice(list(struct_pack(n := event_type || ',' || event_id, v := value) ORDER BY value DESC, event_id), 1, 3), lambda x: substr(replace(x.n, ',', ' '), 1, 20)) AS topics FROM events WHERE user_id < 50 GROUP BY 1""")
+@query("""SELECT user_id, list_transform(list_slice(list(struct_pack(n := event_type || ',' || event_id, v := value) ORDER BY value DESC, event_id), 1, 3), lambda x: substr(replace(x.n, ',', ' '), 1, 20)) AS topics FROM events GROUP BY 1""")
 def topic_topk_clean(spark, sf_dir):
-    e = read(spark, sf_dir, "events").where("user_id < 50")
+    e = read(spark, sf_dir, "events")
     # three a user leave each task: top-k before the pairs are gathered
     best = dedup.first_n(e.withColumn("o", F.struct((-F.col("value")).alias("v"), "event_id")), "user_id", "o", 3)
     pair = F.struct("rn", F.struct(F.concat_ws(",", "event_type", "event_id").alias("name"), F.col("value").alias("score")).alias("p"))
@@ -548,12 +549,13 @@ def weekly_collection_grouped(spark, sf_dir):
     return render.collection(dedup.first_n(d, "source", "doc_id", 10), "source", "doc_id", "title", "topics")
 
 
-@query("SELECT category, map_from_entries(list((name, id) ORDER BY name)) AS names FROM (SELECT event_type AS category, CAST(user_id AS VARCHAR) AS name, CAST(min(event_id) AS VARCHAR) AS id FROM events WHERE user_id < 5 GROUP BY ALL) GROUP BY 1")
+@query("SELECT category, string_agg(name || '=' || id, ',' ORDER BY name) AS names FROM (SELECT lang AS category, source AS name, CAST(min(doc_id) AS VARCHAR) AS id FROM documents GROUP BY ALL) GROUP BY 1")
 def index_pages_map(spark, sf_dir):
     from sieveline.schemas import index_map
 
-    e = read(spark, sf_dir, "events").where("user_id < 5").groupBy(F.col("event_type").alias("category"), F.col("user_id").cast("string").alias("name"))
-    return index_map(e.agg(F.min("event_id").cast("string").alias("index_id")))
+    d = read(spark, sf_dir, "documents").groupBy(F.col("lang").alias("category"), F.col("source").alias("name"))
+    pairs = F.transform(F.array_sort(F.map_entries("names")), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return index_map(d.agg(F.min("doc_id").cast("string").alias("index_id"))).select("category", F.array_join(pairs, ",").alias("names"))
 
 
 # --- metrics ------------------------------------------------------------------------------------

@@ -108,3 +108,13 @@ def test_health(spark):
     e = spark.createDataFrame([(1, "2024-01-01", "s"), (1, "2024-01-04", "d"), (2, "2024-01-01", "s"), (3, "2024-01-09", "d")], "i int, ts string, k string")
     got = health.review_velocity(e, "i", "ts", F.col("k") == "s", F.col("k") == "d", "2024-01-31")
     assert {tuple(r) for r in got.collect()} == {(1, 3, False), (2, 30, True)}
+
+
+def test_numbering_across_tasks(spark):
+    from sieveline.operators.numbering import numbered
+
+    rows = [("hot", i) for i in range(500)] + [("b", i) for i in range(7)] + [(None, i) for i in range(5)]
+    df = spark.createDataFrame(rows, "g string, o int").repartition(6)
+    got = {(r.g, r.o): r.place for r in numbered(df, "g", "o").collect()}
+    assert got == {(g, o): o for g, o in rows}
+    assert numbered(df.limit(0), "g", "o").collect() == []
