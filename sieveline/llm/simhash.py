@@ -94,8 +94,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     own = materialize(marked.groupBy("fp").agg(F.min("doc").alias("least")), "distinct-fingerprints")
     roots = connected_components(links(own.select("fp")))
     rooted = own.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    named = materialize(rooted.drop("least").join(least, "root").select(F.col("fp").alias("own"), "component"), "components")
+    rooted = materialize(rooted, "rooted-fingerprints")
+    # tables on both sides of the joins below: what a large component has is split there
+    least = materialize(rooted.groupBy(F.col("root").alias("top")).agg(F.min("least").alias("component")), "least-documents")
+    named = materialize(rooted.join(least, F.col("root") == F.col("top")).select(F.col("fp").alias("own"), "component"), "components")
     out = marked.join(named, F.col("fp") == F.col("own"))
     return out.select(F.col("doc").alias(doc_id), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
