@@ -21,6 +21,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -175,7 +176,7 @@ def scan(
         index = Index(more)
         done = materialize(out.withColumnsRenamed({"items": "_items", "spans": "_spans"}), "decontaminated")
         again = map_text(done, text, judge(spark.sparkContext.broadcast(index)), fields, done.columns, keep_text=True)
-        merged = F.udf(lambda a, b: _union(a, b), _PAIR)("_spans", "spans")
+        merged = F.pandas_udf(lambda a, b: pd.Series([_union(x.tolist(), y.tolist()) for x, y in zip(a, b, strict=True)]), _PAIR, F.PandasUDFType.SCALAR)("_spans", "spans")
         out = again.withColumn("items", F.array_union("_items", "items")).withColumn("spans", merged).drop("_items", "_spans")
         out = out.withColumn("n_hit", F.expr("aggregate(transform(spans, (x, i) -> if(i % 2 = 1, x, -x)), 0L, (a, x) -> a + x)"))
         more = next(blocks, None)
@@ -214,7 +215,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", **op
     if remove == "documents":
         found = found.where(~F.col("contaminated"))
     else:
-        cut = F.udf(_without, T.StringType())
+        cut = F.pandas_udf(lambda t, s: pd.Series([_without(x, y) for x, y in zip(t, s, strict=True)]), T.StringType(), F.PandasUDFType.SCALAR)
         found = found.withColumn(inner["text"], F.when(F.col("contaminated"), cut(inner["text"], "spans")).otherwise(F.col(inner["text"])))
     return found.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(columns)))
 
