@@ -176,7 +176,7 @@ def scan(
         index = Index(more)
         done = materialize(out.withColumnsRenamed({"items": "_items", "spans": "_spans"}), "decontaminated")
         again = map_text(done, text, judge(spark.sparkContext.broadcast(index)), fields, done.columns, keep_text=True)
-        merged = F.pandas_udf(lambda a, b: pd.Series([_union(x.tolist(), y.tolist()) for x, y in zip(a, b, strict=True)]), _PAIR, F.PandasUDFType.SCALAR)("_spans", "spans")
+        merged = F.pandas_udf(_unions, _PAIR)("_spans", "spans")
         out = again.withColumn("items", F.array_union("_items", "items")).withColumn("spans", merged).drop("_items", "_spans")
         out = out.withColumn("n_hit", F.expr("aggregate(transform(spans, (x, i) -> if(i % 2 = 1, x, -x)), 0L, (a, x) -> a + x)"))
         more = next(blocks, None)
@@ -188,6 +188,14 @@ def scan(
     )
 
 
+def _unions(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([_union(x.tolist(), y.tolist()) for x, y in zip(a, b, strict=True)])
+
+
+def _cut(text: pd.Series, spans: pd.Series) -> pd.Series:
+    return pd.Series([_without(t, s) for t, s in zip(text, spans, strict=True)], dtype=object)
+
+
 def _union(a: list[int], b: list[int]) -> list[int]:
     """The union of two lists of spans."""
     out: list[int] = []
@@ -215,7 +223,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", **op
     if remove == "documents":
         found = found.where(~F.col("contaminated"))
     else:
-        cut = F.pandas_udf(lambda t, s: pd.Series([_without(x, y) for x, y in zip(t, s, strict=True)]), T.StringType(), F.PandasUDFType.SCALAR)
+        cut = F.pandas_udf(_cut, T.StringType())
         found = found.withColumn(inner["text"], F.when(F.col("contaminated"), cut(inner["text"], "spans")).otherwise(F.col(inner["text"])))
     return found.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(columns)))
 
