@@ -88,8 +88,8 @@ def test_containment_in_blocks(spark):
     d = spark.createDataFrame([(1, "a b c d"), (2, "A"), (3, None), (4, "q r")], "doc_id long, text string")
     t = spark.createDataFrame([(10, "a b"), (11, "c d e f g"), (12, "")], "item_id long, text string")
     want = {(1, 10, 1.0), (2, 10, 1.0), (3, 10, 0.0), (4, 10, 0.0)}
-    for rows in (1, 2, 100):
-        assert {tuple(r) for r in evaluate.best_containment(d, t, "doc_id", "item_id", block_rows=rows).collect()} == want
+    for cells in (1, 8, 1000):
+        assert {tuple(r) for r in evaluate.best_containment(d, t, "doc_id", "item_id", cells=cells).collect()} == want
     assert evaluate.best_containment(d, t.limit(0), "doc_id", "item_id").where("overlap = 0").count() == 4
 
 
