@@ -23,7 +23,7 @@ CELLS = 32 << 20
 _WHITE = re.compile(r"\s+", re.ASCII)
 
 
-def _tokens(text: str | None) -> set[str]:
+def word_set(text: str | None) -> set[str]:
     """The distinct lower-cased tokens between (ASCII) white space."""
     return set(_WHITE.split(text.lower())) - {""} if text else set()
 
@@ -51,7 +51,7 @@ def best_containment(docs: DataFrame, truth: DataFrame, doc_id: str, item_id: st
             for batch in batches:
                 best, over = [], []
                 for text_ in batch.column(1).to_pylist():
-                    own = _tokens(text_)
+                    own = word_set(text_)
                     known = np.fromiter((words[t] for t in own & words.keys()), np.int64)
                     least = np.minimum(sizes, len(own))
                     # sums of bytes in 16 bits, a part at a time
@@ -70,7 +70,7 @@ def best_containment(docs: DataFrame, truth: DataFrame, doc_id: str, item_id: st
     listed = truth.select(F.col(item_id).alias("item"), F.col(text).cast("string").alias("text")).orderBy("item")
     parts, rows, words = [], [], set()
     for row in listed.toLocalIterator():
-        own = _tokens(row.text)
+        own = word_set(row.text)
         if rows and (len(rows) + 1) * len(words | own) > cells:
             parts.append(block(rows))
             rows, words = [], set()

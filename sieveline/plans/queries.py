@@ -683,3 +683,25 @@ def pipeline_article(spark, sf_dir):
 @query()
 def hashed_embeddings(spark, sf_dir):
     return read(spark, sf_dir, "benchmark").select("item_id", providers.hashed_embedding(F.col("text")).alias("embedding"))
+
+
+@query(r"""WITH q AS (SELECT item_id, list_distinct(list_filter(string_split_regex(lower(coalesce(text, '')), '\s+'), lambda t: t <> '')) AS b FROM benchmark),
+d AS (SELECT doc_id, list_distinct(list_filter(string_split_regex(lower(coalesce(text, '')), '\s+'), lambda t: t <> '')) AS a FROM documents),
+s AS (SELECT item_id, doc_id, len(list_intersect(a, b)) / len(b) AS score FROM q, d WHERE len(b) > 0)
+SELECT item_id AS query_id, doc_id, round(score, 6) AS score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rn FROM s WHERE score > 0 QUALIFY rn <= 3""")
+def text_search(spark, sf_dir):
+    from sieveline.operators.search import search
+
+    return search(read(spark, sf_dir, "benchmark"), read(spark, sf_dir, "documents")).withColumn("score", F.round("score", 6))
+
+
+@query("""SELECT conv_id AS page_id, string_agg(CASE role WHEN 'user' THEN '# ' || text || chr(10) WHEN 'system' THEN '> ' || text || chr(10) ELSE text || chr(10) END, '' ORDER BY turn) AS text, count(*) AS n FROM conversations GROUP BY 1""")
+def block_tree_text(spark, sf_dir):
+    from sieveline.operators.blocks import page_text
+
+    # answers hang below the question before them
+    c = read(spark, sf_dir, "conversations")
+    kind = F.when(F.col("role") == "user", "heading_1").when(F.col("role") == "system", "quote").otherwise("paragraph")
+    asked = c.where("role = 'user'").select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("turn").alias("parent_id"))
+    rows = c.join(asked, ["conv_id", "turn"], "left").withColumn("parent_id", F.when(F.col("role") == "assistant", F.col("parent_id")))
+    return page_text(rows.select(F.col("conv_id").alias("page_id"), F.col("turn").alias("block_id"), "parent_id", F.col("turn").alias("pos"), kind.alias("type"), "text"), 2)

@@ -118,3 +118,24 @@ def test_numbering_across_tasks(spark):
     got = {(r.g, r.o): r.place for r in numbered(df, "g", "o").collect()}
     assert got == {(g, o): o for g, o in rows}
     assert numbered(df.limit(0), "g", "o").collect() == []
+
+
+def test_search(spark):
+    from sieveline.operators.search import context, search
+
+    d = spark.createDataFrame([(1, "red fox runs"), (2, "Red sea"), (3, "fox"), (4, None), (None, "red fox")], "doc_id long, text string").repartition(3)
+    q = spark.createDataFrame([(7, "red fox"), (8, "nothing here"), (9, "")], "item_id long, text string")
+    for cells in (1, 1000):
+        hits = search(q, d, 2, cells=cells)
+        assert {tuple(r) for r in hits.collect()} == {(7, 1, 1.0, 1), (7, 2, 0.5, 2)}
+    assert context(hits, d).first().context == "red fox runs\n\nRed sea"
+    assert search(q.limit(0), d).collect() == [] and search(q, d.limit(0)).collect() == []
+
+
+def test_block_trees(spark):
+    from sieveline.operators.blocks import page_text
+
+    rows = [("p", "a", None, 0, "heading_1", "A"), ("p", "b", None, 1, "paragraph", "B"), ("p", "c", "a", 0, "bulleted_list_item", "C"), ("p", "d", "c", 0, "quote", None), ("p", "e", "zz", 0, "quote", "lost"), ("q", "a", None, 0, "code", "x")]
+    df = spark.createDataFrame(rows, "page_id string, block_id string, parent_id string, pos int, type string, text string")
+    assert {r.page_id: (r.text, r.n) for r in page_text(df).collect()} == {"p": ("# A\n- C\n> \nB\n", 4), "q": ("```\nx\n```\n", 1)}
+    assert {r.page_id: r.n for r in page_text(df, 1).collect()} == {"p": 2, "q": 1}
