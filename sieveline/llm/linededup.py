@@ -75,8 +75,12 @@ def dedup_lines(
     text: str = "text",
     min_chars: int = MIN_CHARS,
     min_docs: int = MIN_DOCS,
+    counts: bool = True,
 ) -> DataFrame:
-    """The documents, with the kept lines as their text, and the columns _n_lines and _n_dropped."""
+    """The documents, with the kept lines as their text, and with ``counts`` the columns _n_lines and _n_dropped.
+
+    The counts replace columns of the same names.
+    """
     columns = docs.columns
     lost = materialize(dropped_keys(docs, doc_id, text, min_chars, min_docs), "lost-lines")
     tagged = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)))
@@ -103,4 +107,5 @@ def dedup_lines(
                 yield pa.RecordBatch.from_arrays([*arrays, pa.array(lines, pa.int64()), pa.array(gone, pa.int64())], names=inner.names)
 
     out = bound_batches(joined).mapInArrow(run, inner)
-    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(columns)), "_n_lines", "_n_dropped")
+    made = ["_n_lines", "_n_dropped"] if counts else []
+    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(columns) if c not in made), *made)

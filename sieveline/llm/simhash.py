@@ -108,5 +108,8 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Rows that share that id are all kept; documents without an id are kept if no document of
     their component has one.
     """
-    found = near_duplicates(docs, doc_id, text, size).where(F.col(doc_id).eqNullSafe(F.col("component_id"))).select(F.col(doc_id).alias("_keep")).distinct()
-    return docs.join(found, F.col(f"`{doc_id}`").eqNullSafe(F.col("_keep")), "left_semi")
+    key = "_keep"
+    while key in docs.columns:
+        key += "_"
+    found = near_duplicates(docs, doc_id, text, size).where(F.col(doc_id).eqNullSafe(F.col("component_id"))).select(F.col(doc_id).alias(key)).distinct()
+    return docs.join(found, F.col(f"`{doc_id}`").eqNullSafe(F.col(key)), "left_semi")
