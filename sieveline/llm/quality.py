@@ -66,15 +66,21 @@ _HEAD = np.ones(256, bool)  # bytes that begin a code point
 _HEAD[0x80:0xC0] = False
 
 
+def _groups(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal keys of an owner together, earlier ones first, and where its groups start (and the end)."""
+    own = W.mix(keys ^ W.mix(owner.astype(np.uint64) + np.uint64(1)))
+    order = np.argsort(own, kind="stable")
+    edge = np.ones(len(keys) + 1, bool)
+    edge[1:-1] = own[order[1:]] != own[order[:-1]]
+    return order, np.flatnonzero(edge) if len(keys) else np.zeros(1, np.int64)
+
+
 def _repeats(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each key: does an equal one of the same owner come earlier; is there any other."""
-    earlier, any_other = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
-    if len(keys):
-        order = np.lexsort((np.arange(len(keys)), keys, owner))
-        same = (keys[order][1:] == keys[order][:-1]) & (owner[order][1:] == owner[order][:-1])
-        earlier[order[1:]] = same
-        any_other[order[1:]] = same
-        any_other[order[:-1]] |= same
+    earlier, any_other = np.ones(len(keys), bool), np.zeros(len(keys), bool)
+    order, edge = _groups(keys, owner)
+    earlier[order[edge[:-1]]] = False
+    any_other[order] = np.repeat(np.diff(edge) > 1, np.diff(edge))
     return earlier, any_other
 
 
@@ -93,7 +99,6 @@ def statistics(column: pa.Array) -> dict[str, np.ndarray]:
     grams, at = W.windows(h, first, REPEAT)
     _, twice = _repeats(grams, owner[at])
     repeated = W.cover(at[twice], REPEAT, len(s))
-    seen, _ = _repeats(h, owner)
 
     # lines: from a text's start or after a \n, up to the next \n or the text's end
     breaks = np.flatnonzero(buf == 0x0A)
@@ -114,18 +119,19 @@ def statistics(column: pa.Array) -> dict[str, np.ndarray]:
     per = lambda flags, by: np.bincount(by, weights=flags, minlength=len(n)).astype(np.int64)
 
     # the most frequent word's occurrences in each text
-    top = np.zeros(len(n), np.int64)
+    top, distinct = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
     if len(h):
-        order = np.lexsort((h, owner))
-        edge = np.flatnonzero(np.concatenate([[True], (h[order][1:] != h[order][:-1]) | (owner[order][1:] != owner[order][:-1]), [True]]))
-        np.maximum.at(top, owner[order][edge[:-1]], np.diff(edge))
+        order, edge = _groups(h, owner)
+        who = owner[order[edge[:-1]]]
+        np.maximum.at(top, who, np.diff(edge))
+        distinct = np.bincount(who, minlength=len(n))
     return {
         "n_words": n,
         "word_chars": np.diff(heads[offsets]),
         "n_symbols": count(_SYMBOL),
         "n_dup_lines": per(again, which[full]),
         "n_repeat_words": W.per_text(repeated, first),
-        "distinct": n - W.per_text(seen, first),
+        "distinct": distinct,
         "upper": count(_UPPER),
         "digits": count(_DIGIT),
         "punct": count(_PUNCT),
