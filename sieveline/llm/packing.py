@@ -34,7 +34,7 @@ from sieveline.llm.batches import bound_batches, slices
 MAX_TOKENS = 2048
 END = 1
 #: Chunks that a worker remembers (some 150 bytes each).
-MEMORY_CHUNKS = 1_500_000
+MEMORY_CHUNKS = 700_000
 #: New chunks that are given to the tokenizer as one text.
 _GROUP = 256
 _MARK = "|"
