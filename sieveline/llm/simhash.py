@@ -102,14 +102,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return out.select(F.col("doc").alias(doc_id), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def keep_least(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """The documents whose id is the ``component_id`` that ``found`` gives them, with all their columns."""
+    key = "_keep"
+    while key in docs.columns:
+        key += "_"
+    kept = found.where(F.col(doc_id).eqNullSafe(F.col("component_id"))).select(F.col(doc_id).alias(key)).distinct()
+    return docs.join(kept, F.col(f"`{doc_id}`").eqNullSafe(F.col(key)), "left_semi")
+
+
 def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE) -> DataFrame:
     """One document of each component, the one with the smallest id, with all its columns.
 
     Rows that share that id are all kept; documents without an id are kept if no document of
     their component has one.
     """
-    key = "_keep"
-    while key in docs.columns:
-        key += "_"
-    found = near_duplicates(docs, doc_id, text, size).where(F.col(doc_id).eqNullSafe(F.col("component_id"))).select(F.col(doc_id).alias(key)).distinct()
-    return docs.join(found, F.col(f"`{doc_id}`").eqNullSafe(F.col(key)), "left_semi")
+    return keep_least(docs, near_duplicates(docs, doc_id, text, size), doc_id)
