@@ -9,7 +9,9 @@ logarithm of the length). Documents never move: tokenising and cutting is one na
 Chunks between ASCII white space are tokenised once for each worker and remembered, at most
 ``MEMORY_CHUNKS`` at a time. That gives the tokenizer's own ids where its normalisation and
 pre-tokenisation treat white space as a boundary that leaves no token, as word-level tokenizers do;
-others are given whole texts (``by_chunk=False``).
+others are given whole texts (``by_chunk=False``). Chunks are lower-cased first if the tokenizer does
+so, but only ASCII ones that hold no added token's text in lower case: composed letters and added
+tokens come before lower case.
 
 Defined results: a null or empty text is the end id alone. Rows that share an id are packed each
 by itself. Sequence ids are unique within one result, and follow from the input's partitions and
@@ -103,6 +105,18 @@ def _chunked(model) -> Callable[[list[str | None]], list[bytes]]:
             else:
                 fresh[c] = new[c]
 
+    def keys(raw: bytes) -> list[bytes]:
+        """Chunks in lower case, but as they are if they have other than ASCII characters or become an added token."""
+        chunks = raw.split()
+        if not lowers:
+            return chunks
+        low = raw.lower()
+        if any(a in low for a in added):
+            return [c if not c.isascii() or any(a in c.lower() for a in added) else c.lower() for c in chunks]
+        if raw.isascii():
+            return low.split()
+        return [b if b.isascii() else c for b, c in zip(low.split(), chunks, strict=True)]
+
     def encode(texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
         chunked: list[tuple[int, list[bytes], list[bytes | None]]] = []
@@ -112,7 +126,7 @@ def _chunked(model) -> Callable[[list[str | None]], list[bytes]]:
             if any(a in raw for a in added):
                 out[k] = _packed(model.encode(text, add_special_tokens=False).ids)
                 continue
-            chunks = (raw.lower() if lowers else raw).split()
+            chunks = keys(raw)
             got = list(map(known.get, chunks))
             if None in got:
                 fresh.update((c, b"") for c, g in zip(chunks, got, strict=True) if g is None)

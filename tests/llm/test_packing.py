@@ -26,6 +26,14 @@ def test_chunks_give_the_tokenizers_own_ids():
     assert packing.encoder(PATH, by_chunk=False)(own) == got
 
 
+def test_added_tokens_and_composition_come_before_lower_case():
+    odd = ["<|ENDOFTEXT|>", "<|EndOfText|>", "H\u0331", "T\u0308", "W\u030a", "J\u030c", "Y\u030a", "É", "\u212a"]
+    own = [t for o in odd for t in (o, o.lower(), f"The {o}. End", f"A{o}B, x{o.lower()}y", f"{o} <|endoftext|> {o}")]
+    model, encode = Tokenizer.from_file(PATH), packing.encoder(PATH)
+    for t, g in zip(own * 2, encode(own) + encode(own), strict=True):
+        assert np.frombuffer(g, "<u4").tolist() == model.encode(t, add_special_tokens=False).ids
+
+
 def test_forgetting_changes_nothing(monkeypatch):
     want = packing.encoder(PATH)(texts())
     monkeypatch.setattr(packing, "MEMORY_CHUNKS", 50)
