@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,9 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (local tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset and the master is local."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: a cluster needs a folder that all its machines share")
         made = tempfile.mkdtemp(prefix="sieveline-")
         atexit.register(shutil.rmtree, made, ignore_errors=True)
         found = f"file://{made}"
@@ -57,6 +61,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A ``materialize`` whose tables are deleted at the end of the block; nothing lazy may outlive them."""
+    held: list[tuple[SparkSession, str]] = []
+
+    def put(df: DataFrame, name: str) -> DataFrame:
+        path = shared_path(df.sparkSession, name)
+        held.append((df.sparkSession, path))
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    try:
+        yield put
+    finally:
+        for spark, path in held:
+            remove(spark, path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a path of the shared folder, on whatever file system it lies."""
     jvm = spark.sparkContext._jvm
