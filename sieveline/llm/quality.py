@@ -10,7 +10,8 @@ this. The fitted trees are flattened into numpy node arrays (feature, threshold,
 value); scoring walks all documents of a slice down all trees level by level.
 
 Defined results: a null text has no words and fails the base rules. Labels that are null, have a
-null id or belong to no document are not used; repeated labels count as often as they occur.
+null id or belong to no document are not used; repeated labels count as often as they occur, and
+documents that share an id give one row for each of its labels.
 With fewer than ``MIN_ROWS`` labels, or one class alone, the model keeps what passes the base
 rules.
 """
@@ -249,17 +250,25 @@ def fit(
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = MAX_ROWS) -> Forest:
-    """Fit the model to at most ``max_rows`` labelled documents."""
+    """Fit the model to at most ``max_rows`` labelled documents.
+
+    Of rows that share an id, the one with the smallest hash of its text stands for it, so no more
+    than ``max_rows`` rows come to the driver however often an id occurs.
+    """
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("_own"), F.col(label).cast("double").alias("y"))
     picked = known.orderBy(F.xxhash64("_own"), "_own", "y").limit(max_rows)
-    joined = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(picked), F.col("id") == F.col("_own"))
+    own = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    own = own.join(F.broadcast(picked.select(F.col("_own").alias("_pick"))), F.col("id") == F.col("_pick"), "left_semi")
+    own = own.withColumn("h", F.xxhash64("text"))
 
     def fn(column: pa.Array) -> dict[str, pa.Array]:
         x = features(statistics(column))
         flat = pa.array(x.ravel())
         return {"x": pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), flat)}
 
-    rows = map_text(joined, "text", fn, [T.StructField("x", T.ArrayType(T.DoubleType()))], ["id", "y"]).toPandas()
+    each = map_text(own, "text", fn, [T.StructField("x", T.ArrayType(T.DoubleType()))], ["id", "h"])
+    one = each.groupBy("id").agg(F.min(F.struct("h", "x")).alias("m"))
+    rows = one.join(F.broadcast(picked), F.col("id") == F.col("_own")).select("id", "y", "m.x").limit(max_rows).toPandas()
     rows["k"] = rows.x.map(tuple)
     rows = rows.sort_values(["id", "y", "k"])
     x = np.array(rows.x.tolist(), float).reshape(len(rows), len(FEATURES))

@@ -41,6 +41,80 @@ def test_counts_match_brute_force(spark):
     assert Q.keep_good(df, none).columns == df.columns
 
 
+def naive_scores(known, wanted, signs, trees=60, depth=3, rate=0.15, bins=64, penalty=1.0, least=5):
+    """Scores of the rows ``wanted`` by trees that are grown recursively, each split tried by itself on ``known`` (x, y)."""
+    x, y = known
+    cuts = [sorted(set(np.quantile(x[:, f], [k / bins for k in range(1, bins)]).tolist())) for f in range(x.shape[1])]
+    margin, out = np.full(len(y), np.log(y.mean() / (1 - y.mean()))), np.full(len(wanted), np.log(y.mean() / (1 - y.mean())))
+
+    def grow(rows, low, high, level):
+        bound = lambda v: min(max(v, low), high)
+        cost = lambda r, v: g[r].sum() * v + (h[r].sum() + penalty) * v * v / 2
+        best_of = lambda r: bound(-g[r].sum() / (h[r].sum() + penalty))
+        value = best_of(rows)
+        best = None
+        if level < depth and len(rows) >= 2 * least:
+            for f, sign in enumerate(signs):
+                for c in cuts[f]:
+                    left, right = rows[x[rows, f] <= c], rows[x[rows, f] > c]
+                    if min(len(left), len(right)) < least:
+                        continue
+                    a, b = best_of(left), best_of(right)
+                    if (b - a) * sign < 0:
+                        continue
+                    loss = cost(left, a) + cost(right, b)
+                    if best is None or loss < best[0] - 1e-12:
+                        best = (loss, f, c, sign, (a + b) / 2, left, right)
+        if best is None or best[0] > cost(rows, value) - 1e-6:
+            return rate * value
+        _, f, c, sign, middle, left, right = best
+        ends = {0: ((low, high), (low, high)), 1: ((low, middle), (middle, high)), -1: ((middle, high), (low, middle))}[sign]
+        return f, c, grow(left, *ends[0], level + 1), grow(right, *ends[1], level + 1)
+
+    def value_of(tree, row):
+        while isinstance(tree, tuple):
+            tree = tree[2] if row[tree[0]] <= tree[1] else tree[3]
+        return tree
+
+    for _ in range(trees):
+        p = 1 / (1 + np.exp(-margin))
+        g, h = p - y, p * (1 - p)
+        tree = grow(np.arange(len(y)), -np.inf, np.inf, 0)
+        margin += [value_of(tree, row) for row in x]
+        out += [value_of(tree, row) for row in wanted]
+    return 1 / (1 + np.exp(-out))
+
+
+def naive_kept(docs, labels):
+    """{row: kept} of (id, text) rows by the base rules and the naive trees; ids of labelled rows must be unique."""
+    x = [Q.features(Q.statistics(pa.array([t], pa.string())))[0] for _, t in docs]
+    at = {d: i for i, (d, _) in enumerate(docs) if d is not None}
+    used = sorted((d, q) for d, q in labels if d in at and q is not None)
+    known = np.array([x[at[d]] for d, _ in used]), np.array([float(q > 0) for _, q in used])
+    scores = naive_scores(known, np.array(x), list(Q.FEATURES.values()))
+    return [not brute(t)[-1] and bool(s >= Q.THRESHOLD) for (_, t), s in zip(docs, scores, strict=True)]
+
+
+def test_verdicts_match_naive_trees(spark):
+    rows = planted(random.Random(11), 160)
+    labels = [(r[0], r[2] if k % 7 else 1 - r[2]) for k, r in enumerate(rows[:90])] + [(None, 0), (3, None), (7777, 1)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.kept for r in Q.judge(docs, Q.train(docs, spark.createDataFrame(labels, "doc_id long, quality int"))).collect()}
+    want = naive_kept([r[:2] for r in rows], labels)
+    assert [got[r[0]] for r in rows] == want and 0 < sum(want) < len(want)
+
+
+def test_repeated_ids_bring_no_more_rows_than_the_bound(spark, monkeypatch):
+    seen = []
+    whole = Q.fit
+    monkeypatch.setattr(Q, "fit", lambda x, y, *a: seen.append(len(x)) or whole(x, y, *a))
+    docs = spark.range(5000).selectExpr("1L as doc_id", "concat('some text ', id) as text").unionByName(spark.range(2, 50).selectExpr("id as doc_id", "'other text' as text"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(1, 1)] * 30, "doc_id long, quality int")
+    Q.train(docs, labels, max_rows=20)
+    Q.train(docs, labels)
+    assert seen[0] <= 20 and seen[1] == 69
+
+
 def planted(rng, n):
     rows = []
     for i in range(n):
