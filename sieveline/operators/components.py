@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.session import remove, shared_path
+from sieveline.session import compacted, remove, shared_path
 
 #: Edges that one local union-find holds.
 LOCAL_EDGES = 200_000
@@ -57,7 +57,8 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v", max_round
     Each round first contracts the edges a task holds, then makes large and small stars: two
     aggregations with map-side combine and two joins that adaptive execution can split at a hub, so
     no neighbourhood is ever gathered in one task. Rounds end when all edges are stars; each is
-    written to the shared folder, and the driver sees only counts. Null ends and self loops are
+    written to the shared folder, and the driver sees only counts. What contraction leaves is
+    finished in one task once it is no more than LOCAL_EDGES edges. Null ends and self loops are
     dropped; no edges give no rows. The number of rounds grows with the logarithm of the longest
     chain.
     """
@@ -66,17 +67,25 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v", max_round
     def settle(df: DataFrame, local: bool = True) -> tuple[DataFrame, str]:
         path = shared_path(spark, "components")
         proper = df.where("u is not null and v is not null and u <> v")
-        (proper.mapInArrow(_contract, df.schema) if local else proper).distinct().write.parquet(path)
+        compacted((proper.mapInArrow(_contract, df.schema) if local else proper).distinct()).write.parquet(path)
         return spark.read.schema(df.schema).parquet(path), path
 
     def settled(df: DataFrame) -> bool:
         """Whether each node points to one other that points to none."""
+        if done:
+            return True
         ends = df.select(F.col("u").alias("n"), F.lit(1).alias("out"), F.lit(0).alias("in")).unionByName(df.select(F.col("v").alias("n"), F.lit(0).alias("out"), F.lit(1).alias("in")))
         each = ends.groupBy("n").agg(F.sum("out").alias("out"), F.max("in").alias("in"))
         return each.where("out > 1 or out = 1 and in = 1").limit(1).count() == 0
 
+    done = False
     now, path = settle(edges.select(F.col(u).alias("u"), F.col(v).alias("v")))
     for _ in range(max_rounds):
+        if now.limit(LOCAL_EDGES + 1).count() <= LOCAL_EDGES:
+            last = shared_path(spark, "components")
+            now.coalesce(1).mapInArrow(_contract, now.schema).write.parquet(last)
+            remove(spark, path)
+            now, path, done = spark.read.schema(now.schema).parquet(last), last, True
         if settled(now):
             break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -6,8 +6,6 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,32 +48,41 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+#: Tables written for the running jobs, by application: what ``clear_tables`` deletes.
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def materialize(df: DataFrame, name: str, compact: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     This cuts the lineage and survives lost executors; unlike ``checkpoint()`` it
-    computes the plan once and stores columns, not rows.
+    computes the plan once and stores columns, not rows. With ``compact`` a shuffled result is
+    written by no more tasks than keep the cluster busy, for results that are small for their
+    shuffle; it then has that many files instead of one for each shuffle partition.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    (compacted(df) if compact else df).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def compacted(df: DataFrame) -> DataFrame:
+    spark = df.sparkSession
+    return df.coalesce(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
+
+
+def clear_tables(spark: SparkSession, keep: DataFrame | None = None) -> None:
+    """Delete the tables that ``materialize`` wrote so far, but those that ``keep`` reads.
+
+    For use once the results that depend on them have been written elsewhere.
     """
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-@contextmanager
-def scratch() -> Iterator[Callable[[DataFrame, str], DataFrame]]:
-    """A ``materialize`` whose tables are deleted at the end of the block; nothing lazy may outlive them."""
-    held: list[tuple[SparkSession, str]] = []
-
-    def put(df: DataFrame, name: str) -> DataFrame:
-        path = shared_path(df.sparkSession, name)
-        held.append((df.sparkSession, path))
-        df.write.parquet(path)
-        return df.sparkSession.read.schema(df.schema).parquet(path)
-
-    try:
-        yield put
-    finally:
-        for spark, path in held:
+    held = set() if keep is None else {f.split("/part-")[0].removeprefix("file://").removeprefix("file:") for f in keep.inputFiles()}
+    written = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in written:
+        if path.removeprefix("file://").removeprefix("file:") in held:
+            _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+        else:
             remove(spark, path)
 
 
