@@ -1,4 +1,8 @@
-"""Arrow-batch plumbing shared by the operators of this subpackage."""
+"""Arrow-batch plumbing shared by the operators of this subpackage.
+
+Spark bounds what it puts into a batch by rows and by bytes (64 MB unless the session says otherwise);
+workers cut it into slices, so what they make of a text is bounded by SLICE_BYTES or the longest text.
+"""
 
 from __future__ import annotations
 
@@ -12,17 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that are worked on at a time; one longer text makes a slice of its own.
-SLICE_BYTES = 4 << 20
-#: Rows in an Arrow batch, so that a batch of very long texts stays within a worker's memory.
-BATCH_ROWS = 1000
-
-
-def bound_batches(df: DataFrame) -> DataFrame:
-    """Lower the session's rows per Arrow batch to BATCH_ROWS if they are higher."""
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
-        conf.set(key, str(BATCH_ROWS))
-    return df
+SLICE_BYTES = 1 << 20
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -65,7 +59,7 @@ def map_text(
     if keep_text:
         carry = [*carry, text]
     kinds = df.schema
-    narrow = bound_batches(df).select(
+    narrow = df.select(
         F.col(f"`{text}`").cast("string").alias("_t"), *(F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(carry) if c != text)
     )
     others = [(i, c) for i, c in enumerate(carry) if c != text]
@@ -82,6 +76,7 @@ def map_text(
                 out = fn(part.column(0))
                 columns = [part.column(k + 1) for k in range(len(others))] + ([part.column(0)] if keep_text else [])
                 yield pa.RecordBatch.from_arrays(columns + [out[f.name] for f in fields], names=names)
+            pa.default_memory_pool().release_unused()
 
     out = narrow.mapInArrow(run, inner)
     back = [F.col(f"_{i}").alias(c) for i, c in others] + ([F.col("_t").alias(text)] if keep_text else [])

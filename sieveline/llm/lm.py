@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from sieveline.llm import words as W
-from sieveline.llm.batches import bound_batches, utf8
+from sieveline.llm.batches import utf8
 from sieveline.session import materialize
 
 ORDER = 3
@@ -166,7 +166,7 @@ def score(
         size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
         buckets, groups = buckets or max(12, -(-size // RANGE_BYTES)), groups or max(12, -(-size // GROUP_BYTES))
     kind = docs.schema[doc_id].dataType
-    rows = bound_batches(docs).select(F.col(f"`{doc_id}`").alias("doc"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("doc", "text"), F.lit(groups)))
     entries = rows.groupBy("part").applyInArrow(_list(buckets, order), _ENTRIES)
     answers = entries.groupBy("bucket").applyInArrow(_count, "part long, bucket long, totals binary")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sieveline.llm.batches import bound_batches, slices
+from sieveline.llm.batches import slices
 from sieveline.session import materialize
 
 KINDS = ("assign", "access", "hex", "live", "example")
@@ -124,7 +124,7 @@ def find(docs: DataFrame, doc_id: str, text: str, repository: str, owner: str) -
                     spans.append(own)
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in (1, 2, 3)), pa.array(spans, pa.list_(_ARROW_SPAN))], names=inner.names)
 
-    narrow = bound_batches(docs).select(F.col(f"`{text}`").cast("string").alias("_t"), *(F.col(f"`{c}`").alias(n) for n, c in names.items()))
+    narrow = docs.select(F.col(f"`{text}`").cast("string").alias("_t"), *(F.col(f"`{c}`").alias(n) for n, c in names.items()))
     return narrow.mapInArrow(run, inner)
 
 

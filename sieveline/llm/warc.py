@@ -36,7 +36,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sieveline.llm.batches import bound_batches
 from sieveline.session import shared_path
 
 MIN_REVISIT = 1000
@@ -187,7 +186,7 @@ def write(
         if bundle.index:
             yield made()
 
-    files = bound_batches(plan(pages, page_id, url, payload, min_revisit)).mapInArrow(run, "bundle binary")
+    files = plan(pages, page_id, url, payload, min_revisit).mapInArrow(run, "bundle binary")
     magic = struct.pack("<I", _SEEK_MAGIC).decode("latin-1")
     # a cast keeps the bytes as they are, and the sink writes a string's bytes
     raw = files.select(F.col("bundle").cast("string").alias("value"))
@@ -213,7 +212,7 @@ def record_index(spark: SparkSession, path: str) -> DataFrame:
                 starts = pa.array(reader.starts[index["frame"].astype(np.int64)])
                 yield pa.RecordBatch.from_arrays([ids, pa.array([file.as_py()] * len(index)), numbers[0], starts, *numbers[1:]], names=["page_id", "path", "frame", "frame_start", "offset", "length"])
 
-    return bound_batches(bundles(spark, path)).mapInArrow(run, inner)
+    return bundles(spark, path).mapInArrow(run, inner)
 
 
 def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
@@ -255,7 +254,7 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
                 if held:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names=inner.names)
 
-    return bound_batches(bundles(spark, path)).mapInArrow(run, inner)
+    return bundles(spark, path).mapInArrow(run, inner)
 
 
 def archive(pages: DataFrame, payloads: bool = True, **options) -> tuple[str, DataFrame]:
