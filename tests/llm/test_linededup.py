@@ -37,3 +37,15 @@ def test_matches_brute_force(spark):
 
 def test_empty_table(spark):
     assert dedup_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_rows_without_an_id_get_their_own_lines_only(spark):
+    from sieveline.llm.linededup import MIN_CHARS, MIN_DOCS, dropped_keys
+
+    wide = [f"line {i} that stands in many of the documents of the table" for i in range(40)]
+    docs = [(i, "\n".join(wide)) for i in range(6)] + [(None, wide[i % 40] + f"\nown {i // 40}") for i in range(10_000)] + [(3, wide[7])] * 5
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    lost = dropped_keys(df, "doc_id", "text", MIN_CHARS, MIN_DOCS)
+    assert lost.where("doc is null").selectExpr("max(size(keys)) as m", "count(*) as n").first()[:] == (1, 10_000)
+    got = dedup_lines(df)
+    assert sorted((str(r.doc_id), r.text, r["_n_lines"], r["_n_dropped"]) for r in got.collect()) == brute(docs)
