@@ -5,10 +5,12 @@ is ``size`` consecutive words of a benchmark item; an item of fewer words (but n
 one window. A document word within any occurrence of a window is hit. Window hashes only
 select candidates: each is compared word by word before it counts.
 
-The set of windows is broadcast in blocks of at most ``block_bytes`` of window text, so the
+The set of distinct windows is broadcast in blocks of at most ``block_bytes`` of window text, so the
 broadcast is bounded whatever the benchmark's size; documents pass once over each block, and
-between blocks the hits found so far are written to the shared folder. Documents are never
-shuffled.
+between blocks the hits found so far are written to the shared folder. Which items a window stands
+in is not broadcast: it stays a table, joined to the distinct sets of windows that documents hold,
+so a window that many items share is one window to the scan. Documents are not shuffled but for
+those joins, which carry the hit documents' named columns.
 
 Defined results: null texts and null items have no words; items are told apart by id, and rows
 that share an id are one item; items with a null id count as hits but are not reported. Ties
@@ -17,16 +19,15 @@ and repeated documents are judged row by row, and an empty benchmark hits nothin
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 from sieveline.llm import words as W
 from sieveline.llm.batches import long, map_text, nested, slices, utf8
@@ -37,6 +38,8 @@ SIZE = 13
 RATIO = 20
 #: Bytes of window text in one broadcast block.
 BLOCK_BYTES = 64 << 20
+#: Windows of an item that are made at a time.
+_CHUNK = 20_000
 
 _PAIR = T.ArrayType(T.LongType())
 
@@ -47,68 +50,84 @@ def _lowered(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return buf, offsets, *W.words(buf, offsets, W.ALNUM)
 
 
+def _single_spaced(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The words with one blank after each, and where each begins (and the end)."""
+    lengths = e - s
+    begin = np.concatenate([[0], np.cumsum(lengths + 1)])
+    if not len(s):
+        return b"", begin
+    take = np.repeat(s - begin[:-1], lengths + 1) + np.arange(begin[-1])
+    joined = buf[np.minimum(take, len(buf) - 1)]
+    joined[begin[1:] - 1] = 0x20
+    return joined.tobytes(), begin
+
+
 def item_windows(benchmark: DataFrame, item_id: str, text: str, size: int) -> DataFrame:
-    """Rows (item, words): every window of every item, its words joined by blanks."""
-    inner = T.StructType([T.StructField("item", benchmark.schema[item_id].dataType), T.StructField("words", T.StringType())])
+    """Rows (item, wid, words): every window of every item, its words joined by blanks and their 128-bit hash."""
+    inner = T.StructType([T.StructField("item", benchmark.schema[item_id].dataType), T.StructField("wid", T.BinaryType()), T.StructField("words", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for part in slices(whole, 0):
                 buf, _, s, e, first = _lowered(part.column(0))
-                items, out = [], []
-                for row, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True)):
-                    own = [buf[i:j].tobytes().decode() for i, j in zip(s[a:b], e[a:b], strict=True)]
-                    for k in range(max(len(own) - size, 0) + 1 if own else 0):
-                        items.append(row)
-                        out.append(" ".join(own[k : k + size]))
-                ids = part.column(1).take(pa.array(items, pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(out, pa.string())], names=["item", "words"])
-
-    return benchmark.select(F.col(text).cast("string").alias("_t"), F.col(item_id).alias("item")).mapInArrow(run, inner)
+                raw, begin = _single_spaced(buf, s, e)
+                n = np.diff(first)
+                many = np.where(n > 0, np.maximum(n - size, 0) + 1, 0)
+                row = np.repeat(np.arange(len(n)), many)
+                start = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first[:-1], many)
+                stop = begin[start + np.minimum(n[row], size)] - 1
+                start = begin[start]
+                for at in range(0, len(row), _CHUNK):
+                    words = [raw[a:b] for a, b in zip(start[at : at + _CHUNK].tolist(), stop[at : at + _CHUNK].tolist(), strict=True)]
+                    ids = part.column(1).take(pa.array(row[at : at + _CHUNK]))
+                    wids = pa.array([xxhash.xxh3_128_digest(w) for w in words], pa.binary())
+                    yield pa.RecordBatch.from_arrays([ids, wids, pa.array(words, pa.binary()).cast(pa.string())], names=inner.names)
+
+    return benchmark.select(F.col(f"`{text}`").cast("string").alias("_t"), F.col(f"`{item_id}`").alias("item")).mapInArrow(run, inner)
 
 
 class Index:
-    """The windows of one block: for each length, sorted hashes with the words and items behind them."""
-
-    def __init__(self, rows: list[tuple[object, str]]):
-        known: dict[str, set] = defaultdict(set)
-        for item, text in rows:
-            known[text].add(item)
-        sized = defaultdict(list)
-        for text in known:
-            sized[text.count(" ") + 1].append(text)
+    """The distinct windows of one block in flat arrays: their words, hashes sorted for each length, and a gate of hash prefixes."""
+
+    def __init__(self, windows: pa.Table):
+        words = windows.column("words").combine_chunks()
+        buf, self.offsets = utf8(words if isinstance(words, pa.Array) else pa.concat_arrays(words.chunks))
+        self.raw = buf.tobytes()
+        self.wids = b"".join(windows.column("wid").to_pylist())
         self.sizes = {}
-        for size, texts in sized.items():
-            raw = [t.encode() for t in texts]
-            buf = np.frombuffer(b"".join(raw), np.uint8)
-            offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
-            s, e, first = W.words(buf, offsets, W.ALNUM)
-            h, _ = W.windows(W.hashes(buf, s, e), first, size)
-            order = np.argsort(h, kind="stable")
+        if not windows.num_rows:
+            return
+        s, e, first = W.words(buf, self.offsets, W.ALNUM)
+        h, lengths = W.hashes(buf, s, e), np.diff(first)
+        for size in np.unique(lengths).tolist():
+            own, at = W.windows(h, first, size)
+            rows = np.flatnonzero(lengths == size)
+            own = own[np.searchsorted(at, first[:-1][rows])]
+            order = np.argsort(own, kind="stable")
             gate = np.zeros(1 << 20, bool)
-            gate[h >> np.uint64(44)] = True
-            self.sizes[size] = (h[order], [raw[i] for i in order], [known[texts[i]] for i in order], gate)
+            gate[own >> np.uint64(44)] = True
+            self.sizes[size] = (own[order], rows[order], gate)
 
-    def find(self, buf, s, e, first) -> tuple[np.ndarray, list[set]]:
-        """Which words are hit, and the items found in each text."""
-        hit, items = np.zeros(len(s), bool), [set() for _ in first[1:]]
+    def find(self, buf, s, e, first) -> tuple[np.ndarray, list[list[bytes]]]:
+        """Which words are hit, and the windows (wid) found in each text."""
+        hit, found = np.zeros(len(s), bool), [set() for _ in first[1:]]
         if not self.sizes or not len(s):
-            return hit, items
+            return hit, [[] for _ in found]
         h = W.hashes(buf, s, e)
-        for size, (keys, texts, owners, gate) in self.sizes.items():
+        for size, (keys, rows, gate) in self.sizes.items():
             mine, at = W.windows(h, first, size)
             near = np.flatnonzero(gate[mine >> np.uint64(44)])
             low, high = (np.searchsorted(keys, mine[near], side) for side in ("left", "right"))
-            found = []
-            for i, a, b in zip(at[near[high > low]], low[high > low], high[high > low], strict=True):
+            places = []
+            for i, a, b in zip(at[near[high > low]].tolist(), low[high > low].tolist(), high[high > low].tolist(), strict=True):
                 own = b" ".join(buf[s[k] : e[k]].tobytes() for k in range(i, i + size))
-                for j in range(a, b):
-                    if texts[j] == own:
-                        found.append(i)
-                        items[int(np.searchsorted(first, i, "right")) - 1] |= owners[j]
-            if found:
-                hit |= W.cover(np.array(found), size, len(s))
-        return hit, items
+                for j in rows[a:b].tolist():
+                    if self.raw[self.offsets[j] : self.offsets[j + 1]] == own:
+                        places.append(i)
+                        found[int(np.searchsorted(first, i, "right")) - 1].add(j)
+            if places:
+                hit |= W.cover(np.array(places), size, len(s))
+        return hit, [sorted(self.wids[16 * j : 16 * j + 16] for j in x) for x in found]
 
 
 def _runs(hit: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
@@ -120,14 +139,27 @@ def _runs(hit: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _blocks(windows: DataFrame, block_bytes: int) -> Iterator[list[tuple[object, str]]]:
-    """Blocks of windows for the driver, each bounded by ``block_bytes`` on the average of a hash."""
-    windows = materialize(windows, "benchmark-windows")
+def _blocks(windows: DataFrame, block_bytes: int) -> Iterator[pa.Table]:
+    """Blocks of distinct windows (wid, words) for the driver, each bounded by ``block_bytes`` on the average of a hash."""
     total = windows.agg(F.sum(F.octet_length("words") + 64)).first()[0] or 0
     n = max(1, -(-total // block_bytes))
     for k in range(n):
-        own = windows.where(F.pmod(F.xxhash64("words"), F.lit(n)) == k) if n > 1 else windows
-        yield [(r.item, r.words) for r in own.toLocalIterator()]
+        own = windows.where(F.pmod(F.xxhash64("wid"), F.lit(n)) == k) if n > 1 else windows
+        yield own.toArrow()
+
+
+def _with_items(out: DataFrame, held: DataFrame, kind: T.DataType) -> DataFrame:
+    """``out`` with the column items in place of found: the ids of all items in which one of the found windows stands."""
+    place = [c for c in out.columns if c != "found"]
+    out = materialize(out, "decontaminated")
+    hit = out.where(F.size("found") > 0).withColumn("set", F.md5(F.array_join(F.transform(F.array_sort("found"), F.hex), "")))
+    each = hit.select("set", "found").dropDuplicates(["set"]).select("set", F.explode("found").alias("wid"))
+    each = each.join(held.withColumnRenamed("wid", "_wid"), F.col("wid") == F.col("_wid"))
+    items = each.groupBy("set").agg(F.array_sort(F.collect_set("item")).alias("items")).withColumnRenamed("set", "_set")
+    items = materialize(items, "contaminating-items", compact=True)
+    with_hits = hit.join(items, F.col("set") == F.col("_set"), "left").withColumn("items", F.coalesce("items", F.array().cast(T.ArrayType(kind))))
+    without = out.where(F.size("found") == 0).withColumn("items", F.array().cast(T.ArrayType(kind)))
+    return with_hits.select(*place, "items").unionByName(without.select(*place, "items"))
 
 
 def scan(
@@ -142,48 +174,53 @@ def scan(
     block_bytes: int = BLOCK_BYTES,
     carry: list[str] | None = None,
     keep_text: bool = False,
+    items: bool = True,
 ) -> DataFrame:
     """One row per document: the carried columns (the id if none are named), n_words, n_hit, items, spans, contaminated.
 
-    ``items`` are the ids of all items with occurring windows, ``spans`` the word positions
-    (start, end, start, end ...) of runs of hit words. A computed column replaces a carried one
-    of the same name.
+    ``items`` are the ids of all items with occurring windows (left out if not asked for), ``spans``
+    the word positions (start, end, start, end ...) of runs of hit words. A computed column replaces
+    a carried one of the same name.
     """
-    kind = benchmark.schema[item_id].dataType
-    fields = [long("n_words"), long("n_hit"), T.StructField("items", T.ArrayType(kind)), T.StructField("spans", _PAIR)]
+    wids = T.ArrayType(T.BinaryType())
+    fields = [long("n_words"), long("n_hit"), T.StructField("spans", _PAIR)] + [T.StructField("found", wids)] * items
     spark, carry = docs.sparkSession, carry or [doc_id]
-    blocks = _blocks(item_windows(benchmark, item_id, item_text, size), block_bytes)
+    place = {c: f"_c{i}" for i, c in enumerate(dict.fromkeys([*carry, text]))}
+    docs = docs.select(*(F.col(f"`{c}`").alias(p) for c, p in place.items()))
+    carried = [place[c] for c in place if c in carry]
+    every = materialize(item_windows(benchmark, item_id, item_text, size), "benchmark-windows")
+    blocks = _blocks(every.groupBy("wid").agg(F.first("words").alias("words")), block_bytes)
     index = Index(next(blocks))
     more = next(blocks, None)
-    arrow = to_arrow_type(kind)
 
     def judge(shared):
         def fn(column: pa.Array) -> dict[str, pa.Array]:
             buf, _, s, e, first = _lowered(column)
-            hit, items = shared.value.find(buf, s, e, first)
-            spans = _runs(hit, first)
-            return {
-                "n_words": pa.array(np.diff(first)),
-                "n_hit": pa.array(W.per_text(hit, first)),
-                "items": pa.array([sorted(x for x in i if x is not None) for i in items], pa.list_(arrow)),
-                "spans": nested(spans, pa.int64()),
-            }
+            hit, found = shared.value.find(buf, s, e, first)
+            out = {"n_words": pa.array(np.diff(first)), "n_hit": pa.array(W.per_text(hit, first)), "spans": nested(_runs(hit, first), pa.int64())}
+            return out | ({"found": pa.array(found, pa.list_(pa.binary()))} if items else {})
 
         return fn
 
-    out = map_text(docs, text, judge(spark.sparkContext.broadcast(index)), fields, carry, keep_text=keep_text or more is not None)
+    out = map_text(docs, place[text], judge(spark.sparkContext.broadcast(index)), fields, carried, keep_text=keep_text or more is not None)
     while more is not None:
         index = Index(more)
-        done = materialize(out.withColumnsRenamed({"items": "_items", "spans": "_spans"}), "decontaminated")
-        again = map_text(done, text, judge(spark.sparkContext.broadcast(index)), fields, done.columns, keep_text=True)
+        done = materialize(out.withColumnsRenamed({"found": "_found", "spans": "_spans"}), "decontaminated")
+        again = map_text(done, place[text], judge(spark.sparkContext.broadcast(index)), fields, done.columns, keep_text=True)
         merged = F.pandas_udf(_unions, _PAIR)("_spans", "spans")
-        out = again.withColumn("items", F.array_union("_items", "items")).withColumn("spans", merged).drop("_items", "_spans")
+        out = again.withColumn("spans", merged)
+        out = out.withColumn("found", F.array_union("_found", "found")) if items else out
+        out = out.drop("_found", "_spans")
         out = out.withColumn("n_hit", F.expr("aggregate(transform(spans, (x, i) -> if(i % 2 = 1, x, -x)), 0L, (a, x) -> a + x)"))
         more = next(blocks, None)
-    carried = [c for c in carry if c not in {"n_words", "n_hit", "items", "spans", "contaminated"}]
-    carried = [c for c in carried if c != text] + [text] * keep_text
+    columns = [c for c in place if c in carry and c != text] + [text] * keep_text
+    columns = [c for c in columns if c not in {"n_words", "n_hit", "items", "spans", "contaminated"}]
+    out = out.select(*(place[c] for c in columns), *(f.name for f in fields))
+    if items:
+        held = every.where("item is not null").select("wid", "item").distinct()
+        out = _with_items(out, held, benchmark.schema[item_id].dataType)
     return out.select(
-        *carried, "n_words", "n_hit", F.array_sort("items").alias("items"), "spans",
+        *(F.col(place[c]).alias(c) for c in columns), "n_words", "n_hit", *["items"] * items, "spans",
         ((F.col("n_hit") > 0) & (ratio * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
     )
 
@@ -219,7 +256,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", **op
     tagged = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)))
     place = {c: f"c{i}" for i, c in enumerate(columns)}
     inner = options | {"text": place[text], "doc_id": place[options.get("doc_id", "doc_id")]}
-    found = scan(tagged, benchmark, **inner, carry=tagged.columns, keep_text=True)
+    found = scan(tagged, benchmark, **inner, carry=tagged.columns, keep_text=True, items=False)
     if remove == "documents":
         found = found.where(~F.col("contaminated"))
     else:

@@ -70,3 +70,13 @@ def test_empty_tables(spark):
     assert decontam.scan(docs, items).collect() == []
     one = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     assert rows(decontam.scan(one, items)) == [(1, 2, 0, (), False)]
+
+
+def test_a_window_in_many_items_and_a_long_item(spark):
+    line = " ".join(f"w{i}" for i in range(13))
+    long = " ".join(f"x{i}" for i in range(300_000))
+    items = spark.range(10_000).selectExpr("id as item_id", f"'{line}' as text").union(spark.createDataFrame([(20_000, long), (None, "only here")], "item_id long, text string"))
+    docs = spark.createDataFrame([(1, line), (2, "a b " + line.upper() + " c"), (None, line), (3, "x5 " + " ".join(f"x{i}" for i in range(400, 420))), (4, "only here"), (5, "clean")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_hit, len(r["items"]), r.contaminated) for r in decontam.scan(docs, items).collect()}
+    assert got == {1: (13, 10_000, True), 2: (13, 10_000, True), None: (13, 10_000, True), 3: (20, 1, True), 4: (2, 0, True), 5: (0, 0, False)}
+    assert decontam.scan(docs, items, items=False).columns == ["doc_id", "n_words", "n_hit", "spans", "contaminated"]
