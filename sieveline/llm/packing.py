@@ -6,12 +6,12 @@ first. Each piece is a sequence of its own, so no sequence crosses documents, no
 sequences of equal length form a bucket that a trainer can batch as it is (``bucket``: the
 logarithm of the length). Documents never move: tokenising and cutting is one narrow pass.
 
-Chunks between ASCII white space are tokenised once for each worker and remembered, at most
-``MEMORY_CHUNKS`` at a time. That gives the tokenizer's own ids where its normalisation and
-pre-tokenisation treat white space as a boundary that leaves no token, as word-level tokenizers do;
-others are given whole texts (``by_chunk=False``). Chunks are lower-cased first if the tokenizer does
-so, but only ASCII ones that hold no added token's text in lower case: composed letters and added
-tokens come before lower case.
+Chunks between ASCII white space are tokenised once for each worker and remembered, up to
+``MEMORY_BYTES`` and none longer than ``LONG``. That gives the tokenizer's own ids where its
+normalisation and pre-tokenisation treat white space as a boundary that leaves no token; whether they
+do is read from the tokenizer's file (`splits_at_blanks`), and other tokenizers are given whole texts.
+Chunks are lower-cased first if the tokenizer does so, but only ASCII ones that hold no added token's
+text in lower case: composed letters and added tokens come before lower case.
 
 Defined results: a null or empty text is the end id alone. Rows that share an id are packed each
 by itself. Sequence ids are unique within one result, and follow from the input's partitions and
@@ -20,25 +20,30 @@ their order of rows.
 
 from __future__ import annotations
 
-import itertools
+import json
 import os
 import string
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sieveline.llm.batches import bound_batches, slices
+from sieveline.llm.batches import slices
 
 MAX_TOKENS = 2048
 END = 1
-#: Chunks that a worker remembers (some 150 bytes each).
-MEMORY_CHUNKS = 700_000
-#: New chunks that are given to the tokenizer as one text.
+#: Bytes of chunks, their ids and some 200 for the entry of each that a worker remembers.
+MEMORY_BYTES = 64 << 20
+_ENTRY = 200
+#: Bytes of the longest chunk that is remembered.
+LONG = 64
+#: New chunks that are given to the tokenizer as one text, and how many such texts at a time.
 _GROUP = 256
+_TEXTS = 16
 _MARK = "|"
 #: Stops that end a word: pre-tokenisers that tell letters from signs cut between an ASCII letter or digit and these.
 _STOPS = b".,;:!?"
@@ -48,8 +53,40 @@ _ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 _LOADED: dict[str, Callable[[list[str | None]], list[bytes]]] = {}
 
 
-def encoder(path: str, by_chunk: bool = True) -> Callable[[list[str | None]], list[bytes]]:
-    """A function from texts to their ids, as little-endian unsigned 32-bit integers."""
+def _flat(part: dict | None, inner: str) -> list[dict]:
+    return [] if part is None else [y for x in part[inner] for y in _flat(x, inner)] if part["type"] == "Sequence" else [part]
+
+
+def splits_at_blanks(path: str) -> bool:
+    """Whether a tokenizer's file says that ASCII white space always ends a token and leaves none.
+
+    The normaliser may only compose, decompose, lower-case or squeeze white space; the first
+    pre-tokeniser must cut at white space, or keep only what a pattern finds that finds no white space.
+    """
+    with open(path, encoding="utf-8") as f:
+        made = json.load(f)
+    for part in _flat(made.get("normalizer"), "normalizers"):
+        squeezes = part["type"] == "Replace" and part["pattern"] == {"Regex": r"\s+"} and part["content"] == " "
+        if part["type"] not in ("NFC", "NFD", "NFKC", "NFKD", "Lowercase") and not squeezes:
+            return False
+    cuts = _flat(made.get("pre_tokenizer"), "pretokenizers")
+    if not cuts:
+        return False
+    if cuts[0]["type"] in ("Whitespace", "WhitespaceSplit", "BertPreTokenizer"):
+        return True
+    if cuts[0]["type"] != "Split" or cuts[0]["behavior"] != "Removed" or not cuts[0]["invert"] or "Regex" not in cuts[0]["pattern"]:
+        return False
+    blanks = " \t\n\x0b\x0c\r"
+    sides = ["", "a", "Z", "é", "7", "'", "'s", "-", "!", "_", "日"]
+    probes = [a + b + c + d for a in sides for b in blanks for c in ("", *blanks) for d in sides]
+    return not any(set(m[0]) & set(blanks) for p in probes for m in regex.finditer(cuts[0]["pattern"]["Regex"], p))
+
+
+def encoder(path: str, by_chunk: bool | None = None) -> Callable[[list[str | None]], list[bytes]]:
+    """A function from texts to their ids, as little-endian unsigned 32-bit integers.
+
+    ``by_chunk`` follows from the tokenizer's file unless given.
+    """
     key = f"{path}?{by_chunk}"
     if key not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -59,7 +96,8 @@ def encoder(path: str, by_chunk: bool = True) -> Callable[[list[str | None]], li
         model.no_truncation()
         model.no_padding()
         model.encode_special_tokens = False
-        _LOADED[key] = _chunked(model) if by_chunk else lambda texts: [_packed(e.ids) for e in model.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+        chunked = splits_at_blanks(path) if by_chunk is None else by_chunk
+        _LOADED[key] = _chunked(model) if chunked else lambda texts: [_packed(model.encode(t or "", add_special_tokens=False).ids) for t in texts]
     return _LOADED[key]
 
 
@@ -69,6 +107,7 @@ def _packed(ids) -> bytes:
 
 def _chunked(model) -> Callable[[list[str | None]], list[bytes]]:
     known: dict[bytes, bytes] = {}
+    room = MEMORY_BYTES
     mark = model.encode(_MARK, add_special_tokens=False).ids
     #: Texts of added tokens are found before white space matters, so texts that hold one are encoded whole.
     added = [t.content.encode() for t in model.get_added_tokens_decoder().values()]
@@ -77,19 +116,24 @@ def _chunked(model) -> Callable[[list[str | None]], list[bytes]]:
 
     def ids_of(chunks: list[bytes]) -> dict[bytes, bytes]:
         into: dict[bytes, bytes] = {}
-        alone = [c for c in chunks if not plain or _MARK.encode() in c]
-        for c, e in zip(alone, model.encode_batch_fast([c.decode() for c in alone], add_special_tokens=False), strict=True):
-            into[c] = _packed(e.ids)
-        joined = [c for c in chunks if plain and _MARK.encode() not in c]
+        joined = []
+        for c in chunks:
+            if plain and len(c) <= LONG and _MARK.encode() not in c:
+                joined.append(c)
+            else:
+                into[c] = _packed(model.encode(c.decode(), add_special_tokens=False).ids)
         groups = [joined[i : i + _GROUP] for i in range(0, len(joined), _GROUP)]
-        texts = [f" {_MARK} ".join(c.decode() for c in g) for g in groups]
-        for g, e in zip(groups, model.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            ids = np.asarray(e.ids, "<u4")
-            cuts = np.concatenate([[-1], np.flatnonzero(ids == mark[0]), [len(ids)]])
-            assert len(cuts) == len(g) + 1
-            raw = ids.tobytes()
-            for c, a, b in zip(g, (4 * (cuts[:-1] + 1)).tolist(), (4 * cuts[1:]).tolist(), strict=True):
-                into[c] = raw[a:b]
+        for at in range(0, len(groups), _TEXTS):
+            some = groups[at : at + _TEXTS]
+            texts = [f" {_MARK} ".join(c.decode() for c in g) for g in some]
+            for g, e in zip(some, model.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                ids = np.asarray(e.ids, "<u4")
+                cuts = np.concatenate([[-1], np.flatnonzero(ids == mark[0]), [len(ids)]])
+                if len(cuts) != len(g) + 1:
+                    raise ValueError("the tokenizer does not keep chunks between white space apart; use by_chunk=False")
+                raw = ids.tobytes()
+                for c, a, b in zip(g, (4 * (cuts[:-1] + 1)).tolist(), (4 * cuts[1:]).tolist(), strict=True):
+                    into[c] = raw[a:b]
         return into
 
     def learn(fresh: dict[bytes, bytes]) -> None:
@@ -118,6 +162,7 @@ def _chunked(model) -> Callable[[list[str | None]], list[bytes]]:
         return [b if b.isascii() else c for b, c in zip(low.split(), chunks, strict=True)]
 
     def encode(texts: list[str | None]) -> list[bytes]:
+        nonlocal room
         out: list[bytes] = [b""] * len(texts)
         chunked: list[tuple[int, list[bytes], list[bytes | None]]] = []
         fresh: dict[bytes, bytes] = {}
@@ -137,7 +182,10 @@ def _chunked(model) -> Callable[[list[str | None]], list[bytes]]:
             learn(fresh)
             for k, chunks, got in chunked:
                 out[k] = b"".join([fresh[c] if g is None else g for c, g in zip(chunks, got, strict=True)])
-            known.update(itertools.islice(fresh.items(), max(MEMORY_CHUNKS - len(known), 0)))
+            if room > 0:
+                short = {c: ids for c, ids in fresh.items() if len(c) <= LONG}
+                known.update(short)
+                room -= _ENTRY * len(short) + sum(map(len, short)) + sum(map(len, short.values()))
         return out
 
     return encode
@@ -150,7 +198,7 @@ def piece_lengths(total: int, max_tokens: int = MAX_TOKENS) -> list[int]:
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", max_tokens: int = MAX_TOKENS, end: int = END, by_chunk: bool = True
+    docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", max_tokens: int = MAX_TOKENS, end: int = END, by_chunk: bool | None = None
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (binary, little-endian unsigned 32-bit), doc_tokens, sequence_id, offset, bucket.
 
@@ -187,7 +235,7 @@ def pack(
                     names=inner.names,
                 )
 
-    out = bound_batches(docs).select(F.col(f"`{text}`").cast("string").alias("_t"), F.col(f"`{doc_id}`").alias("doc")).mapInArrow(run, inner)
+    out = docs.select(F.col(f"`{text}`").cast("string").alias("_t"), F.col(f"`{doc_id}`").alias("doc")).mapInArrow(run, inner)
     return out.select(
         F.col("doc").alias(doc_id), "start", "length", "ids", "doc_tokens",
         F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"), "bucket",

@@ -36,7 +36,7 @@ def test_added_tokens_and_composition_come_before_lower_case():
 
 def test_forgetting_changes_nothing(monkeypatch):
     want = packing.encoder(PATH)(texts())
-    monkeypatch.setattr(packing, "MEMORY_CHUNKS", 50)
+    monkeypatch.setattr(packing, "MEMORY_BYTES", 5000)
     packing._LOADED.clear()
     assert packing.encoder(PATH)(texts()) == want
     packing._LOADED.clear()
@@ -62,3 +62,23 @@ def test_lengths_and_limits(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
     with pytest.raises(ValueError):
         packing.pack(spark.range(1).select(F.col("id").alias("doc_id"), F.lit("").alias("text")), PATH, max_tokens=1000)
+
+
+def test_whether_blanks_split_is_read_from_the_file():
+    assert packing.splits_at_blanks(PATH) and not packing.splits_at_blanks(public_tokenizers.path("byte_bpe_50k.json"))
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    model, own = Tokenizer.from_file(other), ["a b", " a  b\n", "x\n\n y", None]
+    for t, g in zip(own, packing.encoder(other)(own), strict=True):
+        assert np.frombuffer(g, "<u4").tolist() == model.encode(t or "", add_special_tokens=False).ids
+    with pytest.raises(ValueError):
+        packing.encoder(other, by_chunk=True)([" ".join(f"w{i}|{i}" for i in range(9)) + " a b c d"])
+
+
+def test_long_chunks_are_not_kept():
+    packing._LOADED.clear()
+    encode = packing.encoder(PATH)
+    long = ["ab" * 500_000, "x" * 65, "short"]
+    encode(long)
+    held = next(c.cell_contents for c, n in zip(encode.__closure__, encode.__code__.co_freevars, strict=True) if n == "known")
+    assert b"short" in held and max(map(len, held)) <= packing.LONG
+    packing._LOADED.clear()
