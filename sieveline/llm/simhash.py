@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sieveline.llm import shingles
 from sieveline.llm import words as W
 from sieveline.llm.batches import map_text, utf8
 from sieveline.operators.components import connected_components
@@ -91,13 +92,12 @@ def links(distinct: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE) -> DataFrame:
     """One row (doc_id, fingerprint, component_id) per document row; fingerprints in 16 lowercase hex digits."""
     marked = materialize(with_fingerprint(docs, doc_id, text, size), "fingerprints")
-    own = materialize(marked.groupBy("fp").agg(F.min("doc").alias("least")), "distinct-fingerprints")
+    own = materialize(marked.groupBy("fp").agg(F.min("doc").alias("least")), "distinct-fingerprints", compact=True)
     roots = connected_components(links(own.select("fp")))
     rooted = own.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    rooted = materialize(rooted, "rooted-fingerprints")
-    # tables on both sides of the joins below: what a large component has is split there
-    least = materialize(rooted.groupBy(F.col("root").alias("top")).agg(F.min("least").alias("component")), "least-documents")
-    named = materialize(rooted.join(least, F.col("root") == F.col("top")).select(F.col("fp").alias("own"), "component"), "components")
+    # a table, so that both sides of the join with it are dealt afresh and a large component is split there
+    least = materialize(rooted.groupBy(F.col("root").alias("top")).agg(F.min("least").alias("component")), "least-documents", compact=True)
+    named = rooted.join(least, F.col("root") == F.col("top")).select(F.col("fp").alias("own"), "component")
     out = marked.join(named, F.col("fp") == F.col("own"))
     return out.select(F.col("doc").alias(doc_id), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
@@ -111,10 +111,13 @@ def keep_least(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> Dat
     return docs.join(kept, F.col(f"`{doc_id}`").eqNullSafe(F.col(key)), "left_semi")
 
 
-def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE) -> DataFrame:
+def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, similarity: float | None = None) -> DataFrame:
     """One document of each component, the one with the smallest id, with all its columns.
 
+    Components are those of fingerprints within RADIUS bits or, if a ``similarity`` is given, of
+    texts whose sets of shingles have that Jaccard similarity (`shingles`: SimHash balls miss it).
     Rows that share that id are all kept; documents without an id are kept if no document of
     their component has one.
     """
-    return keep_least(docs, near_duplicates(docs, doc_id, text, size), doc_id)
+    found = near_duplicates(docs, doc_id, text, size) if similarity is None else shingles.near_duplicates(docs, doc_id, text, size, similarity)
+    return keep_least(docs, found, doc_id)
