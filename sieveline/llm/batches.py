@@ -31,12 +31,12 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about SLICE_BYTES of text each."""
+def slices(batch: pa.RecordBatch, text: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``size`` bytes of text each."""
     _, offsets = utf8(batch.column(text))
     first = 0
     while first < batch.num_rows:
-        last = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1
+        last = int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1
         last = min(max(last, first + 1), batch.num_rows)
         yield batch.slice(first, last - first)
         first = last

@@ -7,15 +7,17 @@ hash, joined back to the exploded n-grams, and summed per document:
                      alpha * S(w | shorter context) otherwise,
     S(w) = c(w) / N.
 
-The relations travel in blocks. Documents fall into groups by a hash; each group lists its distinct
-n-grams once, sorted by hash, with their counts (so a phrase that every document has costs one entry
-a group), cut by ranges of the hash. A counting task gets one range from all groups, sums, and answers
-each block with the corpus counts of its entries in the same order. The answers meet their group
-again, whose documents look their n-grams up and add up. The exchange that groups the documents is
+The relations travel in blocks. Each task cuts its documents, as they come, into groups of some
+GROUP_BYTES of text (one longer text is a group of its own), so equal rows or hot ids make no group
+larger. A group lists its distinct n-grams once, sorted by hash, with their counts (so a phrase that
+every document has costs one entry a group), cut by ranges of the hash; empty ranges cost nothing, so
+there are never more blocks than entries. A counting task gets one range from all groups, sums, and
+answers each block with the corpus counts of its entries in the same order. The answers meet their
+group again, whose documents look their n-grams up and add up. The exchange that deals the groups is
 the same in both passes, so Spark writes it once. Nothing is collected or broadcast.
 
-Words are `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased; n-grams are told apart by 56-bit hashes, so among 10^10
-distinct n-grams one in seven million shares another's count.
+Words are `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased; n-grams are told apart by 64-bit hashes that are not
+verified: among 10^10 distinct n-grams some three pairs share their counts.
 
 Defined results: null and wordless texts have no words and a score of 0 (and no mean). Rows that
 share an id are documents of their own, repeated text counts as often as it occurs. Empty tables
@@ -24,26 +26,28 @@ give no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from sieveline.llm import words as W
-from sieveline.llm.batches import utf8
+from sieveline.llm.batches import SLICE_BYTES, slices, utf8
 from sieveline.session import materialize
 
 ORDER = 3
 ALPHA = 0.4
+#: N-grams of more than one word that occur less often are not used.
 MIN_COUNT = 2
 #: Bytes of text in a group of documents and behind a range of hashes: what one task holds at a time.
 GROUP_BYTES = 8 << 20
 RANGE_BYTES = 16 << 20
-#: Bits of a hash that tell n-grams apart.
-BITS = 56
 _SALT = 0xD6E8FEB86659FD93
 
 
@@ -57,7 +61,7 @@ def _grams(column: pa.ChunkedArray, order: int) -> tuple[np.ndarray, list[tuple[
     out = []
     for k in range(1, order + 1):
         g, at = W.windows(h, first, k)
-        out.append((W.mix(g + np.uint64(k * _SALT % (1 << 64))) >> np.uint64(64 - BITS), at))
+        out.append((W.mix(g + np.uint64(k * _SALT % (1 << 64))), at))
     return first, out
 
 
@@ -73,28 +77,64 @@ def _expand(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(size, -1).T).reshape(-1).view(kind)
 
 
-def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where sorted keys pass from one of ``buckets`` ranges to the next."""
-    width = np.uint64((1 << BITS) // buckets + 1)
-    return np.searchsorted(keys, np.arange(buckets + 1, dtype=np.uint64)[:-1] * width).tolist() + [len(keys)]
+def _ranges(keys: np.ndarray, buckets: int) -> tuple[list[int], list[int]]:
+    """Which of ``buckets`` ranges of hashes sorted keys lie in, and where each begins (and the end)."""
+    width = np.uint64((1 << 64) // buckets + 1) if buckets > 1 else None
+    place = keys // width if width else np.zeros(len(keys), np.uint64)
+    cut = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return place[cut].astype(np.int64).tolist(), [*cut.tolist(), len(keys)]
+
+
+def _grouped(group_bytes: int):
+    """Groups of a task's documents, as rows (part, body): a number of their own and a compressed table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size, part = 0, TaskContext.get().partitionId() << 32
+
+        def made() -> pa.RecordBatch:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, held[0].schema) as out:
+                for b in held:
+                    out.write_batch(b)
+            body = zstandard.ZstdCompressor(level=3).compress(sink.getvalue())
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([body], pa.binary())], names=["part", "body"])
+
+        for whole in batches:
+            for some in slices(whole, 1, min(group_bytes, SLICE_BYTES)):
+                held.append(some)
+                offsets = utf8(some.column(1))[1]
+                size += int(offsets[-1])
+                if size >= group_bytes:
+                    yield made()
+                    held, size, part = [], 0, part + 1
+        if held:
+            yield made()
+
+    return run
+
+
+def _opened(body: bytes) -> pa.Table:
+    return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(body)).read_all()
 
 
 _ENTRIES = "part long, bucket long, n long, keys binary, counts binary"
 
 
 def _list(buckets: int, order: int):
-    def run(table: pa.Table) -> pa.Table:
-        part = table.column("part")[0].as_py()
-        _, grams = _grams(table.column("text"), order)
-        keys, counts = np.unique(np.concatenate([g for g, _ in grams]), return_counts=True)
-        cut, rows = _cuts(keys, buckets), []
-        for b in range(buckets):
-            own = keys[cut[b] : cut[b + 1]]
-            if len(own):
-                rows.append((part, b, len(own), _squeeze(np.diff(own, prepend=np.uint64(0))), _squeeze(counts[cut[b] : cut[b + 1]].astype("<u4"))))
-        columns = list(zip(*rows, strict=True)) or [[]] * 5
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["part", "bucket", "n", "keys", "counts"])
+        for batch in batches:
+            for part, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                _, grams = _grams(_opened(body.as_py()).column("text"), order)
+                keys, counts = np.unique(np.concatenate([g for g, _ in grams]), return_counts=True)
+                del grams
+                rows = []
+                own, cut = _ranges(keys, buckets)
+                for b, lo, hi in zip(own, cut[:-1], cut[1:], strict=True):
+                    rows.append((part, b, hi - lo, _squeeze(np.diff(keys[lo:hi], prepend=np.uint64(0))), _squeeze(counts[lo:hi].astype("<u4"))))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["part", "bucket", "n", "keys", "counts"])
 
     return run
 
@@ -118,14 +158,16 @@ def _count(table: pa.Table) -> pa.Table:
 
 
 def _score(buckets: int, order: int, alpha: float, min_count: int, kind: pa.DataType):
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+    def run(group: pa.Table, answers: pa.Table) -> pa.Table:
+        docs = pa.concat_tables([_opened(x.as_py()) for x in group.column("body")])
         first, grams = _grams(docs.column("text"), order)
         n = int(first[-1])
         keys, where = np.unique(np.concatenate([g for g, _ in grams]), return_inverse=True)
         totals = np.zeros(len(keys), np.int64)
-        cut = _cuts(keys, buckets)
+        own, cut = _ranges(keys, buckets)
+        place = dict(zip(own, zip(cut[:-1], cut[1:], strict=True), strict=True))
         for b, data in zip(answers.column("bucket").to_pylist(), answers.column("totals"), strict=True):
-            totals[cut[b] : cut[b + 1]] = _expand(data.as_py(), "<i8")
+            totals[slice(*place[b])] = _expand(data.as_py(), "<i8")
         count, seen = [], 0  # of the n-gram of each order that starts at a word
         for g, at in grams:
             own = np.zeros(n + 1, np.int64)
@@ -154,25 +196,24 @@ def _score(buckets: int, order: int, alpha: float, min_count: int, kind: pa.Data
 
 def score(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, alpha: float = ALPHA, min_count: int = MIN_COUNT,
-    buckets: int | None = None, groups: int | None = None,
+    buckets: int | None = None, group_bytes: int = GROUP_BYTES,
 ) -> DataFrame:
     """One row (doc_id, n_words, n_backed_off, log_score, mean_log_score) per document row.
 
     ``log_score`` is the sum of the logarithms of S over its words, ``n_backed_off`` counts those that
-    fell back to single words. ``buckets`` ranges of hashes and ``groups`` of documents follow the
-    size of the texts unless given.
+    fell back to single words. ``buckets`` ranges of hashes follow the size of the texts unless given.
     """
-    if not (buckets and groups):
+    if not buckets:
         size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
-        buckets, groups = buckets or max(12, -(-size // RANGE_BYTES)), groups or max(12, -(-size // GROUP_BYTES))
+        buckets = max(12, -(-size // RANGE_BYTES))
     kind = docs.schema[doc_id].dataType
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("doc", "text"), F.lit(groups)))
-    entries = rows.groupBy("part").applyInArrow(_list(buckets, order), _ENTRIES)
+    groups = rows.mapInArrow(_grouped(group_bytes), "part long, body binary").repartition("part")
+    entries = groups.mapInArrow(_list(buckets, order), _ENTRIES)
     answers = entries.groupBy("bucket").applyInArrow(_count, "part long, bucket long, totals binary")
     arrow = to_arrow_type(kind)
     inner = T.StructType([T.StructField("doc", kind), T.StructField("n_words", T.LongType()), T.StructField("n_single", T.LongType()), T.StructField("part_score", T.DoubleType())])
-    found = rows.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_score(buckets, order, alpha, min_count, arrow), inner)
+    found = groups.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_score(buckets, order, alpha, min_count, arrow), inner)
     found = materialize(found, "lm-scores")
     total = found.agg(F.sum("n_words")).first()[0] or 1
     log_score = F.col("part_score") - F.col("n_single") * float(np.log(total))

@@ -41,7 +41,7 @@ def sample():
 def test_matches_brute_force(spark, order, least):
     docs = sample()
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3).select("*", F.lit(1).alias("n_words"), F.lit(1).alias("part"))
-    got = lm.score(df, order=order, min_count=least, groups=7).select(
+    got = lm.score(df, order=order, min_count=least, group_bytes=1500).select(
         "doc_id", "n_words", "n_backed_off", F.round("log_score", 6), F.round("mean_log_score", 6)
     )
     assert sorted(((str(r[0]), *r[1:]) for r in got.collect()), key=str) == brute(docs, order, least=least)
@@ -49,3 +49,19 @@ def test_matches_brute_force(spark, order, least):
 
 def test_empty_table(spark):
     assert lm.score(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_equal_rows_make_no_large_group(spark):
+    docs = [(7, "the same few words again")] * 5000 + [(None, "x " * 50)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = lm.score(df, group_bytes=2000).select("doc_id", "n_words", "n_backed_off", F.round("log_score", 6), F.round("mean_log_score", 6)).collect()
+    assert sorted(((str(r[0]), *r[1:]) for r in got), key=str) == brute(docs)
+    sizes = df.select("doc_id", "text").mapInArrow(lm._grouped(2000), "part long, body binary").collect()
+    assert len({r.part for r in sizes}) == len(sizes) and max(lm._opened(bytes(r.body)).num_rows for r in sizes) <= 180
+
+
+def test_ranges_are_those_that_have_keys():
+    import numpy as np
+
+    keys = np.array([0, 5, (1 << 62) + 4, (1 << 64) - 1], np.uint64)
+    assert lm._ranges(keys, 4) == ([0, 1, 3], [0, 2, 3, 4]) and lm._ranges(keys, 1) == ([0], [0, 4]) and lm._ranges(keys[:0], 9) == ([], [0])
