@@ -75,11 +75,14 @@ def _mask(turns: Column, role: str) -> Column:
     return F.aggregate(turns, F.expr(f"cast(named_struct('at', 0, 'spans', array()) as {kind})"), step, lambda s: s.spans)
 
 
-def format_preferences(pairs: DataFrame, pair_id: str = "conv_id", chosen: str = "chosen", rejected: str = "rejected", role: str = ROLE) -> DataFrame:
+def format_preferences(pairs: DataFrame, pair_id: str = "conv_id", chosen: str = "chosen", rejected: str = "rejected", role: str = ROLE, equal: str = "keep") -> DataFrame:
     """One row (pair_id, n_prompt_turns, prompt, chosen, chosen_mask, rejected, rejected_mask) per pair.
 
-    Both sides are arrays of structs of role and text.
+    Both sides are arrays of structs of role and text. Pairs whose sides are equal prefer nothing: their
+    completions are empty, and ``equal="drop"`` leaves them out.
     """
+    if equal not in ("keep", "drop"):
+        raise ValueError(f"equal is {equal!r}, not 'keep' or 'drop'")
     side = lambda c: F.transform(
         F.coalesce(F.col(f"`{c}`").cast(_TURNS), F.array().cast(_TURNS)),
         lambda t: F.struct(F.coalesce(t.role, F.lit("")).alias("role"), F.coalesce(t.text, F.lit("")).alias("text")),
@@ -88,6 +91,8 @@ def format_preferences(pairs: DataFrame, pair_id: str = "conv_id", chosen: str =
     same = F.zip_with("_c", "_r", lambda a, b: a.eqNullSafe(b))
     shared = F.when(F.array_position(same, False) > 0, F.array_position(same, False) - 1).otherwise(F.size(same)).cast("int")
     rows = rows.withColumn("_n", shared)
+    if equal == "drop":
+        rows = rows.where((F.col("_n") < F.size("_c")) | (F.col("_n") < F.size("_r")))
     rest = lambda c: F.slice(c, F.col("_n") + 1, F.greatest(F.size(c) - F.col("_n"), F.lit(0)))
     rows = rows.withColumn("_p", F.slice("_c", F.lit(1), F.col("_n"))).withColumn("_c", rest("_c")).withColumn("_r", rest("_r"))
     return rows.select(

@@ -7,15 +7,16 @@ Three base patterns find candidates in whole texts (leftmost, non-overlapping fo
 * hex: runs of 32 or more lower-case hex digits.
 
 The value of each candidate is hashed (128 bits). Over the whole corpus, hashes are aggregated by
-distinct repositories and distinct owners. A value that ``EXAMPLE_OWNERS`` or more owners hold, or
-that reads like a placeholder, is a widely copied *example*; one that a single owner holds and that
-looks random is *live*. Both verdicts become further spans over the value itself; the base spans
-stay. Distinct counts combine on the map side, so a value that a third of all documents repeat costs
-a row per task and owner; values travel as hashes, texts do not move.
+distinct repositories and distinct owners. A value that ``EXAMPLE_OWNERS`` or more owners or
+``EXAMPLE_REPOSITORIES`` or more repositories hold, or that has no more than three different
+characters, is a widely copied *example*; one that a single owner holds in at most
+``LIVE_REPOSITORIES`` repositories and that looks random is *live*. No list of words enters: a key that
+happens to hold "test" is judged by who has it. Both verdicts become further spans over the value
+itself; the base spans stay. Distinct counts combine on the map side, so a value that a third of all
+documents repeat costs a row per task, owner and repository; values travel as hashes, texts do not move.
 
 Defined results: a null text is empty. Rows are judged one by one, whether or not they share an id; a
-null owner or repository is not counted, so a value without any owner is neither live nor an example
-by frequency.
+null owner or repository is not counted, so a value without any owner is not live.
 """
 
 from __future__ import annotations
@@ -37,6 +38,10 @@ from sieveline.session import materialize
 KINDS = ("assign", "access", "hex", "live", "example")
 #: Distinct owners from which a value is a widely copied example.
 EXAMPLE_OWNERS = 3
+#: Distinct repositories from which a value is a widely copied example, whoever owns them.
+EXAMPLE_REPOSITORIES = 10
+#: Distinct repositories up to which one owner's value is live.
+LIVE_REPOSITORIES = 3
 #: Shannon entropy (bits a character) from which a value looks random.
 RANDOM_BITS = 3.0
 #: Characters from which a value may be live.
@@ -45,8 +50,8 @@ LIVE_CHARS = 16
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _NAMES = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
-#: Words of placeholders (fixed values).
-_PLACEHOLDERS = ("example", "changeme", "placeholder", "your", "dummy", "sample", "test", "xxxx", "1234567")
+#: Different characters up to which a value is filling.
+_FILLING = 3
 _HEX_RUN = 32
 _HEX_MAP = bytes(0x68 if c in b"0123456789abcdef" else 0x20 for c in range(256))
 
@@ -91,17 +96,17 @@ def looks_random(value: str) -> bool:
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values()) >= RANDOM_BITS
 
 
-def is_placeholder(value: str) -> bool:
-    low = value.lower()
-    return any(p in low for p in _PLACEHOLDERS) or len(set(low)) <= 3
+def is_filling(value: str) -> bool:
+    """Hardly any variety, like rows of x."""
+    return len(set(value.lower())) <= _FILLING
 
 
 _SPAN = T.StructType(
     [T.StructField(n, T.IntegerType()) for n in ("kind", "start", "end", "value_start", "value_end")]
-    + [T.StructField("high", T.LongType()), T.StructField("low", T.LongType()), T.StructField("random", T.BooleanType()), T.StructField("placeholder", T.BooleanType())]
+    + [T.StructField("high", T.LongType()), T.StructField("low", T.LongType()), T.StructField("random", T.BooleanType()), T.StructField("filling", T.BooleanType())]
 )
 _ARROW_SPAN = pa.struct(
-    [(n, pa.int32()) for n in ("kind", "start", "end", "value_start", "value_end")] + [("high", pa.int64()), ("low", pa.int64()), ("random", pa.bool_()), ("placeholder", pa.bool_())]
+    [(n, pa.int32()) for n in ("kind", "start", "end", "value_start", "value_end")] + [("high", pa.int64()), ("low", pa.int64()), ("random", pa.bool_()), ("filling", pa.bool_())]
 )
 
 
@@ -120,7 +125,7 @@ def find(docs: DataFrame, doc_id: str, text: str, repository: str, owner: str) -
                     for kind, a, b, c, d, word in candidates(value):
                         digest = xxhash.xxh3_128_digest(word.encode())
                         high, low = (int.from_bytes(x, "big", signed=True) for x in (digest[:8], digest[8:]))
-                        own.append({"kind": kind, "start": a, "end": b, "value_start": c, "value_end": d, "high": high, "low": low, "random": looks_random(word), "placeholder": is_placeholder(word)})
+                        own.append({"kind": kind, "start": a, "end": b, "value_start": c, "value_end": d, "high": high, "low": low, "random": looks_random(word), "filling": is_filling(word)})
                     spans.append(own)
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in (1, 2, 3)), pa.array(spans, pa.list_(_ARROW_SPAN))], names=inner.names)
 
@@ -129,24 +134,25 @@ def find(docs: DataFrame, doc_id: str, text: str, repository: str, owner: str) -
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """Rows (high, low, random, placeholder, n_repositories, n_owners) for each value in the corpus."""
-    each = found.select("repository", "owner", F.explode("spans").alias("s")).select("repository", "owner", "s.high", "s.low", "s.random", "s.placeholder")
-    value = ["high", "low", "random", "placeholder"]
-    owners = each.groupBy(*value).agg(F.count_distinct("owner").alias("n_owners"))
-    repositories = each.groupBy(*value).agg(F.count_distinct("repository").alias("n_repositories"))
-    return owners.join(repositories, value)
+    """Rows (high, low, random, filling, n_repositories, n_owners) for each value in the corpus."""
+    each = found.select("repository", "owner", F.explode("spans").alias("s")).select("repository", "owner", "s.high", "s.low", "s.random", "s.filling")
+    value = ["high", "low", "random", "filling"]
+    return each.groupBy(*value).agg(F.count_distinct("owner").alias("n_owners"), F.count_distinct("repository").alias("n_repositories"))
 
 
-def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repository: str = "doc_id", owner: str = "source", example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+def scan(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repository: str = "doc_id", owner: str = "source",
+    example_owners: int = EXAMPLE_OWNERS, example_repositories: int = EXAMPLE_REPOSITORIES, live_repositories: int = LIVE_REPOSITORIES,
+) -> DataFrame:
     """One row per document row: the id and ``spans``, an array of (start, kind, end, n_repositories, n_owners), sorted.
 
     ``kind`` is the place in KINDS. Base spans carry their value's counts; live and example spans cover the value.
     """
     found = materialize(find(docs, doc_id, text, repository, owner).withColumn("row", F.monotonically_increasing_id()), "secret-candidates")
-    counted = materialize(ownership(found.where(F.size("spans") > 0)), "secret-ownership")
-    verdict = F.when(F.col("placeholder") | (F.col("n_owners") >= example_owners), F.lit(KINDS.index("example"))).when(
-        F.col("random") & (F.col("n_owners") == 1), F.lit(KINDS.index("live"))
-    )
+    counted = materialize(ownership(found.where(F.size("spans") > 0)), "secret-ownership", compact=True)
+    copied = (F.col("n_owners") >= example_owners) | (F.col("n_repositories") >= example_repositories)
+    live = F.col("random") & (F.col("n_owners") == 1) & (F.col("n_repositories") <= live_repositories)
+    verdict = F.when(F.col("filling") | copied, F.lit(KINDS.index("example"))).when(live, F.lit(KINDS.index("live")))
     judged = counted.select(F.col("high").alias("h"), F.col("low").alias("l"), verdict.alias("verdict"), "n_repositories", "n_owners")
     each = found.where(F.size("spans") > 0).select("row", F.explode("spans").alias("s")).select("row", "s.*")
     met = each.join(judged, (F.col("high") == F.col("h")) & (F.col("low") == F.col("l")))

@@ -9,9 +9,9 @@ first level that does not hold it gives its exact membership, and no row is join
 
 Everything is DataFrame operations: a filter is an array of 64-bit words, made by ``bit_or`` per word
 (aggregated on the map side) and handed to the rows as a scalar subquery. A level has some
-``BITS_PER_KEY`` bits a key; if a level would have more than ``max_bits`` bits, so that the driver
-and the executors would have to hold too much, membership is decided by a semi join with the list
-instead, which gives the same result at any size.
+``BITS_PER_KEY`` bits a key. No level has more than ``max_bits`` bits: the keys are dealt by a hash into
+as many blocks as that takes, each with a cascade of its own, and the rows of each block (written
+once, a folder for each) are judged by theirs. One block is the common case.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path; these are keys like
 any other. Rows that repeat are judged each by itself. Null keys are not listed. An empty list or an
@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.session import materialize
+from sieveline.session import materialize, shared_path
 
 #: (verdict, host, path): the rules (fixed values).
 RULES = (
@@ -38,7 +38,7 @@ RULES = (
 )
 BITS_PER_KEY = 10
 PROBES = 7
-#: Bits of the largest level (8 MB as longs); longer lists are joined.
+#: Bits of the largest level (8 MB as longs); more keys make more blocks.
 MAX_BITS = 64 << 20
 MAX_LEVELS = 40
 _SPLIT = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -99,25 +99,23 @@ class Cascade:
         return out
 
 
-def build(universe: DataFrame, listed: DataFrame, bits_per_key: int = BITS_PER_KEY, max_bits: int = MAX_BITS) -> Cascade | None:
-    """The cascade of the listed keys in a universe of keys, or None if a level would be too large.
+def build(universe: DataFrame, listed: DataFrame, bits_per_key: int = BITS_PER_KEY) -> Cascade:
+    """The cascade of the listed keys in a universe of distinct keys.
 
     Both have a column ``key``; listed keys outside the universe do not matter.
     """
-    universe = materialize(universe.where("key is not null").select("key").distinct(), "url-universe")
-    inside = materialize(universe.join(listed.where("key is not null").select("key"), "key", "left_semi"), "url-listed")
+    universe = universe.where("key is not null").select("key")
+    inside = materialize(universe.join(listed.where("key is not null").select("key"), "key", "left_semi"), "url-listed", compact=True)
     others = universe.join(inside, "key", "left_anti")
-    here, there, levels = inside, materialize(others, "url-unlisted"), []
+    here, there, levels = inside, materialize(others, "url-unlisted", compact=True), []
     for level in range(1, MAX_LEVELS + 1):
         n = here.count()
         if not n:
             return Cascade(levels)
         bits = 64 * max(1, math.ceil(n * bits_per_key / 64))
-        if bits > max_bits:
-            return None
         words = materialize(_filter(here, level, bits), "url-filter")
         levels.append((words, bits))
-        wrong = materialize(there.where(_holds(words, F.col("key"), level, bits)), "url-false-positives")
+        wrong = materialize(there.where(_holds(words, F.col("key"), level, bits)), "url-false-positives", compact=True)
         here, there = wrong, here
     raise RuntimeError(f"the cascade did not end in {MAX_LEVELS} levels")
 
@@ -134,14 +132,24 @@ def judge(
     host, path = host_and_path(F.col(f"`{url}`"))
     parts = pages.select(F.col(f"`{page_id}`").alias("_id"), host.alias("host"), path.alias("path"))
     parts = parts.withColumn("fit", fitting_rule(F.col("host"), F.col("path"), rules))
-    if listed is None:
-        listed = parts.where("fit.verdict = 'block'").select(F.col("host").alias("key")).distinct()
-    cascade = build(parts.select(F.col("host").alias("key")), listed, bits_per_key, max_bits)
-    if cascade:
-        blocked = cascade.listed(F.col("host"))
-    else:
-        found = listed.select(F.col("key").alias("_key")).where("_key is not null").distinct()
-        parts = parts.join(found, F.col("host") == F.col("_key"), "left")
-        blocked = F.col("_key").isNotNull()
-    by_list = F.when(blocked, F.lit("block")).otherwise(F.lit("allow"))
-    return parts.select(F.col("_id").alias(page_id), "host", "path", F.col("fit.rule").alias("rule"), F.coalesce(F.col("fit.verdict"), by_list).alias("verdict"))
+
+    def judged(rows: DataFrame, universe: DataFrame, own: DataFrame | None) -> DataFrame:
+        if own is None:
+            own = rows.where("fit.verdict = 'block'").select(F.col("host").alias("key")).distinct()
+        blocked = build(universe, own, bits_per_key).listed(F.col("host"))
+        by_list = F.when(blocked, F.lit("block")).otherwise(F.lit("allow"))
+        return rows.select(F.col("_id").alias(page_id), "host", "path", F.col("fit.rule").alias("rule"), F.coalesce(F.col("fit.verdict"), by_list).alias("verdict"))
+
+    universe = materialize(parts.select(F.col("host").alias("key")).distinct(), "url-universe", compact=True)
+    blocks = max(1, math.ceil(universe.count() * bits_per_key / max_bits))
+    if blocks == 1:
+        return judged(parts, universe, listed)
+    block = lambda key: F.pmod(F.xxhash64(F.lit("block"), F.col(key)), F.lit(blocks))
+    spark, folder = pages.sparkSession, shared_path(pages.sparkSession, "url-blocks")
+    parts.withColumn("block", block("host")).write.partitionBy("block").parquet(folder)
+    dealt = spark.read.schema(parts.withColumn("block", block("host")).schema).parquet(folder)
+    out = None
+    for k in range(blocks):
+        one = judged(dealt.where(F.col("block") == k).drop("block"), universe.where(block("key") == k), listed.where(block("key") == k) if listed is not None else None)
+        out = one if out is None else out.unionByName(one)
+    return out
