@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import html
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space of Java's \s plus the separators that are stripped with it.
 _EDGE = r"[\s\x1c-\x1f\x85\x{a0}]+"
@@ -45,15 +49,17 @@ def token_cost_cents(tokens_: Column, dollars_per_million: float = 0.02) -> Colu
 
 
 def split_summary(text: Column) -> Column:
-    """A struct (summary, translation): split at the first ``===`` line, else at the last blank line; translation null if there is none."""
-    marked = F.split(text, r"\n*={3,}\n*", 2)
-    blocks = F.split(text, "\n\n")
-    by_mark = F.struct(strip(F.element_at(marked, 1)).alias("summary"), strip(F.try_element_at(marked, F.lit(2))).alias("translation"))
-    head = F.array_join(F.slice(blocks, 1, F.greatest(F.size(blocks) - 1, F.lit(1))), "\n\n")
-    by_block = F.struct(
-        strip(head).alias("summary"), F.when(F.size(blocks) > 1, strip(F.element_at(blocks, -1))).alias("translation")
-    )
-    return F.when(text.contains("==="), by_mark).otherwise(by_block)
+    """A struct (summary, translation).
+
+    The part before the first ``===`` is the summary; if it has blank lines, its first paragraph is, and the
+    others are the translation. Else the translation is what stands after ``===``. Each part of the
+    translation ends with a line break; without any it is empty.
+    """
+    marked = F.split(text, "===")
+    blocks = F.split(strip(F.element_at(marked, 1)), "\n\n")
+    rest = lambda parts: F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda p: F.concat(strip(p), F.lit("\n"))), "")
+    translation = F.when(F.size(blocks) > 1, rest(blocks)).otherwise(rest(marked))
+    return F.struct(F.when(text == "", text).otherwise(strip(F.element_at(blocks, 1))).alias("summary"), F.coalesce(translation, F.lit("")).alias("translation"))
 
 
 def pack_pieces(pieces: Column, limit: int, glue: str) -> Column:
@@ -89,19 +95,15 @@ def todo_items(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(F.regexp_replace(x, r"^\s*\d+\.\s*", ""))), lambda x: x != "")
 
 
-#: Character references that occur in plain pages (fixed values).
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&amp;": "&"}
-
-
-def unescape(text: Column) -> Column:
-    for name, char in ENTITIES.items():
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return text
+@F.pandas_udf(T.StringType())
+def unescape(text: pd.Series) -> pd.Series:
+    """Named and numeric character references as the characters they stand for, as HTML 5 reads them."""
+    return text.map(html.unescape, na_action="ignore")
 
 
-def html_to_text(html: Column) -> Column:
+def html_to_text(source: Column) -> Column:
     """Visible text: scripts, styles, comments and tags go, references are decoded, white space is one blank."""
-    bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>", " ")
+    bare = F.regexp_replace(source, r"(?is)<(script|style)\b.*?</\1\s*>", " ")
     bare = F.regexp_replace(bare, r"(?s)<!--.*?-->", " ")
     bare = F.regexp_replace(bare, r"(?s)<[^>]*>", " ")
     return F.trim(F.regexp_replace(unescape(bare), r"[ \t\r\n\f]+", " "))
@@ -117,15 +119,24 @@ def arxiv_id(url: Column) -> Column:
     return F.regexp_extract(F.replace(F.element_at(F.split(url, "/"), -1), F.lit(".pdf"), F.lit("")), "^[^v]*", 0)
 
 
-def block_text(kind: Column, text: Column, language: Column | None = None) -> Column:
-    """A content block as plain text, by its type."""
+#: Kinds of content blocks whose text stands as it is (fixed values).
+PLAIN_BLOCKS = ("paragraph", "heading_1", "heading_2", "heading_3", "quote")
+#: Kinds whose children belong to the text (fixed values).
+NESTING_BLOCKS = ("toggle", "table")
+
+
+def block_text(kind: Column, text: Column) -> Column:
+    """A content block's own text, by its kind; other kinds have none."""
     return (
-        F.when(kind == "bulleted_list_item", F.concat(F.lit("- "), text, F.lit("\n")))
+        F.when(kind.isin(*PLAIN_BLOCKS), text)
+        .when(kind == "bulleted_list_item", F.concat(F.lit("- "), text, F.lit("\n")))
         .when(kind == "numbered_list_item", F.concat(F.lit("1. "), text, F.lit("\n")))
-        .when(kind == "code", F.concat(F.lit("```\n"), text, F.lit("\n```\n")))
-        .when(kind == "heading_1", F.concat(F.lit("# "), text, F.lit("\n")))
-        .when(kind == "heading_2", F.concat(F.lit("## "), text, F.lit("\n")))
-        .when(kind == "heading_3", F.concat(F.lit("### "), text, F.lit("\n")))
-        .when(kind == "quote", F.concat(F.lit("> "), text, F.lit("\n")))
-        .otherwise(F.concat(text, F.lit("\n")))
+        .when(kind == "code", F.concat(F.lit("```"), text, F.lit("```")))
+        .when(kind.isin("toggle", "table_row"), F.concat(text, F.lit("\n")))
+        .otherwise(F.lit(""))
     )
+
+
+def table_row(cells: Column) -> Column:
+    """The cells of a table's row, each with a comma after it."""
+    return F.array_join(F.transform(cells, lambda c: F.concat(F.coalesce(c, F.lit("")), F.lit(","))), "")

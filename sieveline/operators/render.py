@@ -34,8 +34,8 @@ def tweet_blocks(t: DataFrame) -> DataFrame:
 def article_blocks(a: DataFrame) -> DataFrame:
     """Articles with ``blocks``: summary paragraphs and, if there is one, a toggle with the translation."""
     parts = split_summary(F.col("summary"))
-    paragraphs = F.transform(pack_sentences(parts["summary"]), lambda p: block("paragraph", p))
-    toggle = F.when(parts["translation"].isNotNull(), block("toggle", parts["translation"]))
+    paragraphs = F.transform(pack_sentences(F.coalesce(parts["summary"], F.lit(""))), lambda p: block("paragraph", p))
+    toggle = F.when(parts["translation"] != "", block("toggle", parts["translation"]))
     return a.withColumn("blocks", F.concat(paragraphs, blocks(toggle, block("link", F.col("title"), F.col("url")))))
 
 
@@ -46,9 +46,10 @@ def video_blocks(v: DataFrame) -> DataFrame:
     return v.withColumn("blocks", blocks(block("heading", unescape(title)), block("video", F.lit(""), F.col("url")), block("comment", facts), block("paragraph", F.col("summary"))))
 
 
-def to_text(blocks_: Column) -> Column:
-    """Blocks as plain text, one after another."""
-    return F.array_join(F.transform(blocks_, lambda b: block_text(b.type, F.coalesce(b.text, F.lit("")))), "")
+def to_text(blocks_: Column, separator: str = "\n") -> Column:
+    """Blocks as plain text, the separator after each."""
+    own = lambda b: F.coalesce(F.nullif(block_text(b.type, b.text), F.lit("")), b.text, F.lit(""))
+    return F.array_join(F.transform(blocks_, lambda b: F.concat(own(b), F.lit(separator))), "")
 
 
 def page_properties(items: DataFrame) -> DataFrame:
@@ -75,9 +76,12 @@ def collection(items: DataFrame, source: str, order: str, title: str, topics: st
     return each
 
 
-def journal(notes: DataFrame, day: str, order: str, title: str, text: str) -> DataFrame:
-    """Rows (day, entry, n): a day's notes as ``title text`` lines in order."""
-    line = F.concat_ws(" ", F.col(title), F.col(text))
-    return notes.groupBy(day).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("l")))), lambda x: x.l), "\n").alias("entry"), F.count("*").alias("n")
-    )
+def journal(notes: DataFrame, day: str, order: str, title: str, text: str, created: str | None = None) -> DataFrame:
+    """Rows (day, entry, n): a day's notes as ``title text`` lines in order, each with a line break after it.
+
+    With ``created``, a column last_created_time: that of the last note.
+    """
+    line = F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(text, F.lit("")), F.lit("\n"))
+    lines = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("l")))), lambda x: x.l)
+    last = [F.max_by(created, order).alias("last_created_time")] if created else []
+    return notes.groupBy(day).agg(F.array_join(lines, "").alias("entry"), F.count("*").alias("n"), *last)

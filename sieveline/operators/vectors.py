@@ -10,9 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sieveline.session import remove
+
 METRICS = ("cosine", "ip", "l2")
 #: Query vectors that one pass over the table compares against (a bounded broadcast).
 BLOCK_ROWS = 4096
+#: Scores that a worker holds at a time.
+_SCORES = 1 << 20
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -42,8 +46,8 @@ def knn(
     are left out; different sizes are an error.
 
     The query set goes out in broadcast blocks of at most ``block_rows`` vectors. Every task
-    multiplies its batches with the block and keeps ``k`` a query, so that what is shuffled is
-    ``k`` rows a query and task, however large the table is.
+    multiplies the block with as many rows at a time as make _SCORES scores and keeps ``k`` a query,
+    so that what is shuffled is ``k`` rows a query and task, however large the table is.
     """
     if metric not in METRICS:
         raise ValueError(f"metric is {metric!r}, not one of {METRICS}")
@@ -54,31 +58,39 @@ def knn(
     bound = max_distance if metric == "l2" else None if min_similarity is None else -min_similarity
     table = pick(vectors)
 
+    context = vectors.sparkSession.sparkContext
+
     def block(rows: list) -> DataFrame:
-        ids = np.array([r.id for r in rows], np.int64)
         own = np.array([r.v for r in rows], np.float64)
         own = _unit(own) if metric == "cosine" else own
+        shared = context.broadcast((np.array([r.id for r in rows], np.int64), own))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ids, own = shared.value
             best_key, best_id = np.full((len(ids), k), np.inf), np.full((len(ids), k), np.iinfo(np.int64).max)
-            for batch in batches:
+            size = (own**2).sum(1)[:, None]
+            step = max(k, _SCORES // len(ids), 1)
+            for batch in (whole.slice(at, step) for whole in batches for at in range(0, whole.num_rows, step)):
                 theirs, m = batch.column(0).to_numpy(), _matrix(batch.column(1))
-                if not len(theirs):
-                    continue
                 if m.shape[1] != own.shape[1]:
                     raise ValueError(f"vectors of different sizes: {own.shape[1]}, {m.shape[1]}")
                 if metric == "l2":
-                    key = np.maximum((own**2).sum(1)[:, None] + (m**2).sum(1)[None] - 2 * own @ m.T, 0)
+                    key = np.maximum(size + (m**2).sum(1)[None] - 2 * own @ m.T, 0)
                 else:
                     key = -(own @ (_unit(m) if metric == "cosine" else m).T)
                 if exclude_self:
                     key[ids[:, None] == theirs[None]] = np.inf
                 if bound is not None:
                     key[(key >= bound) if strict else (key > bound)] = np.inf
-                keys = np.concatenate([best_key, key], axis=1)
-                who = np.concatenate([best_id, np.broadcast_to(theirs, key.shape)], axis=1)
-                order = np.lexsort((who, keys), axis=1)[:, :k]
-                best_key, best_id = np.take_along_axis(keys, order, 1), np.take_along_axis(who, order, 1)
+                # only queries that have something at least as good as their last one so far
+                better = np.flatnonzero((key <= best_key[:, -1:]).any(axis=1) & np.isfinite(key).any(axis=1))
+                for q in better.tolist():
+                    mine = np.flatnonzero((key[q] <= best_key[q, -1]) & np.isfinite(key[q]))
+                    if len(mine) > k:  # ties with the k-th stay, the sort below decides by id
+                        mine = mine[key[q, mine] <= np.partition(key[q, mine], k - 1)[k - 1]]
+                    keys, who = np.concatenate([best_key[q], key[q, mine]]), np.concatenate([best_id[q], theirs[mine]])
+                    order = np.lexsort((who, keys))[:k]
+                    best_key[q], best_id[q] = keys[order], who[order]
             rows, columns = np.nonzero(np.isfinite(best_key))
             yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), pa.array(best_id[rows, columns]), pa.array(sign * best_key[rows, columns])], names=["query_id", "similar_id", "score"])
 
@@ -137,6 +149,47 @@ class Collection:
 
     SCHEMA = T.StructType([T.StructField("item_id", T.StringType()), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("ds", T.DateType())])
 
+    def exists(self) -> bool:
+        fs, folder = self._folder()
+        return fs.exists(folder)
+
+    def create(self) -> None:
+        """An empty collection, if there is none."""
+        if not self.exists():
+            self.spark.createDataFrame([], self.SCHEMA).write.parquet(self.path)
+
+    def drop(self) -> None:
+        remove(self.spark, self.path)
+
+    def reset(self) -> None:
+        """Drop it and create it empty."""
+        self.drop()
+        self.create()
+
+    def drop_day(self, ds: str) -> None:
+        remove(self.spark, f"{self.path}/ds={ds}")
+
+    def drop_expired(self, run_ds: str) -> list[str]:
+        """Drop the days that are past retention; which these were."""
+        old = sorted(str(r.ds) for r in self.expired(run_ds).collect())
+        for ds in old:
+            self.drop_day(ds)
+        return old
+
+    def days_held(self) -> DataFrame:
+        return self.read().select("ds").distinct()
+
+    def peek(self, n: int = 10) -> DataFrame:
+        """The first ``n`` rows by day and id."""
+        return self.read().orderBy("ds", "item_id").limit(n)
+
+    def count(self) -> int:
+        return self.read().count()
+
+    def _folder(self):
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        return folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), folder
+
     def insert(self, rows: DataFrame) -> None:
         """Append rows (item_id, embedding, ds)."""
         rows.select("item_id", "embedding", "ds").write.mode("append").partitionBy("ds").parquet(self.path)

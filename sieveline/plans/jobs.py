@@ -64,12 +64,15 @@ def pull_feeds(ws: Workspace, feed_files: DataFrame, run_id: str, run_date: str,
     writers.write_run(own, f"{ws.path}/news", run_id)
 
 
-def scores(ws: Workspace, items: DataFrame, run_day: str, k: int = 2, max_distance: float = 0.45, embed: providers.Provider = providers.hashed_embedding) -> DataFrame:
-    """Rows (item_id, relevance): the mean rating of each item's nearest pages of the day's vectors, -1 without any."""
+def scores(ws: Workspace, items: DataFrame, run_day: str, k: int = 2, max_distance: float = 0.45, embed: providers.Provider = providers.hashed_embedding, among: bool = False) -> DataFrame:
+    """Rows (item_id, relevance): the mean rating of each item's nearest pages of the day's vectors, -1 without any.
+
+    With ``among`` the items are pages of the day themselves: an item takes one of its own ``k`` places and leaves after the cut.
+    """
     keyed = items.select("item_id", F.xxhash64("item_id").alias("vec_id"), embed(F.concat_ws(" - ", "title", "list_name", "text")).alias("embedding"))
     pages = ws.vectors.day(run_day).select(F.xxhash64("item_id").alias("vec_id"), "embedding", "item_id")
     rated = pages.join(ws.read("ratings", RATING), "item_id").select("vec_id", "user_rating")
-    near = K.knn(keyed, pages, k, "l2", max_distance=max_distance)
+    near = K.knn(keyed, pages, k, "l2", max_distance=max_distance, exclude_self=not among).where("query_id <> similar_id")
     return K.relevance(near, rated, "vec_id", "user_rating", keyed, "vec_id").join(keyed.select(F.col("vec_id").alias("query_id"), "item_id"), "query_id").select("item_id", "relevance")
 
 
@@ -136,4 +139,4 @@ def recap(ws: Workspace, run_day: str, k: int = 10) -> DataFrame:
     week = files.trailing_days(week, "ds", run_day, 7).where(F.weekday(F.lit(run_day).cast("date")) == 5)
     pages = dedup.latest(week, "item_id", "last_edited_time", "ordinal")
     items = pages.select("item_id", "title", F.col("source").alias("list_name"), F.concat_ws("\nTake aways: ", "text", "take_aways").alias("text"))
-    return pipelines.weekly(pages, scores(ws, items, run_day, 4, 0.5), k)
+    return pipelines.weekly(pages, scores(ws, items, run_day, 4, 0.5, among=True), k)

@@ -458,11 +458,21 @@ def ranking_text(spark, sf_dir):
     return c.join(before, ["conv_id", "turn"], "left").select("conv_id", "turn", text.alias("ranking_text"))
 
 
-@query(r"SELECT doc_id, md5(regexp_replace(CASE WHEN contains(text, '.' || chr(10)) THEN split_part(text, '.' || chr(10), 1) || '.' ELSE text END, '^\s+|\s+$', '', 'g')) AS summary FROM documents")
+_STRIP = "regexp_replace({}, '^\\s+|\\s+$', '', 'g')"
+_REST = f"list_aggregate(list_transform({{}}[2:], lambda p: {_STRIP.format('p')} || chr(10)), 'string_agg', '')"
+
+
+@query(f"""WITH t AS (SELECT doc_id, CASE doc_id % 5 WHEN 1 THEN replace(text, chr(10), chr(10) || chr(10)) WHEN 2 THEN replace(text, chr(10), '===')
+  WHEN 3 THEN replace(replace(text, chr(10), chr(10) || chr(10)), ', ', '===') WHEN 4 THEN '' ELSE text END AS x FROM documents),
+m AS (SELECT doc_id, x, string_split(x, '===') AS parts FROM t), b AS (SELECT *, string_split({_STRIP.format('parts[1]')}, chr(10) || chr(10)) AS blocks FROM m)
+SELECT doc_id, CASE WHEN x = '' THEN x ELSE {_STRIP.format('blocks[1]')} END AS summary, coalesce(CASE WHEN len(blocks) > 1 THEN {_REST.format('blocks')} ELSE {_REST.format('parts')} END, '') AS translation FROM b""")
 def split_summary_translation(spark, sf_dir):
-    # the first paragraph stands for a summary, the rest for its translation
-    marked = F.regexp_replace("text", r"\.\n", ".\n===\n")
-    return read(spark, sf_dir, "documents").select("doc_id", F.md5(X.split_summary(marked)["summary"]).alias("summary"))
+    # texts as they are, with blank lines, with marks, with both, and empty
+    text, lines = F.col("text"), F.replace("text", F.lit("\n"), F.lit("\n\n"))
+    kinds = [text, lines, F.replace("text", F.lit("\n"), F.lit("===")), F.replace(lines, F.lit(", "), F.lit("===")), F.when(text.isNotNull(), "")]
+    own = F.coalesce(*(F.when(F.col("doc_id") % 5 == k, x) for k, x in enumerate(kinds)))
+    parts = X.split_summary(own)
+    return read(spark, sf_dir, "documents").select("doc_id", parts["summary"].alias("summary"), parts["translation"].alias("translation"))
 
 
 @query()
@@ -478,7 +488,8 @@ def todo_explode(spark, sf_dir):
     return each.select("conv_id", "turn", F.col("pos").cast("long").alias("pos"), "item")
 
 
-@query()
+@query(r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>', ' ', 'g'),
+  '(?is)<style\b.*?</style\s*>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '&copy;', chr(169)), '&middot;', chr(183)), '&quot;', '"'), '&amp;', '&'), '[ \t\r\n\f]+', ' ', 'g')) AS text FROM pages""")
 def html_to_text(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", X.html_to_text(F.col("html")).alias("text"))
 
@@ -536,9 +547,9 @@ def score_arithmetic(spark, sf_dir):
     return e.select("event_id", F.round(R.blended(F.col("value"), F.col("event_id") % 5), 6).alias("blended"), F.round(R.falsy((F.col("event_id") % 3).cast("double"), -1.0), 6).alias("rate"))
 
 
-@query("SELECT conv_id, string_agg(role || ' ' || text, chr(10) ORDER BY turn) AS entry, count(*) AS n FROM conversations GROUP BY 1")
+@query("SELECT conv_id, string_agg(role || ' ' || text || chr(10), '' ORDER BY turn) AS entry, count(*) AS n, max(turn) AS last_created_time FROM conversations GROUP BY 1")
 def journal_concat(spark, sf_dir):
-    return render.journal(read(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text").select("conv_id", "entry", "n")
+    return render.journal(read(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text", "turn")
 
 
 @query("""WITH s AS (SELECT d.doc_id, source, lang, left(text, 30) AS title, row_number() OVER (PARTITION BY source ORDER BY d.doc_id) AS rn FROM documents d JOIN labels l ON d.doc_id = l.doc_id AND quality = 1)
@@ -695,13 +706,17 @@ def text_search(spark, sf_dir):
     return search(read(spark, sf_dir, "benchmark"), read(spark, sf_dir, "documents")).withColumn("score", F.round("score", 6))
 
 
-@query("""SELECT conv_id AS page_id, string_agg(CASE role WHEN 'user' THEN '# ' || text || chr(10) WHEN 'system' THEN '> ' || text || chr(10) ELSE text || chr(10) END, '' ORDER BY turn) AS text, count(*) AS n FROM conversations GROUP BY 1""")
+@query("""WITH a AS (SELECT conv_id, turn, role, text, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) = 'user' AS below FROM conversations),
+o AS (SELECT conv_id, turn, CASE role WHEN 'user' THEN text || chr(10) WHEN 'system' THEN text ELSE CASE WHEN coalesce(below, false) THEN list_aggregate(list_transform(string_split(text, ' '), lambda c: c || ','), 'string_agg', '') || chr(10) ELSE '- ' || text || chr(10) END END
+  || CASE WHEN role = 'user' AND lead(role) OVER (PARTITION BY conv_id ORDER BY turn) = 'assistant' THEN '' ELSE '|' END AS own FROM a)
+SELECT conv_id AS page_id, string_agg(own, '' ORDER BY turn) AS text, count(*) AS n FROM o GROUP BY 1""")
 def block_tree_text(spark, sf_dir):
     from sieveline.operators.blocks import page_text
 
-    # answers hang below the question before them
+    # answers are table rows below the toggle of the question before them, or bullets of their own
     c = read(spark, sf_dir, "conversations")
-    kind = F.when(F.col("role") == "user", "heading_1").when(F.col("role") == "system", "quote").otherwise("paragraph")
-    asked = c.where("role = 'user'").select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("turn").alias("parent_id"))
-    rows = c.join(asked, ["conv_id", "turn"], "left").withColumn("parent_id", F.when(F.col("role") == "assistant", F.col("parent_id")))
-    return page_text(rows.select(F.col("conv_id").alias("page_id"), F.col("turn").alias("block_id"), "parent_id", F.col("turn").alias("pos"), kind.alias("type"), "text"), 2)
+    asked = c.where("role = 'user'").select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("turn").alias("asked"))
+    rows = c.join(asked, ["conv_id", "turn"], "left").withColumn("parent_id", F.when(F.col("role") == "assistant", F.col("asked")))
+    kind = F.when(F.col("role") == "user", "toggle").when(F.col("role") == "system", "quote").when(F.col("parent_id").isNotNull(), "table_row").otherwise("bulleted_list_item")
+    blocks = rows.select(F.col("conv_id").alias("page_id"), F.col("turn").alias("block_id"), "parent_id", F.col("turn").alias("pos"), kind.alias("type"), "text", F.split("text", " ").alias("cells"))
+    return page_text(blocks, "|")

@@ -92,7 +92,7 @@ def test_lists_and_pages(spark):
 def test_article_video_and_properties(spark):
     a = spark.createDataFrame([("T", "u", "One. Two.\n===\nEins.")], "title string, url string, summary string")
     kinds = [(b.type, b.text) for b in render.article_blocks(a).first().blocks]
-    assert kinds == [("paragraph", "One. Two."), ("toggle", "Eins."), ("link", "T")]
+    assert kinds == [("paragraph", "One. Two."), ("toggle", "Eins.\n"), ("link", "T")]
     v = spark.createDataFrame([("", "A &amp; B", "u", None, 90.0, None, "s")], "alt_title string, title string, url string, author string, seconds double, views long, summary string")
     r = render.video_blocks(v).select("blocks", render.to_text(F.col("blocks")).alias("t")).first()
     assert r.blocks[0].text == "A & B" and r.blocks[2].text == ", 1.50 minutes, ? views" and r.t.startswith("A & B\n")

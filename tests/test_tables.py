@@ -135,7 +135,9 @@ def test_search(spark):
 def test_block_trees(spark):
     from sieveline.operators.blocks import page_text
 
-    rows = [("p", "a", None, 0, "heading_1", "A"), ("p", "b", None, 1, "paragraph", "B"), ("p", "c", "a", 0, "bulleted_list_item", "C"), ("p", "d", "c", 0, "quote", None), ("p", "e", "zz", 0, "quote", "lost"), ("q", "a", None, 0, "code", "x")]
-    df = spark.createDataFrame(rows, "page_id string, block_id string, parent_id string, pos int, type string, text string")
-    assert {r.page_id: (r.text, r.n) for r in page_text(df).collect()} == {"p": ("# A\n- C\n> \nB\n", 4), "q": ("```\nx\n```\n", 1)}
-    assert {r.page_id: r.n for r in page_text(df, 1).collect()} == {"p": 2, "q": 1}
+    rows = [("p", "a", None, 0, "toggle", "A", None), ("p", "b", None, 1, "paragraph", "B", None), ("p", "c", "a", 0, "bulleted_list_item", "C", None), ("p", "t", "a", 1, "table", None, None),
+            ("p", "r", "t", 0, "table_row", None, ["x", None, "z"]), ("p", "d", "c", 0, "quote", "under a bullet", None), ("p", "e", "zz", 0, "quote", "lost", None), ("q", "a", None, 0, "code", "x", None), ("q", "b", None, 1, "image", "y", None)]
+    deep = [("z", f"n{k}", f"n{k - 1}" if k else None, 0, "toggle", str(k), None) for k in range(9)]
+    df = spark.createDataFrame(rows + deep, "page_id string, block_id string, parent_id string, pos int, type string, text string, cells array<string>")
+    got = {r.page_id: (r.text, r.n) for r in page_text(df, "|").collect()}
+    assert got == {"p": ("A\n- C\nx,,z,\n|B|", 5), "q": ("```x```||", 2), "z": ("".join(f"{k}\n" for k in range(9)) + "|", 9)}

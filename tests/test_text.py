@@ -16,10 +16,12 @@ def test_refine_strips_and_collapses(spark):
 
 
 def test_split_summary(spark):
-    split = lambda t: tuple(one(spark, X.split_summary(F.lit(t))))
-    assert split("short\n===\nother") == ("short", "other")
-    assert split("a\n\nb\n\nc") == ("a\n\nb", "c")
-    assert split("alone") == ("alone", None)
+    split = lambda t: tuple(one(spark, X.split_summary(F.lit(t).cast("string"))))
+    assert split("short\n===\nother") == ("short", "other\n")
+    assert split("A\n\nB\n\nC") == ("A", "B\nC\n")
+    assert split("A\n\nB===C") == ("A", "B\n")
+    assert split("A===B === C") == ("A", "B\nC\n")
+    assert split("only") == ("only", "") and split("") == ("", "") and split(None) == (None, "")
 
 
 @pytest.mark.parametrize("limit", [5, 12, 100])
@@ -51,7 +53,8 @@ def test_names_and_ids(spark):
     assert one(spark, X.collection_name(F.lit("text-emb.3"), F.lit("2024-01-02"))) == "news_text_emb_3__2024_01_02"
     assert str(one(spark, R.suffix_date(F.lit("news_x__2024_01_02")))) == "2024-01-02"
     assert one(spark, X.arxiv_id(F.lit("https://arxiv.org/pdf/2301.00001v2.pdf"))) == "2301.00001"
-    assert one(spark, X.block_text(F.lit("quote"), F.lit("x"))) == "> x\n"
+    assert [one(spark, X.block_text(F.lit(k), F.lit("x"))) for k in ("quote", "toggle", "code", "image")] == ["x", "x\n", "```x```", ""]
+    assert one(spark, X.unescape(F.lit("caf&eacute; &#8217;&#x41; &amp;lt; & &nope;"))) == "café ’A &lt; & &nope;"
 
 
 def test_urls(spark):
