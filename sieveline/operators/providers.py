@@ -11,8 +11,10 @@ from collections.abc import Callable
 from functools import wraps
 from typing import Protocol
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sieveline.functions.text import strip
 
@@ -62,6 +64,25 @@ def same_language(text: Column) -> Column:
     return text
 
 
+def split_summaries(text: Column, size: int = 4000, sentences: int = 2) -> Column:
+    """Long texts in parts: a summary of each part's summaries (map, then reduce)."""
+    n = F.greatest(F.ceil(F.length(text) / size), F.lit(1)).cast("int")
+    parts = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(text, (i - 1) * size + 1, F.lit(size)))
+    return lead_summary(F.array_join(F.transform(parts, lambda p: lead_summary(p, sentences)), " "), sentences)
+
+
+def batched(call: Callable[[list[str]], list[list[float]]], size: int = 100, attempts: int = 3, delay: float = 1.0) -> Provider:
+    """A provider from a call that embeds up to ``size`` texts at a time, tried again after growing pauses."""
+    again = retrying(call, attempts, delay)
+
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def embed(texts: pd.Series) -> pd.Series:
+        own = texts.fillna("").tolist()
+        return pd.Series([v for at in range(0, len(own), size) for v in again(own[at : at + size])], dtype=object)
+
+    return embed
+
+
 REGISTRY: dict[str, dict[str, Provider]] = {
     "embed": {"hashed": hashed_embedding},
     "summarize": {"lead": lead_summary},
@@ -108,6 +129,8 @@ PROMPTS = {
     "translate": "Translate the following to {language}:\n{text}",
     "journal": "Rewrite the following notes as one journal entry:\n{text}",
     "todo": "List what is left to do in the following, one numbered line each:\n{text}",
+    "collect": "Gather what is known on the following, with references:\n{text}",
+    "deepdive": "Write a thorough article on the following, using all of the material:\n{text}",
     "classify": "Name the section, category and tags of the following as JSON:\n{text}",
 }
 

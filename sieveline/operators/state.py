@@ -2,21 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def since(items: DataFrame, watermarks: DataFrame, key: str, ts: str, strict: bool = False) -> DataFrame:
-    """Items at or (``strict``) after their key's high-water mark; keys without a mark keep all."""
-    marks = watermarks.select(F.col(key).alias("_key"), F.col("watermark").alias("_mark"))
+#: Days that values of a kind live, and how their keys are made (fixed values); kinds without days live on.
+LIVES = {"ranking": 14, "summary": 14, "embedding": 28, "vector": 28, "collection_item": 28, "page": 30}
+KEYS = {
+    "inbox_created": ("source", "list_name"), "inbox_item": ("source", "list_name", "item_id"), "toread_item": ("source", "list_name", "item_id"),
+    "toread_edited": ("source", "list_name"), "ranking": ("source", "list_name", "item_id"), "summary": ("source", "list_name", "item_id"),
+    "obsidian_item": ("source", "list_name", "item_id"), "embedding": ("source", "provider", "item_id"), "vector": ("provider", "model", "source", "item_id"),
+    "collection_item": ("source", "ds", "item_id"), "page": ("item_id",), "todo": ("item_id",), "action": ("item_id",),
+}
+
+
+def key_of(kind: str) -> Column:
+    """The key of a kind of state, from the columns that make it: ``kind_part_part``."""
+    return F.concat_ws("_", F.lit(kind), *(F.col(c).cast("string") for c in KEYS[kind]))
+
+
+def writes(items: DataFrame, kind: str, value: Column, order: Column) -> DataFrame:
+    """Writes (key, value, ttl_seconds, ord) of a kind of state for ``put``, with the kind's life."""
+    return items.select(key_of(kind).alias("key"), value.cast("string").alias("value"), F.lit(86_400 * LIVES.get(kind, 0)).alias("ttl_seconds"), order.cast("long").alias("ord"))
+
+
+def since(items: DataFrame, watermarks: DataFrame, key: str | list[str], ts: str, strict: bool = False, start: str | None = None) -> DataFrame:
+    """Items at or (``strict``) after their key's high-water mark; keys without a mark keep all, or all from ``start`` on."""
+    keys = [key] if isinstance(key, str) else key
+    marks = watermarks.select(*(F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)), F.col("watermark").alias("_mark"))
     late = F.col(ts) > F.col("_mark") if strict else F.col(ts) >= F.col("_mark")
-    return items.join(marks, F.col(key) == F.col("_key"), "left").where(F.col("_mark").isNull() | late).drop("_key", "_mark")
+    own = F.lit(True)
+    for i, k in enumerate(keys):
+        own = own & (F.col(k) == F.col(f"_key{i}"))
+    fresh = F.col("_mark").isNull() if start is None else F.col("_mark").isNull() & (F.col(ts) >= F.lit(start).cast(items.schema[ts].dataType))
+    return items.join(marks, own, "left").where(fresh | late).drop(*(f"_key{i}" for i in range(len(keys))), "_mark")
 
 
-def advance(watermarks: DataFrame, items: DataFrame, key: str, ts: str) -> DataFrame:
+def advance(watermarks: DataFrame, items: DataFrame, key: str | list[str], ts: str) -> DataFrame:
     """Rows (key, watermark): marks that only ever rise."""
-    both = watermarks.select(key, "watermark").unionByName(items.select(key, F.col(ts).alias("watermark")))
-    return both.groupBy(key).agg(F.max("watermark").alias("watermark"))
+    keys = [key] if isinstance(key, str) else key
+    both = watermarks.select(*keys, "watermark").unionByName(items.select(*keys, F.col(ts).alias("watermark")))
+    return both.groupBy(*keys).agg(F.max("watermark").alias("watermark"))
 
 
 def put(state: DataFrame, writes: DataFrame, run_ts: str, key: str = "key", overwrite: bool = False) -> DataFrame:

@@ -11,10 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.operators import dedup, providers, scoring, state
+from sieveline.functions.text import todo_items
+from sieveline.operators import dedup, providers, render, scoring, state
 from sieveline.operators import vectors as K
-from sieveline.plans import pipelines
-from sieveline.session import remove
+from sieveline.plans import actions, pipelines
+from sieveline.session import materialize, remove
 from sieveline.sinks import writers
 from sieveline.sources import feeds, files
 
@@ -22,7 +23,13 @@ ITEM = "item_id string, source string, list_name string, title string, text stri
 SEEN = "source string, list_name string, item_id string"
 MARKS = "source string, watermark timestamp"
 PAGE = "item_id string, source string, title string, text string, take_aways string, tags array<string>, user_rating double, last_edited_time timestamp, ordinal bigint"
-RATING = "item_id string, user_rating double"
+RATING = "item_id string, user_rating double, expires_at timestamp_ntz"
+VECTOR = "key string, value array<float>, expires_at timestamp_ntz"
+VISITED = "source string, ds date, item_id string, expires_at timestamp_ntz"
+VERSION = "item_id string, last_edited_time timestamp"
+NOTE = "item_id string, title string, text string, created_time timestamp"
+#: Days that a rating, an embedding and the mark of a visit live (fixed value).
+LIFE = 30
 PUBLISHED = "item_id string, source string, list_name string, title string, url string, summary string, rate double, relevance double"
 
 
@@ -71,7 +78,7 @@ def scores(ws: Workspace, items: DataFrame, run_day: str, k: int = 2, max_distan
     """
     keyed = items.select("item_id", F.xxhash64("item_id").alias("vec_id"), embed(F.concat_ws(" - ", "title", "list_name", "text")).alias("embedding"))
     pages = ws.vectors.day(run_day).select(F.xxhash64("item_id").alias("vec_id"), "embedding", "item_id")
-    rated = pages.join(ws.read("ratings", RATING), "item_id").select("vec_id", "user_rating")
+    rated = pages.join(state.get(ws.read("ratings", RATING), run_day), "item_id").select("vec_id", "user_rating")
     near = K.knn(keyed, pages, k, "l2", max_distance=max_distance, exclude_self=not among).where("query_id <> similar_id")
     return K.relevance(near, rated, "vec_id", "user_rating", keyed, "vec_id").join(keyed.select(F.col("vec_id").alias("query_id"), "item_id"), "query_id").select("item_id", "relevance")
 
@@ -109,28 +116,39 @@ def sync(ws: Workspace, pages: DataFrame, run_day: str) -> None:
     ws.replace("marks", state.advance(marks, done, "source", "last_edited_time"))
 
 
+def _expiry(run_day: str):
+    return F.lit(run_day).cast("timestamp_ntz") + F.make_dt_interval(days=F.lit(LIFE))
+
+
 def distribute(ws: Workspace, run_day: str, days: int = 30, embed: providers.Provider = providers.hashed_embedding) -> DataFrame:
-    """Bring ratings and the day's vectors up to the trailing days' snapshots; rows (change_type, n)."""
+    """Bring ratings and the day's vectors up to the trailing days' snapshots; rows (change_type, n).
+
+    Only texts that no run of the last LIFE days embedded are given to the provider; ratings and the
+    marks of what was put where live as long.
+    """
     snaps = ws.spark.read.schema(f"{PAGE}, ds date").parquet(f"{ws.path}/snapshots")
-    before = ws.read("ratings", RATING)
-    changed = pipelines.distribute(snaps, run_day, before, days)
+    before = state.get(ws.read("ratings", RATING), run_day)
+    changed = materialize(pipelines.distribute(snaps, run_day, before, days).select("item_id", F.col("user_rating").cast("double").alias("user_rating"), "change_type"), "changed-ratings", compact=True)
     latest = dedup.latest(files.trailing_days(snaps, "ds", run_day, days), "item_id", "last_edited_time", "ordinal")
-    vectors = latest.select("item_id", embed(F.concat_ws(" - ", "title", "source", "text")).alias("embedding"), F.lit(run_day).cast("date").alias("ds"))
-    remove(ws.spark, f"{ws.path}/vectors/ds={run_day}")
-    ws.vectors.insert(vectors)
-    counts = changed.groupBy("change_type").agg(F.count("*").alias("n"))
-    rows = counts.collect()
-    kept = dedup.unseen(before, changed, ["item_id"]).unionByName(changed.select("item_id", F.col("user_rating").cast("double").alias("user_rating")))
+    texts = latest.select("item_id", "source", F.concat_ws(" - ", "title", "source", "text").alias("content")).withColumn("key", F.md5("content"))
+    known = state.get(ws.read("embeddings", VECTOR), run_day)
+    vectors = materialize(state.cache_aside(texts, known, "key", embed(F.col("content"))).select("item_id", "source", "key", "value", "cached"), "page-vectors")
+    ws.vectors.drop_day(run_day)
+    ws.vectors.insert(vectors.select("item_id", F.col("value").alias("embedding"), F.lit(run_day).cast("date").alias("ds")))
+    fresh = vectors.where("not cached").select("key", "value").dropDuplicates(["key"])
+    ws.replace("embeddings", known.unionByName(fresh.withColumn("expires_at", _expiry(run_day))))
+    visits = vectors.select("source", F.lit(run_day).cast("date").alias("ds"), "item_id")
+    past = state.get(ws.read("visited", VISITED), run_day).where(F.col("ds") != F.lit(run_day).cast("date"))
+    ws.replace("visited", past.unionByName(visits.withColumn("expires_at", _expiry(run_day))))
+    rows = changed.groupBy("change_type").agg(F.count("*").alias("n"))
+    kept = dedup.unseen(before, changed, ["item_id"]).unionByName(changed.select("item_id", "user_rating").withColumn("expires_at", _expiry(run_day)))
     ws.replace("ratings", kept)
-    return ws.spark.createDataFrame(rows, counts.schema)
+    return rows
 
 
 def clean(ws: Workspace, run_day: str) -> list[str]:
     """Drop the days of vectors that are past retention."""
-    old = [str(r.ds) for r in ws.vectors.expired(run_day).collect()]
-    for ds in old:
-        remove(ws.spark, f"{ws.path}/vectors/ds={ds}")
-    return old
+    return ws.vectors.drop_expired(run_day)
 
 
 def recap(ws: Workspace, run_day: str, k: int = 10) -> DataFrame:
@@ -140,3 +158,47 @@ def recap(ws: Workspace, run_day: str, k: int = 10) -> DataFrame:
     pages = dedup.latest(week, "item_id", "last_edited_time", "ordinal")
     items = pages.select("item_id", "title", F.col("source").alias("list_name"), F.concat_ws("\nTake aways: ", "text", "take_aways").alias("text"))
     return pipelines.weekly(pages, scores(ws, items, run_day, 4, 0.5, among=True), k)
+
+
+def publish(ws: Workspace, run_day: str, k: int = 10) -> DataFrame:
+    """Write the week's recap as one page for each source; rows (source, titles, topics, n)."""
+    best = recap(ws, run_day, k).withColumn("topics", F.coalesce("tags", F.array().cast("array<string>")))
+    path = f"{ws.path}/collections/ds={run_day}"
+    render.collection(best, "source", "ordinal", "title", "topics").write.mode("overwrite").parquet(path)
+    return ws.spark.read.parquet(path)
+
+
+def journal(ws: Workspace, notes: DataFrame, run_day: str, agents: actions.Agents | None = None) -> DataFrame:
+    """The journal page of the notes since the last one's, written under the day; then the mark rises."""
+    marks = ws.read("marks", MARKS)
+    own = state.since(notes.withColumn("source", F.lit("Journal")), marks, "source", "created_time", strict=True)
+    path = f"{ws.path}/journal/ds={run_day}"
+    actions.journal_page(own, run_day, "created_time", "title", "text", "created_time", agents).write.mode("overwrite").parquet(path)
+    done = ws.spark.read.parquet(path)
+    moved = done.where("last_created_time is not null").select("source", F.col("last_created_time").alias("created_time"))
+    ws.replace("marks", state.advance(marks, moved, "source", "created_time"))
+    return done
+
+
+def todo(ws: Workspace, pages: DataFrame, run_day: str, journals: DataFrame | None = None, agents: actions.Agents | None = None) -> DataFrame:
+    """To-dos of pages in versions that have none yet, one row an item (item_id, source, pos, item, translation); then the versions are marked."""
+    seen = ws.read("todo_versions", VERSION)
+    fresh = lambda df: dedup.unseen_versions(df, seen, "item_id", "last_edited_time")
+    made = actions.todo_pages(fresh(pages), None if journals is None else fresh(journals), agents)
+    path = f"{ws.path}/todo/ds={run_day}"
+    made.select("item_id", "source", "last_edited_time", "todo", "translation_todo").write.mode("overwrite").parquet(path)
+    done = ws.spark.read.parquet(path)
+    newest = seen.unionByName(done.select("item_id", "last_edited_time")).groupBy("item_id").agg(F.max("last_edited_time").alias("last_edited_time"))
+    ws.replace("todo_versions", newest)
+    both = F.arrays_zip(todo_items(F.col("todo")).alias("item"), todo_items(F.col("translation_todo")).alias("translation"))
+    return done.select("item_id", "source", F.posexplode(both).alias("pos", "x")).select("item_id", "source", "pos", "x.item", "x.translation").where("item is not null and translation is not null")
+
+
+def deepdive(ws: Workspace, pages: DataFrame, run_day: str, iterations: int = 3, agents: actions.Agents | None = None) -> DataFrame:
+    """Articles on tagged pages that never had one; then the pages are marked."""
+    seen = ws.read("deepdives", "item_id string")
+    path = f"{ws.path}/deepdive/ds={run_day}"
+    actions.deepdive_pages(dedup.unseen(pages, seen, ["item_id"]), iterations, agents).write.mode("overwrite").parquet(path)
+    done = ws.spark.read.parquet(path)
+    ws.replace("deepdives", dedup.mark_seen(seen, done, ["item_id"]))
+    return done
