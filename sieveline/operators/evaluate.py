@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -103,3 +103,9 @@ def sweep(rows: DataFrame, score: str, actual: str, thresholds: list[float]) ->
 def macro(rows: DataFrame) -> DataFrame:
     """Unweighted means of the rates over rows."""
     return rows.agg(*(F.avg(c).alias(c) for c in ("precision", "recall", "f1", "accuracy")))
+
+
+def dedup_rates(docs: DataFrame, by: str, content: Column) -> DataFrame:
+    """Rows (by, n, duplicates, dedup_rate): how many of a group's documents repeat another one's content."""
+    each = docs.select(by, F.sha2(content, 256).alias("_h")).groupBy(by).agg(F.count("*").alias("n"), F.count_distinct("_h").alias("_d"))
+    return each.select(by, "n", (F.col("n") - F.col("_d")).alias("duplicates"), (1 - F.col("_d") / F.col("n")).alias("dedup_rate"))

@@ -28,3 +28,25 @@ def review_velocity(events: DataFrame, item: str, ts: str, started: Column, done
     run = F.lit(run_day).cast("date")
     days = F.datediff(F.coalesce(F.to_date("_to"), run), F.to_date("_from")).cast("long")
     return each.select(item, days.alias("days"), (F.col("_to").isNull() & (F.datediff(run, F.to_date("_from")) > limit)).alias("stuck"))
+
+
+def funnel(items: DataFrame, dimensions: list[str], status: str) -> DataFrame:
+    """Rows (*dimensions, n, approved, approval_rate) for each combination and its totals; the rate is that of decided items."""
+    good = F.count_if(F.col(status) == "approved")
+    decided = F.count_if(F.col(status).isin("approved", "rejected"))
+    rate = F.coalesce(F.try_divide(good, decided), F.lit(0.0))
+    return items.rollup(*dimensions).agg(F.count("*").alias("n"), good.alias("approved"), rate.alias("approval_rate"))
+
+
+def weekly_funnel(items: DataFrame, ts: str, content: Column, score: Column, top: float = 5.0) -> DataFrame:
+    """Rows (week, ingested, unique, top_scored) by the Monday that weeks begin with."""
+    rows = items.select(F.to_date(F.date_trunc("week", ts)).alias("week"), F.sha2(content, 256).alias("_h"), (score >= top).alias("_top"))
+    return rows.groupBy("week").agg(F.count("*").alias("ingested"), F.count_distinct("_h").alias("unique"), F.count_if("_top").alias("top_scored"))
+
+
+def weak_sources(items: DataFrame, source: str, ts: str, status: str, run_day: str, least: float = 0.2, silent: int = 14) -> DataFrame:
+    """Rows (source, approval_rate, last_item, low_approval, silent): sources with little approval, or nothing for ``silent`` days."""
+    good, decided = F.count_if(F.col(status) == "approved"), F.count_if(F.col(status).isin("approved", "rejected"))
+    each = items.groupBy(source).agg(F.try_divide(good, decided).alias("approval_rate"), F.max(ts).alias("last_item"))
+    days = F.datediff(F.lit(run_day).cast("date"), F.to_date("last_item"))
+    return each.select(source, "approval_rate", "last_item", F.coalesce(F.col("approval_rate") < least, F.lit(False)).alias("low_approval"), (days >= silent).alias("silent"))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sieveline.plans import store_queries  # noqa: F401  (adds its queries)
 from sieveline.plans.queries import QUERIES, SQL
 
 

@@ -113,20 +113,20 @@ m AS (SELECT vec_id, max(list_cosine_similarity(a, b)) AS best FROM n, e GROUP B
 
 def _split(spark, sf_dir, compat=False):
     v = read(spark, sf_dir, "embeddings").withColumn("key", F.sha2(F.to_json("embedding"), 256))
-    return K.split_new(_searched(v), v.where("vec_id % 100 <> 0"), 0.35, compat=compat, content_col="key")
+    return K.split_new(_searched(v), v.where("vec_id % 100 <> 0"), 0.375, compat=compat, content_col="key")
 
 
-@query(_NEW + "best < 0.35")
+@query(_NEW + "best < 0.375")
 def incremental_dedup_unique(spark, sf_dir):
     return _split(spark, sf_dir).where("not is_duplicate").select("vec_id")
 
 
-@query(_NEW + "best >= 0.35")
+@query(_NEW + "best >= 0.375")
 def incremental_dedup_dups(spark, sf_dir):
     return _split(spark, sf_dir).where("is_duplicate").select("vec_id")
 
 
-@query(_NEW + "best < 0.35")
+@query(_NEW + "best < 0.375")
 def incremental_dedup_compat(spark, sf_dir):
     return _split(spark, sf_dir, True).where("not is_duplicate").select("vec_id")
 
@@ -147,8 +147,12 @@ def weekly_scored(spark, sf_dir):
 
 @query("SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS ds, count(*) AS n FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-20' - 3 GROUP BY 1")
 def vector_retention(spark, sf_dir):
-    e = read(spark, sf_dir, "events").select(F.to_date("ts").alias("ds"))
-    return e.where(F.col("ds") <= F.date_sub(F.lit(RUN_DAY).cast("date"), 3)).groupBy(F.col("ds").cast("string").alias("ds")).agg(F.count("*").alias("n"))
+    from sieveline.session import shared_path
+
+    c = K.Collection(spark, shared_path(spark, "collection"))
+    c.create()
+    c.insert(read(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("item_id"), F.array(F.col("value").cast("float")).alias("embedding"), F.to_date("ts").alias("ds")))
+    return c.stats().join(c.expired(RUN_DAY), "ds").select(F.col("ds").cast("string").alias("ds"), "n")
 
 
 @query("SELECT 'news_' || regexp_replace(source, '\\W+', '_', 'g') || '__' || '2024_01_20' AS name, count(*) AS n FROM documents GROUP BY 1")
@@ -157,11 +161,12 @@ def collection_names(spark, sf_dir):
     return d.groupBy(X.collection_name(F.col("source"), F.lit(RUN_DAY)).alias("name")).agg(F.count("*").alias("n"))
 
 
-@query("""SELECT q.vec_id AS query_id, e.label AS rating, count(*) AS n FROM (SELECT vec_id, vec_id + 1 AS other FROM embeddings WHERE vec_id % 100 = 0) q JOIN embeddings e ON e.vec_id = q.other GROUP BY ALL""")
+@query("SELECT q.vec_id AS query_id, round(coalesce(avg(e.label), -1), 6) AS relevance FROM embeddings q LEFT JOIN embeddings e ON e.vec_id IN (q.vec_id + 1, q.vec_id + 7) WHERE q.vec_id % 100 = 0 GROUP BY 1")
 def metadata_lookup_join(spark, sf_dir):
     v = read(spark, sf_dir, "embeddings")
-    hits = _searched(v).select(F.col("vec_id").alias("query_id"), (F.col("vec_id") + 1).alias("vec_id"))
-    return hits.join(v.select("vec_id", "label"), "vec_id").groupBy("query_id", F.col("label").alias("rating")).agg(F.count("*").alias("n"))
+    q = _searched(v)
+    hits = q.select(F.col("vec_id").alias("query_id"), F.explode(F.array(F.col("vec_id") + 1, F.col("vec_id") + 7)).alias("similar_id"))
+    return K.relevance(hits, v, "vec_id", "label", q, "vec_id").withColumn("relevance", F.round("relevance", 6))
 
 
 # --- exact deduplication, state and merging --------------------------------------------------
@@ -330,16 +335,32 @@ def batch_numbers(spark, sf_dir):
     return chunking.batch_numbers(read(spark, sf_dir, "documents").select("source", "doc_id"), "source", "doc_id", 100)
 
 
-@query("SELECT conv_id, turn FROM conversations WHERE role = 'user' AND (turn >= 4 OR contains(text, 'tion'))")
+def _pages(spark, sf_dir):
+    """Documents as rated pages: five stars for good ones, take-aways on English ones, two tags each."""
+    d = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id", "left")
+    return d.select(
+        F.col("doc_id").cast("string").alias("item_id"), F.col("doc_id").alias("ordinal"), "source", (F.col("quality") * 5).cast("double").alias("user_rating"),
+        F.when(F.col("lang") == "en", F.left("text", F.lit(30))).otherwise("").alias("take_aways"),
+        F.array(F.col("lang"), F.when(F.col("toxic") == 1, "action:deepdive").otherwise("t")).alias("tags"), F.lit(RUN_DAY).cast("timestamp").alias("last_edited_time"), "text",
+    )
+
+
+_PAGES = """p AS (SELECT d.doc_id, d.source, d.lang, d.text, CAST(quality * 5 AS DOUBLE) AS user_rating, CASE WHEN lang = 'en' THEN left(text, 30) ELSE '' END AS take_aways, coalesce(toxic, 0) = 1 AS deep
+FROM documents d LEFT JOIN labels USING (doc_id))"""
+
+
+@query(f"""WITH {_PAGES}, r AS (SELECT p.*, coalesce(CAST(e.label AS DOUBLE), -1) AS relevance FROM p LEFT JOIN embeddings e ON e.vec_id = p.doc_id WHERE user_rating >= 4 OR take_aways <> '')
+SELECT CAST(doc_id AS VARCHAR) AS item_id, user_rating, relevance, round(0.8 * user_rating + 0.2 * relevance, 6) AS blended FROM r WHERE 0.8 * user_rating + 0.2 * relevance >= 4 ORDER BY relevance DESC, doc_id LIMIT 40""")
 def takeaway_filter(spark, sf_dir):
-    c = read(spark, sf_dir, "conversations").where("role = 'user'")
-    return c.where((F.col("turn") >= 4) | F.col("text").contains("tion")).select("conv_id", "turn")
+    relevance = read(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("item_id"), F.col("label").cast("double").alias("relevance"))
+    return pipelines.weekly(_pages(spark, sf_dir), relevance, 40, post=4.0).select("item_id", "user_rating", "relevance", F.round("blended", 6).alias("blended"))
 
 
-@query("""SELECT doc_id, source FROM documents WHERE source NOT IN ('src0', 'src5') AND NOT list_contains(['src1', lang], 'de')""")
+@query(f"WITH {_PAGES} SELECT CAST(doc_id AS VARCHAR) AS item_id, source FROM p WHERE take_aways <> '' AND source <> 'TODO' AND NOT deep AND doc_id % 3 <> 0")
 def exclude_tags(spark, sf_dir):
-    d = read(spark, sf_dir, "documents").withColumn("tags", F.array(F.lit("src1"), F.col("lang")))
-    return d.where(~F.col("source").isin("src0", "src5") & ~F.array_contains("tags", "de")).select("doc_id", "source")
+    pages = _pages(spark, sf_dir)
+    seen = pages.where("ordinal % 3 = 0").select("item_id", "last_edited_time")
+    return pipelines.todos(pages, seen).select("item_id", "source")
 
 
 @query(f"""WITH s AS ({_SCORED}), t AS (SELECT s.*, length(text) AS n FROM s JOIN documents USING (doc_id)) SELECT doc_id, (score > 0 AND score < 4) OR n > 2000 AS skipped FROM t""")
@@ -361,10 +382,10 @@ def stage_stats(spark, sf_dir):
     return scoring.stage_counts({"input": d, "deduped": fresh, "long": d.where(F.length("text") >= 1000)}, "source")
 
 
-@query("SELECT source, round(1 - count(DISTINCT text) / count(*), 6) AS dedup_rate FROM documents GROUP BY 1")
+@query("SELECT source, count(*) AS n, count(*) - count(DISTINCT text) AS duplicates, round(1 - count(DISTINCT text) / count(*), 6) AS dedup_rate FROM documents GROUP BY 1")
 def dedup_rate(spark, sf_dir):
-    d = read(spark, sf_dir, "documents").select("source", F.sha2("text", 256).alias("h"))
-    return d.groupBy("source").agg(F.round(1 - F.count_distinct("h") / F.count("*"), 6).alias("dedup_rate"))
+    rates = evaluate.dedup_rates(read(spark, sf_dir, "documents"), "source", F.col("text"))
+    return rates.withColumn("dedup_rate", F.round("dedup_rate", 6))
 
 
 # --- evaluation -------------------------------------------------------------------------------
@@ -575,10 +596,11 @@ def index_pages_map(spark, sf_dir):
 @query("""WITH s AS (SELECT source, lang, CASE WHEN quality IS NULL THEN 'pending' WHEN quality = 1 THEN 'approved' ELSE 'rejected' END AS status FROM documents LEFT JOIN labels USING (doc_id))
 SELECT source, lang, count(*) AS n, CAST(count(*) FILTER (status = 'approved') AS BIGINT) AS approved, round(coalesce(count(*) FILTER (status = 'approved') / nullif(count(*) FILTER (status <> 'pending'), 0), 0), 6) AS approval_rate FROM s GROUP BY ROLLUP (source, lang)""")
 def funnel_metrics(spark, sf_dir):
+    from sieveline.operators.health import funnel
+
+    status = F.when(F.col("quality").isNull(), "pending").when(F.col("quality") == 1, "approved").otherwise("rejected")
     d = read(spark, sf_dir, "documents").select("doc_id", "source", "lang").join(read(spark, sf_dir, "labels"), "doc_id", "left")
-    good = F.count_if(F.col("quality") == 1)
-    rate = F.coalesce(F.try_divide(good, F.count("quality")), F.lit(0.0))
-    return d.rollup("source", "lang").agg(F.count("*").alias("n"), good.alias("approved"), F.round(rate, 6).alias("approval_rate"))
+    return funnel(d.withColumn("status", status), ["source", "lang"], "status").select("source", "lang", "n", "approved", F.round("approval_rate", 6).alias("approval_rate"))
 
 
 @query("""WITH h AS (SELECT user_id, ts, event_type = 'error' AS failed, sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM events),
@@ -655,27 +677,31 @@ def _seen(spark, sf_dir):
 
 
 def _scores(spark, sf_dir):
-    """The ratings of each document's vector, by id; documents without one are unknown."""
-    return read(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("item_id"), F.col("label").cast("double").alias("relevance"))
+    """The mean rating of the two nearest vectors of each searched one, for the document of its id; others are unknown."""
+    v = read(spark, sf_dir, "embeddings")
+    q = _searched(v)
+    found = K.relevance(K.knn(q, v, 2), v, "vec_id", "label", q, "vec_id")
+    return found.select(F.col("query_id").cast("string").alias("item_id"), "relevance")
 
 
 def _limits(spark):
     return spark.range(1).select(F.explode(R.thresholds(F.lit("src1:8,src2:9"))).alias("list_name", "min_score"))
 
 
-_PIPE = """i AS (SELECT d.doc_id, d.source, d.text, coalesce(CAST(e.label AS DOUBLE), -1) AS relevance FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id
+_PIPE = f"""{_COS}, r AS (SELECT query_id, avg(label) AS relevance FROM k WHERE rn <= 2 GROUP BY 1),
+i AS (SELECT d.doc_id, d.source, d.text, coalesce(r.relevance, -1) AS relevance FROM documents d LEFT JOIN r ON r.query_id = d.doc_id
 WHERE d.doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1))"""
 
 
-@query(f"WITH {_PIPE} SELECT CAST(doc_id AS VARCHAR) AS item_id, relevance, -1.0::DOUBLE AS rate FROM i WHERE relevance < 0 OR relevance >= 4 ORDER BY relevance DESC, doc_id LIMIT 1")
+@query(f"WITH {_PIPE} SELECT CAST(doc_id AS VARCHAR) AS item_id, relevance, -1.0::DOUBLE AS rate FROM i WHERE relevance < 0 OR relevance >= 4 ORDER BY relevance DESC, doc_id LIMIT 25")
 def pipeline_rss(spark, sf_dir):
-    return pipelines.rss(_items(spark, sf_dir), _seen(spark, sf_dir), _scores(spark, sf_dir)).select("item_id", "relevance", "rate")
+    return pipelines.rss(_items(spark, sf_dir), _seen(spark, sf_dir), _scores(spark, sf_dir), pipelines.Config(k=25)).select("item_id", "relevance", "rate")
 
 
-_KEPT = f"{_PIPE}, k AS (SELECT * FROM i WHERE relevance < 0 OR relevance >= CASE source WHEN 'src1' THEN 8 WHEN 'src2' THEN 9 ELSE 4 END)"
+_KEPT = f"{_PIPE}, kept AS (SELECT * FROM i WHERE relevance < 0 OR relevance >= CASE source WHEN 'src1' THEN 8 WHEN 'src2' THEN 9 ELSE 4 END)"
 
 
-@query(f"WITH {_KEPT} SELECT CAST(doc_id AS VARCHAR) AS item_id, relevance, round(CASE WHEN length(text) > 2000 THEN -2 ELSE least(1, (length(text) // 2) / 1000) * 100 END, 4) AS rate FROM k")
+@query(f"WITH {_KEPT} SELECT CAST(doc_id AS VARCHAR) AS item_id, relevance, round(CASE WHEN length(text) > 2000 THEN -2 ELSE least(1, (length(text) // 2) / 1000) * 100 END, 4) AS rate FROM kept")
 def pipeline_twitter(spark, sf_dir):
     out = pipelines.twitter(_items(spark, sf_dir), _seen(spark, sf_dir), _scores(spark, sf_dir), _limits(spark))
     return out.select("item_id", "relevance", F.round("rate", 4).alias("rate"))

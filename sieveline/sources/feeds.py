@@ -82,7 +82,8 @@ def listing_posts(answers: DataFrame, answer: str = "answer") -> DataFrame:
     parsed = answers.select(F.from_json(answer, LISTING).alias("a")).select(F.posexplode("a.data.children").alias("ordinal", "c")).select("ordinal", "c.data.*")
     utc = F.timestamp_seconds("created_utc")
     link = flags(F.col("url"))
-    at = F.col("created_utc").cast("double").cast("string")
+    # plain decimals with at least one place, whatever the size: 1700000000.0
+    at = F.regexp_replace(F.regexp_replace(F.col("created_utc").cast("decimal(24,6)").cast("string"), "0+$", ""), r"\.$", ".0")
     return parsed.select(
         "id", F.col("name").alias("long_id"), surrogate_key(F.col("subreddit"), F.col("title"), F.col("author"), at).alias("hash_id"),
         F.col("created_utc").alias("timestamp"), utc.alias("created_time"), utc.cast("timestamp_ntz").alias("datetime_utc"),
