@@ -19,6 +19,16 @@ from pyspark.sql import types as T
 SLICE_BYTES = 1 << 20
 
 
+#: What this worker remembers between tasks: functions that forget it.
+CACHES: list[Callable[[], None]] = []
+
+
+def forget() -> None:
+    """Drop what other operators left in this worker's memory."""
+    for clear in CACHES:
+        clear()
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the offsets of its rows; null is empty."""
     if column.null_count:
@@ -71,6 +81,7 @@ def map_text(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for whole in batches:
             for part in slices(whole, 0):
                 out = fn(part.column(0))

@@ -7,7 +7,7 @@ sequences of equal length form a bucket that a trainer can batch as it is (``buc
 logarithm of the length). Documents never move: tokenising and cutting is one narrow pass.
 
 Chunks between ASCII white space are tokenised once for each worker and remembered, up to
-``MEMORY_BYTES`` and none longer than ``LONG``. That gives the tokenizer's own ids where its
+``MEMORY_BYTES`` and none longer than ``LONG``, until the worker turns to another operator. That gives the tokenizer's own ids where its
 normalisation and pre-tokenisation treat white space as a boundary that leaves no token; whether they
 do is read from the tokenizer's file (`splits_at_blanks`), and other tokenizers are given whole texts.
 Chunks are lower-cased first if the tokenizer does so, but only ASCII ones that hold no added token's
@@ -32,12 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sieveline.llm.batches import slices
+from sieveline.llm.batches import CACHES, slices
 
 MAX_TOKENS = 2048
 END = 1
 #: Bytes of chunks, their ids and some 200 for the entry of each that a worker remembers.
-MEMORY_BYTES = 64 << 20
+MEMORY_BYTES = 128 << 20
 _ENTRY = 200
 #: Bytes of the longest chunk that is remembered.
 LONG = 64
@@ -51,6 +51,7 @@ _ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 
 #: Tokenizers and remembered chunks of this worker, by path.
 _LOADED: dict[str, Callable[[list[str | None]], list[bytes]]] = {}
+CACHES.append(_LOADED.clear)
 
 
 def _flat(part: dict | None, inner: str) -> list[dict]:
