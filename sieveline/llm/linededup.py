@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sieveline.llm.batches import slices
+from sieveline.llm.batches import forget, slices
 from sieveline.session import materialize
 
 MIN_CHARS = 40
@@ -45,6 +45,7 @@ def line_keys(docs: DataFrame, doc_id: str, text: str, min_chars: int) -> DataFr
     inner = T.StructType([T.StructField("doc", docs.schema[doc_id].dataType), *(T.StructField(n, T.LongType()) for n in ("part", "high", "low"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for whole in batches:
             for part in slices(whole, 0):
                 row, high, low = [], [], []
@@ -96,6 +97,7 @@ def dedup_lines(
     inner = T.StructType([*tagged.schema.fields, T.StructField("_n_lines", T.LongType()), T.StructField("_n_dropped", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for whole in batches:
             for part in slices(whole, at):
                 kept, lines, gone = [], [], []
