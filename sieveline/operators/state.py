@@ -67,12 +67,16 @@ def get(state: DataFrame, run_ts: str) -> DataFrame:
     return state.where(F.col("expires_at").isNull() | (F.col("expires_at") > F.lit(run_ts).cast("timestamp_ntz")))
 
 
-def cache_aside(items: DataFrame, cache: DataFrame, key: str, compute) -> DataFrame:
-    """Items with ``value`` and ``cached``: the cached value, or ``compute`` (a column) for the misses alone."""
+def cache_aside(items: DataFrame, cache: DataFrame, key: str, compute: Column) -> DataFrame:
+    """Items with ``value`` and ``cached``: the cached value, or ``compute`` (a column) for the misses alone.
+
+    Hits and misses part before the computation: a Python provider inside a condition would run for all rows.
+    """
     known = cache.select(F.col(key).alias("_key"), F.col("value").alias("_value"))
-    joined = items.join(known, F.col(key) == F.col("_key"), "left")
-    value = F.when(F.col("_key").isNotNull(), F.col("_value")).otherwise(compute)
-    return joined.withColumn("value", value).withColumn("cached", F.col("_key").isNotNull()).drop("_key", "_value")
+    same = F.col(key) == F.col("_key")
+    hits = items.join(known, same).withColumn("value", F.col("_value")).withColumn("cached", F.lit(True)).drop("_key", "_value")
+    misses = items.join(known, same, "left_anti").withColumn("value", compute).withColumn("cached", F.lit(False))
+    return hits.unionByName(misses)
 
 
 def pending_patches(patches: DataFrame, applied: DataFrame, order_col: str = "order_id") -> DataFrame:

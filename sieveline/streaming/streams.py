@@ -28,13 +28,16 @@ def windowed_counts(stream: DataFrame, ts: str, by: list[str], length: str = "1
 def latest(stream: DataFrame, key: str, version: str) -> DataFrame:
     """Each key's row of newest version, whenever it changes (update mode); of equal versions the first stays.
 
-    The state of a key is one value, its newest version.
+    The state of a key is one value, its newest version. Rows without a version are left out.
     """
     kind = stream.schema[version].dataType.simpleString()
 
     def newest(_key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         best, known = None, state.get[0] if state.exists else None
         for part in parts:
+            part = part[part[version].notna()]
+            if part.empty:
+                continue
             top = part.loc[[part[version].idxmax()]]
             if best is None or top[version].iloc[0] > best[version].iloc[0]:
                 best = top

@@ -86,3 +86,16 @@ def test_journal_todo_and_deepdive(spark, tmp_path):
     (dive,) = jobs.deepdive(ws, own, "2024-01-05", 2).collect()
     assert dive.item_id == "r" and len(dive.versions) == 2 and dive.deepdive == dive.versions[1] and dive.deepdive.startswith("dig here. And there. Deep. (version 2)\n\n")
     assert jobs.deepdive(ws, own, "2024-01-06", 2).collect() == []
+
+
+def test_a_python_provider_sees_the_misses_alone(spark):
+    from sieveline.operators import providers, state
+
+    def embed(texts):
+        assert set(texts) == {"new"}, texts
+        return [[1.0] for _ in texts]
+
+    items = spark.createDataFrame([("a", "old"), ("b", "new"), (None, "new")], "key string, text string")
+    cache = spark.createDataFrame([("a", [0.0])], "key string, value array<float>")
+    got = state.cache_aside(items, cache, "key", providers.batched(embed, 1)(F.col("text"))).collect()
+    assert {(r.key, tuple(r.value), r.cached) for r in got} == {("a", (0.0,), True), ("b", (1.0,), False), (None, (1.0,), False)}
