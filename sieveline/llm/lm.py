@@ -196,16 +196,17 @@ def _score(buckets: int, order: int, alpha: float, min_count: int, kind: pa.Data
 
 def score(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, alpha: float = ALPHA, min_count: int = MIN_COUNT,
-    buckets: int | None = None, group_bytes: int = GROUP_BYTES,
+    buckets: int | None = None, group_bytes: int | None = None,
 ) -> DataFrame:
     """One row (doc_id, n_words, n_backed_off, log_score, mean_log_score) per document row.
 
     ``log_score`` is the sum of the logarithms of S over its words, ``n_backed_off`` counts those that
-    fell back to single words. ``buckets`` ranges of hashes follow the size of the texts unless given.
+    fell back to single words. ``buckets`` ranges of hashes and groups of ``group_bytes`` follow the size of
+    the texts unless given: small inputs still make a dozen of either, so that all cores have work.
     """
-    if not buckets:
+    if not (buckets and group_bytes):
         size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
-        buckets = max(12, -(-size // RANGE_BYTES))
+        buckets, group_bytes = buckets or max(12, -(-size // RANGE_BYTES)), group_bytes or min(GROUP_BYTES, max(1, size // 12))
     kind = docs.schema[doc_id].dataType
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     groups = rows.mapInArrow(_grouped(group_bytes), "part long, body binary").repartition("part")
