@@ -50,18 +50,6 @@ def _lowered(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return buf, offsets, *W.words(buf, offsets, W.ALNUM)
 
 
-def _single_spaced(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """The words with one blank after each, and where each begins (and the end)."""
-    lengths = e - s
-    begin = np.concatenate([[0], np.cumsum(lengths + 1)])
-    if not len(s):
-        return b"", begin
-    take = np.repeat(s - begin[:-1], lengths + 1) + np.arange(begin[-1])
-    joined = buf[np.minimum(take, len(buf) - 1)]
-    joined[begin[1:] - 1] = 0x20
-    return joined.tobytes(), begin
-
-
 def item_windows(benchmark: DataFrame, item_id: str, text: str, size: int) -> DataFrame:
     """Rows (item, wid, words): every window of every item, its words joined by blanks and their 128-bit hash."""
     inner = T.StructType([T.StructField("item", benchmark.schema[item_id].dataType), T.StructField("wid", T.BinaryType()), T.StructField("words", T.StringType())])
@@ -70,7 +58,7 @@ def item_windows(benchmark: DataFrame, item_id: str, text: str, size: int) -> Da
         for whole in batches:
             for part in slices(whole, 0):
                 buf, _, s, e, first = _lowered(part.column(0))
-                raw, begin = _single_spaced(buf, s, e)
+                raw, begin = W.single_spaced(buf, s, e)
                 n = np.diff(first)
                 many = np.where(n > 0, np.maximum(n - size, 0) + 1, 0)
                 row = np.repeat(np.arange(len(n)), many)

@@ -1,4 +1,4 @@
-"""The ten operators as queries over whole tables, and the pipeline."""
+"""The twelve operators as queries over whole tables, and the pipeline."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm import chat, decontam, linededup, lm, packing, quality, secrets, simhash, urlfilter, warc
+from sieveline.llm import chat, decontam, licenses, linededup, lm, packing, quality, secrets, simhash, spelling, urlfilter, warc
 from sieveline.session import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -49,7 +49,8 @@ def op7_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.array(*map(F.lit, secrets.KINDS))
     base = F.filter("spans", lambda s: s.kind < 3)
     text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s.kind + 1), s.start, s.end)), ",")
-    counts = [F.size(F.filter("spans", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{secrets.KINDS[k]}") for k in range(3)]
+    kinds = F.transform("spans", lambda s: s.kind)
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{secrets.KINDS[k]}") for k in range(3)]
     return found.select("doc_id", *counts, F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
 
 
@@ -69,6 +70,15 @@ def op10_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), spoil_every=199)
+    return spelling.variants(words)
+
+
+def op12_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")), ["doc_id"])
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -76,7 +86,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op1_preference_pairs, op2_quality_trees, op3_decontaminate, op4_warc_bundles, op5_line_dedup, op6_simhash_ball, op7_secret_owners, op8_stupid_backoff, op9_power_of_two, op10_url_cascade)
+    ops = (op1_preference_pairs, op2_quality_trees, op3_decontaminate, op4_warc_bundles, op5_line_dedup, op6_simhash_ball, op7_secret_owners, op8_stupid_backoff, op9_power_of_two, op10_url_cascade, op11_spelling_variants, op12_license_notices)
     return {f.__name__: f for f in (*ops, pipeline)}
 
 
@@ -180,8 +190,31 @@ FROM p LEFT JOIN f ON p.host = f.host AND p.path = f.path LEFT JOIN b ON p.host
 """
 
 
+_OP11 = rf"""
+WITH RECURSIVE t AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+r AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+d AS (SELECT doc_id, run, count(*) AS n FROM r WHERE length(run) >= 6 GROUP BY ALL),
+b AS (
+  SELECT *, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)] ELSE [192 + (unicode(x) >> 6), 128 + (unicode(x) & 63)] END)) AS bytes FROM d),
+h AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295, bytes::BIGINT[]), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM b, t),
+s AS (SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM h),
+w AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM s WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+x AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+p AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM x a JOIN x b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM x a JOIN w b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM x a JOIN w b ON a.rest = b.word),
+f AS (SELECT word, count(*) AS n_near, max(m) AS m, min_by(other, (-m, other)) AS other FROM p GROUP BY word),
+g AS MATERIALIZED (SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * n THEN other END AS form, CASE WHEN m >= 5 * n THEN m END AS form_n FROM w LEFT JOIN f USING (word)),
+o AS (SELECT word, word AS root FROM g WHERE form IS NULL UNION ALL SELECT g.word, o.root FROM o JOIN g ON g.form = o.word)
+SELECT word, n, n_near, form, form_n, root FROM g JOIN o USING (word)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """SQL for the operators that SQL can express: the tree model, XXH64, the tokenizer and the secret verdicts it cannot."""
+    """SQL for the operators that SQL can express: the tree model, XXH64, the tokenizer, the secret verdicts and bounded-error matching it cannot."""
     return {
         "op1_preference_pairs": _OP1,
         "op3_decontaminate": _OP3,
@@ -189,4 +222,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_line_dedup": _OP5,
         "op8_stupid_backoff": _OP8,
         "op10_url_cascade": _OP10,
+        "op11_spelling_variants": _OP11,
     }

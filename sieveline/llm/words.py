@@ -38,6 +38,18 @@ def words(buf: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.nd
     return s, e, np.searchsorted(s, offsets)
 
 
+def single_spaced(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The words with one blank after each, and where each begins (and the end)."""
+    lengths = e - s
+    begin = np.concatenate([[0], np.cumsum(lengths + 1)])
+    if not len(s):
+        return b"", begin
+    take = np.repeat(s - begin[:-1], lengths + 1) + np.arange(begin[-1])
+    joined = buf[np.minimum(take, len(buf) - 1)]
+    joined[begin[1:] - 1] = 0x20
+    return joined.tobytes(), begin
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * _B
     h = (h ^ (h >> np.uint64(27))) * _C
