@@ -18,11 +18,12 @@ def test_queries_match_their_sql(spark):
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{DATA}/{t}.parquet')")
+    from jobs import queries as jobs
     from sieveline.plans import catalog
 
     wrong = []
-    for name, sql in catalog.oracle_sql().items():
-        got, want = catalog.queries()[name](spark, DATA), con.execute(sql)
+    for name, sql in (catalog.oracle_sql() | jobs.oracle_sql()).items():
+        got, want = (catalog.queries() | jobs.queries())[name](spark, DATA), con.execute(sql)
         columns = [d[0] for d in want.description]
         if sorted(columns) != sorted(got.columns):
             wrong.append((name, "columns", sorted(columns), sorted(got.columns)))
@@ -56,12 +57,13 @@ def test_the_rest_works_without_the_llm_subpackage(tmp_path):
         import sys
         import __spark_entry__ as e
         assert not any(m.startswith('sieveline.llm') for m in sys.modules), sys.modules
-        assert 'relevance_topk' in e.queries() and 'pipeline' not in e.queries(), sorted(e.queries())
+        assert {'relevance_topk', 'job1_article_intake', 'job2_weekly_collection'} <= set(e.queries()) and 'pipeline' not in e.queries(), sorted(e.queries())
         assert set(e.oracle_sql()) <= set(e.queries())
     """)
     for name in os.listdir(ROOT):
         if name.endswith(".py") and name != "corpus_pipeline.py":
             os.symlink(f"{ROOT}/{name}", tmp_path / name)
+    os.symlink(f"{ROOT}/jobs", tmp_path / "jobs")
     (tmp_path / "sieveline").mkdir()
     for name in os.listdir(f"{ROOT}/sieveline"):
         if name not in ("llm", "__pycache__"):
