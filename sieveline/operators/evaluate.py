@@ -2,91 +2,13 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 from sieveline.operators.scoring import confusion
 
 #: Containment from which a text counts as found in the truth.
 OVERLAP = 0.3
-#: Bytes of one broadcast incidence matrix.
-CELLS = 32 << 20
-
-
-_WHITE = re.compile(r"\s+", re.ASCII)
-
-
-def word_set(text: str | None) -> set[str]:
-    """The distinct lower-cased tokens between (ASCII) white space."""
-    return set(_WHITE.split(text.lower())) - {""} if text else set()
-
-
-def best_containment(docs: DataFrame, truth: DataFrame, doc_id: str, item_id: str, text: str = "text", cells: int = CELLS) -> DataFrame:
-    """Rows (doc_id, item_id, overlap): for each document the truth text that contains most of it, or that it contains.
-
-    The overlap is the number of shared tokens over the smaller of both token sets (0 if one is
-    empty); ties go to the smaller item. The truth is the stated set: it goes out in broadcast
-    blocks of at most ``cells`` bytes (one for each text and token), and each pass over the documents multiplies their
-    tokens with the block's incidence matrix. No pairs are shuffled.
-    """
-    kinds = docs.schema[doc_id].dataType, truth.schema[item_id].dataType
-
-    def block(rows: list[tuple[object, set[str]]]) -> DataFrame:
-        ids, sets = [r[0] for r in rows], [r[1] for r in rows]
-        words = {t: i for i, t in enumerate(dict.fromkeys(t for s in sets for t in s))}
-        holds = np.zeros((len(words) + 1, len(rows)), np.uint8)
-        for k, s in enumerate(sets):
-            holds[[words[t] for t in s], k] = 1
-        shared_ = docs.sparkSession.sparkContext.broadcast((words, holds, np.array([len(s) for s in sets])))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            words, holds, sizes = shared_.value
-            for batch in batches:
-                best, over = [], []
-                for text_ in batch.column(1).to_pylist():
-                    own = word_set(text_)
-                    known = np.fromiter((words[t] for t in own & words.keys()), np.int64)
-                    least = np.minimum(sizes, len(own))
-                    # sums of bytes in 16 bits, a part at a time
-                    shared = sum(holds[known[i : i + 60_000]].sum(axis=0, dtype=np.uint16).astype(np.int64) for i in range(0, max(len(known), 1), 60_000))
-                    share = np.divide(shared, least, out=np.zeros(len(ids)), where=least > 0)
-                    k = int(np.argmax(share))
-                    best.append(ids[k])
-                    over.append(float(share[k]))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best, arrow), pa.array(over)], names=["d", "i", "overlap"])
-
-        arrow = to_arrow_type(kinds[1])
-        inner = T.StructType([T.StructField("d", kinds[0]), T.StructField("i", kinds[1]), T.StructField("overlap", T.DoubleType())])
-        own = docs.select(F.col(doc_id).alias("d"), F.col(text).cast("string").alias("t"))
-        return own.mapInArrow(run, inner)
-
-    listed = truth.select(F.col(item_id).alias("item"), F.col(text).cast("string").alias("text")).orderBy("item")
-    parts, rows, words = [], [], set()
-    for row in listed.toLocalIterator():
-        own = word_set(row.text)
-        if rows and (len(rows) + 1) * len(words | own) > cells:
-            parts.append(block(rows))
-            rows, words = [], set()
-        rows.append((row.item, own))
-        words |= own
-    if rows:
-        parts.append(block(rows))
-    if not parts:
-        return docs.select(doc_id, F.lit(None).cast(kinds[1]).alias(item_id), F.lit(0.0).alias("overlap"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    if len(parts) > 1:
-        best = out.groupBy("d").agg(F.max_by(F.struct("i", "overlap"), F.struct("overlap", -F.col("i"))).alias("b"))
-        out = best.select("d", "b.i", "b.overlap")
-    return out.select(F.col("d").alias(doc_id), F.col("i").alias(item_id), "overlap")
 
 
 def evaluate_kept(kept: DataFrame, is_kept: str, overlap: str, threshold: float = OVERLAP, by: list[str] | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +10,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sieveline.operators.evaluate import CELLS, word_set
+#: Bytes of one broadcast incidence matrix.
+CELLS = 32 << 20
+#: Scores that a worker holds at a time.
+SCORES = 1 << 20
+_WHITE = re.compile(r"\s+", re.ASCII)
+
+
+def word_set(text: str | None) -> set[str]:
+    """The distinct lower-cased tokens between (ASCII) white space."""
+    return set(_WHITE.split(text.lower())) - {""} if text else set()
 
 
 def search(queries: DataFrame, docs: DataFrame, k: int = 3, query_id: str = "item_id", doc_id: str = "doc_id", text: str = "text", cells: int = CELLS) -> DataFrame:
@@ -17,7 +27,7 @@ def search(queries: DataFrame, docs: DataFrame, k: int = 3, query_id: str = "ite
 
     Ties go to the smaller id; documents that share nothing are not found. Ids are whole numbers.
     The query set goes out in broadcast blocks of at most ``cells`` bytes; every task keeps ``k``
-    documents a query, so that what is shuffled is ``k`` rows a query and task.
+    documents a query and scores a slice of rows at a time, so that what is shuffled is ``k`` rows a query and task.
     """
     own = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("d"), F.col(text).cast("string").alias("t"))
 
@@ -31,7 +41,8 @@ def search(queries: DataFrame, docs: DataFrame, k: int = 3, query_id: str = "ite
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words, holds, ids, sizes = shared.value
             score, who = np.zeros((len(ids), k)), np.full((len(ids), k), np.iinfo(np.int64).max)
-            for batch in batches:
+            step = max(1, SCORES // len(ids))
+            for batch in (whole.slice(at, step) for whole in batches for at in range(0, whole.num_rows, step)):
                 theirs = batch.column(0).to_numpy()
                 found = np.zeros((len(ids), len(theirs)))
                 for j, value in enumerate(batch.column(1).to_pylist()):

@@ -16,7 +16,7 @@ from sieveline.functions import records as R
 from sieveline.functions import text as X
 from sieveline.functions import urls as U
 from sieveline.functions import vectors as V
-from sieveline.operators import chunking, dedup, evaluate, providers, render, scoring, state
+from sieveline.operators import chunking, containment, dedup, evaluate, providers, render, scoring, state
 from sieveline.operators import vectors as K
 from sieveline.plans import pipelines
 from sieveline.session import table as read
@@ -397,7 +397,7 @@ o AS (SELECT doc_id, arg_max(item_id, (overlap, -item_id)) AS item_id, max(overl
 
 
 def _overlap(spark, sf_dir):
-    return evaluate.best_containment(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), "doc_id", "item_id")
+    return containment.best_containment(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), "doc_id", "item_id")
 
 
 @query(f"WITH {_OVERLAP} SELECT doc_id, item_id, round(overlap, 6) AS overlap FROM o")

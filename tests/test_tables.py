@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from sieveline.operators import dedup, evaluate, health, scoring, state
+from sieveline.operators import containment, dedup, evaluate, health, scoring, state
 
 
 def test_seen_sets(spark):
@@ -88,9 +88,9 @@ def test_containment_in_blocks(spark):
     d = spark.createDataFrame([(1, "a b c d"), (2, "A"), (3, None), (4, "q r")], "doc_id long, text string")
     t = spark.createDataFrame([(10, "a b"), (11, "c d e f g"), (12, "")], "item_id long, text string")
     want = {(1, 10, 1.0), (2, 10, 1.0), (3, 10, 0.0), (4, 10, 0.0)}
-    for cells in (1, 8, 1000):
-        assert {tuple(r) for r in evaluate.best_containment(d, t, "doc_id", "item_id", cells=cells).collect()} == want
-    assert evaluate.best_containment(d, t.limit(0), "doc_id", "item_id").where("overlap = 0").count() == 4
+    for size in (1, 200, 1 << 20):
+        assert {tuple(r) for r in containment.best_containment(d, t, "doc_id", "item_id", block_bytes=size).collect()} == want
+    assert containment.best_containment(d, t.limit(0), "doc_id", "item_id").where("overlap = 0").count() == 4
 
 
 def test_sweep_and_macro(spark):
