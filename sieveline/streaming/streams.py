@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from sieveline.operators import lists
+
 
 def unseen(stream: DataFrame, keys: list[str], ts: str | None = None, horizon: str = "30 days") -> DataFrame:
     """Each key once; with an event time, state is dropped behind the horizon."""
@@ -51,3 +54,35 @@ def latest(stream: DataFrame, key: str, version: str) -> DataFrame:
 def each_batch(stream: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Run ``apply`` on everything that arrived since the checkpoint, then stop: the scheduled form of a stream."""
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def unique_vectors(stream: DataFrame, store: str, threshold: float, checkpoint: str, k: int = 5) -> StreamingQuery:
+    """Append the vectors of a stream (vec_id, embedding) that resemble none of the store, and the mappings of the others, then stop.
+
+    The store is a folder with ``vectors`` and ``mappings``, each partitioned by epoch. An epoch that is run again after a crash
+    is compared with the epochs before it and replaces its own partitions, so nothing is appended twice; what a store begins
+    with lies in an epoch below 0.
+    """
+    schema = f"vec_id long, embedding array<float>, {EPOCH} long"
+
+    def take(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        held = spark.read.schema(schema).parquet(f"{store}/vectors").where(F.col(EPOCH) < epoch) if epoch or _exists(spark, f"{store}/vectors") else spark.createDataFrame([], schema)
+        unique, _, mappings = lists.split_new(batch.select("vec_id", "embedding"), held, threshold, k)
+        unique.write.mode("overwrite").parquet(f"{store}/vectors/{EPOCH}={epoch}")
+        mappings.select("vec_id", "similar_id", "score", "rn").write.mode("overwrite").parquet(f"{store}/mappings/{EPOCH}={epoch}")
+
+    return each_batch(stream, take, checkpoint)
+
+
+EPOCH = "epoch"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
