@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,8 +49,30 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-#: Tables written for the running jobs, by application: what ``clear_tables`` deletes.
-_WRITTEN: dict[str, list[str]] = {}
+#: The tables that ``materialize`` writes within the innermost ``with Tables(spark)``, if there is one.
+_SCOPE: ContextVar[Tables | None] = ContextVar("tables", default=None)
+
+
+class Tables:
+    """The tables that ``materialize`` writes within a ``with`` block, so that a job can delete its own and nobody else's."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Tables:
+        self._outer = _SCOPE.set(self)
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        _SCOPE.reset(self._outer)
+
+    def clear(self, keep: DataFrame | None = None) -> None:
+        """Delete what was written so far, but what ``keep`` reads: for use once the results that depend on it lie elsewhere."""
+        plain = lambda path: path.removeprefix("file://").removeprefix("file:")
+        held = set() if keep is None else {plain(f.split("/part-")[0]) for f in keep.inputFiles()}
+        for path in [p for p in self.paths if plain(p) not in held]:
+            remove(self.spark, path)
+            self.paths.remove(path)
 
 
 def materialize(df: DataFrame, name: str, compact: bool = False) -> DataFrame:
@@ -62,7 +85,8 @@ def materialize(df: DataFrame, name: str, compact: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    if (scope := _SCOPE.get()) is not None:
+        scope.paths.append(path)
     (compacted(df) if compact else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -72,20 +96,6 @@ def compacted(df: DataFrame) -> DataFrame:
     return df.coalesce(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
 
 
-def clear_tables(spark: SparkSession, keep: DataFrame | None = None) -> None:
-    """Delete the tables that ``materialize`` wrote so far, but those that ``keep`` reads.
-
-    For use once the results that depend on them have been written elsewhere.
-    """
-    held = set() if keep is None else {f.split("/part-")[0].removeprefix("file://").removeprefix("file:") for f in keep.inputFiles()}
-    written = _WRITTEN.pop(spark.sparkContext.applicationId, [])
-    for path in written:
-        if path.removeprefix("file://").removeprefix("file:") in held:
-            _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
-        else:
-            remove(spark, path)
-
-
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a path of the shared folder, on whatever file system it lies."""
     jvm = spark.sparkContext._jvm
