@@ -8,7 +8,7 @@ select candidates: each is compared word by word before it counts.
 The set of distinct windows is broadcast in blocks of at most ``block_bytes`` of window text, so the
 broadcast is bounded whatever the benchmark's size; documents pass once over each block, and
 between blocks the hits found so far are written to the shared folder. Which items a window stands
-in is not broadcast: it stays a table, joined to the distinct sets of windows that documents hold,
+in is not broadcast: it stays a table, joined to the distinct sets of classes of windows that documents hold,
 so a window that many items share is one window to the scan. Documents are not shuffled but for
 those joins, which carry the hit documents' named columns.
 
@@ -136,18 +136,34 @@ def _blocks(windows: DataFrame, block_bytes: int) -> Iterator[pa.Table]:
         yield own.toArrow()
 
 
-def _with_items(out: DataFrame, held: DataFrame, kind: T.DataType) -> DataFrame:
-    """``out`` with the column items in place of found: the ids of all items in which one of the found windows stands."""
+def _with_items(out: DataFrame, held: DataFrame, kind: T.DataType, digest: bool) -> DataFrame:
+    """``out`` with the items in which one of the found windows stands in place of found: their ids, or count and digest.
+
+    Windows that stand in the same items are one class, which the first of them stands for: documents that share a passage
+    differ in the windows they hold of it, but hardly in classes. Items are listed once for each distinct set of classes,
+    and documents get that list, or, for the digest, no more than 40 bytes.
+    """
     place = [c for c in out.columns if c != "found"]
     out = materialize(out, "decontaminated")
     hit = out.where(F.size("found") > 0).withColumn("set", F.md5(F.array_join(F.transform(F.array_sort("found"), F.hex), "")))
+    # a set of items is told by its size and two sums (exclusive or) of hashes, which need no order and combine in the tasks
+    made = held.groupBy("wid").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("item")).alias("a"), F.bit_xor(F.xxhash64("item", F.lit(1))).alias("b"))
+    first = made.groupBy("n", "a", "b").agg(F.min("wid").alias("first"))
+    classes = materialize(made.join(first, ["n", "a", "b"]).select(F.col("wid").alias("_wid"), "first"), "window-classes", compact=True)
     each = hit.select("set", "found").dropDuplicates(["set"]).select("set", F.explode("found").alias("wid"))
-    each = each.join(held.withColumnRenamed("wid", "_wid"), F.col("wid") == F.col("_wid"))
-    items = each.groupBy("set").agg(F.array_sort(F.collect_set("item")).alias("items")).withColumnRenamed("set", "_set")
-    items = materialize(items, "contaminating-items", compact=True)
-    with_hits = hit.join(items, F.col("set") == F.col("_set"), "left").withColumn("items", F.coalesce("items", F.array().cast(T.ArrayType(kind))))
-    without = out.where(F.size("found") == 0).withColumn("items", F.array().cast(T.ArrayType(kind)))
-    return with_hits.select(*place, "items").unionByName(without.select(*place, "items"))
+    each = each.join(classes, F.col("wid") == F.col("_wid")).groupBy("set").agg(F.array_sort(F.collect_set("first")).alias("firsts"))
+    each = materialize(each.withColumn("classes", F.md5(F.array_join(F.transform("firsts", F.hex), ""))), "window-sets", compact=True)
+    some = each.dropDuplicates(["classes"]).select("classes", F.explode("firsts").alias("first"))
+    listed = some.join(held, F.col("first") == F.col("wid")).groupBy(F.col("classes").alias("_classes")).agg(F.array_sort(F.collect_set("item")).alias("items"))
+    if digest:
+        names = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+        listed = listed.select("_classes", F.size("items").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"))
+        none = {"n_items": F.lit(0).cast("long"), "items_sha256": F.sha2(F.lit(""), 256)}
+    else:
+        none = {"items": F.array().cast(T.ArrayType(kind))}
+    listed = materialize(each.join(listed, F.col("classes") == F.col("_classes")).select(F.col("set").alias("_set"), *none), "contaminating-items", compact=True)
+    with_hits = hit.join(listed, F.col("set") == F.col("_set"), "left").select(*place, *(F.coalesce(c, v).alias(c) for c, v in none.items()))
+    return with_hits.unionByName(out.where(F.size("found") == 0).select(*place, *(v.alias(c) for c, v in none.items())))
 
 
 def scan(
@@ -162,16 +178,18 @@ def scan(
     block_bytes: int = BLOCK_BYTES,
     carry: list[str] | None = None,
     keep_text: bool = False,
-    items: bool = True,
+    items: bool | str = True,
 ) -> DataFrame:
     """One row per document: the carried columns (the id if none are named), n_words, n_hit, items, spans, contaminated.
 
-    ``items`` are the ids of all items with occurring windows (left out if not asked for), ``spans``
-    the word positions (start, end, start, end ...) of runs of hit words. A computed column replaces
+    ``items`` are the ids of all items with occurring windows: a list for each hit document, which is as long as the number of
+    items that share its passages. With ``items="digest"`` there are n_items and items_sha256 (of the ids as strings, sorted
+    and joined by commas) in their place, with ``items=False`` neither. ``spans`` are the word positions (start, end,
+    start, end ...) of runs of hit words. A computed column replaces
     a carried one of the same name.
     """
     wids = T.ArrayType(T.BinaryType())
-    fields = [long("n_words"), long("n_hit"), T.StructField("spans", _PAIR)] + [T.StructField("found", wids)] * items
+    fields = [long("n_words"), long("n_hit"), T.StructField("spans", _PAIR)] + [T.StructField("found", wids)] * bool(items)
     spark, carry = docs.sparkSession, carry or [doc_id]
     place = {c: f"_c{i}" for i, c in enumerate(dict.fromkeys([*carry, text]))}
     docs = docs.select(*(F.col(f"`{c}`").alias(p) for c, p in place.items()))
@@ -202,13 +220,14 @@ def scan(
         out = out.withColumn("n_hit", F.expr("aggregate(transform(spans, (x, i) -> if(i % 2 = 1, x, -x)), 0L, (a, x) -> a + x)"))
         more = next(blocks, None)
     columns = [c for c in place if c in carry and c != text] + [text] * keep_text
-    columns = [c for c in columns if c not in {"n_words", "n_hit", "items", "spans", "contaminated"}]
+    told = ["n_items", "items_sha256"] if items == "digest" else ["items"] * bool(items)
+    columns = [c for c in columns if c not in {"n_words", "n_hit", *told, "spans", "contaminated"}]
     out = out.select(*(place[c] for c in columns), *(f.name for f in fields))
     if items:
         held = every.where("item is not null").select("wid", "item").distinct()
-        out = _with_items(out, held, benchmark.schema[item_id].dataType)
+        out = _with_items(out, held, benchmark.schema[item_id].dataType, items == "digest")
     return out.select(
-        *(F.col(place[c]).alias(c) for c in columns), "n_words", "n_hit", *["items"] * items, "spans",
+        *(F.col(place[c]).alias(c) for c in columns), "n_words", "n_hit", *told, "spans",
         ((F.col("n_hit") > 0) & (ratio * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
     )
 

@@ -83,6 +83,25 @@ def splits_at_blanks(path: str) -> bool:
     return not any(set(m[0]) & set(blanks) for p in probes for m in regex.finditer(cuts[0]["pattern"]["Regex"], p))
 
 
+def cuts_before_stops(path: str) -> bool:
+    """Whether a tokenizer's file says that stops behind a word never share a token with it.
+
+    The first pre-tokeniser must part words and punctuation, or keep only what a pattern finds that never finds both.
+    """
+    with open(path, encoding="utf-8") as f:
+        cuts = _flat(json.load(f).get("pre_tokenizer"), "pretokenizers")
+    if not cuts:
+        return False
+    if cuts[0]["type"] in ("Whitespace", "BertPreTokenizer"):
+        return True
+    if cuts[0]["type"] != "Split" or "Regex" not in cuts[0]["pattern"] or cuts[0]["behavior"] != "Removed" or not cuts[0]["invert"]:
+        return False
+    stops = [chr(c) for c in _STOPS]
+    tails = [*stops, *(a + b for a in stops for b in stops), *(3 * a for a in stops)]
+    words = ["a", "z", "0", "9", "word", "it's", "x9", "don't", "7a"]
+    return not any(m.start() < len(w) < m.end() for w in words for t in tails for m in regex.finditer(cuts[0]["pattern"]["Regex"], w + t))
+
+
 def encoder(path: str, by_chunk: bool | None = None) -> Callable[[list[str | None]], list[bytes]]:
     """A function from texts to their ids, as little-endian unsigned 32-bit integers.
 
@@ -98,7 +117,7 @@ def encoder(path: str, by_chunk: bool | None = None) -> Callable[[list[str | Non
         model.no_padding()
         model.encode_special_tokens = False
         chunked = splits_at_blanks(path) if by_chunk is None else by_chunk
-        _LOADED[key] = _chunked(model) if chunked else lambda texts: [_packed(model.encode(t or "", add_special_tokens=False).ids) for t in texts]
+        _LOADED[key] = _chunked(model, cuts_before_stops(path)) if chunked else lambda texts: [_packed(model.encode(t or "", add_special_tokens=False).ids) for t in texts]
     return _LOADED[key]
 
 
@@ -106,7 +125,7 @@ def _packed(ids) -> bytes:
     return np.asarray(ids, "<u4").tobytes()
 
 
-def _chunked(model) -> Callable[[list[str | None]], list[bytes]]:
+def _chunked(model, stops_apart: bool) -> Callable[[list[str | None]], list[bytes]]:
     known: dict[bytes, bytes] = {}
     room = MEMORY_BYTES
     mark = model.encode(_MARK, add_special_tokens=False).ids
@@ -138,8 +157,8 @@ def _chunked(model) -> Callable[[list[str | None]], list[bytes]]:
         return into
 
     def learn(fresh: dict[bytes, bytes]) -> None:
-        """Fill in the ids of new chunks. A word and the stops after it are looked up one by one."""
-        parts = {c: (w, c[len(w) :]) for c in fresh if lowers and c[-1] in _STOPS and (w := c.rstrip(_STOPS)) and w[-1] in _ALNUM}
+        """Fill in the ids of new chunks. A word and the stops after it are looked up one by one, if the tokenizer parts them."""
+        parts = {c: (w, c[len(w) :]) for c in fresh if lowers and stops_apart and c[-1] in _STOPS and (w := c.rstrip(_STOPS)) and w[-1] in _ALNUM}
         need = dict.fromkeys(c for c in fresh if c not in parts)
         need.update(dict.fromkeys(p for two in parts.values() for p in two if p not in known))
         new = ids_of(list(need))

@@ -25,9 +25,8 @@ def op2_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontam.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    names = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"), "contaminated")
+    found = decontam.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), items="digest")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op4_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,11 @@
+import hashlib
 import random
 import re
 
 from pyspark.sql import functions as F
 
 from sieveline.llm import decontam
+from sieveline.session import Tables
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -80,3 +82,25 @@ def test_a_window_in_many_items_and_a_long_item(spark):
     got = {r.doc_id: (r.n_hit, len(r["items"]), r.contaminated) for r in decontam.scan(docs, items).collect()}
     assert got == {1: (13, 10_000, True), 2: (13, 10_000, True), None: (13, 10_000, True), 3: (20, 1, True), 4: (2, 0, True), 5: (0, 0, False)}
     assert decontam.scan(docs, items, items=False).columns == ["doc_id", "n_words", "n_hit", "spans", "contaminated"]
+
+
+def test_digests_of_items_that_share_windows(spark):
+    """Many documents that hold differing parts of a passage of many items: items are listed once for each class of windows."""
+    passage, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "pq")
+    items = [(i, passage) for i in range(2000)] + [(2000 + i, f"{passage.split(' ', 20)[-1]} {other}") for i in range(3)] + [(None, other)]
+    docs = [(i, " ".join(passage.split()[i % 40 : i % 40 + 14 + i % 7]) + f" and {i}") for i in range(600)] + [(900, other), (901, "none"), (902, None)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string").repartition(4), spark.createDataFrame(items, "item_id long, text string")
+    want = {}
+    for doc, text in docs:
+        w = (text or "").split()
+        own = {" ".join(w[k : k + 13]) for k in range(len(w) - 12)}
+        want[doc] = {i for i, t in {0: passage, 2000: items[2000][1], 2001: items[2001][1]}.items() if own & {" ".join(t.split()[k : k + 13]) for k in range(len(t.split()) - 12)}}
+    full = lambda ids: sorted(str(i) for i in ([*range(2000)] if 0 in ids else []) + ([2000, 2001, 2002] if 2000 in ids else []))
+    got = {r.doc_id: (r.n_items, r.items_sha256) for r in decontam.scan(d, b, items="digest").collect()}
+    assert got == {doc: (len(full(ids)), hashlib.sha256(",".join(full(ids)).encode()).hexdigest()) for doc, ids in want.items()}
+    assert len({g for g in got.values()}) > 3
+    with Tables(spark) as own:
+        decontam.scan(d, b, items="digest").collect()
+        held = [p for p in own.paths if "window-sets" in p]
+        assert spark.read.parquet(*held).select("classes").distinct().count() <= 4  # of some 600 sets of windows
+        own.clear()

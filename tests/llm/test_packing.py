@@ -34,6 +34,26 @@ def test_added_tokens_and_composition_come_before_lower_case():
         assert np.frombuffer(g, "<u4").tolist() == model.encode(t, add_special_tokens=False).ids
 
 
+def test_stops_that_stay_on_their_words(tmp_path):
+    from tokenizers import models, normalizers, pre_tokenizers
+
+    letters = sorted(set("helo wrd.ten,!|"))
+    merges = [("e", "n"), ("en", "d"), ("end", "."), ("d", "."), ("o", ","), ("l", "l"), (".", ".")]
+    vocab = {t: i for i, t in enumerate([*letters, *(a + b for a, b in merges)])}
+    path = str(tmp_path / "t.json")
+    for cut, apart in ((pre_tokenizers.WhitespaceSplit(), False), (pre_tokenizers.Whitespace(), True)):
+        model = Tokenizer(models.BPE(vocab, merges))
+        model.normalizer, model.pre_tokenizer = normalizers.Lowercase(), cut
+        model.save(path)
+        packing._LOADED.clear()
+        assert packing.splits_at_blanks(path) and packing.cuts_before_stops(path) is apart
+        own = ["hello world. the end. ...", "The end.. hello, end", "end. end."]
+        for t, g in zip(own * 2, packing.encoder(path)(own) + packing.encoder(path)(own), strict=True):
+            assert np.frombuffer(g, "<u4").tolist() == model.encode(t, add_special_tokens=False).ids
+    packing._LOADED.clear()
+    assert packing.cuts_before_stops(PATH)
+
+
 def test_forgetting_changes_nothing(monkeypatch):
     want = packing.encoder(PATH)(texts())
     monkeypatch.setattr(packing, "MEMORY_BYTES", 5000)

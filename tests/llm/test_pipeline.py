@@ -98,3 +98,17 @@ def test_run_and_empty_tables(spark, folder, tmp_path):
     for name, schema in (("documents", SCHEMA), ("benchmark", "item_id long, text string"), ("labels", "doc_id long, quality int, toxic int")):
         spark.createDataFrame([], schema).write.parquet(f"{none}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(none)).collect() == []
+
+
+def test_a_run_leaves_other_results_alone(spark, tmp_path):
+    from sieveline.llm import linededup, simhash
+
+    docs, items = sample()
+    path = str(tmp_path)
+    spark.createDataFrame(docs, SCHEMA).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    spark.createDataFrame(LABELS, "doc_id long, quality int").write.parquet(f"{path}/labels.parquet")
+    held = spark.read.parquet(f"{path}/documents.parquet")
+    lazy = [simhash.near_duplicates(held), linededup.dedup_lines(held)]
+    assert corpus_pipeline.run(spark, path).count() > 0
+    assert all(r.count() == len(docs) for r in lazy)
