@@ -5,20 +5,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sieveline.session import materialize
+
 
 def source_health(pulls: DataFrame, source: str, ts: str, ordinal: str, failed: Column, streak: int = 3) -> DataFrame:
     """Rows (source, pulls, failure_rate, last_success, failing): failing if ``streak`` or more pulls failed in a row.
 
-    Failures are grouped by the number of successes before them, in one window a source; the counts
-    and times need no second shuffle, as they have the same key.
+    Pulls are dealt by ranges of (source, time), so a source of any size is spread over tasks. Each task sums its part of a
+    source up to the failures it begins and ends with, its longest run of them and its counts; parts are put together in
+    their order, a run that ends one part going on in the next. What is gathered is a row a task and source.
     """
-    rows = pulls.select(source, ts, ordinal, failed.alias("_failed"))
-    before = F.sum(F.when(F.col("_failed"), 0).otherwise(1)).over(Window.partitionBy(source).orderBy(ts, ordinal).rowsBetween(Window.unboundedPreceding, 0))
-    runs = rows.withColumn("_island", before).groupBy(source, "_island").agg(
-        F.count("*").alias("_n"), F.count_if("_failed").alias("_run"), F.max(F.when(~F.col("_failed"), F.col(ts))).alias("_last")
+    order = [F.col(c).asc_nulls_first() for c in (source, ts, ordinal)]
+    rows = pulls.select(source, ts, ordinal, F.coalesce(failed, F.lit(False)).alias("_failed")).repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    rows = materialize(rows, "dealt-pulls")  # the parts must be the same wherever they are read
+    own = ["_part", source]
+    before = Window.partitionBy(*own).orderBy(*order[1:]).rowsBetween(Window.unboundedPreceding, 0)
+    islands = rows.withColumn("_island", F.count_if(~F.col("_failed")).over(before))
+    runs = islands.groupBy(*own, "_island").agg(F.count("*").alias("_n"), F.count_if("_failed").alias("_run"), F.max(F.when(~F.col("_failed"), F.col(ts))).alias("_last"))
+    parts = runs.groupBy(*own).agg(
+        F.sum("_n").alias("n"), F.sum("_run").alias("fails"), F.max("_last").alias("last"), F.max("_run").alias("longest"), F.max("_island").alias("good"),
+        F.sum(F.when(F.col("_island") == 0, F.col("_run")).otherwise(0)).alias("head"), F.max_by("_run", "_island").alias("tail"),
     )
-    return runs.groupBy(source).agg(
-        F.sum("_n").alias("pulls"), F.round(F.sum("_run") / F.sum("_n"), 6).alias("failure_rate"), F.max("_last").alias("last_success"), (F.max("_run") >= streak).alias("failing")
+    summary = F.struct("_part", "good", "n", "head", "tail", "longest")
+    each = parts.groupBy(source).agg(F.sum("n").alias("pulls"), F.sum("fails").alias("_fails"), F.max("last").alias("last_success"), F.array_sort(F.collect_list(summary)).alias("_parts"))
+    start = F.struct(F.lit(0).cast("long").alias("run"), F.lit(0).cast("long").alias("best"))
+
+    def follow(s: Column, p: Column) -> Column:
+        whole = s.run + p.n  # a part that only failed
+        run = F.when(p.good == 0, whole).otherwise(p.tail)
+        best = F.when(p.good == 0, F.greatest(s.best, whole)).otherwise(F.greatest(s.best, s.run + p.head, p.longest))
+        return F.struct(run.alias("run"), best.alias("best"))
+
+    return each.select(
+        source, "pulls", F.round(F.col("_fails") / F.col("pulls"), 6).alias("failure_rate"), "last_success", (F.aggregate("_parts", start, follow).best >= streak).alias("failing")
     )
 
 

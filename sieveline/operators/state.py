@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sieveline.session import materialize
+
 
 #: Days that values of a kind live, and how their keys are made (fixed values); kinds without days live on.
 LIVES = {"ranking": 14, "summary": 14, "embedding": 28, "vector": 28, "collection_item": 28, "page": 30}
@@ -68,15 +70,21 @@ def get(state: DataFrame, run_ts: str) -> DataFrame:
 
 
 def cache_aside(items: DataFrame, cache: DataFrame, key: str, compute: Column) -> DataFrame:
-    """Items with ``value`` and ``cached``: the cached value, or ``compute`` (a column) for the misses alone.
+    """Items with ``value`` and ``cached``: the cached value, or ``compute`` (a column) for the misses alone, once a distinct key.
 
-    Hits and misses part before the computation: a Python provider inside a condition would run for all rows.
+    Hits and misses part before the computation: a Python provider inside a condition would run for all rows. Of the misses
+    that share a key one row is computed and all get its value, so items of a key must agree in what ``compute`` reads; misses
+    without a key are each computed by themselves. What is computed is written once, and a key that very many items share is
+    one row there.
     """
     known = cache.select(F.col(key).alias("_key"), F.col("value").alias("_value"))
     same = F.col(key) == F.col("_key")
     hits = items.join(known, same).withColumn("value", F.col("_value")).withColumn("cached", F.lit(True)).drop("_key", "_value")
-    misses = items.join(known, same, "left_anti").withColumn("value", compute).withColumn("cached", F.lit(False))
-    return hits.unionByName(misses)
+    misses = items.join(known, same, "left_anti")
+    keyed, rest = misses.where(F.col(key).isNotNull()), misses.where(F.col(key).isNull())
+    made = materialize(keyed.dropDuplicates([key]).select(F.col(key).alias("_key"), compute.alias("_value")), "computed-values")
+    found = keyed.join(made, same).withColumn("value", F.col("_value")).drop("_key", "_value")
+    return hits.unionByName(found.unionByName(rest.withColumn("value", compute)).withColumn("cached", F.lit(False)))
 
 
 def pending_patches(patches: DataFrame, applied: DataFrame, order_col: str = "order_id") -> DataFrame:

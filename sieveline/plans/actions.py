@@ -53,10 +53,19 @@ def journal_page(notes: DataFrame, run_day: str, order: str, title: str, text: s
     Notes are joined in order and rewritten; from the result come title, insights, take-aways, to-dos
     and a summary, each a section of the page. A run without notes has a page that says so.
     """
-    a = agents or Agents()
     day = notes.sparkSession.createDataFrame([(run_day,)], "name string")
     entry = journal(notes.withColumn("_day", F.lit(run_day)), "_day", order, title, text, created).select(F.col("_day").alias("name"), "entry", "last_created_time")
-    rows = day.join(entry, "name", "left").withColumn("entry", F.coalesce("entry", F.lit(""))).withColumn("_r", a.journal(F.col("entry")))
+    return _pages(day.join(entry, "name", "left").withColumn("entry", F.coalesce("entry", F.lit(""))), agents or Agents())
+
+
+def journal_pages(notes: DataFrame, day: str, order: str, title: str, text: str, created: str, agents: Agents | None = None) -> DataFrame:
+    """A journal page, as of ``journal_page``, for each value of ``day``: the days of a journal, or of many people's, in one pass."""
+    entries = journal(notes.where(F.col(day).isNotNull()), day, order, title, text, created)
+    return _pages(entries.select(F.col(day).cast("string").alias("name"), "entry", "last_created_time"), agents or Agents())
+
+
+def _pages(rows: DataFrame, a: Agents) -> DataFrame:
+    rows = rows.withColumn("_r", a.journal(F.col("entry")))
     made = {"_title": a.title, "_insights": a.insights, "_takeaways": a.takeaways, "_todo": a.todo, "_summary": a.summary}
     rows = rows.withColumns({n: F.coalesce(p(F.col("_r")), F.lit("")) for n, p in made.items()})
     head = F.concat("name", F.lit(" "), "_title")

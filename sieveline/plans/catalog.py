@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sieveline.plans import store_queries, vector_queries  # noqa: F401  (add their queries)
+from sieveline.plans import reduction_queries, store_queries, vector_queries  # noqa: F401  (add their queries)
 from sieveline.plans.queries import QUERIES, SQL
 
 

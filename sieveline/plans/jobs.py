@@ -65,8 +65,8 @@ class Workspace:
 
 
 def pull_feeds(ws: Workspace, feed_files: DataFrame, run_id: str, run_date: str, count: int = 3) -> None:
-    """Entries of feed files (list_name, text) as the run's items."""
-    items = feeds.rss_items(feeds.feed_entries(feed_files), run_date, count)
+    """Entries of feed files (list_name, text; part, if feeds come in several files) as the run's items."""
+    items = feeds.rss_items(feeds.feed_entries(feed_files, part="part" if "part" in feed_files.columns else None), run_date, count)
     own = items.select(F.col("id").alias("item_id"), "source", "list_name", "title", F.concat_ws("\n", "summary", "content").alias("text"), "url", "created_time", F.col("ordinal").cast("long").alias("ordinal"))
     writers.write_run(own, f"{ws.path}/news", run_id)
 

@@ -340,12 +340,12 @@ def _pages(spark, sf_dir):
     d = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id", "left")
     return d.select(
         F.col("doc_id").cast("string").alias("item_id"), F.col("doc_id").alias("ordinal"), "source", (F.col("quality") * 5).cast("double").alias("user_rating"),
-        F.when(F.col("lang") == "en", F.left("text", F.lit(30))).otherwise("").alias("take_aways"),
+        F.when(F.col("lang") == "en", F.col("text")).otherwise("").alias("take_aways"),
         F.array(F.col("lang"), F.when(F.col("toxic") == 1, "action:deepdive").otherwise("t")).alias("tags"), F.lit(RUN_DAY).cast("timestamp").alias("last_edited_time"), "text",
     )
 
 
-_PAGES = """p AS (SELECT d.doc_id, d.source, d.lang, d.text, CAST(quality * 5 AS DOUBLE) AS user_rating, CASE WHEN lang = 'en' THEN left(text, 30) ELSE '' END AS take_aways, coalesce(toxic, 0) = 1 AS deep
+_PAGES = """p AS (SELECT d.doc_id, d.source, d.lang, d.text, CAST(quality * 5 AS DOUBLE) AS user_rating, CASE WHEN lang = 'en' THEN text ELSE '' END AS take_aways, coalesce(toxic, 0) = 1 AS deep
 FROM documents d LEFT JOIN labels USING (doc_id))"""
 
 
@@ -573,11 +573,11 @@ def journal_concat(spark, sf_dir):
     return render.journal(read(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text", "turn")
 
 
-@query("""WITH s AS (SELECT d.doc_id, source, lang, left(text, 30) AS title, row_number() OVER (PARTITION BY source ORDER BY d.doc_id) AS rn FROM documents d JOIN labels l ON d.doc_id = l.doc_id AND quality = 1)
+@query("""WITH s AS (SELECT d.doc_id, source, lang, text AS title, row_number() OVER (PARTITION BY source ORDER BY d.doc_id) AS rn FROM documents d JOIN labels l ON d.doc_id = l.doc_id AND quality = 1)
 SELECT source, list(title ORDER BY doc_id) AS titles, list_sort(list(DISTINCT lang)) AS topics, count(*) AS n FROM s WHERE rn <= 10 GROUP BY 1""")
 def weekly_collection_grouped(spark, sf_dir):
     good = read(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    d = read(spark, sf_dir, "documents").join(good, "doc_id").select("doc_id", "source", F.array("lang").alias("topics"), F.left("text", F.lit(30)).alias("title"))
+    d = read(spark, sf_dir, "documents").join(good, "doc_id").select("doc_id", "source", F.array("lang").alias("topics"), F.col("text").alias("title"))
     return render.collection(dedup.first_n(d, "source", "doc_id", 10), "source", "doc_id", "title", "topics")
 
 
@@ -666,7 +666,7 @@ def stream_daily_window(spark, sf_dir):
 
 def _items(spark, sf_dir):
     return read(spark, sf_dir, "documents").select(
-        F.col("doc_id").cast("string").alias("item_id"), F.lit("feed").alias("source"), F.col("source").alias("list_name"), F.left("text", F.lit(40)).alias("title"), "text", F.col("doc_id").alias("ordinal")
+        F.col("doc_id").cast("string").alias("item_id"), F.lit("feed").alias("source"), F.col("source").alias("list_name"), F.element_at(F.split("text", "\n"), 1).alias("title"), "text", F.col("doc_id").alias("ordinal")
     )
 
 
@@ -707,14 +707,35 @@ def pipeline_twitter(spark, sf_dir):
     return out.select("item_id", "relevance", F.round("rate", 4).alias("rate"))
 
 
-@query()
+_W = r"[\x09-\x0D\x20\x1C-\x1F\x{85}\x{A0}]+"
+_TRIM = lambda x: f"regexp_replace(regexp_replace({x}, '^{_W}', ''), '{_W}$', '')"
+#: The first so many sentences of a text.
+_CUT = lambda x, n: f"array_to_string(string_split(regexp_replace({x}, '([.!?])[\\x09-\\x0D\\x20]+', '\\1' || chr(1), 'g'), chr(1))[1:{n}], ' ')"
+_LEAD = lambda x: f"CASE WHEN length({x}) <= 200 THEN {x} ELSE {_TRIM(_CUT(f'left({x}, 20000)', 2))} END"
+_RANKED = f"least(1, (length(t) // 2) / 1000) AS score, lower(regexp_extract({_TRIM('t')}, '^[^\\x09-\\x0D\\x20]*')) AS topic"
+
+
+def _topics(df: DataFrame) -> DataFrame:
+    """Ranked items with names and scores of their topics as text."""
+    pairs = lambda c: F.array_join(F.transform(c, lambda t: F.concat(t["name"], F.lit("="), F.round(t["score"], 4).cast("string"))), ",")
+    return df.select("item_id", "title", "summary", *(["relevance"] if "relevance" in df.columns else []), F.round("rate", 4).alias("rate"), pairs("topics").alias("topics"), pairs("categories").alias("categories"))
+
+
+_AS_TEXT = "CASE WHEN skip THEN '' ELSE topic || '=' || CAST(round(CASE WHEN score = 0 THEN 1 ELSE score END, 4) AS DOUBLE) END AS topics, CASE WHEN skip THEN '' ELSE 'general=' || CAST(round(CASE WHEN score = 0 THEN 1 ELSE score END, 4) AS DOUBLE) END AS categories"
+
+
+@query(f"""WITH {_KEPT}, m AS (SELECT *, string_split(text, chr(10))[1] AS title, {_LEAD('text')} AS summary FROM kept), n AS (SELECT *, source || ' ' || title || ' ' || summary AS t FROM m),
+z AS (SELECT *, {_RANKED}, (relevance > 0 AND relevance < 4) OR length(t) > 2000 AS skip FROM n)
+SELECT CAST(doc_id AS VARCHAR) AS item_id, title, summary, relevance, round(CASE WHEN skip THEN -2 ELSE score * 100 END, 4) AS rate, {_AS_TEXT} FROM z""")
 def pipeline_reddit(spark, sf_dir):
-    return pipelines.reddit(_items(spark, sf_dir), _seen(spark, sf_dir), _scores(spark, sf_dir), _limits(spark))
+    return _topics(pipelines.reddit(_items(spark, sf_dir), _seen(spark, sf_dir), _scores(spark, sf_dir), _limits(spark)))
 
 
-@query()
+@query(f"""WITH m AS (SELECT doc_id, string_split(text, chr(10))[1] AS title, {_LEAD('text')} AS t FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)),
+r AS (SELECT *, t AS summary, {_RANKED}, length(t) > 2000 AS skip FROM m)
+SELECT CAST(doc_id AS VARCHAR) AS item_id, title, summary, round(CASE WHEN skip THEN -0.02 ELSE score END, 4) AS rate, {_AS_TEXT} FROM r""")
 def pipeline_article(spark, sf_dir):
-    return pipelines.article(_items(spark, sf_dir), _seen(spark, sf_dir))
+    return _topics(pipelines.article(_items(spark, sf_dir), _seen(spark, sf_dir)))
 
 
 @query()

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from sieveline import schemas
 from sieveline.functions import records as R
 from sieveline.functions import text as X
-from sieveline.operators import blocks, chunking, health, providers, render, state
+from sieveline.operators import blocks, chunking, dedup, health, providers, render, state
 from sieveline.operators import vectors as K
 from sieveline.plans import actions, jobs
-from sieveline.plans.queries import _PAGES, RUN_DAY, _pages, query
+from sieveline.plans.queries import _CUT, _LEAD, _PAGES, _TRIM, RUN_DAY, _pages, query
 from sieveline.session import shared_path
 from sieveline.session import table as read
 from sieveline.sinks import writers
@@ -28,9 +28,11 @@ def run_json_round_trip(spark, sf_dir):
     return files.read_run(spark, path, "r2", schema).withColumn("run_id", F.lit("r2"))
 
 
-@query("SELECT 0 AS doc_id WHERE false")
+@query("SELECT doc_id, quality FROM labels WHERE toxic = 1")
 def missing_json(spark, sf_dir):
-    return files.read_json(spark, f"{shared_path(spark, 'nothing')}/none.json", "doc_id int")
+    rows = read(spark, sf_dir, "labels").where("toxic = 1").select("doc_id", "quality")
+    seen = files.read_json(spark, f"{shared_path(spark, 'nothing')}/seen.json", "doc_id long")  # the first run has no state yet
+    return dedup.unseen(rows, seen, ["doc_id"])
 
 
 @query("SELECT conv_id, CAST(count(*) AS BIGINT) AS n FROM conversations WHERE role = 'user' GROUP BY 1")
@@ -51,28 +53,39 @@ def text_files(spark, sf_dir):
     return files.read_texts(spark, path).groupBy(F.md5(F.rtrim(F.col("text"), F.lit("\x00"))).alias("body")).agg(F.count("*").alias("n"))
 
 
-_FEED = "f AS (SELECT source, doc_id, 'd' || doc_id || ' & co' AS title, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos FROM documents)"
+_FEED = "f AS (SELECT source, lang, doc_id, 'd' || doc_id || ' & co' AS title, text, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos FROM documents)"
+#: What XML cannot hold, and white space, as blanks.
+_PLAIN = r"trim(regexp_replace(coalesce(text, ''), '[\x00-\x20]+', ' ', 'g'))"
 
 
 def _feeds(spark, sf_dir) -> DataFrame:
-    """A feed in XML for each source, with all its documents in order, dated by their ids."""
+    """Feeds in XML, one for each source, with all its documents in order, dated by their ids: a file for each thousand ids."""
     d = read(spark, sf_dir, "documents")
     day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 28).cast("int")), "dd MMM yyyy")
-    item = F.concat(F.lit("<item><title>d"), "doc_id", F.lit(" &amp; co</title><link>http://x.org/"), "doc_id", F.lit("</link><description>about</description><category>"), "lang", F.lit("</category><category>all</category><pubDate>Mon, "), day, F.lit(" 10:00:00 GMT</pubDate></item>"))
-    each = d.groupBy(F.col("source").alias("list_name")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", item.alias("x")))), lambda s: s.x), "").alias("items"))
-    return each.select("list_name", F.concat(F.lit("<rss><channel>"), "items", F.lit("</channel></rss>")).alias("text"))
+    plain = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x00-\x20]+", " "))
+    escaped = F.replace(F.replace(F.replace(plain, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    item = F.concat(F.lit("<item><title>d"), "doc_id", F.lit(" &amp; co</title><link>http://x.org/"), "doc_id", F.lit("</link><description>"), escaped, F.lit("</description><category>"), "lang", F.lit("</category><category>all</category><pubDate>Mon, "), day, F.lit(" 10:00:00 GMT</pubDate></item>"))
+    each = d.groupBy(F.col("source").alias("list_name"), F.expr("doc_id div 1000").alias("part")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", item.alias("x")))), lambda s: s.x), "").alias("items"))
+    return each.select("list_name", "part", F.concat(F.lit("<rss><channel>"), "items", F.lit("</channel></rss>")).alias("text"))
 
 
-@query(f"WITH {_FEED} SELECT source AS list_name, count(*) AS n, max(title) AS last_title FROM f GROUP BY 1")
+@query(f"WITH {_FEED} SELECT source AS list_name, count(*) AS n, max(title) AS last_title, CAST(sum(length({_PLAIN})) AS BIGINT) AS chars, md5(string_agg(md5({_PLAIN}), '' ORDER BY doc_id)) AS summaries FROM f GROUP BY 1")
 def feed_entries(spark, sf_dir):
-    return feeds.feed_entries(_feeds(spark, sf_dir)).groupBy("list_name").agg(F.count("*").alias("n"), F.max("title").alias("last_title"))
+    e = feeds.feed_entries(_feeds(spark, sf_dir), part="part")
+    hashes = F.array_sort(F.collect_list(F.struct("part", "pos", F.md5(F.coalesce("summary", F.lit(""))).alias("h"))))
+    return e.groupBy("list_name").agg(
+        F.count("*").alias("n"), F.max("title").alias("last_title"), F.sum(F.length(F.coalesce("summary", F.lit("")))).alias("chars"), F.md5(F.array_join(F.transform(hashes, lambda s: s.h), "")).alias("summaries")
+    )
+
+
+_ITEMS = f"""i AS (SELECT md5(source || '_' || title || '_' || strftime(DATE '2024-01-01' + CAST(doc_id % 28 AS INTEGER), '%Y-%m-%d')) AS id, source AS list_name, title, 'http://x.org/' || doc_id AS url, CAST(pos AS INTEGER) AS ordinal,
+lang || ',all' AS topics, {_PLAIN} AS summary FROM f WHERE pos <= 2)"""
 
 
-@query(f"""WITH {_FEED} SELECT md5(source || '_' || title || '_' || strftime(DATE '2024-01-01' + CAST(doc_id % 28 AS INTEGER), '%Y-%m-%d')) AS id, source AS list_name, title, 'http://x.org/' || doc_id AS url, CAST(pos AS INTEGER) AS ordinal,
-(SELECT lang FROM documents x WHERE x.doc_id = f.doc_id) || ',all' AS topics FROM f WHERE pos < 3""")
+@query(f"WITH {_FEED}, {_ITEMS} SELECT * FROM i")
 def rss_items(spark, sf_dir):
-    items = feeds.rss_items(feeds.feed_entries(_feeds(spark, sf_dir)), RUN_DAY)
-    return items.select("id", "list_name", "title", "url", "ordinal", F.array_join(feeds.tag_topics(F.col("tags")), ",").alias("topics"))
+    items = feeds.rss_items(feeds.feed_entries(_feeds(spark, sf_dir), part="part"), RUN_DAY)
+    return items.select("id", "list_name", "title", "url", "ordinal", F.array_join(feeds.tag_topics(F.col("tags")), ",").alias("topics"), "summary")
 
 
 @query("""SELECT 'p' || page_id AS id, 'name ' || page_id AS title, CASE page_id % 4 WHEN 0 THEN 'unknown' WHEN 1 THEN 'reddit' WHEN 2 THEN 'tube' END AS provider,
@@ -245,21 +258,48 @@ def job_todo(spark, sf_dir):
 def job_deepdive(spark, sf_dir):
     ws = jobs.Workspace(spark, shared_path(spark, "workspace"))
     made = jobs.deepdive(ws, _pages(spark, sf_dir), RUN_DAY)
-    return made.select("item_id", F.size("versions").alias("versions"), F.concat("take_aways", F.regexp_extract(F.substring_index("deepdive", "\n\n", 1), r"( \(version \d+\))$", 1)).alias("head"))
+    behind = F.substring("deepdive", F.length("take_aways") + 1, F.length("deepdive"))  # what stands after the take-aways in the last version
+    return made.select("item_id", F.size("versions").alias("versions"), F.concat("take_aways", F.substring_index(behind, "\n\n", 1)).alias("head"))
+
+
+_SECTION = lambda header, x: f"CASE WHEN contains({x}, '{header}') THEN '' ELSE '{header}' || chr(10) END || {x}"
+_NUMBERED = "array_to_string(list_transform(list_filter(list_transform(string_split({0}, chr(10)), lambda y: {1}), lambda y: y <> ''), lambda y, k: k || '. ' || y), chr(10))"
+_JOURNAL = f"""e AS (SELECT conv_id, string_agg(coalesce(role, '') || ' ' || coalesce(text, '') || chr(10), '' ORDER BY turn) AS entry, max(turn) AS last_created_time FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1),
+r AS (SELECT *, {_TRIM("regexp_replace(entry, '\n+', chr(10), 'g')")} AS r FROM e),
+s AS (SELECT *, {_TRIM(_CUT('r', 1))} AS one, {_LEAD('r')} AS lead, {_NUMBERED.format('r', _TRIM('y'))} AS todo FROM r),
+j AS (SELECT CAST(conv_id AS VARCHAR) AS name, last_created_time, conv_id || ' ' || left(one, 40) AS title, coalesce(nullif(todo, ''), 'n/a') AS todo,
+concat_ws(chr(10) || chr(10), conv_id || ' ' || left(one, 40), r, {_SECTION('Critical Insights', 'one')}, {_SECTION('Takeaways', 'lead')}, {_SECTION('Action Items', 'todo')}, 'Overall:' || chr(10) || lead) AS text FROM s)"""
+
 
+@query(f"WITH {_JOURNAL} SELECT name, 'Journal' AS source, last_created_time, title, todo, text FROM j")
+def journal_pages(spark, sf_dir):
+    c = read(spark, sf_dir, "conversations")
+    return actions.journal_pages(c, "conv_id", "turn", "role", "text", "turn").select("name", "source", "last_created_time", "title", "todo", "text")
+
+
+def _notes(spark, sf_dir, conv: str) -> DataFrame:
+    """The turns of a conversation as a run's notes."""
+    c = read(spark, sf_dir, "conversations").where(conv)
+    at = F.timestamp_seconds(F.lit(1_705_708_800) + F.col("turn"))
+    return c.select(F.concat_ws("-", "conv_id", "turn").alias("item_id"), F.col("role").alias("title"), "text", at.alias("created_time"))
 
-@query("""SELECT '2024-01-20' AS name, (SELECT max(ts) FROM events) AS last_created_time, count(*) > 0 AS filled FROM events""")
+
+@query(f"WITH {_JOURNAL} SELECT '2024-01-20' AS name, TIMESTAMP '2024-01-20' + to_seconds(last_created_time) AS last_created_time, replace(title, name || ' ', '2024-01-20 ') AS title, todo, replace(text, title, replace(title, name || ' ', '2024-01-20 ')) AS text FROM j WHERE name = (SELECT CAST(min(conv_id) AS VARCHAR) FROM conversations)")
 def job_journal(spark, sf_dir):
     ws = jobs.Workspace(spark, shared_path(spark, "workspace"))
-    notes = read(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("item_id"), F.col("event_type").alias("title"), F.lit("seen.").alias("text"), F.col("ts").cast("timestamp").alias("created_time"))
-    done = jobs.journal(ws, notes, RUN_DAY)
-    return done.select("name", F.col("last_created_time").cast("timestamp_ntz").alias("last_created_time"), (F.col("text") != "").alias("filled"))
+    first = read(spark, sf_dir, "conversations").agg(F.min("conv_id")).first()[0]
+    done = jobs.journal(ws, _notes(spark, sf_dir, f"conv_id = {first}"), RUN_DAY)
+    return done.select("name", F.col("last_created_time").cast("timestamp_ntz").alias("last_created_time"), "title", "todo", "text")
 
 
-@query("SELECT '2024-01-20 n/a' AS title, 'n/a' AS todo, '' AS text")
+@query("SELECT '2024-01-21 n/a' AS title, 'n/a' AS todo, '' AS text, (SELECT TIMESTAMP '2024-01-20' + to_seconds(max(turn)) FROM conversations) AS mark")
 def job_journal_without_notes(spark, sf_dir):
-    none = spark.createDataFrame([], jobs.NOTE)
-    return actions.journal_page(none, RUN_DAY, "created_time", "title", "text", "created_time").select("title", "todo", "text")
+    ws = jobs.Workspace(spark, shared_path(spark, "workspace"))
+    last = read(spark, sf_dir, "conversations").orderBy(F.col("turn").desc(), "conv_id").select("conv_id").first()[0]
+    for day in (RUN_DAY, "2024-01-21"):  # the second run's notes were all taken by the first
+        done = jobs.journal(ws, _notes(spark, sf_dir, f"conv_id = {last}"), day)
+    mark = ws.read("marks", jobs.MARKS).select(F.col("watermark").cast("timestamp_ntz").alias("mark"))
+    return done.select("title", "todo", "text").join(mark, F.lit(True), "left")
 
 
 def _rated(spark, sf_dir) -> DataFrame:
@@ -282,18 +322,23 @@ def job_sync_and_distribute(spark, sf_dir):
     return jobs.distribute(ws, RUN_DAY)
 
 
-@query(f"""WITH {_FEED} SELECT source, CAST(least(count(*), 3) AS BIGINT) AS input, CAST(least(count(*), 3) AS BIGINT) AS deduped, CAST(least(count(*), 3) AS BIGINT) AS pushed FROM f GROUP BY 1""")
+@query(f"""WITH {_FEED}, {_ITEMS}, t AS MATERIALIZED (SELECT *, CASE WHEN summary = '' THEN chr(10) ELSE summary || chr(10) END AS body FROM i),
+l AS (SELECT *, {_LEAD('body')} AS lead FROM t)
+SELECT id AS item_id, list_name, title, url, lead AS summary, round(CASE WHEN length(list_name || ' ' || title || ' ' || lead) > 2000 THEN -2 ELSE least(1, (length(list_name || ' ' || title || ' ' || lead) // 2) / 1000) * 100 END, 4) AS rate, -1.0::DOUBLE AS relevance,
+CAST(count(*) OVER (PARTITION BY list_name) AS BIGINT) AS pushed FROM l""")
 def job_pull_and_save(spark, sf_dir):
     ws = jobs.Workspace(spark, shared_path(spark, "workspace"))
     ws.vectors.create()
     jobs.pull_feeds(ws, _feeds(spark, sf_dir), "r1", RUN_DAY)
-    return jobs.save(ws, "r1", RUN_DAY, "reddit").select("source", "input", "deduped", "pushed")
+    counts = jobs.save(ws, "r1", RUN_DAY, "reddit").where("input = deduped and deduped = pushed").select(F.col("source").alias("list_name"), "pushed")
+    out = spark.read.schema(jobs.PUBLISHED).parquet(f"{ws.path}/published/run_id=r1").join(counts, "list_name")
+    return out.select("item_id", "list_name", "title", "url", "summary", F.round("rate", 4).alias("rate"), "relevance", "pushed")
 
 
-@query("""SELECT item_id, list_transform(list_transform(range(64), lambda i: CAST(list_sum(list_transform(w, lambda t: 0)) AS DOUBLE)), lambda x: coalesce(x, 0)) AS zeros FROM (SELECT item_id, list_filter(string_split_regex(lower(text), '\\s+'), lambda t: t <> '') AS w FROM benchmark)""")
+@query(r"""SELECT doc_id, [CAST(length(coalesce(text, '')) AS DOUBLE), CAST(length(coalesce(text, '')) - length(replace(coalesce(text, ''), ' ', '')) AS DOUBLE), CAST(length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), '')) AS DOUBLE)] AS vector FROM documents""")
 def batched_embeddings(spark, sf_dir):
-    embed = providers.batched(lambda texts: [[0.0] * providers.DIM for _ in texts], 100)
-    return read(spark, sf_dir, "benchmark").select("item_id", F.transform(embed(F.col("text")), lambda x: x.cast("double")).alias("zeros"))
+    embed = providers.batched(lambda texts: [[float(len(t)), float(t.count(" ")), float(t.count("\n"))] for t in texts], 100)
+    return read(spark, sf_dir, "documents").select("doc_id", F.transform(embed(F.col("text")), lambda x: x.cast("double")).alias("vector"))
 
 
 @query("""SELECT conv_id, turn, CASE WHEN role = 'user' THEN 'Q: ' || text ELSE '- ' || text || chr(10) END || chr(10) AS text FROM conversations""")
@@ -312,9 +357,10 @@ def chunk_short_documents(spark, sf_dir):
     return out.select("doc_id", F.length("chunk_text").cast("long").alias("n_chars"), "chunk_id")
 
 
-@query("""SELECT page_id, 'x,' || page_id || ',' || chr(10) || '|' AS text, CAST(2 AS BIGINT) AS n FROM pages""")
+@query("""SELECT conv_id AS page_id, string_agg(cells, '' ORDER BY turn) || '|' AS text, CAST(count(*) + 1 AS BIGINT) AS n FROM (SELECT conv_id, turn, role || ',' || turn || ',' || text || ',' || chr(10) AS cells FROM conversations) GROUP BY 1""")
 def table_blocks(spark, sf_dir):
-    p = read(spark, sf_dir, "pages").select("page_id")
-    top = p.select("page_id", F.lit("t").alias("block_id"), F.lit(None).cast("string").alias("parent_id"), F.lit(0).alias("pos"), F.lit("table").alias("type"), F.lit("").alias("text"), F.lit(None).cast("array<string>").alias("cells"))
-    row = p.select("page_id", F.lit("r").alias("block_id"), F.lit("t").alias("parent_id"), F.lit(0).alias("pos"), F.lit("table_row").alias("type"), F.lit("").alias("text"), F.array(F.lit("x"), F.col("page_id").cast("string")).alias("cells"))
+    # a table a conversation, a row a turn
+    c = read(spark, sf_dir, "conversations")
+    top = c.select(F.col("conv_id").alias("page_id")).distinct().select("page_id", F.lit("t").alias("block_id"), F.lit(None).cast("string").alias("parent_id"), F.lit(0).cast("long").alias("pos"), F.lit("table").alias("type"), F.lit("").alias("text"), F.lit(None).cast("array<string>").alias("cells"))
+    row = c.select(F.col("conv_id").alias("page_id"), F.concat(F.lit("r"), "turn").alias("block_id"), F.lit("t").alias("parent_id"), F.col("turn").alias("pos"), F.lit("table_row").alias("type"), F.lit("").alias("text"), F.array("role", F.col("turn").cast("string"), "text").alias("cells"))
     return blocks.page_text(top.unionByName(row), "|")

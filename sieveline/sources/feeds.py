@@ -26,31 +26,37 @@ _RSS = "struct<channel:struct<item:array<struct<title:string,link:string,descrip
 _ATOM = "struct<entry:array<struct<title:string,link:struct<_href:string>,summary:string,content:string,updated:string,category:array<struct<_term:string>>>>>"
 
 
-def feed_entries(files: DataFrame, list_name: str = "list_name", text: str = "text") -> DataFrame:
-    """Entries of RSS and Atom documents (whole files as text), in their order; what is no XML gives none."""
+def feed_entries(files: DataFrame, list_name: str = "list_name", text: str = "text", part: str | None = None) -> DataFrame:
+    """Entries of RSS and Atom documents (whole files as text), in their order; what is no XML gives none.
+
+    A long feed may come in several files: ``part`` orders them, and entries have it before their place in the file.
+    """
+    files = files.select(F.col(list_name).alias("list_name"), F.col(text).alias("text"), (F.col(part) if part else F.lit(0)).cast("long").alias("part"))
+    list_name, text = "list_name", "text"
     rss = F.coalesce(F.from_xml(F.col(text), _RSS)["channel"]["item"], F.array().cast("array<struct<title:string,link:string,description:string,pubDate:string,category:array<string>>>"))
     atom = F.coalesce(F.from_xml(F.col(text), _ATOM)["entry"], F.array().cast("array<struct<title:string,link:struct<_href:string>,summary:string,content:string,updated:string,category:array<struct<_term:string>>>>"))
     terms = lambda names: F.transform(F.coalesce(names, F.array().cast("array<string>")), lambda t: F.struct(t.alias("term")))
     bare = lambda t: F.regexp_replace(F.regexp_replace(t, "^[A-Za-z]+, *", ""), "(GMT|UTC|Z)$", "+0000")
     iso = lambda t: F.coalesce(F.date_format(F.try_to_timestamp(bare(t), F.lit("d MMM yyyy HH:mm:ss Z")), "yyyy-MM-dd'T'HH:mm:ssXXX"), t)
-    a = files.select(F.col(list_name).alias("list_name"), F.posexplode(rss).alias("pos", "e")).select(
-        "list_name", "pos", "e.title", "e.link", F.col("e.description").alias("summary"), F.lit(None).cast("string").alias("content"), terms(F.col("e.category")).alias("tags"), iso(F.col("e.pubDate")).alias("published")
+    a = files.select("list_name", "part", F.posexplode(rss).alias("pos", "e")).select(
+        "list_name", "part", "pos", "e.title", "e.link", F.col("e.description").alias("summary"), F.lit(None).cast("string").alias("content"), terms(F.col("e.category")).alias("tags"), iso(F.col("e.pubDate")).alias("published")
     )
-    b = files.select(F.col(list_name).alias("list_name"), F.posexplode(atom).alias("pos", "e")).select(
-        "list_name", "pos", "e.title", F.col("e.link._href").alias("link"), "e.summary", "e.content", terms(F.col("e.category._term")).alias("tags"), F.col("e.updated").alias("published")
+    b = files.select("list_name", "part", F.posexplode(atom).alias("pos", "e")).select(
+        "list_name", "part", "pos", "e.title", F.col("e.link._href").alias("link"), "e.summary", "e.content", terms(F.col("e.category._term")).alias("tags"), F.col("e.updated").alias("published")
     )
     return a.unionByName(b)
 
 
 def rss_items(entries: DataFrame, run_date: str, count: int = 3) -> DataFrame:
     """The first ``count`` entries of each list as items. The id is made of list, title and date, not of the URL."""
-    first = entries.withColumn("_n", F.row_number().over(Window.partitionBy("list_name").orderBy("pos"))).where(F.col("_n") <= count)
+    order = ["part", "pos"] if "part" in entries.columns else ["pos"]
+    first = entries.withColumn("_n", F.row_number().over(Window.partitionBy("list_name").orderBy(*order))).where(F.col("_n") <= count)
     published = F.try_to_timestamp("published")
     key = F.coalesce(F.date_format(published, "yyyy-MM-dd"), F.lit(run_date))
     return first.select(
         surrogate_key(F.col("list_name"), F.col("title"), key).alias("id"), F.lit("RSS").alias("source"), "list_name", "title", F.col("link").alias("url"),
         published.alias("created_time"), F.coalesce("summary", F.lit("")).alias("summary"), F.coalesce("content", F.lit("")).alias("content"), "tags", "published",
-        key.alias("published_key"), F.col("pos").alias("ordinal"),
+        key.alias("published_key"), (F.col("_n") - 1).alias("ordinal"),
     )
 
 
