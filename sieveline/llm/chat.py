@@ -35,21 +35,22 @@ def gather(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role:
     return ordered.select(F.col("_id").alias(conv_id), F.transform("_turns", lambda t: F.struct(t.role.alias("role"), t.text.alias("text"))).alias("turns"))
 
 
-def stale_answer_pairs(conversations: DataFrame, conv_id: str = "conv_id", role: str = ROLE) -> DataFrame:
-    """Rows (conv_id, chosen, rejected) from gathered conversations.
+def swapped_answer_pairs(conversations: DataFrame, pick: Column, conv_id: str = "conv_id", role: str = ROLE) -> DataFrame:
+    """Rows (conv_id, chosen, rejected) from gathered conversations: pairs that part at one of their answers.
 
-    Chosen is the conversation up to its last answer; rejected the same with that answer replaced
-    by the conversation's first one, or by an empty answer if there is no other. Without any
-    answer, both are the conversation as it is.
+    Chosen is the whole conversation; rejected the same with one answer replaced by the next one of the conversation (after the
+    last the first), or by an empty answer if there is no other. Which answer is ``pick`` (a whole number) modulo their number,
+    so pairs part at any depth and what follows the answer is in both completions. Without any answer, both are the
+    conversation as it is; a null pick is 0.
     """
     places = F.filter(F.sequence(F.lit(1), F.size("turns")), lambda i: F.element_at("turns", i).role == role)
-    rows = conversations.where(F.size("turns") > 0).withColumn("_at", places).withColumn("_last", F.coalesce(F.try_element_at("_at", F.lit(-1)), F.size("turns")))
-    text = F.when(F.size("_at") > 1, F.element_at("turns", F.element_at("_at", 1)).text).otherwise(F.lit(""))
-    swapped = F.concat(F.slice("turns", F.lit(1), F.col("_last") - 1), F.array(F.struct(F.lit(role).alias("role"), text.alias("text"))))
-    return rows.select(
-        conv_id, F.slice("turns", F.lit(1), F.col("_last")).alias("chosen"),
-        F.when(F.size("_at") > 0, swapped).otherwise(F.col("turns")).cast(_TURNS).alias("rejected"),
-    )
+    rows = conversations.where(F.size("turns") > 0).withColumn("_at", places)
+    rows = rows.withColumn("_k", F.when(F.size("_at") > 0, F.pmod(F.coalesce(pick, F.lit(0)), F.size("_at")).cast("int")))
+    here, after = (F.element_at("_at", F.pmod(F.col("_k") + d, F.size("_at")).cast("int") + 1) for d in (0, 1))
+    text = F.when(F.size("_at") > 1, F.element_at("turns", after).text).otherwise(F.lit(""))
+    stale = F.array(F.struct(F.lit(role).alias("role"), text.alias("text")))
+    swapped = F.concat(F.slice("turns", F.lit(1), here - 1), stale, F.slice("turns", here + 1, F.size("turns")))
+    return rows.select(conv_id, F.col("turns").alias("chosen"), F.when(F.size("_at") > 0, swapped).otherwise(F.col("turns")).cast(_TURNS).alias("rejected"))
 
 
 def _render(turn: Column) -> Column:

@@ -14,7 +14,7 @@ TOKENIZER = "word_bpe_49k.json"
 
 
 def op1_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = chat.stale_answer_pairs(chat.gather(table(spark, sf_dir, "conversations")))
+    pairs = chat.swapped_answer_pairs(chat.gather(table(spark, sf_dir, "conversations")), F.col("conv_id"))
     out = chat.format_preferences(pairs)
     return out.withColumn("chosen_mask", chat.mask_text(F.col("chosen_mask"))).withColumn("rejected_mask", chat.mask_text(F.col("rejected_mask")))
 
@@ -94,22 +94,21 @@ WITH t AS (
   SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS rn,
          coalesce(role, '') AS role, coalesce(text, '') AS text
   FROM conversations WHERE conv_id IS NOT NULL),
-c AS (
-  SELECT conv_id, coalesce(max(rn) FILTER (role = 'assistant'), max(rn)) AS last, count(*) FILTER (role = 'assistant') AS answers,
-         min(rn) FILTER (role = 'assistant') AS first
-  FROM t GROUP BY conv_id),
+a AS (SELECT conv_id, rn, text, row_number() OVER p - 1 AS k, count(*) OVER (PARTITION BY conv_id) AS n FROM t WHERE role = 'assistant' WINDOW p AS (PARTITION BY conv_id ORDER BY rn)),
+c AS (SELECT x.conv_id, x.rn AS place, CASE WHEN x.n > 1 THEN y.text ELSE '' END AS stale, x.text AS own FROM a x JOIN a y ON x.conv_id = y.conv_id AND y.k = (x.k + 1) % x.n WHERE x.k = x.conv_id % x.n),
 d AS (
-  SELECT t.*, c.last, c.answers, CASE WHEN c.answers > 1 THEN f.text ELSE '' END AS stale
-  FROM t JOIN c USING (conv_id) LEFT JOIN t f ON f.conv_id = c.conv_id AND f.rn = c.first WHERE t.rn <= c.last),
-e AS (SELECT *, replace(text, '<|im_', '<| im_') AS safe, replace(stale, '<|im_', '<| im_') AS safe_stale,
-             (answers > 0 AND rn = last AND text <> stale) AS differs FROM d)
-SELECT conv_id, CAST(count(*) FILTER (NOT differs) AS BIGINT) AS n_prompt_turns,
-       coalesce(string_agg('<|im_start|>' || replace(role, '<|im_', '<| im_') || chr(10) || safe || '<|im_end|>' || chr(10), '' ORDER BY rn) FILTER (NOT differs), '') AS prompt,
-       coalesce(max('<|im_start|>assistant' || chr(10) || safe || '<|im_end|>' || chr(10)) FILTER (differs), '') AS chosen,
-       coalesce(max('22:' || CAST(22 + length(safe) + 10 AS VARCHAR)) FILTER (differs), '') AS chosen_mask,
-       coalesce(max('<|im_start|>assistant' || chr(10) || safe_stale || '<|im_end|>' || chr(10)) FILTER (differs), '') AS rejected,
-       coalesce(max('22:' || CAST(22 + length(safe_stale) + 10 AS VARCHAR)) FILTER (differs), '') AS rejected_mask
-FROM e GROUP BY conv_id
+  SELECT t.conv_id, rn, role, replace(role, '<|im_', '<| im_') AS r, replace(text, '<|im_', '<| im_') AS good,
+         replace(CASE WHEN rn = place THEN stale ELSE text END, '<|im_', '<| im_') AS bad, CASE WHEN own <> stale THEN place END AS place
+  FROM t LEFT JOIN c USING (conv_id)),
+e AS (SELECT *, '<|im_start|>' || r || chr(10) || good || '<|im_end|>' || chr(10) AS g, '<|im_start|>' || r || chr(10) || bad || '<|im_end|>' || chr(10) AS b, coalesce(rn >= place, false) AS tail FROM d),
+f AS (SELECT *, sum(CASE WHEN tail THEN length(g) ELSE 0 END) OVER w AS ge, sum(CASE WHEN tail THEN length(b) ELSE 0 END) OVER w AS be FROM e WINDOW w AS (PARTITION BY conv_id ORDER BY rn))
+SELECT conv_id, CAST(count(*) FILTER (NOT tail) AS BIGINT) AS n_prompt_turns,
+       coalesce(string_agg(g, '' ORDER BY rn) FILTER (NOT tail), '') AS prompt,
+       coalesce(string_agg(g, '' ORDER BY rn) FILTER (tail), '') AS chosen,
+       coalesce(string_agg((ge - length(g) + 13 + length(r)) || ':' || (ge - 1), ',' ORDER BY rn) FILTER (tail AND role = 'assistant'), '') AS chosen_mask,
+       coalesce(string_agg(b, '' ORDER BY rn) FILTER (tail), '') AS rejected,
+       coalesce(string_agg((be - length(b) + 13 + length(r)) || ':' || (be - 1), ',' ORDER BY rn) FILTER (tail AND role = 'assistant'), '') AS rejected_mask
+FROM f GROUP BY conv_id
 """
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

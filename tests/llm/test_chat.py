@@ -43,20 +43,34 @@ def test_pairs_match_brute_force(spark):
     assert rows(chat.format_preferences(df)) == {i: brute(a or [], b or []) for i, a, b in pairs}
 
 
-def test_conversations_in_order_with_stale_answers(spark):
+def brute_pair(turns, pick):
+    """A conversation, and it with the answer that ``pick`` takes replaced by the next."""
+    at = [i for i, t in enumerate(turns) if t[0] == "assistant"]
+    if not at:
+        return turns, turns
+    k = (pick or 0) % len(at)
+    text = turns[at[(k + 1) % len(at)]][1] if len(at) > 1 else ""
+    return turns, turns[: at[k]] + [("assistant", text)] + turns[at[k] + 1 :]
+
+
+def test_conversations_part_at_any_answer(spark):
+    rng = random.Random(3)
     turns = [(1, 2, "assistant", "B"), (1, 0, "user", "q"), (1, 1, "assistant", "A"), (1, 3, "user", "bye"), (2, 0, "user", None), (2, 1, "assistant", "only"),
              (3, 0, None, "no answer"), (None, 0, "user", "lost"), (4, None, "assistant", "x"), (4, 1, "assistant", "x"), (4, 1, "assistant", "x")]
+    turns += [(c, t, rng.choice(["user", "assistant", "system"]), rng.choice("abc") * t) for c in range(10, 60) for t in range(rng.randint(1, 9))]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("turns", F.lit(1))
-    pairs = chat.stale_answer_pairs(chat.gather(df))
-    got = {r.conv_id: ([tuple(t) for t in r.chosen], [tuple(t) for t in r.rejected]) for r in pairs.collect()}
-    head = [("user", "q"), ("assistant", "A")]
-    assert got == {
-        1: (head + [("assistant", "B")], head + [("assistant", "A")]), 2: ([("user", ""), ("assistant", "only")], [("user", ""), ("assistant", "")]),
-        3: ([("", "no answer")], [("", "no answer")]), 4: ([("assistant", "x")] * 3, [("assistant", "x")] * 3),
-    }
-    assert rows(chat.format_preferences(pairs)) == {i: brute(a, b) for i, (a, b) in got.items()}
+    whole = {}
+    for c, t, r, x in sorted((x for x in turns if x[0] is not None), key=lambda x: (x[0], -1 if x[1] is None else x[1], x[2] or "", x[3] or "")):
+        whole.setdefault(c, []).append((r or "", x or ""))
+    for pick, of in ((F.col("conv_id"), lambda c: c), (F.lit(None).cast("long"), lambda c: None), (-F.col("conv_id"), lambda c: -c)):
+        pairs = chat.swapped_answer_pairs(chat.gather(df), pick)
+        got = {r.conv_id: ([tuple(t) for t in r.chosen], [tuple(t) for t in r.rejected]) for r in pairs.collect()}
+        assert got == {c: brute_pair(own, of(c)) for c, own in whole.items()}
+        formatted = rows(chat.format_preferences(pairs))
+        assert formatted == {i: brute(a, b) for i, (a, b) in got.items()}
+    assert len({r[0] for r in formatted.values()}) > 5 and any(len(r[3]) > 1 for r in formatted.values())
 
 
 def test_empty_table(spark):
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
-    assert chat.format_preferences(chat.stale_answer_pairs(chat.gather(none))).collect() == []
+    assert chat.format_preferences(chat.swapped_answer_pairs(chat.gather(none), F.col("conv_id"))).collect() == []
