@@ -106,7 +106,8 @@ def html_to_text(source: Column) -> Column:
     bare = F.regexp_replace(source, r"(?is)<(script|style)\b.*?</\1\s*>", " ")
     bare = F.regexp_replace(bare, r"(?s)<!--.*?-->", " ")
     bare = F.regexp_replace(bare, r"(?s)<[^>]*>", " ")
-    return F.trim(F.regexp_replace(unescape(bare), r"[ \t\r\n\f]+", " "))
+    decoded = F.coalesce(unescape(F.when(bare.contains("&"), bare)), bare)  # only texts with references go to a Python worker
+    return F.trim(F.regexp_replace(decoded, r"[ \t\r\n\f]+", " "))
 
 
 def collection_name(model: Column, day: Column, prefix: str = "news") -> Column:

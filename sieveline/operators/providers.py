@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from functools import wraps
+from functools import cache, wraps
 from typing import Protocol
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,20 +26,25 @@ class Provider(Protocol):
     def __call__(self, text: Column) -> Column: ...
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, not at each of its uses in lambdas."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+@cache
+def _signed_counts(dim: int) -> Callable[[Column], Column]:
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def count(codes: pd.Series) -> pd.Series:
+        out = []
+        for own in codes:
+            n = np.bincount(np.asarray(own, np.int64), minlength=2 * dim)
+            v = (n[0::2] - n[1::2]).astype(np.float64)
+            size = np.sqrt((v * v).sum())
+            out.append((v / size if size else v).astype(np.float32))
+        return pd.Series(out, dtype=object)
+
+    return count
 
 
 def hashed_embedding(text: Column, dim: int = DIM) -> Column:
-    """A unit vector of signed token counts, by hash: ``dim`` floats, all 0 for no tokens."""
-    words = F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
-    codes = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(2 * dim)).cast("int"))
-    signed = lambda own, i: F.aggregate(own, F.lit(0.0), lambda s, c: s + F.when(F.floor(c / 2) == i, 1 - 2 * (c % 2)).otherwise(0))
-    counts = let(codes, lambda own: F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: signed(own, i)))
-    size = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
-    scaled = lambda v, n: F.transform(v, lambda x: F.when(n == 0, F.lit(0.0)).otherwise(x / n).cast("float"))
-    return let(counts, lambda v: let(size(v), lambda n: scaled(v, n)))
+    """A unit vector of signed token counts, by hash: ``dim`` floats, all 0 for no tokens or no text."""
+    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), lambda w: w != "")
+    return _signed_counts(dim)(F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(2 * dim)).cast("int")))
 
 
 def lead_summary(text: Column, sentences: int = 2, limit: int = 20_000, bypass: int = 200) -> Column:
