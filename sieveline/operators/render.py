@@ -46,6 +46,43 @@ def video_blocks(v: DataFrame) -> DataFrame:
     return v.withColumn("blocks", blocks(block("heading", unescape(title)), block("video", F.lit(""), F.col("url")), block("comment", facts), block("paragraph", F.col("summary"))))
 
 
+#: Hosts whose videos play in a page (fixed values); others are embedded.
+PLAYERS = ("youtube.com", "youtu.be", "v.redd.it")
+
+
+def post_blocks(p: DataFrame) -> DataFrame:
+    """Posts of a listing with ``blocks``: what they show, their text as a quote, the summary, the link and their numbers.
+
+    A video plays if its host is known, pictures of a gallery come one by one, and anything outside is embedded.
+    """
+    own = F.col("video")["video_url"]
+    plays = F.lit(False)
+    for host in PLAYERS:
+        plays = plays | F.coalesce(own.contains(host), F.lit(False))
+    one = lambda b: F.array(b)
+    none = F.array().cast(f"array<{BLOCK}>")
+    pictures = F.transform("gallery_medias", lambda m: block("image", F.lit(""), F.replace(m.url, F.lit("&amp;"), F.lit("&"))))
+    shown = (
+        F.when(F.col("is_video"), F.when(plays, one(block("video", F.lit(""), own))).otherwise(one(block("embed", F.lit(""), own))))
+        .when(F.col("is_image"), one(block("image", F.lit(""), F.col("url")))).when(F.col("is_gallery"), pictures)
+        .when(F.col("is_external_link"), one(block("embed", F.lit(""), F.col("url")))).otherwise(none)
+    )
+    quote = F.when(F.coalesce(F.col("text"), F.lit("")) != "", block("quote", F.element_at(pack_sentences(F.col("text")), 1)))
+    facts = F.format_string("Subreddit: %s\nAuthor: %s\nUps: %s\nDowns: %s\nNumOfComments: %s", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("subreddit", "author", "ups", "downs", "num_comments")))
+    parts = split_summary(F.coalesce(F.col("summary"), F.lit("")))
+    paragraphs = F.filter(F.transform(pack_sentences(parts["summary"]), lambda x: block("paragraph", x)), lambda b: b.text != "")
+    toggle = F.when(parts["translation"] != "", block("toggle", parts["translation"]))
+    return p.withColumn("blocks", F.concat(F.coalesce(shown, none), blocks(quote), F.coalesce(paragraphs, none), blocks(toggle, block("link", F.lit("Link"), F.col("permalink")), block("comment", facts))))
+
+
+def feed_blocks(a: DataFrame) -> DataFrame:
+    """Feed items with ``blocks``: the summary (or what the feed says, without one) and the link; a topic line if there are topics."""
+    text = F.coalesce(F.nullif(F.col("summary"), F.lit("")), F.col("content"), F.lit(""))
+    topics = F.when(F.size("topics") > 0, block("comment", F.concat(F.lit("Topics: "), F.array_join("topics", ", "))))
+    rows = article_blocks(a.withColumn("summary", text))
+    return rows.withColumn("blocks", F.concat(F.filter("blocks", lambda b: (b.type != "paragraph") | (b.text != "")), blocks(topics)))
+
+
 def to_text(blocks_: Column, separator: str = "\n") -> Column:
     """Blocks as plain text, the separator after each."""
     own = lambda b: F.coalesce(F.nullif(block_text(b.type, b.text), F.lit("")), b.text, F.lit(""))

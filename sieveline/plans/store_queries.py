@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline import schemas
@@ -69,13 +69,14 @@ def _feeds(spark, sf_dir) -> DataFrame:
     return each.select("list_name", "part", F.concat(F.lit("<rss><channel>"), "items", F.lit("</channel></rss>")).alias("text"))
 
 
-@query(f"WITH {_FEED} SELECT source AS list_name, count(*) AS n, max(title) AS last_title, CAST(sum(length({_PLAIN})) AS BIGINT) AS chars, md5(string_agg(md5({_PLAIN}), '' ORDER BY doc_id)) AS summaries FROM f GROUP BY 1")
+@query(f"WITH {_FEED} SELECT source AS list_name, count(*) AS n, max(title) AS last_title, CAST(sum(length({_PLAIN})) AS BIGINT) AS chars, CAST(sum(CAST('0x' || substr(md5({_PLAIN} || pos), 1, 10) AS BIGINT)) AS BIGINT) AS checksum FROM f GROUP BY 1")
 def feed_entries(spark, sf_dir):
-    e = feeds.feed_entries(_feeds(spark, sf_dir), part="part")
-    hashes = F.array_sort(F.collect_list(F.struct("part", "pos", F.md5(F.coalesce("summary", F.lit(""))).alias("h"))))
-    return e.groupBy("list_name").agg(
-        F.count("*").alias("n"), F.max("title").alias("last_title"), F.sum(F.length(F.coalesce("summary", F.lit("")))).alias("chars"), F.md5(F.array_join(F.transform(hashes, lambda s: s.h), "")).alias("summaries")
-    )
+    e = feeds.feed_entries(_feeds(spark, sf_dir), part="part").withColumn("summary", F.coalesce("summary", F.lit("")))
+    before = e.groupBy("list_name", "part").agg(F.count("*").alias("_size"))  # a row for each file
+    offset = F.coalesce(F.sum("_size").over(Window.partitionBy("list_name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    e = e.join(before.select("list_name", "part", offset.alias("_before")), ["list_name", "part"])
+    own = F.conv(F.substring(F.md5(F.concat("summary", F.col("pos") + F.col("_before"))), 1, 10), 16, 10).cast("long")
+    return e.groupBy("list_name").agg(F.count("*").alias("n"), F.max("title").alias("last_title"), F.sum(F.length("summary")).alias("chars"), F.sum(own).alias("checksum"))
 
 
 _ITEMS = f"""i AS (SELECT md5(source || '_' || title || '_' || strftime(DATE '2024-01-01' + CAST(doc_id % 28 AS INTEGER), '%Y-%m-%d')) AS id, source AS list_name, title, 'http://x.org/' || doc_id AS url, CAST(pos AS INTEGER) AS ordinal,
@@ -156,13 +157,24 @@ def watermark_by_source_and_category(spark, sf_dir):
     return state.since(e, marks, ["event_type", "category"], "ts", start="2024-01-19").groupBy("event_type", "category").agg(F.count("*").alias("n"))
 
 
-@query("SELECT 'ranking_' || source || '_' || lang || '_' || doc_id AS key, CAST(n_chars AS VARCHAR) AS value, TIMESTAMP '2024-02-03' AS expires_at FROM documents")
+_KINDS = {k: [*parts] for k, parts in state.KEYS.items()}
+_KEY = {"source": "source", "list_name": "lang", "item_id": "CAST(doc_id AS VARCHAR)", "provider": "'p'", "model": "'m'", "ds": "'2024-01-20'"}
+_TYPED = " UNION ALL ".join(
+    f"SELECT '{k}' AS kind, concat_ws('_', '{k}', {', '.join(_KEY[p] for p in parts)}) AS key, arg_max(CAST(n_chars AS VARCHAR), doc_id) AS last_value, arg_min(CAST(n_chars AS VARCHAR), doc_id) AS first_value, {state.LIVES.get(k, 0)} AS days FROM documents GROUP BY ALL"
+    for k, parts in _KINDS.items()
+)
+
+
+@query(f"WITH t AS ({_TYPED}) SELECT key, CASE WHEN days > 0 THEN last_value ELSE first_value END AS value, CASE WHEN days > 0 THEN TIMESTAMP '2024-01-20' + to_days(CAST(days AS INTEGER)) END AS expires_at FROM t WHERE days = 0 OR days > 20")
 def typed_state(spark, sf_dir):
-    d = read(spark, sf_dir, "documents").select("source", F.col("lang").alias("list_name"), F.col("doc_id").alias("item_id"), "n_chars")
+    """Every kind of state, written in one go and read 20 days on: kinds that live for two weeks are gone by then."""
+    d = read(spark, sf_dir, "documents").select("source", F.col("lang").alias("list_name"), F.col("doc_id").alias("item_id"), F.lit("p").alias("provider"), F.lit("m").alias("model"), F.lit(RUN_DAY).alias("ds"), "n_chars")
+    each = [state.writes(d, kind, F.col("n_chars"), F.col("item_id")) for kind in state.KEYS]
+    writes = each[0]
+    for w in each[1:]:
+        writes = writes.unionByName(w)
     none = spark.createDataFrame([], "key string, value string, expires_at timestamp_ntz")
-    kept = state.put(none, state.writes(d, "ranking", F.col("n_chars"), F.col("item_id")), RUN_DAY)
-    seen = state.put(kept, state.writes(d, "inbox_item", F.lit("true"), F.col("item_id")), RUN_DAY)
-    return state.get(seen, "2024-02-02").where("key like 'ranking%'")
+    return state.get(state.put(none, writes, RUN_DAY), "2024-02-09")
 
 
 @query("SELECT doc_id, lang FROM documents")
@@ -186,23 +198,69 @@ def push_totals(spark, sf_dir):
     return writers.push_totals(read(spark, sf_dir, "documents").withColumn("error", F.when(F.col("n_chars") > 1000, "too long")), "source")
 
 
-@query("SELECT lang AS category, count(*) AS n, CAST(count(*) FILTER (doc_id % 7 <> 0) AS BIGINT) AS written FROM documents GROUP BY 1")
+@query("""SELECT lang AS category, md5('---' || chr(10) || 'title: "note ' || doc_id || '"' || chr(10) || 'source: ' || source || chr(10) || 'url: http://x' || chr(10) || 'date: 2024-01-20' || chr(10) || 'rating: 4' || chr(10) || 'tags: ["' || lang || '"]' || chr(10) || '---' || chr(10)
+|| chr(10) || '# note ' || doc_id || chr(10) || chr(10) || coalesce(text, '') || chr(10)) AS note FROM documents WHERE doc_id % 7 <> 0""")
 def markdown_notes(spark, sf_dir):
     path = shared_path(spark, "notes")
     d = read(spark, sf_dir, "documents").select(
-        F.concat(F.lit("note "), "doc_id").alias("title"), F.lit("http://x").alias("url"), "source", F.array("lang").alias("tags"), F.lit(4).alias("rating"), F.left("text", F.lit(50)).alias("summary"),
+        F.concat(F.lit("note "), "doc_id").alias("title"), F.lit("http://x").alias("url"), "source", F.array("lang").alias("tags"), F.lit(4).alias("rating"), F.col("text").alias("summary"),
         F.lit(RUN_DAY).cast("timestamp").alias("created_time"), "lang", "doc_id",
     )
     known = writers.markdown_note(d.where("doc_id % 7 = 0"))
     writers.write_notes(d.coalesce(8), path, "lang", known)
-    back = spark.read.text(path).where(F.col("value").startswith("# note ")).groupBy("category").agg(F.count("*").alias("written"))
-    return d.groupBy(F.col("lang").alias("category")).agg(F.count("*").alias("n")).join(back, "category").select("category", "n", "written")
+    back = spark.read.text(path, wholetext=True)
+    return back.select("category", F.md5(F.substring("value", F.lit(1), F.length("value") - 1)).alias("note"))  # without the file's last line break
+
+
+@query(r"""SELECT doc_id, source || '_' || lang || '_note ' || doc_id || '.md' AS file_name, '---' || chr(10) || 'created_at: 2024-01-20' || chr(10) || 'rating: 4.5' || chr(10) || 'user_rating: ' || coalesce(CAST(quality AS VARCHAR), '') || chr(10) || 'alias: ' || chr(10) || 'to: ' || chr(10)
+|| 'source: ' || source || chr(10) || 'list_name: ' || lang || chr(10) || 'notion url: http://x/' || doc_id || chr(10) || 'topic: ' || lang || ', all' || chr(10) || 'category: ' || lang || chr(10) || 'take aways: ' || regexp_replace(coalesce(text, ''), '[\x09-\x0D\x20]*\n[\x09-\x0D\x20]*', ' ', 'g') || chr(10) || '---' || chr(10) || chr(10)
+|| 'Tags:: #notion/toread' || chr(10) || 'Refs:: [[Notion ToRead - MOC]]' || chr(10) || chr(10) || coalesce(text, '') || chr(10) AS note FROM documents LEFT JOIN labels USING (doc_id)""")
+def inbox_notes(spark, sf_dir):
+    d = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("user_rating")), "doc_id", "left")
+    items = d.select(
+        "doc_id", F.lit(RUN_DAY).cast("timestamp").alias("created_time"), F.lit(4.5).alias("rating"), "user_rating", "source", F.col("lang").alias("list_name"), F.concat(F.lit("http://x/"), "doc_id").alias("url"),
+        F.concat(F.lit("note: "), "doc_id").alias("title"), F.array("lang", F.lit("all")).alias("topics"), F.array("lang").alias("categories"), F.col("text").alias("take_aways"), F.col("text").alias("body"),
+    )
+    return writers.inbox_note(items, ["doc_id"])
 
 
-@query("SELECT CAST(page_id AS VARCHAR) AS page_id, regexp_extract(replace(list_extract(string_split('https://arxiv.org/pdf/' || page_id || '.1234v' || (page_id % 9) || '.pdf', '/'), -1), '.pdf', ''), '^[^v]*') AS arxiv_id FROM pages")
+@query(r"""SELECT CAST(page_id AS VARCHAR) AS page_id, url, regexp_extract(replace(list_extract(string_split(url, '/'), -1), '.pdf', ''), '^[^v]*') AS arxiv_id FROM pages""")
 def arxiv_ids(spark, sf_dir):
-    url = F.concat(F.lit("https://arxiv.org/pdf/"), "page_id", F.lit(".1234v"), F.col("page_id") % 9, F.lit(".pdf"))
-    return read(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("page_id"), X.arxiv_id(url).alias("arxiv_id"))
+    return read(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("page_id"), "url", X.arxiv_id(F.col("url")).alias("arxiv_id"))
+
+
+@query("""WITH p AS (SELECT source AS query, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n, DATE '2024-01-20' - CAST(doc_id % 9000 AS INTEGER) AS day, lang, text FROM documents WHERE DATE '2024-01-20' - CAST(doc_id % 9000 AS INTEGER) >= DATE '2014-01-20')
+SELECT query, 'http://x/abs/' || doc_id || '.12' AS id, doc_id || '.12' AS arxiv_id, concat_ws(chr(10), 'Title: paper ' || doc_id, 'Authors: a, ' || lang, 'Published: ' || day, 'Summary: ' || text) AS text FROM p WHERE n <= 5""")
+def papers(spark, sf_dir):
+    d = read(spark, sf_dir, "documents")
+    day = F.date_sub(F.lit(RUN_DAY).cast("date"), (F.col("doc_id") % 9000).cast("int"))
+    found = d.select(F.col("source").alias("query"), F.col("doc_id").alias("pos"), F.concat(F.lit("http://x/abs/"), "doc_id", F.lit(".12v3")).alias("id"), F.concat(F.lit("paper "), "doc_id").alias("title"), F.array(F.lit("a"), F.col("lang")).alias("authors"), day.alias("published"), F.col("text").alias("summary"))
+    return feeds.papers(found, RUN_DAY).select("query", F.regexp_replace("id", "v3$", "").alias("id"), "arxiv_id", "text")
+
+
+_WEEK = """x AS (SELECT event_type AS source, CAST(ts AS DATE) AS day, event_type || '_' || CAST(ts AS DATE) AS id FROM events GROUP BY ALL), b AS (SELECT id, source FROM x WHERE source <> 'error' QUALIFY row_number() OVER (PARTITION BY source ORDER BY day DESC) <= 2)"""
+
+
+@query(f"""WITH {_WEEK}, e AS (SELECT v.* FROM events v JOIN b ON b.id = v.event_type || '_' || CAST(v.ts AS DATE) WHERE ts >= TIMESTAMP '2024-01-23' AND value >= 10)
+SELECT user_id AS page_id, arg_max(event_type, (ts, -event_id)) AS source, arg_max(value, (ts, -event_id)) AS user_rating, max(ts) AS last_edited_time FROM e GROUP BY 1""")
+def weekly_pages(spark, sf_dir):
+    # a database for each type and day; the two newest of four types count
+    e = read(spark, sf_dir, "events")
+    database = F.concat_ws("_", "event_type", F.to_date("ts").cast("string"))
+    index = e.select(F.col("event_type").alias("source"), database.alias("id"), F.to_date("ts").alias("created_time")).distinct()
+    pages = e.select(F.col("user_id").alias("page_id"), database.alias("database_id"), F.col("event_type").alias("source"), F.when(F.col("value") >= 10, F.col("value")).alias("user_rating"), F.col("ts").alias("last_edited_time"), F.col("event_id").alias("ordinal"))
+    return feeds.weekly_pages(pages, index, ["view", "click", "signup", "purchase"], "2024-01-30").select("page_id", "source", "user_rating", "last_edited_time")
+
+
+@query(r"""SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'video v.redd.it/' || page_id WHEN 1 THEN 'image ' || url WHEN 2 THEN 'image http://i/1&2' ELSE 'embed ' || url END || '|quote q' || page_id || '.|paragraph sum ' || page_id || '|link Link|comment Subreddit: sub' AS blocks FROM pages""")
+def post_blocks(spark, sf_dir):
+    p, k = read(spark, sf_dir, "pages"), F.col("page_id") % 4
+    rows = p.select(
+        "page_id", "url", F.concat(F.lit("q"), "page_id", F.lit(".")).alias("text"), F.concat(F.lit("sum "), "page_id").alias("summary"), F.lit("http://r").alias("permalink"), F.lit("sub").alias("subreddit"), F.lit("me").alias("author"), F.lit(1).alias("ups"), F.lit(0).alias("downs"), F.lit(2).alias("num_comments"),
+        (k == 0).alias("is_video"), (k == 1).alias("is_image"), (k == 2).alias("is_gallery"), (k == 3).alias("is_external_link"), F.struct(F.concat(F.lit("v.redd.it/"), "page_id").alias("video_url")).alias("video"), F.array(F.struct(F.lit("http://i/1&amp;2").alias("url"))).alias("gallery_medias"),
+    )
+    told = F.transform("blocks", lambda b: F.concat_ws(" ", b.type, F.coalesce(F.nullif(F.split(b.text, "\n")[0], F.lit("")), b.url)))
+    return render.post_blocks(rows).select("page_id", F.array_join(told, "|").alias("blocks"))
 
 
 @query("SELECT 'unique' AS rule, text AS value, count(*) AS n FROM (SELECT CAST(doc_id // 2 AS VARCHAR) AS text FROM documents) GROUP BY 2 HAVING count(*) > 1 UNION ALL SELECT 'status', lang, count(*) FROM documents WHERE lang NOT IN ('pending', 'approved', 'rejected') GROUP BY 2")

@@ -40,6 +40,40 @@ def markdown_note(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return df.select(*(keep or []), name.alias("file_name"), F.concat(head, F.lit("\n# "), "title", F.lit("\n\n"), F.coalesce("summary", F.lit("")), F.lit("\n")).alias("note"))
 
 
+#: Lines of an inbox note's front matter (fixed values) and the columns they come from.
+INBOX_FIELDS = {
+    "created_at": "created_time", "rating": "rating", "user_rating": "user_rating", "alias": "alias", "to": "to", "source": "source", "list_name": "list_name",
+    "notion url": "url", "topic": "topics", "category": "categories", "take aways": "take_aways",
+}
+
+
+def inbox_note(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Rows (*keep, file_name, note) of items for an inbox: all INBOX_FIELDS as front matter, then tags, a link to the inbox and the body.
+
+    Missing columns and null values leave their line empty, arrays are joined by commas. The file is named by source, first category
+    and title, without what file names cannot hold.
+    """
+    def value(c: str):
+        if c not in df.columns:
+            return F.lit("")
+        kind = df.schema[c].dataType.typeName()
+        own = F.date_format(c, "yyyy-MM-dd") if kind in ("timestamp", "timestamp_ntz", "date") else F.array_join(F.array_compact(c), ", ") if kind == "array" else F.col(c).cast("string")
+        return F.coalesce(F.regexp_replace(own, r"\s*\n\s*", " "), F.lit(""))
+
+    first = F.coalesce(F.try_element_at("categories", F.lit(1)), F.lit("")) if "categories" in df.columns else F.lit("")
+    plain = lambda c: F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r'[\\/:*?"<>|#^\[\]\s]+', " "))
+    name = F.concat(F.concat_ws("_", plain(F.col("source")), plain(first), F.substring(plain(F.col("title")), 1, 80)), F.lit(".md"))
+    head = F.concat(*(F.concat(F.lit(f"{k}: "), value(c), F.lit("\n")) for k, c in INBOX_FIELDS.items()))
+    text = F.concat(F.lit("---\n"), head, F.lit("---\n\nTags:: #notion/toread\nRefs:: [[Notion ToRead - MOC]]\n\n"), F.coalesce("body", F.lit("")), F.lit("\n"))
+    return df.select(*(keep or []), name.alias("file_name"), text.alias("note"))
+
+
+def append_lines(rows: DataFrame, path: str, known: DataFrame | None = None, key: str = "value") -> None:
+    """Append references or articles as lines of text; those whose key is known already are left out, each key once."""
+    new = rows if known is None else rows.join(known.select(key).distinct(), key, "left_anti")
+    new.dropDuplicates([key]).select("value").write.mode("append").text(path)
+
+
 def write_notes(df: DataFrame, path: str, category: str, known: DataFrame | None = None) -> None:
     """Notes as text files, a folder for each category; names that are known already are left out."""
     notes = markdown_note(df.withColumn("category", F.col(category)), ["category"])

@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.functions.records import pacific, surrogate_key
+from sieveline.functions.text import arxiv_id
 from sieveline.functions.urls import absolute, flags
+from sieveline.operators.dedup import latest
 
 RSS_ENTRY = "list_name string, pos int, title string, link string, summary string, content string, tags array<struct<term:string>>, published string"
 LISTING = (
@@ -134,3 +136,34 @@ def rated_pages(pages: DataFrame, source: str, since: str, require_rating: bool
     own = pages.where((F.col("source") == source) & (F.col("last_edited_time") >= F.lit(since).cast("timestamp")))
     own = own.withColumn("user_rating", F.try_to_number("user_rating", F.lit("9")).cast("double"))
     return (own.where("user_rating is not null") if require_rating else own).orderBy("last_edited_time")
+
+
+def latest_per_source(index: DataFrame, sources: list[str], n: int = 2) -> DataFrame:
+    """The newest ``n`` databases (source, id, created_time) of each of the sources."""
+    order = Window.partitionBy("source").orderBy(F.col("created_time").desc(), "id")
+    return index.where(F.col("source").isin(*sources)).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= n).drop("_n")
+
+
+def weekly_pages(pages: DataFrame, index: DataFrame, sources: list[str], run_day: str, days: int = 7, n: int = 2) -> DataFrame:
+    """Rated pages of the week: of the newest ``n`` databases of each source, edited in the ``days`` before the run's end, each page's latest edit.
+
+    Pages (page_id, database_id, source, user_rating, last_edited_time, ordinal) of other databases and sources are left out.
+    The index is small; a page is in one source's database, so pages join it by database.
+    """
+    own = latest_per_source(index, sources, n).select(F.col("id").alias("_database"), F.col("source").alias("_source"))
+    since = F.date_sub(F.lit(run_day).cast("date"), days).cast(pages.schema["last_edited_time"].dataType)
+    recent = pages.where((F.col("last_edited_time") >= since) & F.col("user_rating").isNotNull())
+    joined = recent.join(own, (F.col("database_id") == F.col("_database")) & (F.col("source") == F.col("_source"))).drop("_database", "_source")
+    return latest(joined, "page_id", "last_edited_time", "ordinal")
+
+
+def papers(entries: DataFrame, run_day: str, years: int = 10, count: int = 5, query: str = "query") -> DataFrame:
+    """Papers found by a search (query, pos, id, title, authors, published, summary): published in the last ``years``, ``count`` a query in their order.
+
+    ``text`` is what a summary is made of: title, authors, date and abstract.
+    """
+    since = F.add_months(F.lit(run_day).cast("date"), -12 * years)
+    kept = entries.where(F.to_date("published") >= since)
+    first = kept.withColumn("_n", F.row_number().over(Window.partitionBy(query).orderBy("pos"))).where(F.col("_n") <= count).drop("_n")
+    parts = [F.concat(F.lit(f"{name}: "), value) for name, value in (("Title", F.col("title")), ("Authors", F.array_join("authors", ", ")), ("Published", F.to_date("published").cast("string")), ("Summary", F.col("summary")))]
+    return first.withColumn("arxiv_id", arxiv_id(F.col("id"))).withColumn("text", F.concat_ws("\n", *parts))
