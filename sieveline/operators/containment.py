@@ -11,8 +11,9 @@ are in few prefixes.
 ``best_containment`` wants the best item of each document, however small the overlap. Documents that the index finds have it
 from there; the rest are compared with all of the truth in blocks: both sides are dealt to (block, slice), where a block
 holds a bounded share of the truth's tokens and a slice a bounded share of the documents', and each such group counts shared tokens
-over the block's postings. Rows are told apart by a number that is written once before all passes, so the result has a row for
-each document row, whatever its id and whatever the size of a block.
+over the block's postings. A truth of one block needs no index: every document is dealt once in any case. Rows are told apart by a
+number that is written once before all passes, so the result has a row for each document row, whatever its id and whatever the
+size of a block.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from sieveline.functions.text import tokens
 from sieveline.session import materialize
 
-#: Overlap from which documents find their items by the index.
-LEAST = 0.3
+#: Overlap from which documents find their items by the index: below it prefixes are most of a set.
+LEAST = 0.8
 #: Bytes of tokens of the truth in one block, and of documents in one slice of it.
 BLOCK_BYTES = 32 << 20
 
@@ -102,10 +103,13 @@ def _best_of_block(key: tuple, docs: pa.Table, items: pa.Table) -> pa.Table:
     return pa.table([rows, *out], names=["row", "item", "overlap"])
 
 
-def _in_blocks(rest: DataFrame, truth: DataFrame, block_bytes: int) -> DataFrame:
+def _blocks(sets: DataFrame, block_bytes: int) -> int:
+    """How many parts of ``block_bytes`` token sets make."""
+    return max(1, -(-(sets.agg(F.sum(F.size("tokens") * 16 + 64).cast("long")).first()[0] or 0) // block_bytes))
+
+
+def _in_blocks(rest: DataFrame, truth: DataFrame, blocks: int, slices_: int) -> DataFrame:
     """Rows (row, item, overlap): the best item of each block of the truth for each document row."""
-    weight = lambda df: df.agg(F.sum(F.size("tokens") * 16 + 64).cast("long")).first()[0] or 0
-    blocks, slices_ = (max(1, -(-weight(df) // block_bytes)) for df in (truth, rest))
     theirs = truth.select(F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices_ - 1))).alias("slice"), F.col("id").alias("item"), "tokens", "size")
     own = rest.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1))).alias("block"), F.pmod(F.xxhash64("row"), F.lit(slices_)).alias("slice"), "row", "tokens")
     kind = truth.schema["id"].dataType.simpleString()
@@ -122,8 +126,13 @@ def best_containment(docs: DataFrame, truth: DataFrame, doc_id: str, item_id: st
     items = token_sets(truth.where(F.col(f"`{item_id}`").isNotNull()), item_id, text, "truth-tokens")
     order = F.struct("overlap", -F.col("item"))
     best = lambda df: df.groupBy("row").agg(F.max_by(F.struct("item", "overlap"), order).alias("b")).select("row", "b.item", "b.overlap")
-    indexed = materialize(best(_pairs(own, items, least)), "containing-items", compact=True)
-    rest = own.join(indexed, "row", "left_anti")
-    found = indexed.unionByName(best(_in_blocks(rest, items, block_bytes))).withColumnRenamed("row", "_row")
+    blocks, slices_ = _blocks(items, block_bytes), max(_blocks(own, block_bytes), own.sparkSession.sparkContext.defaultParallelism)
+    if blocks == 1:
+        found = best(_in_blocks(own, items, blocks, slices_))
+    else:
+        indexed = materialize(best(_pairs(own, items, least)), "containing-items", compact=True)
+        rest = own.join(indexed, "row", "left_anti")
+        found = indexed.unionByName(best(_in_blocks(rest, items, blocks, slices_)))
+    found = found.withColumnRenamed("row", "_row")
     joined = own.join(found, F.col("row") == F.col("_row"), "left")
     return joined.select(F.col("id").alias(doc_id), F.col("item").alias(item_id), F.coalesce("overlap", F.lit(0.0)).alias("overlap"))

@@ -424,8 +424,12 @@ def eval_confusion(spark, sf_dir):
 @query(f"""WITH {_OVERLAP}, c AS (SELECT threshold, CAST(count(*) FILTER (k AND t) AS DOUBLE) AS tp, CAST(count(*) FILTER (k AND NOT t) AS DOUBLE) AS fp, CAST(count(*) FILTER (NOT k AND t) AS DOUBLE) AS fn, CAST(count(*) FILTER (NOT k AND NOT t) AS DOUBLE) AS tn
 FROM (SELECT threshold, overlap >= threshold AS k, quality = 1 AS t FROM o JOIN labels USING (doc_id), (VALUES (0.85), (0.9), (0.95)) x(threshold)) GROUP BY 1) SELECT CAST(threshold AS DOUBLE) AS threshold, tp, fp, fn, tn, {_RATES} FROM c""")
 def threshold_sweep(spark, sf_dir):
-    rows = _overlap(spark, sf_dir).join(read(spark, sf_dir, "labels"), "doc_id").withColumn("good", F.col("quality") == 1)
-    return _rounded(evaluate.sweep(rows, "overlap", "good", [0.85, 0.90, 0.95]))
+    # pairs below the lowest threshold count for nothing, so the index is enough
+    thresholds, d = [0.85, 0.90, 0.95], read(spark, sf_dir, "documents")
+    found = containment.containing(d, read(spark, sf_dir, "benchmark"), "doc_id", "item_id", threshold=thresholds[0]).groupBy("doc_id").agg(F.max("overlap").alias("overlap"))
+    rows = read(spark, sf_dir, "labels").join(d.select("doc_id"), "doc_id").join(found, "doc_id", "left")
+    rows = rows.select("doc_id", F.coalesce("overlap", F.lit(0.0)).alias("overlap"), (F.col("quality") == 1).alias("good"))
+    return _rounded(evaluate.sweep(rows, "overlap", "good", thresholds))
 
 
 # --- text, keys, dates ------------------------------------------------------------------------

@@ -36,7 +36,7 @@ def test_best_item_of_each_row_for_any_block_and_threshold(spark):
         each = [(overlap(text, b), -i) for i, b in truth if i is not None]
         o, i = max(each)
         want.append((str(doc), -i, round(o, 9)))
-    for size, least in ((1 << 20, 0.3), (3000, 0.3), (1 << 20, 1.0), (3000, 0.01)):
+    for size, least in ((1 << 20, 0.8), (3000, 0.8), (3000, 0.3), (9000, 1.0), (3000, 0.01)):
         got = [(str(r.doc_id), r.item_id, round(r.overlap, 9)) for r in C.best_containment(d, t, "doc_id", "item_id", block_bytes=size, least=least).collect()]
         assert sorted(got) == sorted(want), (size, least)
 
