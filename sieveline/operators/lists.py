@@ -9,11 +9,11 @@ of the table is on it, is one group, and neither side goes through the driver. E
 ``InvertedLists`` keeps the vectors partitioned by list: a search reads only the lists that are probed. It scores what is on them
 exactly, so what an index can miss are neighbours on lists that are not probed; probing all lists is exact.
 
-``similar_pairs`` is exact too. Angles between unit vectors obey the triangle inequality: a query at angle a to a centroid has
-nobody within angle t on a list whose members are at angles of less than a - t or more than a + t. Lists that are not
-excluded are compared whole.
+``similar_pairs`` is exact too, by cosine or by squared Euclidean distance. Angles between unit vectors, like distances, obey the
+triangle inequality: a query at a distance a from a centroid has nobody within t on a list whose members are less than a - t or
+more than a + t away from it. Lists that are not excluded are compared whole.
 
-Null ids and vectors are left out, vectors of different sizes are an error. Zero vectors have the similarity 0.
+Null ids and vectors are left out, vectors of different sizes are an error. Zero vectors have the cosine 0.
 """
 
 from __future__ import annotations
@@ -52,9 +52,18 @@ def _nearest(m: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum((m**2).sum(1)[:, None] + (centres**2).sum(1)[None] - 2 * m @ centres.T, 0)
 
 
-def fit(vectors: DataFrame, lists: int, sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
-    """At most ``lists`` centroids of rows (id, v) of unit vectors, from the ``sample_rows`` of them with the smallest hashed ids."""
-    sample = _unit(_matrix(vectors.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("v").toArrow().column("v").combine_chunks()))
+def _same(m: np.ndarray) -> np.ndarray:
+    return m
+
+
+#: What becomes of vectors before they are compared.
+_PREPARED = {"cosine": _unit, "l2": _same}
+
+
+def fit(vectors: DataFrame, lists: int, sample_rows: int = SAMPLE_ROWS, metric: str = "cosine") -> np.ndarray:
+    """At most ``lists`` centroids of rows (id, v), for cosines of unit vectors, from the ``sample_rows`` of them with the smallest hashed ids."""
+    prepared = _PREPARED[metric]
+    sample = prepared(_matrix(vectors.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("v").toArrow().column("v").combine_chunks()))
     if not len(sample):
         return np.zeros((0, 0))
     lists = max(1, min(lists, len(sample), CENTROID_BYTES // (8 * sample.shape[1])))
@@ -64,43 +73,48 @@ def fit(vectors: DataFrame, lists: int, sample_rows: int = SAMPLE_ROWS) -> np.nd
         own = np.concatenate([np.argmin(_nearest(sample[at : at + 4096], centres), axis=1) for at in range(0, len(sample), 4096)])
         sums = np.zeros_like(centres)
         np.add.at(sums, own, sample)
-        filled = np.bincount(own, minlength=lists) > 0
-        centres = np.where(filled[:, None], _unit(sums), centres)
+        held = np.bincount(own, minlength=lists)[:, None]
+        centres = np.where(held > 0, prepared(sums / np.maximum(held, 1)), centres)
     return centres
 
 
-def _steps(batches: Iterator[pa.RecordBatch], width: int, dim: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    """Slices of batches with their unit vectors, so that rows times width stays bounded."""
+def _steps(batches: Iterator[pa.RecordBatch], width: int, dim: int, metric: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Slices of batches with their prepared vectors, so that rows times width stays bounded."""
     step = max(1, _SCORES // max(width, 1))
     for batch in (whole.slice(at, step) for whole in batches for at in range(0, whole.num_rows, step)):
         m = _matrix(batch.column(1))
         if m.shape[1] != dim:
             raise ValueError(f"vectors of different sizes: {dim}, {m.shape[1]}")
-        yield batch, _unit(m)
+        yield batch, _PREPARED[metric](m)
+
 
+def _away(m: np.ndarray, centres: np.ndarray, metric: str) -> np.ndarray:
+    """Angles or distances of prepared rows to centroids."""
+    return np.arccos(np.clip(m @ centres.T, -1, 1)) if metric == "cosine" else np.sqrt(_nearest(m, centres))
 
-def assign(vectors: DataFrame, centres: np.ndarray) -> DataFrame:
-    """Rows (id, v, list, angle): the list of each vector's nearest centroid, and the angle to it."""
+
+def assign(vectors: DataFrame, centres: np.ndarray, metric: str = "cosine") -> DataFrame:
+    """Rows (id, v, list, away): the list of each vector's nearest centroid, and the angle or distance to it."""
     shared = vectors.sparkSession.sparkContext.broadcast(centres)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch, m in _steps(batches, len(own), own.shape[1]):
-            near = np.argmax(m @ own.T, axis=1)
-            angle = np.arccos(np.clip((m * own[near]).sum(1), -1, 1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near.astype(np.int32)), pa.array(angle)], names=["id", "v", "list", "angle"])
+        for batch, m in _steps(batches, len(own), own.shape[1], metric):
+            away = _away(m, own, metric)
+            near = np.argmin(away, axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near.astype(np.int32)), pa.array(away[np.arange(len(near)), near])], names=["id", "v", "list", "away"])
 
-    return vectors.mapInArrow(run, "id long, v array<float>, list int, angle double")
+    return vectors.mapInArrow(run, "id long, v array<float>, list int, away double")
 
 
-def _routed(queries: DataFrame, centres: np.ndarray, choose: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """Rows (query_id, q, list): each query once for each list that ``choose`` takes, given the cosines to all centroids."""
+def _routed(queries: DataFrame, centres: np.ndarray, choose: Callable[[np.ndarray], np.ndarray], metric: str = "cosine") -> DataFrame:
+    """Rows (query_id, q, list): each query once for each list that ``choose`` takes, given how far it is from all centroids."""
     shared = queries.sparkSession.sparkContext.broadcast(centres)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch, m in _steps(batches, len(own), own.shape[1]):
-            rows, lists = np.nonzero(choose(m @ own.T))
+        for batch, m in _steps(batches, len(own), own.shape[1], metric):
+            rows, lists = np.nonzero(choose(_away(m, own, metric)))
             step = max(1, _SCORES // own.shape[1])
             for at in range(0, len(rows), step):
                 take = pa.array(rows[at : at + step])
@@ -109,20 +123,20 @@ def _routed(queries: DataFrame, centres: np.ndarray, choose: Callable[[np.ndarra
     return queries.mapInArrow(run, "query_id long, q array<float>, list int")
 
 
-def _group(k: int | None, least: float | None, exclude_self: bool):
-    """The matches of a group's queries among a group's vectors: ``k`` a query, or all, of ``least`` or more."""
+def _group(k: int | None, least: float | None, exclude_self: bool, metric: str):
+    """The matches of a group's queries among a group's vectors: ``k`` a query, or all, that score ``least`` or more (distances count below 0)."""
 
     def run(key: tuple, queries: pa.Table, members: pa.Table) -> pa.Table:
         who, found, score = [], [], []
         if queries.num_rows and members.num_rows:
             members = members.sort_by("id")
             ids, names = members.column("id").to_numpy(), queries.column("query_id").to_numpy()
-            m, q = (_unit(_matrix(t.column(c).combine_chunks())) for t, c in ((members, "v"), (queries, "q")))
+            m, q = (_PREPARED[metric](_matrix(t.column(c).combine_chunks())) for t, c in ((members, "v"), (queries, "q")))
             if m.shape[1] != q.shape[1]:
                 raise ValueError(f"vectors of different sizes: {q.shape[1]}, {m.shape[1]}")
             step = max(1, _SCORES // len(ids))
             for at in range(0, len(names), step):
-                s = q[at : at + step] @ m.T
+                s = q[at : at + step] @ m.T if metric == "cosine" else -_nearest(q[at : at + step], m)
                 if exclude_self:
                     s[names[at : at + step, None] == ids[None]] = -np.inf
                 if least is not None:
@@ -145,7 +159,7 @@ def _group(k: int | None, least: float | None, exclude_self: bool):
     return run
 
 
-def _matches(probes: DataFrame, members: DataFrame, k: int | None, least: float | None, exclude_self: bool, slice_rows: int, block_rows: int) -> DataFrame:
+def _matches(probes: DataFrame, members: DataFrame, k: int | None, least: float | None, exclude_self: bool, slice_rows: int, block_rows: int, metric: str = "cosine") -> DataFrame:
     """Rows (query_id, similar_id, score) of what each query finds on the lists it was routed to."""
     sizes = members.groupBy("list").agg(F.count("*").alias("n")).join(probes.groupBy("list").agg(F.count("*").alias("p")), "list")
     deal = sizes.select(F.col("list").alias("_list"), F.ceil(F.col("n") / slice_rows).alias("slices"), F.ceil(F.col("p") / block_rows).alias("blocks"))
@@ -154,7 +168,7 @@ def _matches(probes: DataFrame, members: DataFrame, k: int | None, least: float
     own = members.join(deal, F.col("list") == F.col("_list")).select("list", of("id", F.col("slices")).alias("slice"), each(F.col("blocks")).alias("block"), "id", "v")
     asked = probes.join(deal, F.col("list") == F.col("_list")).select("list", each(F.col("slices")).alias("slice"), of("query_id", F.col("blocks")).alias("block"), "query_id", "q")
     keys = ["list", "slice", "block"]
-    return asked.groupBy(*keys).cogroup(own.groupBy(*keys)).applyInArrow(_group(k, least, exclude_self), "query_id long, similar_id long, score double")
+    return asked.groupBy(*keys).cogroup(own.groupBy(*keys)).applyInArrow(_group(k, least, exclude_self, metric), "query_id long, similar_id long, score double")
 
 
 def _ranked(found: DataFrame, k: int | None) -> DataFrame:
@@ -186,7 +200,7 @@ class InvertedLists:
     def _write(self, own: DataFrame, centres: np.ndarray, mode: str) -> None:
         if not len(centres) and mode == "append" and own.limit(1).count():
             raise ValueError("the index was built without vectors: build it again")
-        put = assign(own, centres) if len(centres) else own.select("id", "v", F.lit(0).alias("list"), F.lit(0.0).alias("angle")).limit(0)
+        put = assign(own, centres) if len(centres) else own.select("id", "v", F.lit(0).alias("list"), F.lit(0.0).alias("away")).limit(0)
         # ranges of (list, hash): a task writes few lists, and a long list is written by several tasks
         put.repartitionByRange(F.col("list"), F.xxhash64("id")).write.mode(mode).partitionBy("list").parquet(f"{self.path}/lists")
 
@@ -195,7 +209,7 @@ class InvertedLists:
         return np.array([r.centre for r in rows]) if rows else np.zeros((0, 0))
 
     def members(self) -> DataFrame:
-        return self.spark.read.schema("id long, v array<float>, angle double, list int").parquet(f"{self.path}/lists")
+        return self.spark.read.schema("id long, v array<float>, away double, list int").parquet(f"{self.path}/lists")
 
     def search(
         self, queries: DataFrame, k: int, nprobe: int | None = None, min_similarity: float | None = None, exclude_self: bool = True, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -210,9 +224,9 @@ class InvertedLists:
             return self.spark.createDataFrame([], "query_id long, similar_id long, score double, rn int")
         n = min(nprobe or max(1, round(PROBED * len(centres))), len(centres))
 
-        def nearest(cosines: np.ndarray) -> np.ndarray:
-            out = np.zeros(cosines.shape, bool)
-            np.put_along_axis(out, np.argpartition(-cosines, n - 1, axis=1)[:, :n], True, axis=1)
+        def nearest(away: np.ndarray) -> np.ndarray:
+            out = np.zeros(away.shape, bool)
+            np.put_along_axis(out, np.argpartition(away, n - 1, axis=1)[:, :n], True, axis=1)
             return out
 
         probes = materialize(_routed(_pick(queries, id_col, vector_col), centres, nearest), "probes")
@@ -223,31 +237,35 @@ class InvertedLists:
 
 def similar_pairs(
     new: DataFrame, stored: DataFrame, threshold: float, k: int | None = None, lists: int | None = None, exclude_self: bool = False, id_col: str = "vec_id", vector_col: str = "embedding",
-    slice_rows: int = SLICE_ROWS, block_rows: int = BLOCK_ROWS,
+    slice_rows: int = SLICE_ROWS, block_rows: int = BLOCK_ROWS, metric: str = "cosine",
 ) -> DataFrame:
-    """Rows (query_id, similar_id, score, rn): the stored vectors with a cosine of ``threshold`` (above 0) or more to each new one, exactly.
+    """Rows (query_id, similar_id, score, rn): the stored vectors that are near enough to each new one, exactly; with ``k`` the best so many of each.
 
-    With ``k`` the best so many of each. Either side may be of any size.
+    Near enough is a cosine of ``threshold`` (above 0) or more, or, for ``metric="l2"``, a squared distance of ``threshold`` or less.
+    Either side may be of any size.
     """
-    if not 0 < threshold <= 1:
-        raise ValueError(f"the threshold is {threshold}, not above 0 and at most 1")
+    if metric not in _PREPARED:
+        raise ValueError(f"metric is {metric!r}, not one of {tuple(_PREPARED)}")
+    if not (0 < threshold <= 1 if metric == "cosine" else threshold >= 0):
+        raise ValueError(f"the threshold is {threshold}, not " + ("above 0 and at most 1" if metric == "cosine" else "0 or more"))
     own, asked = _pick(stored, id_col, vector_col), _pick(new, id_col, vector_col)
-    centres = fit(own, lists or max(1, int(own.count() ** 0.5)))
+    centres = fit(own, lists or max(1, int(own.count() ** 0.5)), metric=metric)
     if not len(centres):
         return new.sparkSession.createDataFrame([], "query_id long, similar_id long, score double, rn int")
-    members = materialize(assign(own, centres), "listed-vectors")
-    reach = members.groupBy("list").agg(F.min("angle").alias("low"), F.max("angle").alias("high")).collect()  # a row for each list
+    members = materialize(assign(own, centres, metric), "listed-vectors")
+    reach = members.groupBy("list").agg(F.min("away").alias("low"), F.max("away").alias("high")).collect()  # a row for each list
     low, high = np.full(len(centres), np.inf), np.full(len(centres), -np.inf)
     for r in reach:
         low[r["list"]], high[r["list"]] = r.low, r.high
-    wide = np.arccos(threshold) + 1e-6
+    wide = (np.arccos(threshold) if metric == "cosine" else np.sqrt(threshold)) + 1e-6
 
-    def may_hold(cosines: np.ndarray) -> np.ndarray:
-        angle = np.arccos(np.clip(cosines, -1, 1))
-        return (angle >= low - wide) & (angle <= high + wide)
+    def may_hold(away: np.ndarray) -> np.ndarray:
+        return (away >= low - wide) & (away <= high + wide)
 
-    probes = materialize(_routed(asked, centres, may_hold), "probes")
-    return _ranked(_matches(probes, members.select("id", "v", "list"), k, threshold - 1e-12, exclude_self, slice_rows, block_rows), k)
+    probes = materialize(_routed(asked, centres, may_hold, metric), "probes")
+    least = (threshold if metric == "cosine" else -threshold) - 1e-12
+    found = _ranked(_matches(probes, members.select("id", "v", "list"), k, least, exclude_self, slice_rows, block_rows, metric), k)
+    return found if metric == "cosine" else found.withColumn("score", -F.col("score"))
 
 
 def split_new(new: DataFrame, stored: DataFrame, threshold: float, k: int = 5, id_col: str = "vec_id", **options) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -259,3 +277,23 @@ def split_new(new: DataFrame, stored: DataFrame, threshold: float, k: int = 5, i
     hit = found.where("rn = 1").select(F.col("query_id").alias("_hit"))
     same = new[f"`{id_col}`"] == hit["_hit"]
     return new.join(hit, same, "left_anti"), new.join(hit, same, "left_semi"), found.select(F.col("query_id").alias(id_col), "similar_id", "score", "rn")
+
+
+def flag_new(new: DataFrame, existing: DataFrame, threshold: float, k: int = 5, compat: bool = False, id_col: str = "vec_id", vector_col: str = "embedding", content_col: str | None = None) -> DataFrame:
+    """New vectors with ``is_duplicate``: whether an existing one is at least ``threshold`` similar (cosine).
+
+    By default a new item whose content key is already stored is a duplicate too. With ``compat``
+    such a hit counts as the item itself and is ignored, and the search is for k + 1 neighbours.
+    Either way new items are not compared with each other.
+    """
+    hits = similar_pairs(new, existing, threshold, k + 1 if compat else k, id_col=id_col, vector_col=vector_col)
+    if compat and content_col:
+        a = new.select(F.col(id_col).alias("query_id"), F.col(content_col).alias("_a"))
+        b = existing.select(F.col(id_col).alias("similar_id"), F.col(content_col).alias("_b"))
+        hits = hits.join(a, "query_id").join(b, "similar_id").where(~F.col("_a").eqNullSafe(F.col("_b")))
+    found = hits.select(F.col("query_id").alias("_hit")).distinct()
+    out = new.join(found, F.col(id_col) == F.col("_hit"), "left").withColumn("is_duplicate", F.col("_hit").isNotNull()).drop("_hit")
+    if content_col and not compat:
+        known = existing.select(F.col(content_col).alias("_known")).where("_known is not null").distinct()
+        out = out.join(known, F.col(content_col) == F.col("_known"), "left").withColumn("is_duplicate", F.col("is_duplicate") | F.col("_known").isNotNull()).drop("_known")
+    return out

@@ -121,26 +121,6 @@ def relevance(neighbours: DataFrame, ratings: DataFrame, id_col: str, rating_col
     return queries.select(F.col(query_col).alias("query_id")).join(mean, "query_id", "left").select("query_id", F.coalesce("_mean", F.lit(-1.0)).alias("relevance"))
 
 
-def split_new(new: DataFrame, existing: DataFrame, threshold: float, k: int = 5, compat: bool = False, id_col: str = "vec_id", vector_col: str = "embedding", content_col: str | None = None) -> DataFrame:
-    """New vectors with ``is_duplicate``: whether an existing one is at least ``threshold`` similar (cosine).
-
-    By default a new item whose content key is already stored is a duplicate too. With ``compat``
-    such a hit counts as the item itself and is ignored, and the search is for k + 1 neighbours.
-    Either way new items are not compared with each other.
-    """
-    hits = knn(new, existing, k + 1 if compat else k, "cosine", min_similarity=threshold, exclude_self=False, id_col=id_col, vector_col=vector_col)
-    if compat and content_col:
-        a = new.select(F.col(id_col).alias("query_id"), F.col(content_col).alias("_a"))
-        b = existing.select(F.col(id_col).alias("similar_id"), F.col(content_col).alias("_b"))
-        hits = hits.join(a, "query_id").join(b, "similar_id").where(~F.col("_a").eqNullSafe(F.col("_b")))
-    found = hits.select(F.col("query_id").alias("_hit")).distinct()
-    out = new.join(found, F.col(id_col) == F.col("_hit"), "left").withColumn("is_duplicate", F.col("_hit").isNotNull()).drop("_hit")
-    if content_col and not compat:
-        known = existing.select(F.col(content_col).alias("_known")).where("_known is not null").distinct()
-        out = out.join(known, F.col(content_col) == F.col("_known"), "left").withColumn("is_duplicate", F.col("is_duplicate") | F.col("_known").isNotNull()).drop("_known")
-    return out
-
-
 class Collection:
     """Vectors of one model in a folder, partitioned by day."""
 

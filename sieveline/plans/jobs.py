@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.functions.text import todo_items
-from sieveline.operators import dedup, providers, render, scoring, state
+from sieveline.operators import dedup, lists, providers, render, scoring, state
 from sieveline.operators import vectors as K
 from sieveline.plans import actions, pipelines
 from sieveline.session import materialize, remove
@@ -79,7 +79,7 @@ def scores(ws: Workspace, items: DataFrame, run_day: str, k: int = 2, max_distan
     keyed = items.select("item_id", F.xxhash64("item_id").alias("vec_id"), embed(F.concat_ws(" - ", "title", "list_name", "text")).alias("embedding"))
     pages = ws.vectors.day(run_day).select(F.xxhash64("item_id").alias("vec_id"), "embedding", "item_id")
     rated = pages.join(state.get(ws.read("ratings", RATING), run_day), "item_id").select("vec_id", "user_rating")
-    near = K.knn(keyed, pages, k, "l2", max_distance=max_distance, exclude_self=not among).where("query_id <> similar_id")
+    near = lists.similar_pairs(keyed, pages, max_distance, k, exclude_self=not among, metric="l2").where("query_id <> similar_id")
     return K.relevance(near, rated, "vec_id", "user_rating", keyed, "vec_id").join(keyed.select(F.col("vec_id").alias("query_id"), "item_id"), "query_id").select("item_id", "relevance")
 
 

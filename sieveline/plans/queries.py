@@ -16,7 +16,7 @@ from sieveline.functions import records as R
 from sieveline.functions import text as X
 from sieveline.functions import urls as U
 from sieveline.functions import vectors as V
-from sieveline.operators import chunking, containment, dedup, evaluate, providers, render, scoring, state
+from sieveline.operators import chunking, containment, dedup, evaluate, lists, providers, render, scoring, state
 from sieveline.operators import vectors as K
 from sieveline.plans import pipelines
 from sieveline.session import table as read
@@ -113,7 +113,7 @@ m AS (SELECT vec_id, max(list_cosine_similarity(a, b)) AS best FROM n, e GROUP B
 
 def _split(spark, sf_dir, compat=False):
     v = read(spark, sf_dir, "embeddings").withColumn("key", F.sha2(F.to_json("embedding"), 256))
-    return K.split_new(_searched(v), v.where("vec_id % 100 <> 0"), 0.375, compat=compat, content_col="key")
+    return lists.flag_new(_searched(v), v.where("vec_id % 100 <> 0"), 0.375, compat=compat, content_col="key")
 
 
 @query(_NEW + "best < 0.375")

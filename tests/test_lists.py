@@ -86,6 +86,21 @@ def test_similar_pairs_are_exact(spark, threshold):
         assert got == want, options
 
 
+@pytest.mark.parametrize("bound", [0.0, 0.5, 4.0])
+def test_pairs_by_distance_are_exact(spark, bound):
+    rows = [(i, np.float32(v).astype(float).tolist()) for i, v in clustered(500, dim=6, seed=4)] + [(900, [0.0] * 6), (901, [0.0] * 6)]
+    new, stored = rows[:120] + [rows[-2], rows[300]], rows[100:]
+    want = sorted((i, j) for i, a in new for j, b in stored if ((np.array(a) - np.array(b)) ** 2).sum() <= bound)
+    for options in ({}, {"slice_rows": 9, "block_rows": 4, "lists": 5}):
+        got = L.similar_pairs(table(spark, new), table(spark, stored), bound, metric="l2", **options).collect()
+        assert sorted((r.query_id, r.similar_id) for r in got) == want
+        assert all(r.score >= 0 for r in got)
+    exact = K.knn(table(spark, new), table(spark, stored), 3, "l2", max_distance=bound, exclude_self=False)
+    assert rounded(L.similar_pairs(table(spark, new), table(spark, stored), bound, 3, metric="l2")) == rounded(exact)
+    with pytest.raises(ValueError, match="metric"):
+        L.similar_pairs(table(spark, new), table(spark, stored), 1, metric="ip")
+
+
 def test_the_triangle_excludes_lists(spark):
     stored, new = table(spark, clustered(600, hot=0)), table(spark, clustered(50, hot=0))
     own = L._pick(stored, "vec_id", "embedding")
@@ -94,7 +109,7 @@ def test_the_triangle_excludes_lists(spark):
     assert pairs.count() > 0
     seen = {}
     keep = L._routed
-    L._routed = lambda q, c, choose: seen.setdefault("df", keep(q, c, choose))
+    L._routed = lambda *a: seen.setdefault("df", keep(*a))
     try:
         L.similar_pairs(new, stored, 0.95, lists=24).collect()
     finally:

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sieveline.functions import vectors as V
+from sieveline.operators import lists
 from sieveline.operators import vectors as K
 
 
@@ -54,7 +55,7 @@ def test_relevance(spark):
 def test_new_against_stored(spark):
     old = table(spark, [(1, [1.0, 0.0]), (2, [0.0, 1.0])]).withColumn("key", F.concat(F.lit("k"), "vec_id"))
     new = table(spark, [(10, [1.0, 0.01]), (11, [0.7, 0.7]), (12, [0.0, 1.0]), (13, [0.7, 0.71])]).withColumn("key", F.when(F.col("vec_id") == 12, "k2").otherwise(F.concat(F.lit("n"), "vec_id")))
-    flag = lambda compat: {r.vec_id: r.is_duplicate for r in K.split_new(new, old, 0.9, compat=compat, content_col="key").collect()}
+    flag = lambda compat: {r.vec_id: r.is_duplicate for r in lists.flag_new(new, old, 0.9, compat=compat, content_col="key").collect()}
     assert flag(False) == {10: True, 11: False, 12: True, 13: False}
     assert flag(True) == {10: True, 11: False, 12: False, 13: False}  # a stored copy of itself counts as itself
 
