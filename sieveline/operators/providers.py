@@ -70,13 +70,6 @@ def same_language(text: Column) -> Column:
     return text
 
 
-def split_summaries(text: Column, size: int = 4000, sentences: int = 2) -> Column:
-    """Long texts in parts: a summary of each part's summaries (map, then reduce)."""
-    n = F.greatest(F.ceil(F.length(text) / size), F.lit(1)).cast("int")
-    parts = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(text, (i - 1) * size + 1, F.lit(size)))
-    return lead_summary(F.array_join(F.transform(parts, lambda p: lead_summary(p, sentences)), " "), sentences)
-
-
 def batched(call: Callable[[list[str]], list[list[float]]], size: int = 100, attempts: int = 3, delay: float = 1.0) -> Provider:
     """A provider from a call that embeds up to ``size`` texts at a time, tried again after growing pauses."""
     again = retrying(call, attempts, delay)

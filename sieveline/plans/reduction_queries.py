@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sieveline.operators import sketches, summaries
+from sieveline.operators.numbering import numbered
+from sieveline.plans import evaluation
 from sieveline.plans.queries import _LEAD, query
 from sieveline.session import shared_path
 from sieveline.session import table as read
@@ -55,3 +57,17 @@ def weekly_sketches(spark, sf_dir):
     sketches.daily(read(spark, sf_dir, "events"), "ts", ["event_type"], F.col("user_id"), F.col("value")).write.parquet(path)
     weeks = sketches.merged(spark.read.parquet(path), [F.to_date(F.date_trunc("week", "day")).alias("week"), "event_type"])
     return sketches.estimates(weeks, [0.25, 0.5, 0.75])
+
+
+@query()
+def dedup_evaluation(spark, sf_dir):
+    """Documents as posts: an update has a document's text before one of the benchmark's, of which the second should stay."""
+    d = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("post_id"), "text", "doc_id")
+    b = read(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("fresh"), F.lit(0).alias("all_items"))
+    b = numbered(b, "all_items", "item_id", "n").select("fresh", "n")
+    b = b.join(b.agg(F.count("*").alias("all")), F.lit(True))
+    both = d.join(b, F.col("doc_id") % F.col("all") == F.col("n"))
+    base = d.select("post_id", F.lit("base").alias("kind"), F.lit(None).cast("string").alias("dup_type"), "text")
+    update = both.select("post_id", F.lit("update").alias("kind"), F.lit("exact").alias("dup_type"), F.concat_ws("\n\n", "text", "fresh").alias("text"))
+    truth = both.select("post_id", F.lit("ground_truth").alias("kind"), F.lit("exact").alias("dup_type"), F.col("fresh").alias("text"))
+    return evaluation.by_type(evaluation.evaluate_posts(base.unionByName(update).unionByName(truth)))
