@@ -88,8 +88,7 @@ def _dealt(keyed: DataFrame, bucket: int) -> DataFrame:
 
 def near_words(words: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """Rows (word, n, other, other_n): each ordered pair of words that are one added, removed or exchanged letter apart."""
-    keyed = materialize(anagram_keys(words), "anagram-keys", compact=True)
-    rows = materialize(_dealt(keyed, bucket), "anagram-rows", compact=True)
+    rows = materialize(_dealt(anagram_keys(words), bucket), "anagram-rows", compact=True)
     a = rows.select(*(F.col(c).alias(f"a_{c}") for c in rows.columns))
     b = rows.select(*(F.col(c).alias(f"b_{c}") for c in rows.columns))
     met = (F.col("a_key") == F.col("b_key")) & (F.col("a_part") == F.col("b_part")) & (F.col("a_reduced") | F.col("b_reduced")) & (F.col("a_full") != F.col("b_full"))
