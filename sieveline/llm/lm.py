@@ -118,12 +118,20 @@ def _opened(body: bytes) -> pa.Table:
     return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(body)).read_all()
 
 
-_ENTRIES = "part long, bucket long, n long, keys binary, counts binary"
+#: Groups are made again if their task is: from an input of another order they would get other groups' counts.
+_CHANGED = "the texts came in another order when they were read again; give a table that was written"
+
+_ENTRIES = "part long, bucket long, n long, sign long, keys binary, counts binary"
+
+
+def _sign(keys: np.ndarray) -> int:
+    """What tells one block's n-grams from another's: both passes must see the same."""
+    return int(np.bitwise_xor.reduce(W.mix(keys)).view(np.int64))
 
 
 def _list(buckets: int, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
         for batch in batches:
             for part, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 _, grams = _grams(_opened(body.as_py()).column("text"), order)
@@ -132,9 +140,9 @@ def _list(buckets: int, order: int):
                 rows = []
                 own, cut = _ranges(keys, buckets)
                 for b, lo, hi in zip(own, cut[:-1], cut[1:], strict=True):
-                    rows.append((part, b, hi - lo, _squeeze(np.diff(keys[lo:hi], prepend=np.uint64(0))), _squeeze(counts[lo:hi].astype("<u4"))))
+                    rows.append((part, b, hi - lo, _sign(keys[lo:hi]), _squeeze(np.diff(keys[lo:hi], prepend=np.uint64(0))), _squeeze(counts[lo:hi].astype("<u4"))))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["part", "bucket", "n", "keys", "counts"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["part", "bucket", "n", "sign", "keys", "counts"])
 
     return run
 
@@ -154,7 +162,7 @@ def _count(table: pa.Table) -> pa.Table:
     counts[order] = np.repeat(total, np.diff(np.append(edges, len(keys))))
     ends = np.cumsum(sizes)
     answers = [_squeeze(counts[e - n : e].astype("<i8")) for n, e in zip(sizes, ends, strict=True)]
-    return pa.table([table.column("part"), table.column("bucket"), pa.array(answers, pa.binary())], names=["part", "bucket", "totals"])
+    return pa.table([table.column("part"), table.column("bucket"), table.column("sign"), pa.array(answers, pa.binary())], names=["part", "bucket", "sign", "totals"])
 
 
 def _score(buckets: int, order: int, alpha: float, min_count: int, kind: pa.DataType):
@@ -166,7 +174,11 @@ def _score(buckets: int, order: int, alpha: float, min_count: int, kind: pa.Data
         totals = np.zeros(len(keys), np.int64)
         own, cut = _ranges(keys, buckets)
         place = dict(zip(own, zip(cut[:-1], cut[1:], strict=True), strict=True))
-        for b, data in zip(answers.column("bucket").to_pylist(), answers.column("totals"), strict=True):
+        if len(own) != answers.num_rows:
+            raise ValueError(_CHANGED)
+        for b, sign, data in zip(answers.column("bucket").to_pylist(), answers.column("sign").to_pylist(), answers.column("totals"), strict=True):
+            if b not in place or _sign(keys[slice(*place[b])]) != sign:
+                raise ValueError(_CHANGED)
             totals[slice(*place[b])] = _expand(data.as_py(), "<i8")
         count, seen = [], 0  # of the n-gram of each order that starts at a word
         for g, at in grams:
@@ -203,6 +215,7 @@ def score(
     ``log_score`` is the sum of the logarithms of S over its words, ``n_backed_off`` counts those that
     fell back to single words. ``buckets`` ranges of hashes and groups of ``group_bytes`` follow the size of
     the texts unless given: small inputs still make a dozen of either, so that all cores have work.
+    Texts are read twice; if they do not come in the same order again (a shuffle whose tasks were run again), that is an error.
     """
     if not (buckets and group_bytes):
         size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
@@ -211,7 +224,7 @@ def score(
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     groups = rows.mapInArrow(_grouped(group_bytes), "part long, body binary").repartition("part")
     entries = groups.mapInArrow(_list(buckets, order), _ENTRIES)
-    answers = entries.groupBy("bucket").applyInArrow(_count, "part long, bucket long, totals binary")
+    answers = entries.groupBy("bucket").applyInArrow(_count, "part long, bucket long, sign long, totals binary")
     arrow = to_arrow_type(kind)
     inner = T.StructType([T.StructField("doc", kind), T.StructField("n_words", T.LongType()), T.StructField("n_single", T.LongType()), T.StructField("part_score", T.DoubleType())])
     found = groups.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_score(buckets, order, alpha, min_count, arrow), inner)

@@ -65,3 +65,17 @@ def test_ranges_are_those_that_have_keys():
 
     keys = np.array([0, 5, (1 << 62) + 4, (1 << 64) - 1], np.uint64)
     assert lm._ranges(keys, 4) == ([0, 1, 3], [0, 2, 3, 4]) and lm._ranges(keys, 1) == ([0], [0, 4]) and lm._ranges(keys[:0], 9) == ([], [0])
+
+
+def test_texts_that_come_in_another_order_are_an_error(spark):
+    import pyarrow as pa
+
+    docs = [(i, f"words of document {i} and {i * i} more " * 9) for i in range(40)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").mapInArrow(lm._grouped(500), "part long, body binary").collect()
+    a, b = (pa.array([bytes(r.body)], pa.binary()) for r in rows[:2])
+    part = pa.array([rows[0].part], pa.int64())
+    entries = pa.Table.from_batches(list(lm._list(4, 3)(iter([pa.RecordBatch.from_arrays([part, a], names=["part", "body"])]))))
+    answers, run = lm._count(entries), lm._score(4, 3, 0.4, 2, pa.int64())
+    assert run(pa.table({"part": part, "body": a}), answers).num_rows > 0
+    with pytest.raises(ValueError, match="another order"):
+        run(pa.table({"part": part, "body": b}), answers)
