@@ -71,7 +71,7 @@ def test_texts_that_come_in_another_order_are_an_error(spark):
     import pyarrow as pa
 
     docs = [(i, f"words of document {i} and {i * i} more " * 9) for i in range(40)]
-    rows = spark.createDataFrame(docs, "doc_id long, text string").mapInArrow(lm._grouped(500), "part long, body binary").collect()
+    rows = spark.createDataFrame(docs, "doc long, text string").mapInArrow(lm._grouped(500), "part long, body binary").collect()
     a, b = (pa.array([bytes(r.body)], pa.binary()) for r in rows[:2])
     part = pa.array([rows[0].part], pa.int64())
     entries = pa.Table.from_batches(list(lm._list(4, 3)(iter([pa.RecordBatch.from_arrays([part, a], names=["part", "body"])]))))
