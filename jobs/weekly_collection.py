@@ -116,9 +116,11 @@ def run(spark: SparkSession, edits: str, articles: str, output: str, since: str
     pages = collections(rated, texts, config).where(own).persist()
     asked = spark.sql(f"SELECT explode(sequence(DATE'{bounds[0]}', DATE'{bounds[1]}', INTERVAL 7 DAYS)) AS week") if since and until else rated.where(own).select("week").distinct()
     out = pages.unionByName(overviews(rated.where(own), pages, asked))
-    out.repartition("week", "source").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("week").parquet(output)
-    for held in (pages, rated):
-        held.unpersist()
+    try:
+        out.repartition("week", "source").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("week").parquet(output)
+    finally:
+        for held in (pages, rated):
+            held.unpersist()
     done = read(spark, output)
     written = done.where(own).agg(F.count("*").alias("rows"), F.count_distinct("week").alias("weeks"), F.sum(F.when(F.col("source").isNotNull(), F.col("n"))).alias("pages")).first()
     log.info("wrote %d rows for %d weeks with %d pages to %s", written.rows, written.weeks, written.pages or 0, output)

@@ -8,6 +8,8 @@ job that fails halfway is run again as a whole.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from sieveline.functions.text import todo_items
 from sieveline.operators import dedup, lists, providers, render, scoring, state
 from sieveline.operators import vectors as K
 from sieveline.plans import actions, pipelines
+from sieveline.schemas import TABLES
 from sieveline.session import materialize, remove
 from sieveline.sinks import writers
 from sieveline.sources import feeds, files
@@ -202,3 +205,27 @@ def deepdive(ws: Workspace, pages: DataFrame, run_day: str, iterations: int = 3,
     done = ws.spark.read.parquet(path)
     ws.replace("deepdives", dedup.mark_seen(seen, done, ["item_id"]))
     return done
+
+
+def bootstrap(ws: Workspace, rows: DataFrame) -> None:
+    """Add index entries (category, name, index_id) whose category and name the workspace does not have yet; of several the smallest id."""
+    held = ws.read("index_pages", TABLES["index_pages"][0])
+    new = dedup.unseen(rows, held, ["category", "name"]).groupBy("category", "name").agg(F.min("index_id").alias("index_id"))
+    ws.replace("index_pages", held.unionByName(new))
+
+
+def upgrade(ws: Workspace, patches: list[tuple[int, str, Callable[[Workspace], None]]]) -> list[int]:
+    """Run the patches (order, name, function) that the workspace has not had, in order; which these were.
+
+    A patch is marked once it is done: one that fails halfway stays pending and stops the rest, and is run again by the
+    next upgrade, so it must bear that. Two upgrades of one workspace must not run at once.
+    """
+    if len({o for o, _, _ in patches}) < len(patches):
+        raise ValueError("patches share an order")
+    listed = ws.spark.createDataFrame([(o, n) for o, n, _ in patches], TABLES["patch"][0])
+    pending = [r.order_id for r in state.pending_patches(listed, ws.read("patch", TABLES["patch"][0])).collect()]  # a row for each patch
+    for order, name, apply in sorted(patches, key=lambda x: x[0]):
+        if order in pending:
+            apply(ws)
+            ws.replace("patch", ws.read("patch", TABLES["patch"][0]).unionByName(ws.spark.createDataFrame([(order, name)], TABLES["patch"][0])))
+    return pending

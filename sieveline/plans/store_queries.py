@@ -292,7 +292,7 @@ def weak_sources(spark, sf_dir):
     return out.select("user_id", F.round("approval_rate", 6).alias("approval_rate"), "low_approval", "silent")
 
 
-@query("SELECT CAST(DATE '2024-01-31' AS VARCHAR) AS ds, CAST(event_id AS VARCHAR) AS item_id FROM events WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) ORDER BY CAST(event_id AS VARCHAR) LIMIT 10")
+@query("SELECT CAST(DATE '2024-01-31' AS VARCHAR) AS ds, CAST(event_id AS VARCHAR) AS item_id FROM events WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)")
 def collection_fallback(spark, sf_dir):
     c = K.Collection(spark, shared_path(spark, "collection"))
     c.reset()
@@ -301,7 +301,7 @@ def collection_fallback(spark, sf_dir):
     own = e.where(F.to_date("ts") == F.lit(last)).select(F.col("event_id").cast("string").alias("item_id"), F.array(F.lit(1.0).cast("float")).alias("embedding"), F.lit("2024-01-31").cast("date").alias("ds"))
     c.insert(own)
     found = c.day("2024-02-01")  # the day has none, the one before has
-    return found.orderBy("item_id").limit(10).select(F.col("ds").cast("string").alias("ds"), "item_id")
+    return found.select(F.col("ds").cast("string").alias("ds"), "item_id")
 
 
 @query(f"""WITH {_PAGES}, t AS (SELECT doc_id, source, list_filter(list_transform(string_split(regexp_replace(take_aways, '^\\s+|\\s+$', '', 'g'), chr(10)), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') AS items
@@ -422,3 +422,15 @@ def table_blocks(spark, sf_dir):
     top = c.select(F.col("conv_id").alias("page_id")).distinct().select("page_id", F.lit("t").alias("block_id"), F.lit(None).cast("string").alias("parent_id"), F.lit(0).cast("long").alias("pos"), F.lit("table").alias("type"), F.lit("").alias("text"), F.lit(None).cast("array<string>").alias("cells"))
     row = c.select(F.col("conv_id").alias("page_id"), F.concat(F.lit("r"), "turn").alias("block_id"), F.lit("t").alias("parent_id"), F.col("turn").alias("pos"), F.lit("table_row").alias("type"), F.lit("").alias("text"), F.array("role", F.col("turn").cast("string"), "text").alias("cells"))
     return blocks.page_text(top.unionByName(row), "|")
+
+
+@query("SELECT lang AS category, source AS name, CAST(min(doc_id) AS VARCHAR) AS index_id FROM documents GROUP BY ALL UNION ALL SELECT 'label', CAST(label AS VARCHAR), min(CAST(vec_id AS VARCHAR)) FROM embeddings GROUP BY 2")
+def job_upgrade(spark, sf_dir):
+    """Two patches that fill the index of a workspace; the second run of the upgrade and the repeated entries change nothing."""
+    ws = jobs.Workspace(spark, shared_path(spark, "workspace"))
+    d, v = read(spark, sf_dir, "documents"), read(spark, sf_dir, "embeddings")
+    first = d.groupBy(F.col("lang").alias("category"), F.col("source").alias("name")).agg(F.min("doc_id").cast("string").alias("index_id"))
+    labels = v.select(F.lit("label").alias("category"), F.col("label").cast("string").alias("name"), F.col("vec_id").cast("string").alias("index_id"))
+    for _ in range(2):
+        jobs.upgrade(ws, [(0, "lists", lambda w: jobs.bootstrap(w, first)), (1, "labels", lambda w: jobs.bootstrap(w, labels.unionByName(first.withColumn("index_id", F.lit("again")))))])
+    return ws.read("index_pages", schemas.TABLES["index_pages"][0])

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from sieveline.plans import jobs, pipelines
@@ -99,3 +100,29 @@ def test_a_python_provider_sees_the_misses_alone(spark):
     cache = spark.createDataFrame([("a", [0.0])], "key string, value array<float>")
     got = state.cache_aside(items, cache, "key", providers.batched(embed, 1)(F.col("text"))).collect()
     assert {(r.key, tuple(r.value), r.cached) for r in got} == {("a", (0.0,), True), ("b", (1.0,), False), (None, (1.0,), False)}
+
+
+def test_patches_run_once_each_in_order(spark, tmp_path):
+    ws, ran = jobs.Workspace(spark, str(tmp_path / "ws")), []
+    index = lambda *rows: spark.createDataFrame(rows, "category string, name string, index_id string")
+
+    def first(w):
+        ran.append(0)
+        jobs.bootstrap(w, index(("notion", "inbox", "b"), ("notion", "inbox", "a"), ("x", "y", "z")))
+
+    def broken(w):
+        ran.append(1)
+        jobs.bootstrap(w, index(("notion", "journal", "j")))
+        if ran.count(1) == 1:
+            raise RuntimeError("halfway")
+
+    patches = [(2, "third", lambda w: ran.append(2)), (0, "first", first), (1, "second", broken)]
+    with pytest.raises(RuntimeError, match="halfway"):
+        jobs.upgrade(ws, patches)
+    assert ran == [0, 1] and [r.order_id for r in ws.read("patch", "order_id long, name string").collect()] == [0]
+    assert jobs.upgrade(ws, patches) == [1, 2] and ran == [0, 1, 1, 2]
+    assert jobs.upgrade(ws, patches) == [] and jobs.upgrade(ws, [*patches, (3, "fourth", first)]) == [3]
+    held = sorted(tuple(r) for r in ws.read("index_pages", "category string, name string, index_id string").collect())
+    assert held == [("notion", "inbox", "a"), ("notion", "journal", "j"), ("x", "y", "z")]
+    with pytest.raises(ValueError, match="share an order"):
+        jobs.upgrade(ws, [(1, "a", first), (1, "b", first)])
