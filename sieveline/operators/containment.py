@@ -77,43 +77,37 @@ def containing(docs: DataFrame, truth: DataFrame, doc_id: str, item_id: str, tex
 
 
 def _best_of_block(key: tuple, docs: pa.Table, items: pa.Table) -> pa.Table:
-    """The best item of a block for each document of a slice: the largest overlap, then the smallest id."""
-    rows = docs.column("row")
-    out = [[], []]
-    if docs.num_rows and items.num_rows:
-        items = items.sort_by("item")
-        names, places = items.column("item"), {}
-        for k, own in enumerate(items.column("tokens").to_pylist()):
-            for t in own:
-                places.setdefault(t, []).append(k)
-        places = {t: np.array(p) for t, p in places.items()}
-        sizes = items.column("size").to_numpy()
-        best, over = np.zeros(docs.num_rows, np.int64), np.zeros(docs.num_rows)
-        for i in range(docs.num_rows):
-            own = docs.column("tokens")[i].as_py()
-            hits = [places[t] for t in own if t in places]
-            if hits:
-                least = np.minimum(sizes, len(own))
-                share = np.divide(np.bincount(np.concatenate(hits), minlength=len(sizes)), least, out=np.zeros(len(sizes)), where=least > 0)
-                best[i] = np.argmax(share)
-                over[i] = share[best[i]]
-        out = [names.take(pa.array(best)), pa.array(over)]
-    else:
-        rows, out = rows.slice(0, 0), [items.column("item").slice(0, 0), pa.array([], pa.float64())]
-    return pa.table([rows, *out], names=["row", "item", "overlap"])
-
-
-def _blocks(sets: DataFrame, block_bytes: int) -> int:
-    """How many parts of ``block_bytes`` token sets make."""
-    return max(1, -(-(sets.agg(F.sum(F.size("tokens") * 16 + 64).cast("long")).first()[0] or 0) // block_bytes))
-
-
-def _in_blocks(rest: DataFrame, truth: DataFrame, blocks: int, slices_: int) -> DataFrame:
-    """Rows (row, item, overlap): the best item of each block of the truth for each document row."""
+    """The best item of a block for each document of a slice: the largest overlap, then the smallest id; none and 0 without items."""
+    best, over = np.zeros(docs.num_rows, np.int64), np.zeros(docs.num_rows)
+    items = items.sort_by("item")
+    names, places = items.column("item"), {}
+    for k, own in enumerate(items.column("tokens").to_pylist()):
+        for t in own:
+            places.setdefault(t, []).append(k)
+    places = {t: np.array(p) for t, p in places.items()}
+    sizes = items.column("size").to_numpy()
+    for i in range(docs.num_rows if items.num_rows else 0):
+        own = docs.column("tokens")[i].as_py()
+        hits = [places[t] for t in own if t in places]
+        if hits:
+            least = np.minimum(sizes, len(own))
+            share = np.divide(np.bincount(np.concatenate(hits), minlength=len(sizes)), least, out=np.zeros(len(sizes)), where=least > 0)
+            best[i] = np.argmax(share)
+            over[i] = share[best[i]]
+    item = names.take(pa.array(best)) if items.num_rows else pa.nulls(docs.num_rows, names.type)
+    return pa.table([docs.column("row"), item, pa.array(over)], names=["row", "item", "overlap"])
+
+
+def _in_blocks(own: DataFrame, truth: DataFrame, blocks: int, slices_: int) -> DataFrame:
+    """Rows (row, item, overlap): the best item of each block of the truth for each of the rows (row, slice, tokens)."""
     theirs = truth.select(F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices_ - 1))).alias("slice"), F.col("id").alias("item"), "tokens", "size")
-    own = rest.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1))).alias("block"), F.pmod(F.xxhash64("row"), F.lit(slices_)).alias("slice"), "row", "tokens")
-    kind = truth.schema["id"].dataType.simpleString()
-    return own.groupBy("block", "slice").cogroup(theirs.groupBy("block", "slice")).applyInArrow(_best_of_block, f"row long, item {kind}, overlap double")
+    dealt = own.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1))).alias("block"), "slice", "row", "tokens")
+    kinds = [df.schema[c].dataType.simpleString() for df, c in ((own, "row"), (truth, "id"))]
+    return dealt.groupBy("block", "slice").cogroup(theirs.groupBy("block", "slice")).applyInArrow(_best_of_block, f"row {kinds[0]}, item {kinds[1]}, overlap double")
+
+
+def _parts(size: int | None, part: int) -> int:
+    return max(1, -(-(size or 0) // part))
 
 
 def best_containment(docs: DataFrame, truth: DataFrame, doc_id: str, item_id: str, text: str = "text", block_bytes: int = BLOCK_BYTES, least: float = LEAST) -> DataFrame:
@@ -122,17 +116,19 @@ def best_containment(docs: DataFrame, truth: DataFrame, doc_id: str, item_id: st
     Ties go to the smaller item, so a document that shares nothing has the smallest item and 0; null texts are empty, items with
     a null id are left out, and without any items the item is null. Item ids are numbers.
     """
-    own = token_sets(docs, doc_id, text, "document-tokens")
     items = token_sets(truth.where(F.col(f"`{item_id}`").isNotNull()), item_id, text, "truth-tokens")
+    blocks = _parts(items.agg(F.sum(F.size("tokens") * 16 + 64).cast("long")).first()[0], block_bytes)
+    body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    slices_ = max(_parts(docs.agg(F.sum(F.octet_length(body)).cast("long")).first()[0], block_bytes), docs.sparkSession.sparkContext.defaultParallelism)
+    if blocks == 1:  # each row meets all items in one group and needs no number to be known by
+        own = docs.select(F.col(f"`{doc_id}`").alias("row"), F.pmod(F.monotonically_increasing_id(), F.lit(slices_)).alias("slice"), tokens(body).alias("tokens"))
+        found = _in_blocks(own, items, blocks, slices_)
+        return found.select(F.col("row").alias(doc_id), F.col("item").alias(item_id), "overlap")
+    own = token_sets(docs, doc_id, text, "document-tokens")
     order = F.struct("overlap", -F.col("item"))
     best = lambda df: df.groupBy("row").agg(F.max_by(F.struct("item", "overlap"), order).alias("b")).select("row", "b.item", "b.overlap")
-    blocks, slices_ = _blocks(items, block_bytes), max(_blocks(own, block_bytes), own.sparkSession.sparkContext.defaultParallelism)
-    if blocks == 1:
-        found = best(_in_blocks(own, items, blocks, slices_))
-    else:
-        indexed = materialize(best(_pairs(own, items, least)), "containing-items", compact=True)
-        rest = own.join(indexed, "row", "left_anti")
-        found = indexed.unionByName(best(_in_blocks(rest, items, blocks, slices_)))
-    found = found.withColumnRenamed("row", "_row")
+    indexed = materialize(best(_pairs(own, items, least)), "containing-items", compact=True)
+    rest = own.join(indexed, "row", "left_anti").withColumn("slice", F.pmod(F.xxhash64("row"), F.lit(slices_)))
+    found = indexed.unionByName(best(_in_blocks(rest, items, blocks, slices_))).withColumnRenamed("row", "_row")
     joined = own.join(found, F.col("row") == F.col("_row"), "left")
     return joined.select(F.col("id").alias(doc_id), F.col("item").alias(item_id), F.coalesce("overlap", F.lit(0.0)).alias("overlap"))
