@@ -6,6 +6,8 @@ workers cut it into slices, so what they make of a text is bounded by SLICE_BYTE
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,6 +21,7 @@ from pyspark.sql import types as T
 SLICE_BYTES = 1 << 20
 
 
+_LIBC = ctypes.CDLL(None)
 #: What this worker remembers between tasks: functions that forget it.
 CACHES: list[Callable[[], None]] = []
 
@@ -27,6 +30,15 @@ def forget() -> None:
     """Drop what other operators left in this worker's memory."""
     for clear in CACHES:
         clear()
+    trim()
+
+
+def trim() -> None:
+    """Give memory that is free back to the system: workers live on from one stage to the next."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

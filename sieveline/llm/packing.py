@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sieveline.llm.batches import CACHES, slices
+from sieveline.llm.batches import CACHES, slices, trim
 
 MAX_TOKENS = 2048
 END = 1
@@ -234,6 +234,7 @@ def pack(
     tail = _packed([end])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         encode = encoder(tokenizer, by_chunk)
         for whole in batches:
             for part in slices(whole, 0):
