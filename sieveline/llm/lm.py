@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from sieveline.llm import words as W
-from sieveline.llm.batches import SLICE_BYTES, slices, utf8
+from sieveline.llm.batches import SLICE_BYTES, slices, trim, utf8
 from sieveline.session import materialize
 
 ORDER = 3
@@ -134,6 +134,7 @@ def _list(buckets: int, order: int):
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
         for batch in batches:
             for part, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                trim()  # what the group before needed
                 _, grams = _grams(_opened(body.as_py()).column("text"), order)
                 keys, counts = np.unique(np.concatenate([g for g, _ in grams]), return_counts=True)
                 del grams
@@ -149,6 +150,7 @@ def _list(buckets: int, order: int):
 
 def _count(table: pa.Table) -> pa.Table:
     """The corpus counts of one range, for each block of it."""
+    trim()
     sizes = table.column("n").to_numpy()
     keys, counts = np.empty(sizes.sum(), np.uint64), np.empty(sizes.sum(), np.int64)
     at = 0
@@ -167,6 +169,7 @@ def _count(table: pa.Table) -> pa.Table:
 
 def _score(buckets: int, order: int, alpha: float, min_count: int, kind: pa.DataType):
     def run(group: pa.Table, answers: pa.Table) -> pa.Table:
+        trim()
         docs = pa.concat_tables([_opened(x.as_py()) for x in group.column("body")])
         first, grams = _grams(docs.column("text"), order)
         n = int(first[-1])
