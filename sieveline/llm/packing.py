@@ -109,7 +109,6 @@ def encoder(path: str, by_chunk: bool | None = None) -> Callable[[list[str | Non
     """
     key = f"{path}?{by_chunk}"
     if key not in _LOADED:
-        trim()  # what earlier stages needed in this worker; not in every task, where it would take time from the tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -235,6 +234,7 @@ def pack(
     tail = _packed([end])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         encode = encoder(tokenizer, by_chunk)
         for whole in batches:
             for part in slices(whole, 0):
