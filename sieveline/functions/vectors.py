@@ -36,3 +36,9 @@ def normalized(a: Column) -> Column:
     """The vector at length 1; a zero vector stays."""
     size = norm(a)
     return F.when(size == 0, F.transform(a, lambda x: x.cast("double"))).otherwise(F.transform(a, lambda x: x.cast("double") / size))
+
+
+def rounded(x: Column, digits: int = 6) -> Column:
+    """Rounded by scaling, half away from zero; unlike ``round`` a negative number that rounds to zero keeps its sign, as -0.0."""
+    out = F.round(x * F.lit(10.0**digits)) / F.lit(10.0**digits)
+    return F.when(out == 0, x * F.lit(0.0)).otherwise(out)

@@ -87,7 +87,7 @@ def ip_knn(spark, sf_dir):
 
 @query("""SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: round(x / sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 6)) AS unit FROM embeddings""")
 def l2_normalize(spark, sf_dir):
-    return read(spark, sf_dir, "embeddings").select("vec_id", F.transform(V.normalized(F.col("embedding")), lambda x: F.round(x, 6)).alias("unit"))
+    return read(spark, sf_dir, "embeddings").select("vec_id", F.transform(V.normalized(F.col("embedding")), lambda x: V.rounded(x)).alias("unit"))
 
 
 @query("""SELECT a.vec_id, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS cosine,
@@ -96,7 +96,7 @@ def vector_metrics(spark, sf_dir):
     v = read(spark, sf_dir, "embeddings")
     after = v.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("b"))
     a, b = F.col("embedding"), F.col("b")
-    return v.join(after, "vec_id").select("vec_id", F.round(V.cosine(a, b), 6).alias("cosine"), F.round(V.squared_l2(a, b), 6).alias("squared_l2"))
+    return v.join(after, "vec_id").select("vec_id", V.rounded(V.cosine(a, b)).alias("cosine"), F.round(V.squared_l2(a, b), 6).alias("squared_l2"))
 
 
 @query(f"""WITH {_COS} SELECT query_id, list(similar_id ORDER BY rn) AS similar_ids, count(*) AS n FROM k WHERE rn <= 5 AND sim >= 0.3 GROUP BY query_id""")

@@ -76,3 +76,23 @@ def test_collection_by_day(spark, tmp_path):
     assert c.day("2024-01-03").count() == 3 and c.day("2024-01-04").count() == 3 and c.day("2024-01-04", fallback=False).count() == 0
     assert [str(r.ds) for r in c.expired("2024-01-04").collect()] == ["2024-01-01"]
     assert {r.n: r.dim for r in c.stats().collect()} == {2: 1, 3: 1}
+
+
+def test_rounding_keeps_the_sign_of_zero(spark):
+    rows = [(i, [x]) for i, x in enumerate([-3e-7, 3e-7, -0.0, 0.0, 0.25, -0.1234565, float("nan")])]
+    v = table(spark, rows).select("vec_id", F.transform("embedding", lambda x: V.rounded(x.cast("double")))[0].alias("r")).orderBy("vec_id")
+    got = [str(r.r) for r in v.collect()]
+    assert got == ["-0.0", "0.0", "-0.0", "0.0", "0.25", "-0.123457", "nan"]
+
+
+def test_normalized_query_rounds_as_its_sql(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    from sieveline.plans import catalog
+
+    rows = [(1, [1.0, -3e-7, 3e-7]), (2, [-0.6, 0.8, -0.0])]
+    table(spark, rows).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {r.vec_id: [str(x) for x in r.unit] for r in catalog.queries()["l2_normalize"](spark, str(tmp_path)).collect()}
+    own = duckdb.connect()
+    own.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = {k: [str(x) for x in v] for k, v in own.execute(catalog.oracle_sql()["l2_normalize"]).fetchall()}
+    assert got == want and "-0.0" in got[1]
