@@ -44,6 +44,8 @@ LONG = 64
 #: New chunks that are given to the tokenizer as one text, and how many such texts at a time.
 _GROUP = 256
 _TEXTS = 16
+#: Slices after which a worker gives free memory back.
+_TRIM = 4
 _MARK = "|"
 #: Stops that end a word: pre-tokenisers that tell letters from signs cut between an ASCII letter or digit and these.
 _STOPS = b".,;:!?"
@@ -237,7 +239,7 @@ def pack(
         trim()
         encode = encoder(tokenizer, by_chunk)
         for whole in batches:
-            for part in slices(whole, 0):
+            for count, part in enumerate(slices(whole, 0), 1):
                 row, start, length, ids, total = [], [], [], [], []
                 for k, own in enumerate(encode(part.column(0).to_pylist())):
                     own += tail
@@ -255,6 +257,8 @@ def pack(
                     [part.column(1).take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), sizes, pa.array(ids, pa.binary()), pa.array(total, pa.int64()), bucket],
                     names=inner.names,
                 )
+                if count % _TRIM == 0:
+                    trim()  # what encoding left between what is remembered
 
     out = docs.select(F.col(f"`{text}`").cast("string").alias("_t"), F.col(f"`{doc_id}`").alias("doc")).mapInArrow(run, inner)
     return out.select(
