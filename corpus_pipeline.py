@@ -15,7 +15,7 @@ from sieveline.llm import decontam, linededup, packing, quality, simhash
 from sieveline.session import Tables, materialize, table
 
 TOKENIZER = "word_bpe_49k.json"
-#: Documents are near duplicates if the sets of their runs of words have this Jaccard similarity or more.
+#: Documents whose fingerprints are apart are near duplicates if the sets of their runs of words have this Jaccard similarity or more.
 NEAR_WORDS = 5
 NEAR_SIMILARITY = 0.8
 
@@ -40,7 +40,9 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (NEAR_SIMILARITY of runs of NEAR_WORDS words) stays, the one with the smallest id.
+    """One document of each group of near duplicates stays, the one with the smallest id.
+
+    Near are fingerprints within two bits (operator 6's balls), and sets of runs of NEAR_WORDS words that are NEAR_SIMILARITY alike.
 
     Documents without words are copies of each other. Rows that share the smallest id of their group all stay; documents without an
     id stay only if none of their group has one.

@@ -28,7 +28,7 @@ Repeated rows stay, each with its component.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -119,9 +119,10 @@ def _plain(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(f"`{doc_id}`").alias("doc"), F.col(f"`{text}`").alias("text"))
 
 
-def with_keys(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, similarity: float = SIMILARITY) -> DataFrame:
-    """Rows (doc, fp, n, keys, sketch): each document row with its set's hash, size, bucket keys and minima."""
+def with_keys(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, similarity: float = SIMILARITY, also: dict[str, Callable[[pa.Array], pa.Array]] | None = None) -> DataFrame:
+    """Rows (doc, fp, n, keys, sketch): each document row with its set's hash, size, bucket keys and minima; ``also`` makes more long columns of the texts."""
     rows = rows_of(similarity)
+    also = also or {}
 
     def fn(column: pa.Array) -> dict[str, pa.Array]:
         own = sets(column, size)
@@ -131,9 +132,10 @@ def with_keys(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size:
             "n": pa.array([len(x) for x in own], pa.int64()),
             "keys": nested(list(keys.view(np.int64)), pa.int64()),
             "sketch": pa.array([x.tobytes() for x in sketches], pa.binary()),
+            **{name: make(column) for name, make in also.items()},
         }
 
-    fields = [T.StructField("fp", T.LongType()), T.StructField("n", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType())]
+    fields = [T.StructField("fp", T.LongType()), T.StructField("n", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType()), *(T.StructField(name, T.LongType()) for name in also)]
     return map_text(_plain(docs, doc_id, text), "text", fn, fields, ["doc"])
 
 
@@ -307,7 +309,12 @@ def links(docs: DataFrame, marked: DataFrame, text: str = "text", size: int = SI
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, similarity: float = SIMILARITY) -> DataFrame:
     """One row (doc_id, component_id) per document row."""
     marked = materialize(with_keys(docs, doc_id, text, size, similarity), "shingle-keys")
-    roots = connected_components(links(docs, marked, text, size, similarity))
+    return labelled(marked, links(docs, marked, text, size, similarity), doc_id)
+
+
+def labelled(marked: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """Rows (doc_id, component_id) of rows (doc, fp) whose sets have the links (u, v)."""
+    roots = connected_components(found)
     own = marked.groupBy("fp").agg(F.min("doc").alias("least"))
     rooted = own.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     # a table, so that both sides of the join with it are dealt afresh and a large component is split there

@@ -102,6 +102,25 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return out.select(F.col("doc").alias(doc_id), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def ball_links(marked: DataFrame) -> DataFrame:
+    """Links (u, v) of the sets ``fp`` of rows (fp, ball) whose fingerprints ``ball`` are equal or within RADIUS bits, as many as connect them."""
+    held = marked.select("ball", "fp").distinct()
+    tops = materialize(held.groupBy("ball").agg(F.min("fp").alias("top")), "distinct-fingerprints", compact=True)
+    same = held.join(tops.withColumnRenamed("ball", "_ball"), F.col("ball") == F.col("_ball")).where("fp <> top").select(F.col("top").alias("u"), F.col("fp").alias("v"))
+    a, b = (tops.select(F.col("ball").alias(f"ball_{x}"), F.col("top").alias(x)) for x in "ab")
+    met = links(tops.select(F.col("ball").alias("fp"))).join(a, F.col("u") == F.col("ball_a")).join(b, F.col("v") == F.col("ball_b"))
+    return same.union(met.where("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")))
+
+
+def similar_or_near(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, similarity: float = shingles.SIMILARITY) -> DataFrame:
+    """One row (doc_id, component_id) per document row: components of both links, fingerprints (of SIZE words) within RADIUS bits and
+    sets of runs of ``size`` words with a Jaccard similarity of ``similarity``.
+    """
+    balls = {"ball": lambda column: pa.array(fingerprints(column).view(np.int64))}
+    marked = materialize(shingles.with_keys(docs, doc_id, text, size, similarity, balls), "shingle-keys")
+    return shingles.labelled(marked, ball_links(marked).union(shingles.links(docs, marked, text, size, similarity)), doc_id)
+
+
 def keep_least(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """The documents whose id is the ``component_id`` that ``found`` gives them, with all their columns."""
     key = "_keep"
@@ -114,10 +133,10 @@ def keep_least(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> Dat
 def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, similarity: float | None = None) -> DataFrame:
     """One document of each component, the one with the smallest id, with all its columns.
 
-    Components are those of fingerprints within RADIUS bits or, if a ``similarity`` is given, of
-    texts whose sets of shingles have that Jaccard similarity (`shingles`: SimHash balls miss it).
+    Components are those of fingerprints within RADIUS bits; if a ``similarity`` is given, texts whose sets of
+    shingles have that Jaccard similarity are linked too (`shingles`: SimHash balls alone miss most of them).
     Rows that share that id are all kept; documents without an id are kept if no document of
     their component has one.
     """
-    found = near_duplicates(docs, doc_id, text, size) if similarity is None else shingles.near_duplicates(docs, doc_id, text, size, similarity)
+    found = near_duplicates(docs, doc_id, text, size) if similarity is None else similar_or_near(docs, doc_id, text, size, similarity)
     return keep_least(docs, found, doc_id)

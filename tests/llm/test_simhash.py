@@ -83,3 +83,23 @@ def test_empty_table_and_slices(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     column = pa.array(["x", "a b c d", None, "Tail end"]).slice(1, 3)
     assert [int(x) for x in simhash.fingerprints(column)] == [fingerprint(t) for t in ("a b c d", None, "Tail end")]
+
+
+def test_representatives_by_balls_and_similarity(spark):
+    # one word of many changed: within two bits, but few runs of words are shared if it recurs; and the other way round
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(3000)]
+    long = " ".join(words)
+    far = " ".join(w if k % 40 else "x" for k, w in enumerate(words[:400]))
+    base = " ".join(words[:400])
+    docs = [(1, long), (2, long + " end"), (3, "alone " + " ".join(words[::-1][:50])), (4, None), (5, "")]
+    texts = pa.array([t for _, t in docs])
+    fp = simhash.fingerprints(texts).tolist()
+    assert bin(fp[0] ^ fp[1]).count("1") <= 2
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for similarity in (0.8, 1.0):  # at 1.0 only balls can link 1 and 2
+        assert sorted(r.doc_id for r in simhash.representatives(df, size=5, similarity=similarity).collect()) == [1, 3, 4]
+    a, b = simhash.fingerprints(pa.array([base, far])).tolist()
+    assert bin(a ^ b).count("1") > 2
+    df = spark.createDataFrame([(1, base), (2, far)], "doc_id long, text string")
+    assert [r.doc_id for r in simhash.representatives(df, size=1, similarity=0.8).collect()] == [1]  # linked by similarity alone
