@@ -1,8 +1,8 @@
 """Evaluation of deduplication over a dataset of posts: base texts, updates of several kinds, and what of an update should stay.
 
 Every update is cut into chunks and compared with the chunks of its own base; chunks that resemble none are kept. A kept chunk is
-right if it overlaps the ground truth. The chunks of all posts meet in one similarity join, whose links between
-different posts are then left out.
+right if it overlaps the ground truth. Chunks meet by their post only, so the work grows with the posts and with the
+square of one post's chunks, and no pair is kept: a chunk that has found one like it is done.
 """
 
 from __future__ import annotations
@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sieveline.functions import vectors as V
 from sieveline.functions.text import containment, tokens
-from sieveline.operators import chunking, evaluate, lists, providers
+from sieveline.operators import chunking, evaluate, providers
 from sieveline.session import materialize
 
 #: Similarity from which a chunk is a duplicate (fixed value).
@@ -41,11 +42,10 @@ def evaluate_posts(
     update, truth = (own.where(f"kind = '{k}' and dup_type is not null").select("post_id", "dup_type", "text") for k in ("update", "ground_truth"))
     update = update.join(base.select("post_id").distinct(), "post_id", "left_semi").join(truth.select("post_id", "dup_type").distinct(), ["post_id", "dup_type"], "left_semi")
     stored, new = (_chunks(t, embed, n, size, shared) for t, n in ((base, "base-chunks"), (update, "update-chunks")))
-    found = lists.similar_pairs(new, stored, threshold)
-    there = stored.select(F.col("vec_id").alias("similar_id"), F.col("post_id").alias("_post"), F.col("chunk_id").alias("_chunk"))
-    met = found.join(new.select(F.col("vec_id").alias("query_id"), "post_id", "chunk_id"), "query_id").join(there, "similar_id").where(F.col("post_id") == F.col("_post"))
-    met = met.where(F.col("chunk_id") != F.col("_chunk")) if compat else met
-    hit = met.select(F.col("query_id").alias("_hit")).distinct()
+    there = stored.where("embedding is not null").select(F.col("post_id").alias("_post"), F.col("chunk_id").alias("_chunk"), F.col("embedding").alias("_base"))
+    alike = (F.col("post_id") == F.col("_post")) & (V.cosine(F.col("embedding"), F.col("_base")) >= threshold - 1e-12)
+    alike = alike & (F.col("chunk_id") != F.col("_chunk")) if compat else alike
+    hit = materialize(new.where("embedding is not null").join(there, alike, "left_semi").select(F.col("vec_id").alias("_hit")), "duplicate-chunks", compact=True)
     wanted = truth.select(F.col("post_id").alias("_post"), F.col("dup_type").alias("_type"), tokens(F.coalesce("text", F.lit(""))).alias("_tokens"))
     judged = new.join(hit, F.col("vec_id") == F.col("_hit"), "left").join(wanted, (F.col("post_id") == F.col("_post")) & (F.col("dup_type") == F.col("_type")))
     judged = materialize(judged.select("post_id", "dup_type", F.col("_hit").isNull().alias("kept"), (containment(tokens(F.col("chunk_text")), F.col("_tokens")) >= overlap).alias("wanted")), "judged-chunks", compact=True)

@@ -4,6 +4,7 @@ import re
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from sieveline.operators.chunking import STRUCTURE, split_text
 from sieveline.plans import evaluation as E
@@ -82,3 +83,11 @@ def test_from_post_folders(spark, tmp_path):
 
 def test_empty(spark):
     assert E.evaluate_posts(spark.createDataFrame([], KINDS)).collect() == []
+
+
+def test_chunks_meet_those_of_their_own_post_only(spark):
+    # vectors of another size for each post: they can only be compared within a post
+    by_post = lambda c: F.when(F.startswith(c, F.lit("a")), F.array(F.lit(1.0), F.lit(0.0))).otherwise(F.array(F.lit(1.0))).cast("array<float>")
+    posts = [(p, k, t, p * 120) for p in "ab" for k, t in (("base", None), ("update", "exact"), ("ground_truth", "exact"))]
+    got = E.evaluate_posts(spark.createDataFrame(posts, KINDS), embed=by_post).collect()
+    assert sorted((r.post_id, r.update_chunks, r.duplicate_chunks) for r in got) == [("a", 1, 1), ("b", 1, 1)]
