@@ -15,7 +15,7 @@ article that is delivered again, in the same batch or a later one, is a copy of
 The output is partitioned by batch and status. A batch that is run again after a crash writes its own partition anew and
 looks for seen content only in batches before it, so it comes out the same. The output belongs to its checkpoint: one
 without the other is an error. The copies of a text, however many, are a row a task in the aggregation that finds the
-first; rejected rows take no part in joins, and texts are shuffled once, to meet that first.
+first; rejected rows take no part in joins, and texts are not shuffled: summaries are made where texts are read, of copies too.
 """
 
 from __future__ import annotations
@@ -64,12 +64,14 @@ def judge(articles: DataFrame, known: DataFrame, config: Config = Config()) -> D
     seen = known.select(F.col("content_id").alias("_seen"), F.col("original").alias("_original"))
     origins = firsts.join(seen, F.col("content_id") == F.col("_seen"), "left")
     origins = origins.select(F.col("content_id").alias("_content"), F.coalesce("_original", "first.doc_id").alias("original"), F.when(F.col("_seen").isNull(), F.col("first")).alias("_first"))
-    placed = good.join(origins, F.col("content_id") == F.col("_content"))
-    placed = placed.withColumn("status", F.when(F.col("place") == F.col("_first"), "new").otherwise("copy"))
     plan = pipelines.Config(summarize=lambda t: providers.lead_summary(t, config.sentences, limit=2**31 - 1), topics=config.topics)
-    new = pipelines.ranked(pipelines.summarized(placed.where("status = 'new'"), plan), plan, F.col("summary"))
-    rest = placed.where("status = 'copy'").unionByName(rows.where("reason is not null").withColumn("status", F.lit("rejected")), allowMissingColumns=True)
-    return new.unionByName(rest, allowMissingColumns=True).select(*StructType.fromDDL(ROW).names, "status")
+    short = pipelines.summarized(good, plan).drop("text")
+    placed = short.join(origins, F.col("content_id") == F.col("_content"))
+    placed = placed.withColumn("status", F.when(F.col("place") == F.col("_first"), "new").otherwise("copy"))
+    of_new = lambda df, *columns: df.withColumns({c: F.when(F.col("status") == "new", F.col(c)) for c in columns})
+    done = of_new(pipelines.ranked(of_new(placed, "summary"), plan, F.col("summary")), "topics", "rate")
+    rest = rows.where("reason is not null").withColumn("status", F.lit("rejected"))
+    return done.unionByName(rest, allowMissingColumns=True).select(*StructType.fromDDL(ROW).names, "status")
 
 
 def read(spark: SparkSession, output: str) -> DataFrame:
