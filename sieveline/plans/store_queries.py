@@ -207,8 +207,9 @@ def markdown_notes(spark, sf_dir):
         F.lit(RUN_DAY).cast("timestamp").alias("created_time"), "lang", "doc_id",
     )
     known = writers.markdown_note(d.where("doc_id % 7 = 0"))
-    writers.write_notes(d.coalesce(8), path, "lang", known)
+    writers.write_notes(d, path, "lang", known, folders=True)
     back = spark.read.text(path, wholetext=True)
+    back = back.coalesce(writers.file_tasks(back))  # Spark plans some 30 small files a task
     return back.select("category", F.md5(F.substring("value", F.lit(1), F.length("value") - 1)).alias("note"))  # without the file's last line break
 
 

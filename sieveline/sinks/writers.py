@@ -74,12 +74,24 @@ def append_lines(rows: DataFrame, path: str, known: DataFrame | None = None, key
     new.dropDuplicates([key]).select("value").write.mode("append").text(path)
 
 
-def write_notes(df: DataFrame, path: str, category: str, known: DataFrame | None = None) -> None:
-    """Notes as text files, a folder for each category; names that are known already are left out."""
+def write_notes(df: DataFrame, path: str, category: str, known: DataFrame | None = None, folders: bool = False) -> None:
+    """Notes as text files, a folder for each category; names that are known already are left out.
+
+    A file costs far more than its text, so notes are dealt evenly to more tasks than cores, however the input is split. With
+    ``folders`` each task's notes lie in a folder of their own below the category, which the commit moves whole; without, the
+    driver moves them one by one.
+    """
     notes = markdown_note(df.withColumn("category", F.col(category)), ["category"])
     if known is not None:
         notes = notes.join(known.select("file_name"), "file_name", "left_anti")
-    notes.select("category", F.col("note").alias("value")).write.mode("append").partitionBy("category").option("maxRecordsPerFile", 1).text(path)
+    by = ["category", "folder"] if folders else ["category"]
+    dealt = notes.repartition(file_tasks(df)).withColumn("folder", F.spark_partition_id())
+    dealt.select(*by, F.col("note").alias("value")).write.mode("append").partitionBy(*by).option("maxRecordsPerFile", 1).text(path)
+
+
+def file_tasks(df: DataFrame) -> int:
+    """Tasks for work that is counted in files, not bytes."""
+    return max(4 * df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def push_totals(results: DataFrame, by: str, error: str = "error") -> DataFrame:

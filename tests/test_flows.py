@@ -116,6 +116,19 @@ def test_sinks(spark, tmp_path):
     assert len(list((tmp_path / "notes" / "category=news").glob("*.txt"))) == 1
 
 
+@pytest.mark.parametrize("folders", [False, True])
+def test_notes_are_dealt_to_tasks(spark, tmp_path, folders):
+    rows = spark.range(100).coalesce(1).selectExpr("concat('n', id) AS title", "'u' AS url", "'s' AS source", "array('t') AS tags", "4 AS rating", "concat('Sum ', id) AS summary", "timestamp'2024-01-02' AS created_time", "if(id < 80, 'a', 'b') AS cat")
+    known = writers.markdown_note(rows.where("title IN ('n0', 'n99')"))
+    writers.write_notes(rows, str(tmp_path), "cat", known, **({"folders": True} if folders else {}))
+    found = list(tmp_path.rglob("*.txt"))
+    want = {(f"category={r.category}", r.note + "\n") for r in writers.markdown_note(rows.withColumn("category", F.col("cat")), ["category"]).collect() if r.file_name not in ("2024-01-02 n0.md", "2024-01-02 n99.md")}
+    assert len(found) == 98 and {(f.relative_to(tmp_path).parts[0], f.read_text()) for f in found} == want
+    tasks = [f.name[:10] for f in found]
+    assert len(set(tasks)) >= 8 and max(map(tasks.count, tasks)) <= 13
+    assert not folders or all(len({g.name[:10] for g in f.parent.glob("*.txt")}) == 1 for f in found)
+
+
 def test_providers(spark):
     df = spark.createDataFrame([("Short text",), ("One two. " * 60,), ("",)], "t string")
     e = [r.e for r in df.select(providers.hashed_embedding(F.col("t")).alias("e")).collect()]
