@@ -208,9 +208,11 @@ def markdown_notes(spark, sf_dir):
     )
     known = writers.markdown_note(d.where("doc_id % 7 = 0"))
     writers.write_notes(d, path, "lang", known, folders=True)
-    back = spark.read.text(path, wholetext=True)
-    back = back.coalesce(writers.file_tasks(back))  # Spark plans some 30 small files a task
-    return back.select("category", F.md5(F.substring("value", F.lit(1), F.length("value") - 1)).alias("note"))  # without the file's last line break
+    out = shared_path(spark, "notes_read")
+    for back in files.read_notes(spark, path, d.count()):
+        few = back.coalesce(4 * spark.sparkContext.defaultParallelism)  # Spark plans some 30 small files a task
+        few.select("category", F.md5(F.substring("value", F.lit(1), F.length("value") - 1)).alias("note")).write.mode("append").parquet(out)  # without the file's last line break
+    return spark.read.schema("category string, note string").parquet(out)
 
 
 @query(r"""SELECT doc_id, source || '_' || lang || '_note ' || doc_id || '.md' AS file_name, '---' || chr(10) || 'created_at: 2024-01-20' || chr(10) || 'rating: 4.5' || chr(10) || 'user_rating: ' || coalesce(CAST(quality AS VARCHAR), '') || chr(10) || 'alias: ' || chr(10) || 'to: ' || chr(10)

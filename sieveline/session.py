@@ -98,6 +98,23 @@ def compacted(df: DataFrame) -> DataFrame:
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a path of the shared folder, on whatever file system it lies."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    target, system = _located(spark, path)
+    system.delete(target, True)
+
+
+def disk_path(spark: SparkSession, path: str) -> str | None:
+    """The path as programs open it if it lies on a local or mounted disk, else nothing."""
+    target, system = _located(spark, path)
+    return system.makeQualified(target).toUri().getPath() if system.getUri().getScheme() == "file" else None
+
+
+def found(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that fit a pattern, on whatever file system they lie: for folders, which are few, not for files."""
+    target, system = _located(spark, pattern)
+    return [s.getPath().toString() for s in system.globStatus(target) or []]
+
+
+def _located(spark: SparkSession, path: str):
+    """Hadoop's path and the file system it lies on."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sieveline.session import disk_path
+from sieveline.sinks.notes import NoteFiles
+
 
 def write_run(df: DataFrame, folder: str, run_id: str) -> None:
     """JSON lines under ``run_id=...``; a run that is repeated replaces its own output only."""
@@ -77,16 +80,22 @@ def append_lines(rows: DataFrame, path: str, known: DataFrame | None = None, key
 def write_notes(df: DataFrame, path: str, category: str, known: DataFrame | None = None, folders: bool = False) -> None:
     """Notes as text files, a folder for each category; names that are known already are left out.
 
-    A file costs far more than its text, so notes are dealt evenly to more tasks than cores, however the input is split. With
+    A file costs far more than its text, so notes are dealt evenly to more tasks than cores, however the input is split; where
+    some are known, by their names, as the join needs them, so that texts are shuffled once. With
     ``folders`` each task's notes lie in a folder of their own below the category, which the commit moves whole; without, the
-    driver moves them one by one.
+    driver moves them one by one. On disks ``note_files`` makes the files, on other file systems Spark's text files do.
     """
-    notes = markdown_note(df.withColumn("category", F.col(category)), ["category"])
+    notes, tasks = markdown_note(df.withColumn("category", F.col(category)), ["category"]), file_tasks(df)
+    dealt = notes.repartition(tasks, *([] if known is None else ["file_name"])).withColumn("folder", F.spark_partition_id())
     if known is not None:
-        notes = notes.join(known.select("file_name"), "file_name", "left_anti")
+        dealt = dealt.join(known.select("file_name").repartition(tasks, "file_name"), "file_name", "left_anti")
     by = ["category", "folder"] if folders else ["category"]
-    dealt = notes.repartition(file_tasks(df)).withColumn("folder", F.spark_partition_id())
-    dealt.select(*by, F.col("note").alias("value")).write.mode("append").partitionBy(*by).option("maxRecordsPerFile", 1).text(path)
+    writer = dealt.select(*by, F.col("note").alias("value")).write.mode("append")
+    if (disk := disk_path(df.sparkSession, path)) is None:
+        writer.partitionBy(*by).option("maxRecordsPerFile", 1).text(path)
+    else:
+        df.sparkSession.dataSource.register(NoteFiles)
+        writer.format("note_files").save(disk)
 
 
 def file_tasks(df: DataFrame) -> int:

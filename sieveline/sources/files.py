@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sieveline.session import found
+
+#: Files that the driver lists at a time; each takes about a kilobyte of its memory.
+LISTED = 100_000
+
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """JSON lines by schema; a path that does not exist is an empty table."""
@@ -40,6 +47,22 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
 
 
+def read_notes(spark: SparkSession, path: str, notes: int, listed: int = LISTED) -> Iterator[DataFrame]:
+    """Rows (category, value) of what ``write_notes`` wrote with ``folders``, some folders at a time: about ``listed`` files.
+
+    Spark's driver holds the path of every file of a table, so use each DataFrame up before the next. ``notes``: how many there
+    are at most. Files are read as bytes, since the text reader copies all of Hadoop's settings for each file.
+    """
+    schema = "path string, modificationTime timestamp, length long, content binary, category string, folder int"
+    folders = sorted(found(spark, f"{path}/category=*/folder=*"), key=lambda f: (int(f.rpartition("=")[2]), f))  # each has notes of all categories
+    some = max(1, listed * len(folders) // max(notes, 1))
+    for k in range(0, len(folders), some):
+        files = spark.read.format("binaryFile").schema(schema).option("basePath", path).load(folders[k : k + some])
+        yield files.select("category", F.col("content").cast("string").alias("value"))
+    if not folders:
+        yield spark.createDataFrame([], "category string, value string")
+
+
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     """Post folders of base, update and truth texts as rows (post_id, kind, dup_type, text)."""
     name = F.regexp_extract("path", r"([^/]+)\.txt$", 1)

@@ -1,13 +1,15 @@
 import datetime as dt
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sieveline import schemas
 from sieveline.operators import providers, render
 from sieveline.plans import pipelines
-from sieveline.sinks import writers
+from sieveline.sinks import notes, writers
 from sieveline.sources import feeds, files
 from sieveline.streaming import streams
 
@@ -129,6 +131,40 @@ def test_notes_are_dealt_to_tasks(spark, tmp_path, folders):
     assert not folders or all(len({g.name[:10] for g in f.parent.glob("*.txt")}) == 1 for f in found)
 
 
+def test_notes_are_files_and_nothing_else(spark, tmp_path):
+    cats = ["a/b=c", "", None, "x y%41", "é", "07"]
+    rows = spark.createDataFrame([(f"n{i}", c, f"é {i}\n\n") for i, c in enumerate(cats * 5)], "title string, cat string, summary string")
+    rows = rows.selectExpr("title", "'u' AS url", "'s' AS source", "array('t') AS tags", "4 AS rating", "summary", "timestamp'2024-01-02' AS created_time", "cat")
+    path = str(tmp_path / "notes")
+    for part in (rows.where("title < 'n2'"), rows.where("title >= 'n2'")):  # the second is appended
+        writers.write_notes(part, path, "cat", folders=True)
+    assert sum(f.is_file() for f in (tmp_path / "notes").rglob("*")) == len(cats) * 5 + 1  # and _SUCCESS: no checksum files, nothing unfinished
+    parts = list(files.read_notes(spark, path, len(cats) * 5, listed=7))
+    assert len(parts) >= 4 and all(p.count() <= 12 for p in parts)
+    got = sorted((r.category, r.value) for p in parts for r in p.select(F.coalesce("category", F.lit("-")).alias("category"), "value").collect())
+    want = writers.markdown_note(rows.withColumn("category", F.coalesce(F.nullif("cat", F.lit("")), F.lit("-"))), ["category"])
+    assert got == sorted((r.category, r.note + "\n") for r in want.collect())
+    assert [p.collect() for p in files.read_notes(spark, str(tmp_path / "none"), 0)] == [[]]
+
+
+def test_notes_of_failed_attempts_are_left_out(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(notes.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 3})())
+    rows = pa.RecordBatch.from_pydict({"category": ["a", "b", "a"], "value": ["x", "y", "z"]})
+    make = lambda: notes.NoteFiles({"path": str(tmp_path)}).writer(StructType.fromDDL("category string, value string"), False)
+    found = lambda: sorted((f.parent.name, f.read_text()) for f in tmp_path.rglob("*.txt"))
+    w = make()
+    w.write(iter([rows.slice(0, 2)]))  # an attempt that was lost
+    w.commit([w.write(iter([rows])), None])
+    assert found() == [("category=a", "x\n"), ("category=a", "z\n"), ("category=b", "y\n")]
+    w = make()
+    w.abort([w.write(iter([rows]))])
+    assert len(found()) == 3 and sorted(f.name for f in tmp_path.iterdir()) == ["_SUCCESS", "category=a", "category=b"]
+    bad = spark.range(20).selectExpr("if(id = 15, raise_error('bad'), 'n') AS title", "'u' AS url", "'s' AS source", "array('t') AS tags", "4 AS rating", "'x' AS summary", "timestamp'2024-01-02' AS created_time", "'c' AS cat")
+    with pytest.raises(Exception, match="bad"):
+        writers.write_notes(bad, str(tmp_path / "bad"), "cat")
+    assert not list(tmp_path.rglob("bad/**/*.txt"))
+
+
 def test_providers(spark):
     df = spark.createDataFrame([("Short text",), ("One two. " * 60,), ("",)], "t string")
     e = [r.e for r in df.select(providers.hashed_embedding(F.col("t")).alias("e")).collect()]
