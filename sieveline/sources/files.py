@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sieveline.session import found
 
-#: Files that the driver lists at a time; each takes about a kilobyte of its memory.
-LISTED = 100_000
+#: Files that the driver lists at a time; each takes a kilobyte or more of its memory.
+LISTED = 20_000
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -57,12 +57,23 @@ def read_notes(spark: SparkSession, path: str, notes: int, listed: int = LISTED)
     folders = sorted(found(spark, f"{path}/category=*/folder=*"), key=lambda f: (int(f.rpartition("=")[2]), f))  # each has notes of all categories
     some = max(1, listed * len(folders) // max(notes, 1))
     for k in range(0, len(folders), some):
-        files = spark.read.format("binaryFile").schema(schema).option("basePath", path).load(folders[k : k + some])
+        files = _loaded(spark.read.format("binaryFile").schema(schema).option("basePath", path), spark, folders[k : k + some])
         yield files.select("category", F.col("content").cast("string").alias("value"))
     if not folders:
         yield spark.createDataFrame([], "category string, value string")
 
 
+def _loaded(reader: DataFrameReader, spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Load without keeping the list of files for later reads, which takes up to 250 MB of the driver."""
+    key = "spark.sql.hive.filesourcePartitionFileCacheSize"
+    before = spark.conf.get(key)
+    spark.conf.set(key, 0)
+    try:
+        return reader.load(paths)
+    finally:
+        spark.conf.set(key, before)
+
+
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     """Post folders of base, update and truth texts as rows (post_id, kind, dup_type, text)."""
     name = F.regexp_extract("path", r"([^/]+)\.txt$", 1)

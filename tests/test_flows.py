@@ -135,7 +135,7 @@ def test_notes_are_files_and_nothing_else(spark, tmp_path):
     cats = ["a/b=c", "", None, "x y%41", "é", "07"]
     rows = spark.createDataFrame([(f"n{i}", c, f"é {i}\n\n") for i, c in enumerate(cats * 5)], "title string, cat string, summary string")
     rows = rows.selectExpr("title", "'u' AS url", "'s' AS source", "array('t') AS tags", "4 AS rating", "summary", "timestamp'2024-01-02' AS created_time", "cat")
-    path = str(tmp_path / "notes")
+    path, kept = str(tmp_path / "notes"), spark.conf.get("spark.sql.hive.filesourcePartitionFileCacheSize")
     for part in (rows.where("title < 'n2'"), rows.where("title >= 'n2'")):  # the second is appended
         writers.write_notes(part, path, "cat", folders=True)
     assert sum(f.is_file() for f in (tmp_path / "notes").rglob("*")) == len(cats) * 5 + 1  # and _SUCCESS: no checksum files, nothing unfinished
@@ -145,6 +145,7 @@ def test_notes_are_files_and_nothing_else(spark, tmp_path):
     want = writers.markdown_note(rows.withColumn("category", F.coalesce(F.nullif("cat", F.lit("")), F.lit("-"))), ["category"])
     assert got == sorted((r.category, r.note + "\n") for r in want.collect())
     assert [p.collect() for p in files.read_notes(spark, str(tmp_path / "none"), 0)] == [[]]
+    assert spark.conf.get("spark.sql.hive.filesourcePartitionFileCacheSize") == kept
 
 
 def test_notes_of_failed_attempts_are_left_out(spark, tmp_path, monkeypatch):
